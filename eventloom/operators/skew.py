@@ -1,0 +1,93 @@
+"""Joins and groupings that stay balanced when one key holds a large share of the rows."""
+
+from pyspark.sql import DataFrame, functions as F
+
+# A key with fewer rows than this fits one task comfortably.
+HOT_ROWS = 500_000
+# At most this many keys are treated as hot, which bounds what is broadcast.
+HOT_KEYS = 1_000
+SALTS = 64
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The most frequent key values, ``HOT_KEYS`` of them at the most.
+
+    The count is combined map-side and the limit is a distributed top-k, so neither step
+    depends on how the keys are spread.
+    """
+    return (
+        df.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") >= hot_rows)
+        .orderBy(F.col("_n").desc(), F.col(key))
+        .limit(HOT_KEYS)
+        .select(key, F.lit(True).alias("_hot"))
+    )
+
+
+def salted(df: DataFrame, key: str, hot: DataFrame, salts: int = SALTS) -> DataFrame:
+    """Add ``_salt``: a hash of the row for hot keys, 0 for all others."""
+    columns = df.columns
+    return df.join(F.broadcast(hot), key, "left").select(
+        *columns,
+        F.when(F.col("_hot"), F.pmod(F.xxhash64(*columns), F.lit(salts)))
+        .otherwise(F.lit(0))
+        .cast("int")
+        .alias("_salt"),
+    )
+
+
+def salted_copies(df: DataFrame, key: str, hot: DataFrame, salts: int = SALTS) -> DataFrame:
+    """Repeat the rows of hot keys once per salt; all others get salt 0 only."""
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
+        F.array(F.lit(0))
+    )
+    return df.join(F.broadcast(hot), key, "left").select(
+        *df.columns, F.explode(copies).alias("_salt")
+    )
+
+
+def spread_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str = "left",
+    hot_rows: int = HOT_ROWS,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Join ``left`` to ``right`` on ``key`` with the hot keys of ``left`` spread out.
+
+    Rows of a hot key get one of ``salts`` salts; the right rows of that key are repeated
+    once per salt. Which keys count as hot affects the layout only, never the result.
+    ``how``: inner, left, left_semi, left_anti.
+    """
+    hot = hot_keys(left, key, hot_rows)
+    return (
+        salted(left, key, hot, salts)
+        .join(salted_copies(right, key, hot, salts), [key, "_salt"], how)
+        .drop("_salt")
+    )
+
+
+def with_part(df: DataFrame, key: str, max_rows: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Number the parts of oversized groups: 0 for a group of up to ``max_rows`` rows.
+
+    A larger group is dealt out by row hash over ``ceil(rows / max_rows)`` parts, so grouping
+    by (key, part) never gathers an unbounded group in one task. Adds ``part`` and ``parts``.
+    """
+    large = (
+        df.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > max_rows)
+        .select(key, F.ceil(F.col("_n") / F.lit(max_rows)).cast("int").alias("_parts"))
+    )
+    columns = df.columns
+    return spread_join(df, large, key, "left", hot_rows).select(
+        *columns,
+        F.coalesce(F.pmod(F.xxhash64(*columns), F.col("_parts")), F.lit(0))
+        .cast("int")
+        .alias("part"),
+        F.coalesce(F.col("_parts"), F.lit(1)).alias("parts"),
+    )
