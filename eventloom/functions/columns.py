@@ -11,6 +11,15 @@ def as_col(column) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
+def with_value(df, name: str, column: Column):
+    """Add a costly column that later filters use as a value.
+
+    A filter on a plain derived column is moved below it and repeats its expression; one on
+    a generated column stays above.
+    """
+    return df.withColumn(name, F.explode_outer(F.array(column)))
+
+
 def has_any(array, values) -> Column:
     """True if the list holds any of the values; a missing list holds nothing."""
     column = as_col(array)

@@ -43,8 +43,10 @@ def audit_triples(events: DataFrame, base_uri: str) -> DataFrame:
     """One row per triple of each event's audit record. Events without an id give none."""
     record = _with_record(events.filter(F.col("event_id").isNotNull()), base_uri)
     missing = F.lit(None).cast("string")
+    # The outer form, as no record is empty: the plain one would first test each record's
+    # size and so build it twice.
     return record.select(
-        "event_uri", F.posexplode("record").alias("ord", "t")
+        "event_uri", F.posexplode_outer("record").alias("ord", "t")
     ).select(
         missing.alias("graph"),
         F.col("event_uri").alias("subject"),

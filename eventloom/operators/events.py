@@ -57,7 +57,7 @@ def _exclude_by_table(df: DataFrame, containers: DataFrame, uri: str) -> DataFra
     prefixes = (
         df.select(uri)
         .distinct()
-        .select(uri, F.explode(path_prefixes(F.col(uri))).alias("_prefix"))
+        .select(uri, F.explode_outer(path_prefixes(F.col(uri))).alias("_prefix"))
     )
     excluded = prefixes.join(wanted.distinct(), "_prefix", "left_semi").select(uri).distinct()
     return spread_join(df, excluded, uri, "left_anti")

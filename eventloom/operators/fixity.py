@@ -116,7 +116,7 @@ def report_triples(results: DataFrame) -> DataFrame:
         entry(vocab.CONTENT_LOCATION, F.col("uri"), "uri"),
     )
     none = F.lit(None).cast("string")
-    return results.select("uri", F.posexplode(entries).alias("ord", "t")).select(
+    return results.select("uri", F.posexplode_outer(entries).alias("ord", "t")).select(
         none.alias("graph"),
         F.concat(F.col("uri"), F.lit("#fixity")).alias("subject"),
         "t.predicate",

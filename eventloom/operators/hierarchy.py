@@ -72,8 +72,7 @@ def traverse(
     links = edges.select("parent", "child").filter(F.col("child").isNotNull()).distinct()
     links.write.parquet(f"{path}/edges")
     links = spark.read.parquet(f"{path}/edges")
-    hot_keys(links, "parent", hot_rows).write.parquet(f"{path}/hot")
-    hot = spark.read.parquet(f"{path}/hot")
+    hot = hot_keys(links, "parent", hot_rows)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     laid_out = (
         salted(links, "parent", hot, salts)
@@ -103,7 +102,7 @@ def fan_out(hints: DataFrame) -> DataFrame:
     """One row per (node, recipient); blank recipients are ignored."""
     return hints.select(
         *[c for c in hints.columns if c != "recipients"],
-        F.explode("recipients").alias("recipient"),
+        F.explode_outer("recipients").alias("recipient"),
     ).filter(~is_blank("recipient"))
 
 

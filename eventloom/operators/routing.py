@@ -185,9 +185,9 @@ def enrich_with_resource(actions: DataFrame, triples: DataFrame) -> DataFrame:
 
 
 def missing_resources(actions: DataFrame, triples: DataFrame, service: str) -> DataFrame:
-    """Actions whose resource has no description, as dead letters."""
+    """Actions whose resource has no description, as dead letters; a uri is given once."""
     described = triples.select(F.col("doc").alias("uri")).distinct()
-    return spread_join(actions, described, "uri", "left_anti").select(
+    return actions.join(described, "uri", "left_anti").select(
         F.to_json(F.struct("uri")).alias("payload"),
         F.lit(service).alias("service"),
         F.lit(1).alias("attempts"),

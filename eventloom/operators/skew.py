@@ -4,48 +4,61 @@ from pyspark.sql import DataFrame, functions as F
 
 # A key with fewer rows than this fits one task comfortably.
 HOT_ROWS = 500_000
-# At most this many keys are treated as hot, which bounds what is broadcast.
+# At most this many keys are treated as hot, which bounds what reaches the driver.
 HOT_KEYS = 1_000
 SALTS = 64
 
+# Keys a sketch keeps track of, and groups the sketches are merged in before the last merge.
+_TRACKED = 4_096
+_MERGERS = 1_024
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The most frequent key values, ``HOT_KEYS`` of them at the most.
 
-    The count is combined map-side and the limit is a distributed top-k, so neither step
-    depends on how the keys are spread.
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
+    """Key values with about ``hot_rows`` rows or more, ``HOT_KEYS`` of them at the most.
+
+    One pass over the key column with a frequent-items sketch per task: nothing is shuffled
+    but sketches, whatever the number of keys. Estimates are good enough, because hot keys
+    change the layout of a join and never its result.
     """
-    return (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") >= hot_rows)
-        .orderBy(F.col("_n").desc(), F.col(key))
-        .limit(HOT_KEYS)
-        .select(key, F.lit(True).alias("_hot"))
+    sketches = (
+        df.select(F.col(key).alias("k"))
+        .filter(F.col("k").isNotNull())
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(_MERGERS)).alias("merger"))
+        .agg(F.expr(f"approx_top_k_accumulate(k, {_TRACKED})").alias("sketch"))
+    )
+    merged = sketches.groupBy(F.lit("all")).agg(
+        F.expr(f"approx_top_k_combine(sketch, {_TRACKED})").alias("sketch")
     )
+    top = merged.select(F.inline(F.expr(f"approx_top_k_estimate(sketch, {HOT_KEYS})")))
+    return [row["item"] for row in top.filter(F.col("count") >= hot_rows).collect()]
 
 
-def salted(df: DataFrame, key: str, hot: DataFrame, salts: int = SALTS) -> DataFrame:
-    """Add ``_salt``: a hash of the row for hot keys, 0 for all others."""
-    columns = df.columns
-    return df.join(F.broadcast(hot), key, "left").select(
-        *columns,
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*columns), F.lit(salts)))
-        .otherwise(F.lit(0))
-        .cast("int")
-        .alias("_salt"),
+def _is_hot(df: DataFrame, key: str, hot: list):
+    """Frame with a ``_hot`` flag; the list is short, so it travels with the plan."""
+    listed = df.sparkSession.createDataFrame(
+        [(k, True) for k in hot], f"`{key}` {df.schema[key].dataType.simpleString()}, _hot boolean"
     )
+    return df.join(F.broadcast(listed), key, "left")
+
+
+def salted(df: DataFrame, key: str, hot: list, salts: int = SALTS, by=None) -> DataFrame:
+    """Add ``_salt``: a hash of the row (or of the columns ``by``) for hot keys, else 0."""
+    if not hot:
+        return df.withColumn("_salt", F.lit(0))
+    columns = df.columns
+    salt = F.pmod(F.xxhash64(*(by or columns)), F.lit(salts))
+    salt = F.when(F.col("_hot"), salt).otherwise(F.lit(0))
+    return _is_hot(df, key, hot).select(*columns, salt.cast("int").alias("_salt"))
 
 
-def salted_copies(df: DataFrame, key: str, hot: DataFrame, salts: int = SALTS) -> DataFrame:
+def salted_copies(df: DataFrame, key: str, hot: list, salts: int = SALTS) -> DataFrame:
     """Repeat the rows of hot keys once per salt; all others get salt 0 only."""
+    if not hot:
+        return df.withColumn("_salt", F.lit(0))
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
         F.array(F.lit(0))
     )
-    return df.join(F.broadcast(hot), key, "left").select(
-        *df.columns, F.explode(copies).alias("_salt")
-    )
+    return _is_hot(df, key, hot).select(*df.columns, F.explode_outer(copies).alias("_salt"))
 
 
 def spread_join(
@@ -55,14 +68,19 @@ def spread_join(
     how: str = "left",
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    hot: list | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right`` on ``key`` with the hot keys of ``left`` spread out.
 
-    Rows of a hot key get one of ``salts`` salts; the right rows of that key are repeated
-    once per salt. Which keys count as hot affects the layout only, never the result.
-    ``how``: inner, left, left_semi, left_anti.
+    Looks for hot keys first (one pass over the key column) unless they are given. Without
+    any this is an ordinary join. Otherwise rows of a hot key get one of ``salts`` salts and
+    the right rows of that key are repeated once per salt. ``how``: inner, left, left_semi,
+    left_anti.
     """
-    hot = hot_keys(left, key, hot_rows)
+    if hot is None:
+        hot = hot_keys(left, key, hot_rows)
+    if not hot:
+        return left.join(right, key, how)
     return (
         salted(left, key, hot, salts)
         .join(salted_copies(right, key, hot, salts), [key, "_salt"], how)
@@ -75,16 +93,27 @@ def with_part(df: DataFrame, key: str, max_rows: int, hot_rows: int = HOT_ROWS)
 
     A larger group is dealt out by row hash over ``ceil(rows / max_rows)`` parts, so grouping
     by (key, part) never gathers an unbounded group in one task. Adds ``part`` and ``parts``.
+    Groups are counted first. Usually none or few are oversized and their sizes travel with
+    the plan; only beyond ``HOT_KEYS`` of them are the sizes joined by shuffle.
     """
-    large = (
+    counts = (
         df.filter(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > max_rows)
-        .select(key, F.ceil(F.col("_n") / F.lit(max_rows)).cast("int").alias("_parts"))
     )
+    parts = F.ceil(F.col("_n") / F.lit(max_rows)).cast("int").alias("_parts")
     columns = df.columns
-    return spread_join(df, large, key, "left", hot_rows).select(
+    largest = counts.orderBy(F.col("_n").desc(), key).limit(HOT_KEYS + 1).collect()
+    if not largest:
+        return df.withColumns({"part": F.lit(0), "parts": F.lit(1)})
+    if len(largest) <= HOT_KEYS:
+        listed = df.sparkSession.createDataFrame(largest, counts.schema)
+        dealt = df.join(F.broadcast(listed.select(key, parts)), key, "left")
+    else:
+        hot = [row[key] for row in largest[:HOT_KEYS] if row["_n"] >= hot_rows]
+        dealt = spread_join(df, counts.select(key, parts), key, "left", hot=hot)
+    return dealt.select(
         *columns,
         F.coalesce(F.pmod(F.xxhash64(*columns), F.col("_parts")), F.lit(0))
         .cast("int")

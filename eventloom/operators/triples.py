@@ -30,14 +30,13 @@ def collect_graph(
 ) -> DataFrame:
     """Text of each group's triples in line order: (key, part, parts, text).
 
-    Groups of up to ``max_rows`` distinct triples are one text; larger ones several parts
-    that together hold every triple exactly once.
+    Groups of up to ``max_rows`` rows are one text; larger ones several parts that together
+    hold every distinct triple exactly once (equal lines share a part).
     """
-    lines = triples.select(F.col(key), line_column().alias("line")).distinct()
+    lines = triples.select(F.col(key), line_column().alias("line"))
     dealt = with_part(lines, key, max_rows)
-    return dealt.groupBy(key, "part").agg(
-        F.first("parts").alias("parts"),
-        F.expr("listagg(line, '\n') within group (order by line)").alias("text"),
+    return dealt.groupBy(key, "part", "parts").agg(
+        F.array_join(F.array_sort(F.collect_set("line")), "\n").alias("text")
     )
 
 

@@ -266,8 +266,7 @@ check(
 
 # --- triples --------------------------------------------------------------------------------
 
-_SAME = """select doc, subject, predicate, object, object_kind, datatype, lang from repo_triples"""
-_TYPED = f"""select doc, subject, predicate, object, object_kind, datatype, lang from repo_triples"""
+_TYPED = """select doc, subject, predicate, object, object_kind, datatype, lang from repo_triples"""
 for _name in ("parse_ntriples", "read_ntriples_files", "parse_rdfxml"):
     check(_name, _TYPED, "repo_triples")
 check(
@@ -471,6 +470,14 @@ for _name in ("search_index_state", "search_index_stream"):
         *_DECIDED_VIEWS,
         ctes=f"{_NAMED}, {_INPUT}, {_docs(f"predicate <> '{v.CONTAINS}'")}, {_DOC_STATE}",
     )
+check(
+    "missing_in_search",
+    """select distinct concat('{"uri":"', uri, '"}') as payload, 'search' as service,
+      'resource not found' as error
+    from others where uri not in (select doc from repo_triples)""",
+    *_DECIDED_VIEWS,
+    ctes=_INPUT,
+)
 check(
     "clear_graph",
     """select cast(null as string) as graph, subject, predicate, object, object_kind, datatype

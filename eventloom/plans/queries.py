@@ -27,7 +27,12 @@ from eventloom.sources import (
     read_reindex_requests,
 )
 from eventloom.streaming import delivery, state
-from eventloom.streaming.services import Inputs, build_services
+from eventloom.streaming.services import (
+    Inputs,
+    build_services,
+    search_step,
+    triplestore_step,
+)
 
 REGISTRY = {}
 CONTAINERS = [AUDIT_CONTAINER]
@@ -542,45 +547,63 @@ def _stale_triples(spark, sf):
 _INDEX = ("subject", "predicate", "object", "object_kind", "datatype")
 
 
+def _settings(target, **options):
+    return Options(
+        target=target,
+        triplestore_containers=AUDIT_CONTAINER,
+        search_containers=AUDIT_CONTAINER,
+        audit_containers=AUDIT_CONTAINER,
+        forward_containers=AUDIT_CONTAINER,
+        **options,
+    )
+
+
+def _updated_triple_index(spark, sf, target):
+    """A loaded index after one batch of events and hints."""
+    state.load_triples(_stale_triples(spark, sf), f"{target}/triplestore")
+    inputs = views.events(spark, sf), _late_hints(spark, sf), views.triples(spark, sf)
+    triplestore_step(*inputs, _settings(target))
+    return f"{target}/triplestore"
+
+
 @query
 def triple_index_state(spark, sf) -> DataFrame:
-    """A loaded index after one batch of actions."""
-    target = work_dir(spark, "triple-index")
-    state.load_triples(_stale_triples(spark, sf), target)
-    actions = _triplestore_actions(spark, sf, False, _late_hints(spark, sf))
-    state.maintain_triple_index(
-        actions, views.triples(spark, sf), target, omit=[vocab.PREFER_CONTAINMENT]
-    )
-    return state.current_triples(spark, target).select(*_INDEX)
+    index = _updated_triple_index(spark, sf, work_dir(spark, "triple-index"))
+    return state.current_triples(spark, index).select(*_INDEX)
+
+
+def _load_stale_docs(spark, sf, target):
+    rows = tr.apply_prefer(views.triples(spark, sf), omit=[vocab.PREFER_CONTAINMENT])
+    stale = search.default_search_doc(rows).withColumn("lastmodified", F.lit("long ago"))
+    state.load_docs(stale, f"{target}/search")
 
 
 @query
 def search_index_state(spark, sf) -> DataFrame:
-    """A loaded search index after one batch of actions."""
+    """A loaded search index after one batch of events and hints."""
     target = work_dir(spark, "search-index")
-    rows = tr.apply_prefer(views.triples(spark, sf), omit=[vocab.PREFER_CONTAINMENT])
-    stale = search.default_search_doc(rows).withColumn("lastmodified", F.lit("long ago"))
-    state.load_docs(stale, target)
-    actions = routing.applicable(_search_actions(spark, sf, False, True, _late_hints(spark, sf)))
-    updates = actions.filter(F.col("action") == routing.UPDATE)
-    docs = search.apply_transforms(
-        updates.select("uri", "transformation").distinct(), rows, TRANSFORMS
-    )
-    state.maintain_search_index(actions, docs, target)
-    return _doc_columns(state.current_docs(spark, target))
+    _load_stale_docs(spark, sf, target)
+    inputs = views.events(spark, sf), _late_hints(spark, sf), views.triples(spark, sf)
+    search_step(*inputs, _settings(target, transforms=TRANSFORMS))
+    return _doc_columns(state.current_docs(spark, f"{target}/search"))
+
+
+@query
+def missing_in_search(spark, sf) -> DataFrame:
+    """Dead letters of the same batch: resources nobody describes."""
+    target = work_dir(spark, "search-missing")
+    inputs = views.events(spark, sf), views.hints(spark, sf), views.triples(spark, sf)
+    search_step(*inputs, _settings(target, transforms=TRANSFORMS))
+    letters = delivery.read_dead_letters(spark, f"{target}/dead/search")
+    return letters.select("payload", "service", "error")
 
 
 @query
 def compacted_triple_index(spark, sf) -> DataFrame:
     """The same index folded into a new base: the state must not change."""
-    target = work_dir(spark, "compacted-index")
-    state.load_triples(_stale_triples(spark, sf), target)
-    actions = _triplestore_actions(spark, sf, False, _late_hints(spark, sf))
-    state.maintain_triple_index(
-        actions, views.triples(spark, sf), target, omit=[vocab.PREFER_CONTAINMENT]
-    )
-    state.compact_triples(spark, target)
-    return state.current_triples(spark, target).select(*_INDEX)
+    index = _updated_triple_index(spark, sf, work_dir(spark, "compacted-index"))
+    state.compact_triples(spark, index)
+    return state.current_triples(spark, index).select(*_INDEX)
 
 
 @query
@@ -616,15 +639,7 @@ def _run_service(spark, sf, name, target, hints=True, **options):
         hints=hint_stream if hints else None,
         triples=lambda: views.triples(spark, sf),
     )
-    settings = Options(
-        target=target,
-        triplestore_containers=AUDIT_CONTAINER,
-        search_containers=AUDIT_CONTAINER,
-        audit_containers=AUDIT_CONTAINER,
-        forward_containers=AUDIT_CONTAINER,
-        **{f"{name}_enabled": True},
-        **options,
-    )
+    settings = _settings(target, **{f"{name}_enabled": True}, **options)
     start = build_services(inputs, settings)[name]
     start(f"{target}/checkpoint-{name}", available_now=True).awaitTermination()
 
@@ -642,9 +657,7 @@ def triple_index_stream(spark, sf) -> DataFrame:
 def search_index_stream(spark, sf) -> DataFrame:
     """The search index kept by the running service, from a loaded start."""
     target = work_dir(spark, "search-stream")
-    rows = tr.apply_prefer(views.triples(spark, sf), omit=[vocab.PREFER_CONTAINMENT])
-    stale = search.default_search_doc(rows).withColumn("lastmodified", F.lit("long ago"))
-    state.load_docs(stale, f"{target}/search")
+    _load_stale_docs(spark, sf, target)
     _run_service(spark, sf, "search", target, transforms=TRANSFORMS)
     return _doc_columns(state.current_docs(spark, f"{target}/search"))
 

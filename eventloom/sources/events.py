@@ -3,36 +3,22 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from eventloom import schemas
-from eventloom.functions import as_col, event_time, is_blank
+from eventloom.functions import as_col, event_time, is_blank, with_value
 from eventloom.operators.events import canonicalise
 
 _CORRUPT = "_corrupt_record"
 
 
 def _body_schema() -> T.StructType:
-    """Both event forms in one schema, so that a body is parsed once.
-
-    Type lists are read as raw text first because a single type may be written as a string.
-    """
+    """Both event forms in one schema, so that a body is parsed once."""
     fields = {f.name: f for f in schemas.LEGACY_BODY.fields}
     fields.update({f.name: f for f in schemas.ACTIVITY_BODY.fields})
-
-    def loosen(field):
-        kind = field.dataType
-        if isinstance(kind, T.StructType):
-            kind = T.StructType([loosen(f) for f in kind.fields])
-        if field.name == "type":
-            kind = T.StringType()
-        return T.StructField(field.name, kind)
-
-    return T.StructType(
-        [loosen(f) for f in fields.values()] + [T.StructField(_CORRUPT, T.StringType())]
-    )
+    return T.StructType([*fields.values(), T.StructField(_CORRUPT, T.StringType())])
 
 
 def _parsed(df: DataFrame, body: str) -> DataFrame:
     options = {"columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"}
-    return df.withColumn("_event", F.from_json(as_col(body), _body_schema(), options))
+    return with_value(df, "_event", F.from_json(as_col(body), _body_schema(), options))
 
 
 def _unusable():
@@ -46,11 +32,10 @@ def _unusable():
     )
 
 
-def _texts(column):
-    """A raw JSON value as a list of strings: a list as it is, a single string as one item."""
-    return F.when(column.startswith("["), F.from_json(column, "array<string>")).when(
-        column.isNotNull(), F.array(column)
-    )
+def _types(parsed, body, path):
+    """A type list; a single type may be written as a plain string, which the schema misses."""
+    single = F.when(F.col("_event")[_CORRUPT].isNotNull(), F.get_json_object(body, path))
+    return F.coalesce(parsed, F.when(single.isNotNull(), F.array(single)))
 
 
 def parse_events(df: DataFrame, body: str = "value", jms_event_type=None) -> DataFrame:
@@ -72,6 +57,8 @@ def parse_events(df: DataFrame, body: str = "value", jms_event_type=None) -> Dat
     people = F.transform(event["actor"], lambda a: F.coalesce(a["id"], a["name"]))
     old_people = F.transform(event["wasAttributedTo"], lambda a: a["name"])
     agents = F.filter(pick(old_people, people), lambda a: a.isNotNull())
+    text = as_col(body)
+    top_types = _types(event["type"], text, "$.type")
     date = pick(event["wasGeneratedBy"]["atTime"], event["published"])
     return canonicalise(
         rows.select(
@@ -79,8 +66,12 @@ def parse_events(df: DataFrame, body: str = "value", jms_event_type=None) -> Dat
             pick(event["id"], event["object"]["id"]).alias("uri"),
             date.alias("date_time"),
             event_time(date).alias("ts"),
-            _texts(pick(event["wasGeneratedBy"]["type"], event["type"])).alias("event_types"),
-            _texts(pick(event["type"], event["object"]["type"])).alias("resource_types"),
+            pick(
+                _types(event["wasGeneratedBy"]["type"], text, "$.wasGeneratedBy.type"), top_types
+            ).alias("event_types"),
+            pick(
+                top_types, _types(event["object"]["type"], text, "$.object.type")
+            ).alias("resource_types"),
             agents.alias("agents"),
             F.col("_raw_type").alias("jms_event_type"),
             pick(event["isPartOf"], event["object"]["isPartOf"]).alias("is_part_of"),

@@ -6,54 +6,71 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventloom import vocab
-from eventloom.functions import as_col, unescape_literal, without_brackets
+from eventloom.functions import as_col, unescape_literal, with_value, without_brackets
+
+_COLUMNS = ("subject", "predicate", "object", "object_kind", "datatype", "lang")
 
 # --- fixed values: pieces of the N-Triples line format ---
-_HEAD = r"^\s*(<[^>]*>|_:\S+)\s+<([^>]*)>\s+(.*)$"
-_NODE = r"^(<[^>]*>|_:\S+)\s*\.\s*(?:#.*)?$"
-_AFTER_LITERAL = r"^(?:\^\^<([^>]*)>|@([A-Za-z]+(?:-[A-Za-z0-9]+)*))?\s*\.\s*(?:#.*)?$"
+_LANG = "[A-Za-z]+(?:-[A-Za-z0-9]+)*"
+_END = r"\s*\.\s*(?:#.*)?$"
 _SKIPPED = r"^\s*(#.*)?$"
 
 
-def _line_parts(line):
-    """Columns of one N-Triples line; subject is null if the line is not a triple.
+def _with_triple(df, line):
+    """Add ``t``, the parsed triple of a line; null if the line holds none.
 
-    The closing quote of a literal is found in a copy of the rest of the line in which every
-    escape pair is masked, so literals of any length need no backtracking expression.
+    Works in steps, each using the columns of the step before once they are computed. The
+    closing quote of a literal is found in a copy in which every escape pair is masked, so
+    literals of any length need no backtracking expression.
     """
-    node = F.regexp_extract(line, _HEAD, 1)
-    rest = F.regexp_extract(line, _HEAD, 3)
+    keep = df.columns
+    words = F.split(F.ltrim(as_col(line), F.lit(" \t")), r"\s+", 3)
+    step = df.select(*keep, words.alias("_w")).select(
+        *keep,
+        F.get("_w", F.lit(0)).alias("_s"),
+        F.get("_w", F.lit(1)).alias("_p"),
+        F.get("_w", F.lit(2)).alias("_rest"),
+    )
+    rest = F.col("_rest")
     literal = rest.startswith('"')
-    masked = F.regexp_replace(rest, r"\\.", "__")
-    close = F.locate('"', masked, 2)
-    tail = rest.substr(close + 1, F.length(rest))
-    target = F.regexp_extract(rest, _NODE, 1)
-    datatype = F.regexp_extract(tail, _AFTER_LITERAL, 1)
-    lang = F.regexp_extract(tail, _AFTER_LITERAL, 2)
-    good = (node != "") & F.when(
-        literal, (close > 0) & tail.rlike(_AFTER_LITERAL)
-    ).otherwise(target != "")
-    is_uri = target.startswith("<")
-    return F.when(
-        good,
-        F.struct(
-            F.when(node.startswith("<"), without_brackets(node)).otherwise(node).alias("subject"),
-            F.regexp_extract(line, _HEAD, 2).alias("predicate"),
-            F.when(literal, unescape_literal(rest.substr(F.lit(2), close - 2)))
-            .when(is_uri, without_brackets(target))
-            .otherwise(target)
-            .alias("object"),
-            F.when(literal, "literal").when(is_uri, "uri").otherwise("bnode").alias("object_kind"),
-            F.when(literal & (datatype != ""), datatype)
-            .when(literal & (lang != ""), vocab.LANG_STRING)
-            .when(literal, vocab.XSD_STRING)
-            .alias("datatype"),
-            F.when(literal & (lang != ""), lang).alias("lang"),
-        ),
+    masked = F.when(F.contains(rest, F.lit("\\")), F.regexp_replace(rest, r"\\.", "__")).otherwise(rest)
+    close = (
+        F.when(literal, F.locate('"', masked, 2))
+        .when(rest.startswith("<"), F.locate(">", rest))
+        .when(rest.startswith("_:"), F.length(F.regexp_extract(rest, r"^_:[^\s.]*(?:\.+[^\s.]+)*", 0)))
+        .otherwise(F.lit(0))
     )
-
-
-_COLUMNS = ("subject", "predicate", "object", "object_kind", "datatype", "lang")
+    step = step.select("*", close.alias("_close")).select(
+        "*", rest.substr(F.col("_close") + 1, F.length(rest)).alias("_tail")
+    )
+    tail, close = F.col("_tail"), F.col("_close")
+    suffix = F.when(literal & ~tail.startswith(" "), tail)
+    datatype = F.regexp_extract(suffix, rf"^\^\^<([^>]*)>{_END}", 1)
+    lang = F.regexp_extract(suffix, rf"^@({_LANG}){_END}", 1)
+    step = step.select("*", datatype.alias("_datatype"), lang.alias("_lang"))
+    datatype, lang = F.nullif("_datatype", F.lit("")), F.nullif("_lang", F.lit(""))
+    node, predicate = F.col("_s"), F.col("_p")
+    good = (
+        ((node.startswith("<") & node.endswith(">")) | node.startswith("_:"))
+        & (predicate.startswith("<") & predicate.endswith(">"))
+        & (close > 0)
+        & ((tail == " .") | datatype.isNotNull() | lang.isNotNull() | tail.rlike("^" + _END))
+    )
+    is_uri = rest.startswith("<")
+    triple = F.struct(
+        F.when(node.startswith("<"), without_brackets(node)).otherwise(node).alias("subject"),
+        without_brackets(predicate).alias("predicate"),
+        F.when(literal, unescape_literal(rest.substr(F.lit(2), close - 2)))
+        .when(is_uri, rest.substr(F.lit(2), close - 2))
+        .otherwise(rest.substr(F.lit(1), close))
+        .alias("object"),
+        F.when(literal, "literal").when(is_uri, "uri").otherwise("bnode").alias("object_kind"),
+        F.when(literal & lang.isNotNull(), vocab.LANG_STRING)
+        .when(literal, F.coalesce(datatype, F.lit(vocab.XSD_STRING)))
+        .alias("datatype"),
+        F.when(literal, lang).alias("lang"),
+    )
+    return with_value(step, "t", F.when(good, triple)).select(*keep, "t")
 
 
 def _as_triples(df, parts, doc, order, graph):
@@ -70,9 +87,9 @@ def ntriples_to_triples(df: DataFrame, doc="uri", text="text", graph=None) -> Da
     """N-Triples texts, one per resource, to triples with their line order."""
     lines = df.select(
         as_col(doc).alias("doc"),
-        F.posexplode(F.split(as_col(text), r"\r?\n")).alias("ord", "line"),
+        F.posexplode_outer(F.split(as_col(text), r"\r?\n")).alias("ord", "line"),
     )
-    parsed = lines.select("doc", "ord", _line_parts(F.col("line")).alias("t"))
+    parsed = _with_triple(lines, "line")
     return _as_triples(
         parsed.filter(F.col("t").isNotNull()), F.col("t"), F.col("doc"), F.col("ord"), graph
     )
@@ -88,15 +105,15 @@ def read_ntriples(
     """
     source = spark.readStream if streaming else spark.read
     lines = source.options(**options).text(path)
-    parsed = lines.select(_line_parts(F.col("value")).alias("t")).filter(F.col("t").isNotNull())
+    parsed = _with_triple(lines, "value").filter(F.col("t").isNotNull())
     home = F.substring_index(F.col("t.subject"), "#", 1)
     return _as_triples(parsed, F.col("t"), home, F.lit(None), graph)
 
 
 def unreadable_ntriples(df: DataFrame, line: str = "value") -> DataFrame:
     """Lines that are neither triples nor comments nor blank."""
-    column = as_col(line)
-    return df.filter(~column.rlike(_SKIPPED) & _line_parts(column).isNull())
+    lines = df.filter(~as_col(line).rlike(_SKIPPED))
+    return _with_triple(lines, line).filter(F.col("t").isNull()).drop("t")
 
 
 def _description_rows(text):
@@ -150,8 +167,8 @@ def rdfxml_to_triples(df: DataFrame, doc="uri", text="text", graph=None) -> Data
     """RDF/XML texts, one per resource, to triples with their document order."""
     parsed = df.select(
         as_col(doc).alias("doc"),
-        F.posexplode(_description_column(as_col(text))).alias("ord", "t"),
-    )
+        F.posexplode_outer(_description_column(as_col(text))).alias("ord", "t"),
+    ).filter(F.col("t").isNotNull())
     return _as_triples(parsed, F.col("t"), F.col("doc"), F.col("ord"), graph)
 
 
@@ -169,6 +186,6 @@ def read_rdfxml(
     parsed = files.select(_description_column(F.col("value")).alias("rows"))
     rows = parsed.select(
         F.try_element_at("rows", F.lit(1))["subject"].alias("doc"),
-        F.posexplode("rows").alias("ord", "t"),
-    )
+        F.posexplode_outer("rows").alias("ord", "t"),
+    ).filter(F.col("t").isNotNull())
     return _as_triples(rows, F.col("t"), F.col("doc"), F.col("ord"), graph)

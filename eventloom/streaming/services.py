@@ -50,72 +50,71 @@ def _parts(batch: DataFrame):
     )
 
 
+def triplestore_step(events, hints, triples, options: Options, batch_id=0, writer="main"):
+    """Decide and apply one batch for the triple index; actions are worked out once."""
+    actions = routing.triplestore_actions(
+        events,
+        hints,
+        triples,
+        options.triplestore_require_indexable,
+        options.triplestore_containers,
+    ).persist()
+    state.maintain_triple_index(
+        actions,
+        triples,
+        f"{options.target}/triplestore",
+        options.named_graph,
+        listed(options.prefer_omit),
+        listed(options.prefer_include),
+        batch_id,
+        writer,
+    )
+    _report_missing(actions, triples, options, "triplestore", batch_id, writer)
+    actions.unpersist()
+
+
+def search_step(events, hints, triples, options: Options, batch_id=0, writer="main"):
+    """Decide and apply one batch for the search index; actions are worked out once."""
+    if not options.include_containment:
+        triples = apply_prefer(triples, omit=[vocab.PREFER_CONTAINMENT])
+    actions = routing.search_actions(
+        events,
+        hints,
+        triples,
+        options.default_transform,
+        options.search_require_indexable,
+        options.check_transformation,
+        options.search_containers,
+    ).persist()
+    todo = routing.applicable(actions)
+    updates = todo.filter(F.col("action") == routing.UPDATE).select("uri", "transformation")
+    updates = updates.distinct().persist()
+    docs = search.apply_transforms(updates, triples, options.transforms)
+    state.maintain_search_index(todo, docs, f"{options.target}/search", batch_id, writer)
+    unknown = search.unknown_transforms(updates, options.transforms)
+    folder = f"{options.target}/dead/search-transforms"
+    delivery.write_dead_letters(unknown, folder, batch_id, writer)
+    _report_missing(actions, triples, options, "search", batch_id, writer)
+    updates.unpersist()
+    actions.unpersist()
+
+
+def _report_missing(actions, triples, options, service, batch_id, writer):
+    lookups = actions.filter(F.col("action") != routing.DELETE).select("uri").distinct()
+    letters = routing.missing_resources(lookups, triples, service)
+    delivery.write_dead_letters(letters, f"{options.target}/dead/{service}", batch_id, writer)
+
+
 def triplestore_batch(inputs: Inputs, options: Options, writer: str):
     def run(batch: DataFrame, batch_id: int):
-        batch.persist()
-        events, hints = _parts(batch)
-        triples = inputs.triples()
-        actions = routing.triplestore_actions(
-            events,
-            hints,
-            triples,
-            options.triplestore_require_indexable,
-            options.triplestore_containers,
-        )
-        target = f"{options.target}/triplestore"
-        state.maintain_triple_index(
-            actions,
-            triples,
-            target,
-            options.named_graph,
-            listed(options.prefer_omit),
-            listed(options.prefer_include),
-            batch_id,
-            writer,
-        )
-        lookups = actions.filter(F.col("action") != routing.DELETE)
-        _report_missing(lookups, triples, options, "triplestore", batch_id, writer)
-        batch.unpersist()
+        triplestore_step(*_parts(batch), inputs.triples(), options, batch_id, writer)
 
     return run
 
 
-def _report_missing(lookups, triples, options, service, batch_id, writer):
-    uris = lookups.select("uri").distinct()
-    letters = routing.missing_resources(uris, triples, service)
-    delivery.write_dead_letters(letters, f"{options.target}/dead/{service}", batch_id, writer)
-
-
 def search_batch(inputs: Inputs, options: Options, writer: str):
     def run(batch: DataFrame, batch_id: int):
-        batch.persist()
-        events, hints = _parts(batch)
-        triples = inputs.triples()
-        if not options.include_containment:
-            triples = apply_prefer(triples, omit=[vocab.PREFER_CONTAINMENT])
-        actions = routing.search_actions(
-            events,
-            hints,
-            triples,
-            options.default_transform,
-            options.search_require_indexable,
-            options.check_transformation,
-            options.search_containers,
-        )
-        todo = routing.applicable(actions)
-        updates = (
-            todo.filter(F.col("action") == routing.UPDATE).select("uri", "transformation").distinct()
-        )
-        docs = search.apply_transforms(updates, triples, options.transforms)
-        target = f"{options.target}/search"
-        state.maintain_search_index(todo, docs, target, batch_id, writer)
-        lookups = actions.filter(F.col("action") != routing.DELETE)
-        _report_missing(lookups, triples, options, "search", batch_id, writer)
-        unknown = search.unknown_transforms(updates, options.transforms)
-        delivery.write_dead_letters(
-            unknown, f"{options.target}/dead/search-transforms", batch_id, writer
-        )
-        batch.unpersist()
+        search_step(*_parts(batch), inputs.triples(), options, batch_id, writer)
 
     return run
 

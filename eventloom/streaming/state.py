@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from eventloom import schemas
 from eventloom.operators.audit import audit_input, audit_triples
 from eventloom.operators.routing import DELETE, UPDATE
-from eventloom.operators.skew import spread_join
+from eventloom.operators.skew import hot_keys, salted, salted_copies, spread_join
 from eventloom.operators.triples import apply_prefer, in_named_graph, rdf_set
 from eventloom.schemas import TRIPLE_KEY
 from eventloom.streaming import changelog
@@ -85,16 +85,19 @@ def fold_triples(changes: DataFrame) -> DataFrame:
     """
     home = F.concat_ws("\u0001", F.coalesce("graph", F.lit("")), "subject")
     keyed = changes.withColumn("_home", home)
-    purged = (
+    adds = keyed.filter(F.col("op") == "add").drop("op")
+    purges = (
         keyed.filter(F.col("op") == "purge").groupBy("_home").agg(F.max("seq").alias("_purged"))
     )
-    added = (
-        keyed.filter(F.col("op") == "add").groupBy("_home", *TRIPLE_KEY).agg(F.max("seq").alias("seq"))
-    )
+    hot = hot_keys(adds, "_home")
+    # Equal triples share a salt, so the join's layout also serves the grouping.
+    spread = salted(adds, "_home", hot, by=TRIPLE_KEY)
     return (
-        spread_join(added, purged, "_home", "left")
+        spread.join(salted_copies(purges, "_home", hot), ["_home", "_salt"], "left")
         .filter(F.col("_purged").isNull() | (F.col("seq") >= F.col("_purged")))
-        .select(*TRIPLE_KEY, "seq")
+        .groupBy("_home", "_salt", *TRIPLE_KEY)
+        .agg(F.max("seq").alias("seq"))
+        .drop("_home", "_salt")
     )
 
 
