@@ -67,18 +67,21 @@ def update_statement(
 ) -> DataFrame:
     """(uri, part, parts, statement): clear the resource, then insert its description.
 
-    Only part 0 clears. Parts must be sent in order of ``part`` = 0 first.
+    One statement per resource, part 0. A description of more than ``max_rows`` triples is
+    cleared by part 0 and inserted by the parts after it.
     """
-    inserts = insert_statement(triples, "doc", graph, max_rows)
-    clear = F.when(
-        F.col("part") == 0, F.concat(delete_pattern("doc", graph), F.lit(";\n"))
-    ).otherwise("")
+    inserts = insert_statement(triples, "doc", graph, max_rows).withColumnRenamed("doc", "uri")
+    clear = delete_pattern("uri", graph)
+    whole = F.col("parts") == 1
+    clears = inserts.filter(~whole).select("uri", "parts").distinct()
     return inserts.select(
-        F.col("doc").alias("uri"),
-        "part",
+        "uri",
+        F.when(whole, 0).otherwise(F.col("part") + 1).alias("part"),
         "parts",
-        F.concat(clear, F.col("statement")).alias("statement"),
-    )
+        F.when(whole, F.concat(clear, F.lit(";\n"), F.col("statement")))
+        .otherwise(F.col("statement"))
+        .alias("statement"),
+    ).unionByName(clears.select("uri", F.lit(0).alias("part"), "parts", clear.alias("statement")))
 
 
 def delete_statement(df: DataFrame, uri: str = "uri", graph=None) -> DataFrame:

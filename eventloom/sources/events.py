@@ -110,7 +110,7 @@ def read_events(
 
     Extra options go to the file source, e.g. ``maxFilesPerTrigger`` as a throttle.
     """
-    text = _reader(spark, streaming, {**options, "wholetext": one_per_file}).text(path)
+    text = _reader(spark, streaming, options).text(path, wholetext=one_per_file)
     return parse_events(text)
 
 

@@ -182,7 +182,7 @@ def read_rdfxml(
 ) -> DataFrame:
     """One RDF/XML description per file; the document is named after its first subject."""
     source = spark.readStream if streaming else spark.read
-    files = source.options(**{**options, "wholetext": True}).text(path)
+    files = source.options(**options).text(path, wholetext=True)
     parsed = files.select(_description_column(F.col("value")).alias("rows"))
     rows = parsed.select(
         F.try_element_at("rows", F.lit(1))["subject"].alias("doc"),
