@@ -1,0 +1,70 @@
+import hashlib
+
+from eventloom import vocab
+from eventloom.operators import fixity
+
+TEXT = b"The content of a stored file;\nchecked as bytes.\n"
+
+
+def report(triples, doc, outcome):
+    node = f"{doc}#fixity/1"
+    rows = [
+        (doc, vocab.RDF_TYPE, vocab.BINARY, "uri", doc),
+        (node, vocab.MESSAGE_DIGEST, "urn:sha1:abc", "uri", doc),
+        (node, vocab.SIZE, "1636261", "literal", doc),
+        (node, vocab.CONTENT_LOCATION, "info:store/x", "uri", doc),
+    ]
+    return rows + ([(node, vocab.EVENT_OUTCOME, outcome, "literal", doc)] if outcome else [])
+
+
+def test_reports(triples):
+    rows = triples(
+        *report(triples, "good", "SUCCESS"),
+        *report(triples, "bad", "FAILURE"),
+        *report(triples, "none", None),
+        *report(triples, "odd", "SUCCESS "),
+    )
+    found = fixity.fixity_report(rows)
+    row = found.filter("uri = 'good'").first()
+    assert tuple(row) == ("good", "SUCCESS", "sha1", "abc", 1636261, "info:store/x")
+    good, bad = fixity.split_fixity(found)
+    assert [r.uri for r in good.collect()] == ["good"]
+    assert {r.uri for r in bad.collect()} == {"bad", "none", "odd"}
+
+
+def test_only_binaries(spark, triples):
+    rows = triples(("b", vocab.RDF_TYPE, vocab.BINARY, "uri"), ("c", vocab.RDF_TYPE, vocab.CONTAINER, "uri"))
+    df = spark.createDataFrame([("b",), ("c",), ("x",)], "uri string")
+    assert [r.uri for r in fixity.only_binaries(df, rows).collect()] == ["b"]
+
+
+def test_files_against_a_manifest(spark, tmp_path):
+    for name in ("same", "changed", "short", "unlisted", "other"):
+        (tmp_path / name).write_bytes(TEXT)
+    files = fixity.read_binaries(spark, str(tmp_path))
+    uri = {r.uri.rsplit("/", 1)[1]: r.uri for r in files.select("uri").collect()}
+    sha = hashlib.sha512(TEXT).hexdigest()
+    manifest = spark.createDataFrame(
+        [
+            (uri["same"], f"urn:sha-512:{sha.upper()}", len(TEXT)),
+            (uri["same"], "urn:sha1:0000", len(TEXT)),
+            (uri["changed"], f"urn:sha-512:{'0' * 128}", len(TEXT)),
+            (uri["short"], f"urn:sha-512:{sha}", 1),
+            (uri["other"], f"urn:sha-256:{hashlib.sha256(TEXT).hexdigest()}", len(TEXT)),
+        ],
+        "uri string, digest string, size long",
+    )
+    rows = fixity.verify_fixity(files, manifest, "sha-512").collect()
+    outcome = {r.uri.rsplit("/", 1)[1]: r.outcome for r in rows}
+    assert outcome.pop("same") == "SUCCESS"
+    assert set(outcome.values()) == {"FAILURE"} and len(rows) == 5
+    assert {(r.actual_size, r.actual_digest) for r in rows} == {(len(TEXT), sha)}
+
+
+def test_content_is_not_shuffled(spark, tmp_path):
+    (tmp_path / "a").write_bytes(TEXT)
+    manifest = spark.createDataFrame([], "uri string, digest string, size long")
+    plan = fixity.verify_fixity(fixity.read_binaries(spark, str(tmp_path)), manifest)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    above = text[: text.index("Exchange")] if "Exchange" in text else text
+    assert "content#" not in above.split("Project")[0]
