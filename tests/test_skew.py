@@ -1,0 +1,62 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventloom.operators import skew
+
+
+def rows(spark, seed, n=400):
+    rng = random.Random(seed)
+    keys = ["hot"] * (n // 3) + [rng.choice("abcdefgh") for _ in range(n - n // 3)]
+    data = [(k if rng.random() > 0.02 else None, i, rng.choice("xyz")) for i, k in enumerate(keys)]
+    return spark.createDataFrame(data, "k string, i long, v string").repartition(4)
+
+
+def lookup(spark):
+    data = [(k, n) for n, k in enumerate(["hot", "a", "b", "zz", "hot", "c"])]
+    return spark.createDataFrame(data, "k string, n int")
+
+
+def plain(df):
+    return sorted(map(str, df.select(*sorted(df.columns)).collect()))
+
+
+def test_hot_keys(spark):
+    df = rows(spark, 1)
+    assert skew.hot_keys(df, "k", 100) == ["hot"]
+    assert skew.hot_keys(df, "k", 10_000) == []
+    assert skew.hot_keys(df.filter(F.lit(False)), "k", 1) == []
+    assert skew.hot_keys(spark.range(10).withColumn("k", F.col("id") % 2), "k", 5) in ([0, 1], [1, 0])
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("hot_rows", [5, 100, 10_000])
+def test_spread_join_equals_the_plain_join(spark, how, hot_rows):
+    left, right = rows(spark, hot_rows), lookup(spark)
+    spread = skew.spread_join(left, right, "k", how, hot_rows=hot_rows, salts=7)
+    assert plain(spread) == plain(left.join(right, "k", how))
+
+
+def test_hot_rows_are_spread(spark):
+    df = rows(spark, 3)
+    salts = skew.salted(df, "k", ["hot"], 8).filter("k = 'hot'").select("_salt").distinct()
+    assert salts.count() > 4
+    assert skew.salted(df, "k", ["hot"], 8).filter("k <> 'hot'").select("_salt").distinct().count() == 1
+
+
+@pytest.mark.parametrize("hot_keys", [1_000, 2])
+def test_parts_hold_every_row_once(spark, monkeypatch, hot_keys):
+    monkeypatch.setattr(skew, "HOT_KEYS", hot_keys)
+    df = rows(spark, 5)
+    found = skew.with_part(df, "k", 20, hot_rows=50).collect()
+    assert sorted(r.i for r in found) == list(range(400))
+    sizes = {r["k"]: r["count"] for r in df.groupBy("k").count().collect()}
+    for row in found:
+        wanted = 1 if row.k is None else -(-sizes[row.k] // 20)
+        assert row.parts == wanted and 0 <= row.part < wanted
+
+
+def test_small_groups_are_one_part(spark):
+    found = skew.with_part(rows(spark, 6), "k", 1_000)
+    assert {(r.part, r.parts) for r in found.collect()} == {(0, 1)}
