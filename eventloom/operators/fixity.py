@@ -4,10 +4,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventloom import vocab
 from eventloom.functions import digest
-from eventloom.operators.skew import spread_join
+from eventloom.operators.skew import is_small, spread_join
 
 SUCCESS, FAILURE = "SUCCESS", "FAILURE"
 
+# Uris that may be broadcast to the tasks that read content.
+SMALL = 200_000
+
 
 def binary_uris(triples: DataFrame) -> DataFrame:
     is_binary = (F.col("predicate") == vocab.RDF_TYPE) & (F.col("object") == vocab.BINARY)
@@ -30,19 +33,29 @@ def verify_fixity(
     manifest: DataFrame,
     algorithm: str = "sha-256",
     size: Column | None = None,
+    only: DataFrame | None = None,
+    small: int = SMALL,
 ) -> DataFrame:
     """Digest and size of every binary against the recorded ones, one row per binary.
 
     ``binaries`` is (uri, content), ``manifest`` (uri, digest as ``urn:<algorithm>:<hex>``,
-    size). The content is digested in the scan stage, so only digests are shuffled. Success
-    needs equal digest and size; a binary without a record is a failure. ``size`` replaces
-    the byte length where the content column is not the stored bytes.
+    size). Success needs equal digest and size; a binary without a record is a failure.
+    ``size`` replaces the byte length where the content column is not the stored bytes.
+
+    Content is never shuffled, only digests are. ``only`` (uri, each once) restricts the check:
+    up to ``small`` uris are broadcast to the scan, so that nothing else is digested; a longer
+    list is joined after digesting.
     """
+    early = only is not None and is_small(only, small)
+    if early:
+        binaries = binaries.join(F.broadcast(only.select("uri")), "uri", "left_semi")
     actual = binaries.select(
         "uri",
         digest("content", algorithm).alias("actual_digest"),
         (F.octet_length("content") if size is None else size).cast("long").alias("actual_size"),
     )
+    if only is not None and not early:
+        actual = actual.join(only.select("uri"), "uri", "left_semi")
     urn = F.split("digest", ":", 3)
     recorded = manifest.filter(F.lower(F.get(urn, F.lit(1))) == algorithm).select(
         "uri",

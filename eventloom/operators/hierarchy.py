@@ -73,12 +73,10 @@ def traverse(
     links.write.parquet(f"{path}/edges")
     links = spark.read.parquet(f"{path}/edges")
     hot = hot_keys(links, "parent", hot_rows)
+    keys = ["parent", "_salt"] if hot else ["parent"]
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid_out = (
-        salted(links, "parent", hot, salts)
-        .repartition(partitions, "parent", "_salt")
-        .persist(StorageLevel.DISK_ONLY)
-    )
+    laid_out = salted(links, "parent", hot, salts).select(*keys, "child")
+    laid_out = laid_out.repartition(partitions, *keys).persist(StorageLevel.DISK_ONLY)
 
     def save(df, depth):
         df.select("root", "uri").write.parquet(f"{path}/nodes/depth={depth}")
@@ -89,7 +87,7 @@ def traverse(
     while (max_depth is None or depth < max_depth) and not frontier.isEmpty():
         seen = spark.read.parquet(f"{path}/nodes").select("root", "uri")
         parents = salted_copies(frontier.withColumnRenamed("uri", "parent"), "parent", hot, salts)
-        found = laid_out.join(parents, ["parent", "_salt"])
+        found = laid_out.join(parents.select("root", *keys), keys)
         reached = found.select("root", F.col("child").alias("uri")).distinct()
         depth += 1
         frontier = save(reached.join(seen, ["root", "uri"], "left_anti"), depth)

@@ -33,6 +33,11 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
     return [row["item"] for row in top.filter(F.col("count") >= hot_rows).collect()]
 
 
+def is_small(df: DataFrame, rows: int) -> bool:
+    """Whether a frame has at most ``rows`` rows; stops looking beyond them."""
+    return df.limit(rows + 1).count() <= rows
+
+
 def _is_hot(df: DataFrame, key: str, hot: list):
     """Frame with a ``_hot`` flag; the list is short, so it travels with the plan."""
     listed = df.sparkSession.createDataFrame(

@@ -269,6 +269,13 @@ check(
 _TYPED = """select doc, subject, predicate, object, object_kind, datatype, lang from repo_triples"""
 for _name in ("parse_ntriples", "read_ntriples_files", "parse_rdfxml"):
     check(_name, _TYPED, "repo_triples")
+check(
+    "read_triple_snapshot",
+    """select subject, predicate, object, ord from repo_triples
+    where doc in (select uri from repo_hints)""",
+    "repo_triples",
+    "repo_hints",
+)
 check(
     "rdf_set",
     "select distinct subject, predicate, object, object_kind, datatype from repo_triples",
@@ -565,7 +572,8 @@ check(
     f"select uri, n_chars from repo_binaries where resource_type = '{v.BINARY}'",
     "repo_binaries",
 )
-check("verify_fixity", "select * from results", "repo_binaries", ctes=_FIXITY)
+for _name in ("verify_fixity", "verify_fixity_late"):
+    check(_name, "select * from results", "repo_binaries", ctes=_FIXITY)
 check(
     "split_fixity",
     """select uri, case when outcome = 'SUCCESS' then 'success' else 'failure' end as branch

@@ -25,6 +25,8 @@ from eventloom.sources import (
     read_hints,
     read_ntriples,
     read_reindex_requests,
+    read_triples,
+    write_triples,
 )
 from eventloom.streaming import delivery, state
 from eventloom.streaming.services import (
@@ -387,6 +389,17 @@ def _xml_documents(spark, sf):
     )
 
 
+@query
+def read_triple_snapshot(spark, sf) -> DataFrame:
+    """The stored snapshot's buckets of the hinted resources, cut down to those resources."""
+    path = work_dir(spark, "snapshot")
+    write_triples(views.triples(spark, sf), path, 16)
+    hints = views.hints(spark, sf)
+    rows = read_triples(spark, path, hints, 16)
+    wanted = hints.select(F.col("uri").alias("doc")).distinct()
+    return rows.join(wanted, "doc", "left_semi").select("subject", "predicate", "object", "ord")
+
+
 @query
 def parse_rdfxml(spark, sf) -> DataFrame:
     """Descriptions as RDF/XML texts, parsed back."""
@@ -637,7 +650,7 @@ def _run_service(spark, sf, name, target, hints=True, **options):
     inputs = Inputs(
         events=events,
         hints=hint_stream if hints else None,
-        triples=lambda: views.triples(spark, sf),
+        triples=lambda uris: read_triples(spark, f"{target}/snapshot", uris, 16),
     )
     settings = _settings(target, **{f"{name}_enabled": True}, **options)
     start = build_services(inputs, settings)[name]
@@ -649,6 +662,7 @@ def triple_index_stream(spark, sf) -> DataFrame:
     """The triple index kept by the running service, from a loaded start."""
     target = work_dir(spark, "triple-stream")
     state.load_triples(_stale_triples(spark, sf), f"{target}/triplestore")
+    write_triples(views.triples(spark, sf), f"{target}/snapshot", 16)
     _run_service(spark, sf, "triplestore", target)
     return state.current_triples(spark, f"{target}/triplestore").select(*_INDEX)
 
@@ -658,6 +672,7 @@ def search_index_stream(spark, sf) -> DataFrame:
     """The search index kept by the running service, from a loaded start."""
     target = work_dir(spark, "search-stream")
     _load_stale_docs(spark, sf, target)
+    write_triples(views.triples(spark, sf), f"{target}/snapshot", 16)
     _run_service(spark, sf, "search", target, transforms=TRANSFORMS)
     return _doc_columns(state.current_docs(spark, f"{target}/search"))
 
@@ -725,31 +740,38 @@ def reindex_fanout(spark, sf) -> DataFrame:
 # --- fixity ---------------------------------------------------------------------------------
 
 
-def _fixity(spark, sf):
-    rows = views.view(spark, sf, "repo_binaries")
-    kinds = rows.select(
+def _binary_kinds(rows):
+    return rows.select(
         F.lit(vocab.RDF_TYPE).alias("predicate"),
         F.col("resource_type").alias("object"),
         F.col("uri").alias("doc"),
     )
-    content = fixity.only_binaries(rows.select("uri", F.col("text").alias("content")), kinds)
+
+
+def _fixity(spark, sf, **options):
+    rows = views.view(spark, sf, "repo_binaries")
+    checked = fixity.only_binaries(rows.select("uri"), _binary_kinds(rows))
     manifest = rows.filter("recorded").select(
         "uri",
         F.concat(F.lit("urn:sha-256:"), F.sha2("recorded_text", 256)).alias("digest"),
         F.col("n_chars").alias("size"),
     )
-    return fixity.verify_fixity(content, manifest, "sha-256", F.length("content"))
+    content = rows.select("uri", F.col("text").alias("content"))
+    return fixity.verify_fixity(
+        content, manifest, "sha-256", F.length("content"), only=checked, **options
+    )
 
 
 @query
 def only_binaries(spark, sf) -> DataFrame:
     rows = views.view(spark, sf, "repo_binaries")
-    kinds = rows.select(
-        F.lit(vocab.RDF_TYPE).alias("predicate"),
-        F.col("resource_type").alias("object"),
-        F.col("uri").alias("doc"),
-    )
-    return fixity.only_binaries(rows.select("uri", "n_chars"), kinds)
+    return fixity.only_binaries(rows.select("uri", "n_chars"), _binary_kinds(rows))
+
+
+@query
+def verify_fixity_late(spark, sf) -> DataFrame:
+    """The plan for lists of uris that are too long to be broadcast."""
+    return _fixity(spark, sf, small=0)
 
 
 @query

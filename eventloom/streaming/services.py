@@ -20,15 +20,16 @@ class Inputs:
     """What the services read.
 
     Streams: ``events``, ``hints``, ``checks`` (uris to verify), ``requests``. Current
-    snapshots, as functions so that every batch sees the latest: ``triples()``, ``edges()``,
-    ``binaries()`` (uri, content), ``manifest()`` (uri, digest, size).
+    snapshots, as functions so that every batch sees the latest: ``triples(uris)``, which may
+    leave out other documents (see ``sources.read_triples``), ``edges()``, ``binaries()``
+    (uri, content), ``manifest()`` (uri, digest, size).
     """
 
     events: DataFrame | None = None
     hints: DataFrame | None = None
     checks: DataFrame | None = None
     requests: DataFrame | None = None
-    triples: Callable[[], DataFrame] | None = None
+    triples: Callable[[DataFrame], DataFrame] | None = None
     edges: Callable[[], DataFrame] | None = None
     binaries: Callable[[], DataFrame] | None = None
     manifest: Callable[[], DataFrame] | None = None
@@ -107,14 +108,16 @@ def _report_missing(actions, triples, options, service, batch_id, writer):
 
 def triplestore_batch(inputs: Inputs, options: Options, writer: str):
     def run(batch: DataFrame, batch_id: int):
-        triplestore_step(*_parts(batch), inputs.triples(), options, batch_id, writer)
+        triples = inputs.triples(batch.select("uri").distinct())
+        triplestore_step(*_parts(batch), triples, options, batch_id, writer)
 
     return run
 
 
 def search_batch(inputs: Inputs, options: Options, writer: str):
     def run(batch: DataFrame, batch_id: int):
-        search_step(*_parts(batch), inputs.triples(), options, batch_id, writer)
+        triples = inputs.triples(batch.select("uri").distinct())
+        search_step(*_parts(batch), triples, options, batch_id, writer)
 
     return run
 
@@ -161,9 +164,8 @@ def forward_batch(inputs: Inputs, options: Options, writer: str):
 def fixity_batch(inputs: Inputs, options: Options, writer: str):
     def run(batch: DataFrame, batch_id: int):
         uris = batch.select("uri").distinct()
-        checked = fixity.only_binaries(uris, inputs.triples())
-        content = inputs.binaries().join(checked, "uri", "left_semi")
-        results = fixity.verify_fixity(content, inputs.manifest())
+        checked = fixity.only_binaries(uris, inputs.triples(uris))
+        results = fixity.verify_fixity(inputs.binaries(), inputs.manifest(), only=checked)
         folder = f"{options.target}/fixity/results/writer={writer}/batch={batch_id}"
         results.write.mode("overwrite").parquet(folder)
         delivery.fixity_sinks(

@@ -5,8 +5,10 @@ from eventloom.sources import (
     rdfxml_to_triples,
     read_ntriples,
     read_rdfxml,
+    read_triples,
     unreadable_ntriples,
     unreadable_rdfxml,
+    write_triples,
 )
 
 S = "http://h/foo"
@@ -153,3 +155,16 @@ def test_match_and_prefer(triples):
     assert tr.apply_prefer(rows, omit=omit).count() == 2
     assert tr.apply_prefer(rows, include=omit, omit=omit).count() == 3
     assert tr.apply_prefer(rows, omit=["urn:g"], groups={"urn:g": ["p"]}).count() == 2
+
+
+def test_snapshot_reads_only_touched_buckets(spark, triples, tmp_path):
+    rows = triples(*[(f"http://h/{n % 40}", "p", f"o{n}", "uri") for n in range(400)])
+    write_triples(rows, str(tmp_path), 8)
+    assert {tuple(r) for r in read_triples(spark, str(tmp_path)).collect()} == {
+        tuple(r) for r in rows.collect()
+    }
+    uris = spark.createDataFrame([("http://h/3",), ("http://h/3",)], "uri string")
+    part = read_triples(spark, str(tmp_path), uris, 8)
+    assert part.filter("doc = 'http://h/3'").count() == 10
+    assert part.count() < 400
+    assert "PartitionFilters: [isnotnull(bucket" in part._jdf.queryExecution().executedPlan().toString()

@@ -193,7 +193,7 @@ def test_services_over_many_batches_equal_one_batch(spark, triples, tmp_path):
         search_enabled=True, forward_enabled=True, forward_url=str(tmp_path / "sent"),
         transforms=TRANSFORMS,
     )
-    services = build_services(Inputs(events=live(), triples=lambda: snapshot), settings)
+    services = build_services(Inputs(events=live(), triples=lambda uris: snapshot), settings)
     assert set(services) == {"audit", "triplestore", "search", "forward"}
     for name, service in services.items():
         run(service, tmp_path / f"checkpoint-{name}")
@@ -226,7 +226,7 @@ def test_hints_apply_after_the_events_seen_before(spark, triples, tmp_path):
     inputs = Inputs(
         events=read_events(spark, str(tmp_path / "in"), True),
         hints=read_hints(spark, str(tmp_path / "hints"), True),
-        triples=lambda: triples(*SNAPSHOT),
+        triples=lambda uris: triples(*SNAPSHOT),
     )
     settings = options(str(tmp_path / "t"), triplestore_enabled=True)
     run(build_services(inputs, settings)["triplestore"], tmp_path / "checkpoint")
@@ -250,7 +250,7 @@ def test_reindexing_and_fixity_services(spark, triples, tmp_path):
     inputs = Inputs(
         checks=read_hints(spark, str(tmp_path / "checks"), True),
         requests=read_reindex_requests(spark, str(tmp_path / "requests"), True),
-        triples=lambda: kinds, edges=lambda: edges, binaries=lambda: content, manifest=lambda: manifest,
+        triples=lambda uris: kinds, edges=lambda: edges, binaries=lambda: content, manifest=lambda: manifest,
     )
     settings = Options(target=str(tmp_path / "t"), base_url=BASE, fixity_enabled=True)
     for name, service in build_services(inputs, settings).items():
