@@ -4,11 +4,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from eventloom import vocab
 from eventloom.functions import form_encode, triple_line, without_brackets
-from eventloom.operators.skew import with_part
+from eventloom.operators.skew import is_small, spread_join, with_part
 from eventloom.schemas import TRIPLE_KEY
 
 # Triples per statement text; a larger description is sent as several statements.
 STATEMENT_ROWS = 10_000
+# Predicates that may be broadcast.
+_SMALL = 10_000
 
 
 def rdf_set(triples: DataFrame) -> DataFrame:
@@ -129,7 +131,10 @@ def apply_prefer(triples: DataFrame, include=(), omit=(), groups=None) -> DataFr
         return triples
     if isinstance(groups, DataFrame):
         dropped = groups.filter(F.col("prefer_value").isin(sorted(wanted)))
-        return triples.join(dropped.select("predicate").distinct(), "predicate", "left_anti")
+        dropped = dropped.select("predicate").distinct()
+        if is_small(dropped, _SMALL):
+            return triples.join(F.broadcast(dropped), "predicate", "left_anti")
+        return spread_join(triples, dropped, "predicate", "left_anti")
     table = {**vocab.PREFER_GROUPS, **(groups or {})}
     unknown = wanted - set(table)
     if unknown:

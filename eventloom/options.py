@@ -31,6 +31,17 @@ _PROPERTIES = {
     r"audit\.event\.baseUri": "event_base_uri",
     r"fixity\.delay": "fixity_delay",
     r"http\.baseUrl": "forward_url",
+    r"http\.authUsername": "forward_username",
+    r"http\.authPassword": "forward_password",
+    r"triplestore\.baseUrl": "triplestore_url",
+    r"triplestore\.authUsername": "triplestore_username",
+    r"triplestore\.authPassword": "triplestore_password",
+    r"audit\.triplestore\.baseUrl": "audit_url",
+    r"audit\.triplestore\.authUsername": "audit_username",
+    r"audit\.triplestore\.authPassword": "audit_password",
+    r"solr\.baseUrl": "search_url",
+    r"solr\.username": "search_username",
+    r"solr\.password": "search_password",
     r"error\.maxRedeliveries": "max_redeliveries",
     r"\w+\.baseUrl": "base_url",
 }
@@ -64,13 +75,25 @@ class Options:
     event_base_uri: str = "http://example.com/event"
     fixity_delay: int = 0
     forward_url: str = ""
+    forward_username: str = ""
+    forward_password: str = ""
+    # Other systems to be told of changes as well; empty keeps to the tables under ``target``.
+    triplestore_url: str = ""
+    triplestore_username: str = ""
+    triplestore_password: str = ""
+    audit_url: str = ""
+    audit_username: str = ""
+    audit_password: str = ""
+    search_url: str = ""
+    search_username: str = ""
+    search_password: str = ""
     max_redeliveries: int = 10
     base_url: str = _LOCAL
 
     # Not properties: where the services read and write, and how they reach other systems.
     target: str = ""
     transforms: dict = field(default_factory=dict)
-    transport: object = None
+    transports: dict = field(default_factory=dict)
     on_success: object = None
     on_failure: object = None
     max_files_per_trigger: int | None = None

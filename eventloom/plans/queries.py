@@ -551,10 +551,16 @@ def _late_hints(spark, sf):
     return views.hints(spark, sf).withColumn("ts", F.lit(HINT_TIME).cast("timestamp"))
 
 
-def _stale_triples(spark, sf):
+def _snapshot(spark, sf, target):
+    """The descriptions as a stored snapshot, as the services read them."""
+    write_triples(views.triples(spark, sf), f"{target}/snapshot", 16)
+    return read_triples(spark, f"{target}/snapshot")
+
+
+def _load_stale_triples(snapshot, target):
     """What an index may hold before: old titles, all else as described."""
     old = F.when(F.col("predicate") == vocab.TITLE, "old title").otherwise(F.col("object"))
-    return views.triples(spark, sf).withColumn("object", old)
+    state.load_triples(snapshot.withColumn("object", old), f"{target}/triplestore")
 
 
 _INDEX = ("subject", "predicate", "object", "object_kind", "datatype")
@@ -573,8 +579,9 @@ def _settings(target, **options):
 
 def _updated_triple_index(spark, sf, target):
     """A loaded index after one batch of events and hints."""
-    state.load_triples(_stale_triples(spark, sf), f"{target}/triplestore")
-    inputs = views.events(spark, sf), _late_hints(spark, sf), views.triples(spark, sf)
+    snapshot = _snapshot(spark, sf, target)
+    _load_stale_triples(snapshot, target)
+    inputs = views.events(spark, sf), _late_hints(spark, sf), snapshot
     triplestore_step(*inputs, _settings(target))
     return f"{target}/triplestore"
 
@@ -585,8 +592,8 @@ def triple_index_state(spark, sf) -> DataFrame:
     return state.current_triples(spark, index).select(*_INDEX)
 
 
-def _load_stale_docs(spark, sf, target):
-    rows = tr.apply_prefer(views.triples(spark, sf), omit=[vocab.PREFER_CONTAINMENT])
+def _load_stale_docs(snapshot, target):
+    rows = tr.apply_prefer(snapshot, omit=[vocab.PREFER_CONTAINMENT])
     stale = search.default_search_doc(rows).withColumn("lastmodified", F.lit("long ago"))
     state.load_docs(stale, f"{target}/search")
 
@@ -595,8 +602,9 @@ def _load_stale_docs(spark, sf, target):
 def search_index_state(spark, sf) -> DataFrame:
     """A loaded search index after one batch of events and hints."""
     target = work_dir(spark, "search-index")
-    _load_stale_docs(spark, sf, target)
-    inputs = views.events(spark, sf), _late_hints(spark, sf), views.triples(spark, sf)
+    snapshot = _snapshot(spark, sf, target)
+    _load_stale_docs(snapshot, target)
+    inputs = views.events(spark, sf), _late_hints(spark, sf), snapshot
     search_step(*inputs, _settings(target, transforms=TRANSFORMS))
     return _doc_columns(state.current_docs(spark, f"{target}/search"))
 
@@ -605,7 +613,7 @@ def search_index_state(spark, sf) -> DataFrame:
 def missing_in_search(spark, sf) -> DataFrame:
     """Dead letters of the same batch: resources nobody describes."""
     target = work_dir(spark, "search-missing")
-    inputs = views.events(spark, sf), views.hints(spark, sf), views.triples(spark, sf)
+    inputs = views.events(spark, sf), views.hints(spark, sf), _snapshot(spark, sf, target)
     search_step(*inputs, _settings(target, transforms=TRANSFORMS))
     letters = delivery.read_dead_letters(spark, f"{target}/dead/search")
     return letters.select("payload", "service", "error")
@@ -661,8 +669,7 @@ def _run_service(spark, sf, name, target, hints=True, **options):
 def triple_index_stream(spark, sf) -> DataFrame:
     """The triple index kept by the running service, from a loaded start."""
     target = work_dir(spark, "triple-stream")
-    state.load_triples(_stale_triples(spark, sf), f"{target}/triplestore")
-    write_triples(views.triples(spark, sf), f"{target}/snapshot", 16)
+    _load_stale_triples(_snapshot(spark, sf, target), target)
     _run_service(spark, sf, "triplestore", target)
     return state.current_triples(spark, f"{target}/triplestore").select(*_INDEX)
 
@@ -671,8 +678,7 @@ def triple_index_stream(spark, sf) -> DataFrame:
 def search_index_stream(spark, sf) -> DataFrame:
     """The search index kept by the running service, from a loaded start."""
     target = work_dir(spark, "search-stream")
-    _load_stale_docs(spark, sf, target)
-    write_triples(views.triples(spark, sf), f"{target}/snapshot", 16)
+    _load_stale_docs(_snapshot(spark, sf, target), target)
     _run_service(spark, sf, "search", target, transforms=TRANSFORMS)
     return _doc_columns(state.current_docs(spark, f"{target}/search"))
 

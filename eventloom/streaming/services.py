@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from eventloom import vocab
+from eventloom.functions import form_encode
 from eventloom.operators import fixity, forwarding, hierarchy, routing, search
-from eventloom.operators.audit import unaudited_events
+from eventloom.operators.audit import audit_input, audit_insert_statement, unaudited_events
 from eventloom.operators.events import listed, merge_live_and_hints
 from eventloom.operators.triples import apply_prefer
 from eventloom.options import Options, enabled_services
@@ -51,8 +52,39 @@ def _parts(batch: DataFrame):
     )
 
 
+_FORM = "application/x-www-form-urlencoded; charset=utf-8"
+
+
+def _transport(options: Options, name: str, content_type: str, kind="", path=""):
+    """The transport given for a service, else one posting to its url, else none."""
+    given = options.transports.get(kind or name)
+    url = getattr(options, f"{name}_url")
+    if given is not None or not url.startswith("http"):
+        return given
+    username, password = (getattr(options, f"{name}_{x}") for x in ("username", "password"))
+    return delivery.HttpPost(url + path, username, password, content_type)
+
+
+def _send(messages, transport, options: Options, name: str, batch_id, writer):
+    """Deliver a batch's messages; outcome and dead letters go under the service's folder."""
+    delivery.forward(
+        messages,
+        f"{options.target}/sent/{name}",
+        transport,
+        None,
+        options.max_redeliveries,
+        batch_id=batch_id,
+        writer=writer,
+        service=name,
+    )
+
+
 def triplestore_step(events, hints, triples, options: Options, batch_id=0, writer="main"):
-    """Decide and apply one batch for the triple index; actions are worked out once."""
+    """Decide and apply one batch for the triple index; actions are worked out once.
+
+    Another triplestore, if configured, gets the batch as update statements: first those
+    that clear a resource, then the further parts of very large ones.
+    """
     actions = routing.triplestore_actions(
         events,
         hints,
@@ -60,22 +92,25 @@ def triplestore_step(events, hints, triples, options: Options, batch_id=0, write
         options.triplestore_require_indexable,
         options.triplestore_containers,
     ).persist()
-    state.maintain_triple_index(
-        actions,
-        triples,
-        f"{options.target}/triplestore",
-        options.named_graph,
-        listed(options.prefer_omit),
-        listed(options.prefer_include),
-        batch_id,
-        writer,
-    )
+    graph = options.named_graph
+    prefer = listed(options.prefer_omit), listed(options.prefer_include)
+    target = f"{options.target}/triplestore"
+    state.maintain_triple_index(actions, triples, target, graph, *prefer, batch_id, writer)
+    transport = _transport(options, "triplestore", _FORM)
+    if transport is not None:
+        messages = state.triple_messages(actions, triples, graph, *prefer)
+        for name, rows in (("first", F.col("part") == 0), ("rest", F.col("part") > 0)):
+            sent = messages.filter(rows)
+            _send(sent, transport, options, f"triplestore-{name}", batch_id, writer)
     _report_missing(actions, triples, options, "triplestore", batch_id, writer)
     actions.unpersist()
 
 
 def search_step(events, hints, triples, options: Options, batch_id=0, writer="main"):
-    """Decide and apply one batch for the search index; actions are worked out once."""
+    """Decide and apply one batch for the search index; actions are worked out once.
+
+    A search server, if configured, gets the batch as add and delete commands.
+    """
     if not options.include_containment:
         triples = apply_prefer(triples, omit=[vocab.PREFER_CONTAINMENT])
     actions = routing.search_actions(
@@ -92,6 +127,13 @@ def search_step(events, hints, triples, options: Options, batch_id=0, writer="ma
     updates = updates.distinct().persist()
     docs = search.apply_transforms(updates, triples, options.transforms)
     state.maintain_search_index(todo, docs, f"{options.target}/search", batch_id, writer)
+    path = f"/update?commitWithin={options.commit_within}"
+    kinds = (("search-add", "text/xml"), ("search-delete", "application/json"))
+    for place, (name, content_type) in enumerate(kinds):
+        transport = _transport(options, "search", content_type, name, path)
+        if transport is not None:
+            messages = state.doc_messages(todo, docs)[place]
+            _send(messages, transport, options, name, batch_id, writer)
     unknown = search.unknown_transforms(updates, options.transforms)
     folder = f"{options.target}/dead/search-transforms"
     delivery.write_dead_letters(unknown, folder, batch_id, writer)
@@ -132,6 +174,12 @@ def audit_batch(inputs: Inputs, options: Options, writer: str):
             batch_id,
             writer,
         )
+        transport = _transport(options, "audit", _FORM)
+        if transport is not None:
+            kept = audit_input(batch, options.audit_containers)
+            statements = audit_insert_statement(kept, options.event_base_uri)
+            messages = statements.select(form_encode("statement").alias("message"))
+            _send(messages, transport, options, "audit", batch_id, writer)
         letters = unaudited_events(batch)
         delivery.write_dead_letters(letters, f"{options.target}/dead/audit", batch_id, writer)
 
@@ -139,9 +187,7 @@ def audit_batch(inputs: Inputs, options: Options, writer: str):
 
 
 def forward_batch(inputs: Inputs, options: Options, writer: str):
-    transport = options.transport
-    if transport is None and options.forward_url.startswith("http"):
-        transport = delivery.HttpPost(options.forward_url)
+    transport = _transport(options, "forward", "application/json")
     endpoint = None if transport else options.forward_url or None
 
     def run(batch: DataFrame, batch_id: int):
@@ -214,6 +260,21 @@ def _stream_of(name: str, inputs: Inputs) -> DataFrame | None:
     return None if inputs.events is None else _live_input(inputs)
 
 
+def _redelivered(run, max_redeliveries: int):
+    """Run a batch again if it fails, as every batch may be repeated. One that keeps failing
+    stops the query rather than losing its rows; a restart takes it up again."""
+
+    def attempt(batch: DataFrame, batch_id: int):
+        for left in range(max_redeliveries, -1, -1):
+            try:
+                return run(batch, batch_id)
+            except Exception:
+                if not left:
+                    raise
+
+    return attempt
+
+
 def build_services(inputs: Inputs, options: Options) -> dict[str, Callable]:
     """Starters of the enabled services that have an input.
 
@@ -229,7 +290,9 @@ def build_services(inputs: Inputs, options: Options) -> dict[str, Callable]:
             query = (
                 stream.writeStream.queryName(f"{name}-{writer}")
                 .option("checkpointLocation", checkpoint)
-                .foreachBatch(_BATCHES[name](inputs, options, writer))
+                .foreachBatch(
+                    _redelivered(_BATCHES[name](inputs, options, writer), options.max_redeliveries)
+                )
             )
             if available_now:
                 query = query.trigger(availableNow=True)

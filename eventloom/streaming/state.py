@@ -3,10 +3,18 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from eventloom import schemas
+from eventloom.functions import form_encode
 from eventloom.operators.audit import audit_input, audit_triples
 from eventloom.operators.routing import DELETE, UPDATE
 from eventloom.operators.skew import hot_keys, salted, salted_copies, spread_join
-from eventloom.operators.triples import apply_prefer, in_named_graph, rdf_set
+from eventloom.operators.search import search_add_command, search_delete_command
+from eventloom.operators.triples import (
+    apply_prefer,
+    delete_statement,
+    in_named_graph,
+    rdf_set,
+    update_statement,
+)
 from eventloom.schemas import TRIPLE_KEY
 from eventloom.streaming import changelog
 
@@ -48,6 +56,32 @@ def _last_of_each(actions: DataFrame, batch_id: int) -> DataFrame:
 # --- triples --------------------------------------------------------------------------------
 
 
+def _effective(actions: DataFrame, triples: DataFrame, batch_id: int) -> DataFrame:
+    """Last update and last delete of each uri, without updates that find no description."""
+    described = triples.select(F.col("doc").alias("uri"), F.lit(True).alias("described"))
+    return _last_of_each(actions, batch_id).join(described.distinct(), "uri", "left").filter(
+        (F.col("action") == DELETE) | F.col("described")
+    )
+
+
+def triple_messages(
+    actions: DataFrame, triples: DataFrame, graph=None, omit=(), include=()
+) -> DataFrame:
+    """(part, message): form-post bodies that bring another triplestore up to date.
+
+    One update or delete statement per uri, from its last action; parts as in
+    ``update_statement``.
+    """
+    effective = _effective(actions, triples, 0)
+    last = effective.groupBy("uri").agg(F.max_by("action", "seq").alias("action"))
+    updates = last.filter(F.col("action") == UPDATE).select(F.col("uri").alias("doc"))
+    wanted = spread_join(apply_prefer(triples, include, omit), updates, "doc", "inner")
+    deletes = delete_statement(last.filter(F.col("action") == DELETE), graph=graph)
+    statements = update_statement(wanted, graph).select("part", "statement")
+    deletes = deletes.select(F.lit(0).alias("part"), "statement")
+    return statements.unionByName(deletes).select("part", form_encode("statement").alias("message"))
+
+
 def triple_changes(
     actions: DataFrame, triples: DataFrame, graph=None, omit=(), include=(), batch_id: int = 0
 ) -> DataFrame:
@@ -58,10 +92,7 @@ def triple_changes(
     the last purge and the last update decide, because the description is the current one.
     An update without a description does nothing.
     """
-    described = triples.select(F.col("doc").alias("uri"), F.lit(True).alias("described"))
-    known = _last_of_each(actions, batch_id).join(described.distinct(), "uri", "left").filter(
-        (F.col("action") == DELETE) | F.col("described")
-    )
+    known = _effective(actions, triples, batch_id)
     none = [F.lit(None).cast("string").alias(c) for c in TRIPLE_KEY[2:]]
     purges = known.select(
         F.lit("purge").alias("op"),
@@ -167,18 +198,25 @@ def doc_changes(actions: DataFrame, docs: DataFrame, batch_id: int = 0) -> DataF
     return removed.unionByName(put)
 
 
+def doc_messages(actions: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(add commands, delete commands), column ``message``: the last change of each id."""
+    last = _last_docs(doc_changes(actions, docs))
+    adds = search_add_command(last.filter(F.col("op") == "put"))
+    deletes = search_delete_command(last.filter(F.col("op") == "remove"), "id")
+    return tuple(c.select(F.col("command").alias("message")) for c in (adds, deletes))
+
+
+def _last_docs(changes: DataFrame) -> DataFrame:
+    """Last change of each id: (id, op, seq, fields)."""
+    rest = ["op", "seq", *schemas.SEARCH_DOC.fieldNames()[1:]]
+    order = F.struct(F.col("seq").isNotNull(), F.col("seq"), F.col("op"))
+    last = changes.groupBy("id").agg(F.max_by(F.struct(*rest), order).alias("_last"))
+    return last.select("id", *[F.col("_last")[c].alias(c) for c in rest])
+
+
 def fold_docs(changes: DataFrame) -> DataFrame:
     """Current documents: the last change of each id, unless it was a removal."""
-    fields = schemas.SEARCH_DOC.fieldNames()
-    last = changes.groupBy("id").agg(
-        F.max_by(
-            F.struct("op", "seq", *fields[1:]),
-            F.struct(F.col("seq").isNotNull(), F.col("seq"), F.col("op")),
-        ).alias("_last")
-    )
-    return last.filter(F.col("_last.op") == "put").select(
-        "id", *[F.col("_last")[c].alias(c) for c in fields[1:]], F.col("_last.seq").alias("seq")
-    )
+    return _last_docs(changes).filter(F.col("op") == "put").drop("op")
 
 
 def maintain_search_index(
@@ -227,3 +265,8 @@ def append_audit(
 def current_audit(spark: SparkSession, target: str) -> DataFrame:
     """All audit triples as a set: an event delivered twice adds nothing."""
     return rdf_set(changelog.read_changes(spark, target, AUDIT_CHANGE))
+
+
+def compact_audit(spark: SparkSession, target: str) -> None:
+    """Drop what was delivered more than once."""
+    changelog.rebase(spark, target, current_audit(spark, target))

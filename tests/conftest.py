@@ -15,6 +15,7 @@ BASE = "http://localhost:8080/rest"
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("8", app="tests")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     yield session
     session.stop()
 

@@ -24,12 +24,17 @@ def test_property_names():
             "solr.repo.defaultTransform": "own",
             "http.baseUrl": "http://localhost/in",
             "repo.baseUrl": "http://h/rest",
+            "solr.baseUrl": "http://search",
+            "triplestore.baseUrl": "http://store",
+            "audit.triplestore.authUsername": "me",
             "unheard.of": "1",
         }
     )
     assert enabled_services(options) == ["audit", "search"]
     assert (options.max_redeliveries, options.named_graph) == (3, "urn:g")
     assert not options.check_transformation and options.default_transform == "own"
+    assert (options.search_url, options.triplestore_url) == ("http://search", "http://store")
+    assert options.audit_username == "me"
     assert (options.forward_url, options.base_url) == ("http://localhost/in", "http://h/rest")
 
 
