@@ -71,21 +71,23 @@ def traverse(
     path = work_dir(spark, "walk")
     links = edges.select("parent", "child").filter(F.col("child").isNotNull()).distinct()
     links.write.parquet(f"{path}/edges")
-    links = spark.read.parquet(f"{path}/edges")
+    links = spark.read.schema("parent string, child string").parquet(f"{path}/edges")
     hot = hot_keys(links, "parent", hot_rows)
     keys = ["parent", "_salt"] if hot else ["parent"]
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     laid_out = salted(links, "parent", hot, salts).select(*keys, "child")
     laid_out = laid_out.repartition(partitions, *keys).persist(StorageLevel.DISK_ONLY)
 
+    reader = spark.read.schema("root string, uri string")
+
     def save(df, depth):
         df.select("root", "uri").write.parquet(f"{path}/nodes/depth={depth}")
-        return spark.read.parquet(f"{path}/nodes/depth={depth}")
+        return reader.parquet(f"{path}/nodes/depth={depth}")
 
     start = roots.select(F.col("uri").alias("root"), F.col("uri").alias("uri")).distinct()
     frontier, depth = save(start, 0), 0
     while (max_depth is None or depth < max_depth) and not frontier.isEmpty():
-        seen = spark.read.parquet(f"{path}/nodes").select("root", "uri")
+        seen = reader.parquet(f"{path}/nodes").select("root", "uri")
         parents = salted_copies(frontier.withColumnRenamed("uri", "parent"), "parent", hot, salts)
         found = laid_out.join(parents.select("root", *keys), keys)
         reached = found.select("root", F.col("child").alias("uri")).distinct()

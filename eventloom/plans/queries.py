@@ -640,8 +640,7 @@ def clear_graph(spark, sf) -> DataFrame:
 
 def _stream(spark, sf, name):
     """A sample table as a file stream."""
-    schema = views.table(spark, sf, name).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    reader = spark.readStream.schema(views.SCHEMAS[name]).option("pathGlobFilter", f"{name}.parquet")
     return reader.parquet(sf)
 
 
