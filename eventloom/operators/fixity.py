@@ -4,13 +4,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventloom import vocab
 from eventloom.functions import digest
-from eventloom.operators.skew import is_small, spread_join
+from eventloom.operators.skew import SMALL_ROWS, is_small, spread_join
 
 SUCCESS, FAILURE = "SUCCESS", "FAILURE"
 
-# Uris that may be broadcast to the tasks that read content.
-SMALL = 200_000
-
 
 def binary_uris(triples: DataFrame) -> DataFrame:
     is_binary = (F.col("predicate") == vocab.RDF_TYPE) & (F.col("object") == vocab.BINARY)
@@ -34,7 +31,7 @@ def verify_fixity(
     algorithm: str = "sha-256",
     size: Column | None = None,
     only: DataFrame | None = None,
-    small: int = SMALL,
+    small: int = SMALL_ROWS,
 ) -> DataFrame:
     """Digest and size of every binary against the recorded ones, one row per binary.
 

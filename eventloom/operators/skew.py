@@ -7,6 +7,8 @@ HOT_ROWS = 500_000
 # At most this many keys are treated as hot, which bounds what reaches the driver.
 HOT_KEYS = 1_000
 SALTS = 64
+# Rows of a few short columns that may be broadcast.
+SMALL_ROWS = 200_000
 
 # Keys a sketch keeps track of, and groups the sketches are merged in before the last merge.
 _TRACKED = 4_096
@@ -33,7 +35,7 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
     return [row["item"] for row in top.filter(F.col("count") >= hot_rows).collect()]
 
 
-def is_small(df: DataFrame, rows: int) -> bool:
+def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
     """Whether a frame has at most ``rows`` rows; stops looking beyond them."""
     return df.limit(rows + 1).count() <= rows
 

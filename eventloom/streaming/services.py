@@ -11,6 +11,7 @@ from eventloom.functions import form_encode
 from eventloom.operators import fixity, forwarding, hierarchy, routing, search
 from eventloom.operators.audit import audit_input, audit_insert_statement, unaudited_events
 from eventloom.operators.events import listed, merge_live_and_hints
+from eventloom.operators.skew import is_small
 from eventloom.operators.triples import apply_prefer
 from eventloom.options import Options, enabled_services
 from eventloom.streaming import delivery, state
@@ -52,6 +53,21 @@ def _parts(batch: DataFrame):
     )
 
 
+def _for_batch(triples: DataFrame, events: DataFrame, hints: DataFrame | None):
+    """(descriptions, whether they were kept for the batch).
+
+    For a batch of few uris their documents are picked in the scan by a broadcast list and
+    kept, so that the snapshot is read once and not shuffled. A large batch uses it whole.
+    """
+    uris = events.select("uri")
+    if hints is not None:
+        uris = uris.unionByName(hints.select("uri"))
+    uris = uris.distinct().withColumnRenamed("uri", "doc")
+    if not is_small(uris):
+        return triples, False
+    return triples.join(F.broadcast(uris), "doc", "left_semi").persist(), True
+
+
 _FORM = "application/x-www-form-urlencoded; charset=utf-8"
 
 
@@ -85,6 +101,7 @@ def triplestore_step(events, hints, triples, options: Options, batch_id=0, write
     Another triplestore, if configured, gets the batch as update statements: first those
     that clear a resource, then the further parts of very large ones.
     """
+    triples, kept = _for_batch(triples, events, hints)
     actions = routing.triplestore_actions(
         events,
         hints,
@@ -104,6 +121,8 @@ def triplestore_step(events, hints, triples, options: Options, batch_id=0, write
             _send(sent, transport, options, f"triplestore-{name}", batch_id, writer)
     _report_missing(actions, triples, options, "triplestore", batch_id, writer)
     actions.unpersist()
+    if kept:
+        triples.unpersist()
 
 
 def search_step(events, hints, triples, options: Options, batch_id=0, writer="main"):
@@ -113,6 +132,7 @@ def search_step(events, hints, triples, options: Options, batch_id=0, writer="ma
     """
     if not options.include_containment:
         triples = apply_prefer(triples, omit=[vocab.PREFER_CONTAINMENT])
+    triples, kept = _for_batch(triples, events, hints)
     actions = routing.search_actions(
         events,
         hints,
@@ -140,6 +160,8 @@ def search_step(events, hints, triples, options: Options, batch_id=0, writer="ma
     _report_missing(actions, triples, options, "search", batch_id, writer)
     updates.unpersist()
     actions.unpersist()
+    if kept:
+        triples.unpersist()
 
 
 def _report_missing(actions, triples, options, service, batch_id, writer):

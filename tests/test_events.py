@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import BASE
@@ -111,7 +112,9 @@ def test_exclusion_respects_path_steps(events, spark):
     assert ev.exclude_containers(rows, "").count() == len(URIS)
 
 
-def test_exclusion_by_table_equals_the_pairwise_rule(events, spark):
+@pytest.mark.parametrize("small", [True, False])
+def test_exclusion_by_table_equals_the_pairwise_rule(events, spark, monkeypatch, small):
+    monkeypatch.setattr(ev, "is_small", lambda df: small)
     names = ["a", "a/b", "a/b/c", "ab", "a//b", "b/a", "a/", "", "/a"]
     uris = [f"http://h/{x}" for x in names]
     containers = ["http://h/a", "http://h/a/", "http://h/b/a", "http://h/a/b"]

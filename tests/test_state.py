@@ -16,7 +16,7 @@ from eventloom.operators import events as ev
 from eventloom.options import Options
 from eventloom.plans.queries import TRANSFORMS
 from eventloom.sources import read_events, read_hints, read_reindex_requests
-from eventloom.streaming import delivery, state
+from eventloom.streaming import delivery, services, state
 from eventloom.streaming.services import Inputs, build_services, search_step, triplestore_step
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -93,7 +93,8 @@ def stored(spark, target):
 
 
 @pytest.mark.parametrize("seed", range(2))
-def test_triple_index_equals_the_simulation(spark, events, triples, tmp_path, seed):
+def test_triple_index_equals_the_simulation(spark, events, triples, tmp_path, seed, monkeypatch):
+    monkeypatch.setattr(services, "is_small", lambda df: seed == 0)
     rows, snapshot = random_events(seed), triples(*SNAPSHOT)
     start = [(URIS[0], "urn:p", "old"), ("urn:other", "urn:p", "kept")]
     state.load_triples(triples(*[(*t, "literal") for t in start]), f"{tmp_path}/triplestore")
@@ -236,11 +237,11 @@ def test_services_over_many_batches_equal_one_batch(spark, triples, tmp_path):
         search_enabled=True, forward_enabled=True, forward_url=str(tmp_path / "sent"),
         transforms=TRANSFORMS,
     )
-    services = build_services(Inputs(events=live(), triples=lambda uris: snapshot), settings)
-    assert set(services) == {"audit", "triplestore", "search", "forward"}
-    for name, service in services.items():
+    built = build_services(Inputs(events=live(), triples=lambda uris: snapshot), settings)
+    assert set(built) == {"audit", "triplestore", "search", "forward"}
+    for name, service in built.items():
         run(service, tmp_path / f"checkpoint-{name}")
-    run(services["audit"], tmp_path / "checkpoint-audit")  # restart: nothing left to do
+    run(built["audit"], tmp_path / "checkpoint-audit")  # restart: nothing left to do
     everything = read_events(spark, str(tmp_path / "in"))
     once = options(str(tmp_path / "batch"))
     triplestore_step(everything, None, snapshot, once)
