@@ -1,3 +1,5 @@
+import pytest
+
 from eventloom import vocab
 from eventloom.operators import triples as tr
 from eventloom.sources import (
@@ -157,6 +159,20 @@ def test_match_and_prefer(triples):
     assert tr.apply_prefer(rows, omit=["urn:g"], groups={"urn:g": ["p"]}).count() == 2
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_prefer_groups_from_a_table(spark, triples, monkeypatch, small):
+    monkeypatch.setattr(tr, "is_small", lambda df, rows: small)
+    rows = triples((S, "p", "o", "uri"), (S, "q", "o", "uri"), (S, "r", "o", "uri"))
+    table = spark.createDataFrame(
+        [("urn:g", "p"), ("urn:g", "q"), ("urn:other", "r"), ("urn:g", "p")],
+        "prefer_value string, predicate string",
+    )
+    kept = tr.apply_prefer(rows, omit=["urn:g"], groups=table)
+    assert [r.predicate for r in kept.collect()] == ["r"]
+    with pytest.raises(ValueError):
+        tr.apply_prefer(rows, omit=["urn:unknown"])
+
+
 def test_snapshot_reads_only_touched_buckets(spark, triples, tmp_path):
     rows = triples(*[(f"http://h/{n % 40}", "p", f"o{n}", "uri") for n in range(400)])
     write_triples(rows, str(tmp_path), 8)
