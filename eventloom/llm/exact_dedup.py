@@ -33,7 +33,10 @@ def frequent_digests(digests: DataFrame) -> DataFrame:
     sketches = part.groupBy("m").agg(
         F.expr(f"approx_top_k_accumulate(text_sha256, {TRACKED})").alias("s")
     )
-    merged = sketches.agg(F.expr(f"approx_top_k_combine(s, {TRACKED})").alias("s"))
+    # Grouped by a constant, as a task without rows would hand on a sketch without a type.
+    merged = sketches.groupBy(F.lit("all")).agg(
+        F.expr(f"approx_top_k_combine(s, {TRACKED})").alias("s")
+    )
     top = merged.select(F.inline(F.expr(f"approx_top_k_estimate(s, {FREQUENT})")))
     return top.where("item is not null and count > 1").select(F.col("item").alias("text_sha256"))
 
