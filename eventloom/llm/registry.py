@@ -1,9 +1,10 @@
 """Queries of this subpackage and the SQL that checks them."""
 
-from eventloom.llm import exact_dedup
+from eventloom.llm import exact_dedup, simhash
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op8_simhash": simhash.op8_simhash,
 }
 CHECKS = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
