@@ -1,10 +1,11 @@
 """Queries of this subpackage and the SQL that checks them."""
 
-from eventloom.llm import exact_dedup, simhash
+from eventloom.llm import exact_dedup, quality, simhash
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op8_simhash": simhash.op8_simhash,
+    "op10_quality": quality.op10_quality,
 }
 CHECKS = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
