@@ -1,9 +1,10 @@
 """Queries of this subpackage and the SQL that checks them."""
 
-from eventloom.llm import embedding_dedup, exact_dedup, lattice_lm, license_scan, quality, simhash
+from eventloom.llm import embedding_dedup, exact_dedup, lattice_lm, license_scan, packing, quality, simhash
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op4_nnls_packing": packing.op4_nnls_packing,
     "op5_embedding_dedup": embedding_dedup.op5_embedding_dedup,
     "op6_license_scan": license_scan.op6_license_scan,
     "op7_lattice_lm": lattice_lm.op7_lattice_lm,
