@@ -1,10 +1,11 @@
 """Queries of this subpackage and the SQL that checks them."""
 
-from eventloom.llm import embedding_dedup, exact_dedup, lattice_lm, license_scan, mixing, packing, quality, simhash
+from eventloom.llm import embedding_dedup, exact_dedup, lattice_lm, license_scan, line_dedup, mixing, packing, quality, simhash
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_cube_mixing": mixing.op2_cube_mixing,
+    "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_nnls_packing": packing.op4_nnls_packing,
     "op5_embedding_dedup": embedding_dedup.op5_embedding_dedup,
     "op6_license_scan": license_scan.op6_license_scan,
