@@ -1,6 +1,17 @@
 """Queries of this subpackage and the SQL that checks them."""
 
-from eventloom.llm import embedding_dedup, exact_dedup, lattice_lm, license_scan, line_dedup, mixing, packing, quality, simhash
+from eventloom.llm import (
+    embedding_dedup,
+    exact_dedup,
+    html_text,
+    lattice_lm,
+    license_scan,
+    line_dedup,
+    mixing,
+    packing,
+    quality,
+    simhash,
+)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -11,6 +22,7 @@ QUERIES = {
     "op6_license_scan": license_scan.op6_license_scan,
     "op7_lattice_lm": lattice_lm.op7_lattice_lm,
     "op8_simhash": simhash.op8_simhash,
+    "op9_html_wrappers": html_text.op9_html_wrappers,
     "op10_quality": quality.op10_quality,
 }
 CHECKS = {
