@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from eventloom import vocab
 from eventloom.functions import as_col, blank_to, has_any, path_prefixes, strip, under
-from eventloom.operators.skew import is_small, spread_join
 
 
 def canonicalise(df: DataFrame) -> DataFrame:
@@ -59,13 +58,9 @@ def _exclude_by_table(df: DataFrame, containers: DataFrame, uri: str) -> DataFra
         .distinct()
         .select(uri, F.explode_outer(path_prefixes(F.col(uri))).alias("_prefix"))
     )
-    # The upper prefixes are shared by all uris, so the join must not gather rows by prefix.
-    wanted = wanted.distinct()
-    if is_small(wanted):
-        found = prefixes.join(F.broadcast(wanted), "_prefix", "left_semi")
-    else:
-        found = spread_join(prefixes, wanted, "_prefix", "left_semi")
-    return spread_join(df, found.select(uri).distinct(), uri, "left_anti")
+    # The upper prefixes are shared by all uris: adaptive execution splits them in the join.
+    found = prefixes.join(wanted.distinct(), "_prefix", "left_semi")
+    return df.join(found.select(uri).distinct(), uri, "left_anti")
 
 
 def indexable_by_event(df: DataFrame) -> DataFrame:

@@ -1,12 +1,20 @@
 """Content checks: recompute digests and compare them with the record."""
 
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventloom import vocab
 from eventloom.functions import digest
-from eventloom.operators.skew import SMALL_ROWS, is_small, spread_join
 
 SUCCESS, FAILURE = "SUCCESS", "FAILURE"
+RESULT = (
+    "uri string, algorithm string, expected_digest string, actual_digest string, "
+    "expected_size long, actual_size long, outcome string"
+)
+#: Bytes read at a time.
+CHUNK = 4 << 20
 
 
 def binary_uris(triples: DataFrame) -> DataFrame:
@@ -16,7 +24,7 @@ def binary_uris(triples: DataFrame) -> DataFrame:
 
 def only_binaries(df: DataFrame, triples: DataFrame) -> DataFrame:
     """Keep rows whose description has a binary in it."""
-    return spread_join(df, binary_uris(triples), "uri", "left_semi")
+    return df.join(binary_uris(triples), "uri", "left_semi")
 
 
 def read_binaries(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -25,32 +33,71 @@ def read_binaries(spark: SparkSession, path: str, **options) -> DataFrame:
     return files.select(F.col("path").alias("uri"), "content")
 
 
+def digest_files(files: DataFrame, algorithm: str = "sha-256") -> DataFrame:
+    """(uri, actual_digest, actual_size) of files, ``files`` being (uri, path).
+
+    Each file is opened by the task that has its row and read in chunks, so its size does not
+    matter, and only files that are asked for are opened. A file that cannot be read has no
+    digest and so fails its check without failing the batch.
+    """
+    name = algorithm.replace("-", "").lower()
+
+    def run(batches):
+        from pyarrow import fs
+
+        for batch in batches:
+            digests, sizes = [], []
+            for path in batch.column("path").to_pylist():
+                summed, size = hashlib.new(name), 0
+                try:
+                    store, place = fs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
+                    with store.open_input_stream(place) as file:
+                        while chunk := file.read(CHUNK):
+                            summed.update(chunk)
+                            size += len(chunk)
+                    digests.append(summed.hexdigest())
+                    sizes.append(size)
+                except (OSError, pa.ArrowInvalid):
+                    digests.append(None)
+                    sizes.append(None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("uri"), pa.array(digests, pa.string()), pa.array(sizes, pa.int64())],
+                names=["uri", "actual_digest", "actual_size"],
+            )
+
+    schema = "uri string, actual_digest string, actual_size long"
+    return files.select("uri", "path").mapInArrow(run, schema)
+
+
 def verify_fixity(
     binaries: DataFrame,
     manifest: DataFrame,
     algorithm: str = "sha-256",
     size: Column | None = None,
     only: DataFrame | None = None,
-    small: int = SMALL_ROWS,
+    late: bool = False,
 ) -> DataFrame:
     """Digest and size of every binary against the recorded ones, one row per binary.
 
-    ``binaries`` is (uri, content), ``manifest`` (uri, digest as ``urn:<algorithm>:<hex>``,
+    ``binaries`` is (uri, content) or (uri, path), ``manifest`` (uri, digest as ``urn:<algorithm>:<hex>``,
     size). Success needs equal digest and size; a binary without a record is a failure.
     ``size`` replaces the byte length where the content column is not the stored bytes.
 
-    Content is never shuffled, only digests are. ``only`` (uri, each once) restricts the check:
-    up to ``small`` uris are broadcast to the scan, so that nothing else is digested; a longer
-    list is joined after digesting.
+    ``only`` (uri, each once) restricts the check, by choice before or (``late``) after
+    digesting: after it only digests are shuffled, before it nothing else is digested. Where
+    content lies in files, ``digest_files`` reads just those asked for and needs neither.
     """
-    early = only is not None and is_small(only, small)
+    early = only is not None and not late
     if early:
-        binaries = binaries.join(F.broadcast(only.select("uri")), "uri", "left_semi")
-    actual = binaries.select(
-        "uri",
-        digest("content", algorithm).alias("actual_digest"),
-        (F.octet_length("content") if size is None else size).cast("long").alias("actual_size"),
-    )
+        binaries = binaries.join(only.select("uri"), "uri", "left_semi")
+    if "path" in binaries.columns:
+        actual = digest_files(binaries, algorithm)
+    else:
+        actual = binaries.select(
+            "uri",
+            digest("content", algorithm).alias("actual_digest"),
+            (F.octet_length("content") if size is None else size).cast("long").alias("actual_size"),
+        )
     if only is not None and not early:
         actual = actual.join(only.select("uri"), "uri", "left_semi")
     urn = F.split("digest", ":", 3)

@@ -1,12 +1,10 @@
 """Re-index requests and the walk over the containment hierarchy."""
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from eventloom import vocab
 from eventloom.functions import is_blank, strip
 from eventloom.operators.events import resource_uri
-from eventloom.operators.skew import HOT_ROWS, SALTS, hot_keys, salted, salted_copies, spread_join
 from eventloom.session import work_dir
 
 
@@ -21,13 +19,20 @@ def merge_recipients(requests: DataFrame) -> DataFrame:
     Adds ``recipients`` (list) and ``recipients_text`` (joined with commas).
     """
     header = F.transform(F.split(F.coalesce("recipients_header", F.lit("")), ","), strip)
-    elements = F.when(
-        _json_body(),
-        F.coalesce(
-            F.from_json("body", "array<string>"),
-            F.map_values(F.from_json("body", "map<string,string>")),
-        ),
+    body = F.try_parse_json("body")
+    # Elements of a list, values of an object (of a repeated name the last); what is nested
+    # has no text of its own.
+    entries = F.coalesce(
+        F.try_variant_get(body, "$", "array<variant>"),
+        F.map_values(F.try_variant_get(body, "$", "map<string,variant>")),
     )
+
+    def text(entry):
+        kind = F.schema_of_variant(entry)
+        nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+        return F.when(~nested, F.try_variant_get(entry, "$", "string"))
+
+    elements = F.when(_json_body(), F.transform(entries, text))
     none = F.array().cast("array<string>")
     merged = F.array_union(header, F.coalesce(elements, none))
     named = F.filter(merged, lambda r: r.isNotNull() & ~is_blank(r))
@@ -52,32 +57,19 @@ def admit_requests(requests: DataFrame, base_url: str) -> DataFrame:
     )
 
 
-def traverse(
-    edges: DataFrame,
-    roots: DataFrame,
-    max_depth: int | None = None,
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
+def traverse(edges, roots: DataFrame, max_depth: int | None = None) -> DataFrame:
     """(root, uri, depth): the roots and all that is contained in them, each node once.
 
-    Level by level. ``edges`` is (parent, child), ``roots`` is (uri). Each level is written
-    to the shared work folder, which cuts the lineage and outlives executors; the driver sees
-    only whether a level has rows. Edges are laid out by parent once and kept on disk, with
-    the members of very large containers spread over ``salts`` partitions, so a level moves
-    only its own nodes. Cycles end at nodes already seen.
+    Level by level. ``roots`` is (uri); ``edges`` is (parent, child), or a function that gives
+    the edges of asked-for parents (see ``sources.read_edges``): then a level reads only the
+    buckets its nodes can be in. Edges are used as they lie, neither copied nor laid out anew;
+    a level's distinct nodes meet them once, however many roots they were reached from, and a
+    small level is broadcast to them by adaptive execution. Each level is written to the shared
+    work folder, which cuts the lineage and outlives executors; the driver sees only whether a
+    level has rows. Cycles end at nodes already seen.
     """
-    spark = edges.sparkSession
+    spark = roots.sparkSession
     path = work_dir(spark, "walk")
-    links = edges.select("parent", "child").filter(F.col("child").isNotNull()).distinct()
-    links.write.parquet(f"{path}/edges")
-    links = spark.read.schema("parent string, child string").parquet(f"{path}/edges")
-    hot = hot_keys(links, "parent", hot_rows)
-    keys = ["parent", "_salt"] if hot else ["parent"]
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid_out = salted(links, "parent", hot, salts).select(*keys, "child")
-    laid_out = laid_out.repartition(partitions, *keys).persist(StorageLevel.DISK_ONLY)
-
     reader = spark.read.schema("root string, uri string")
 
     def save(df, depth):
@@ -88,12 +80,14 @@ def traverse(
     frontier, depth = save(start, 0), 0
     while (max_depth is None or depth < max_depth) and not frontier.isEmpty():
         seen = reader.parquet(f"{path}/nodes").select("root", "uri")
-        parents = salted_copies(frontier.withColumnRenamed("uri", "parent"), "parent", hot, salts)
-        found = laid_out.join(parents.select("root", *keys), keys)
+        nodes = frontier.select(F.col("uri").alias("parent")).distinct()
+        links = edges(nodes) if callable(edges) else edges
+        links = links.select("parent", "child").filter(F.col("child").isNotNull())
+        met = links.join(nodes, "parent").distinct()
+        found = met.join(frontier.withColumnRenamed("uri", "parent"), "parent")
         reached = found.select("root", F.col("child").alias("uri")).distinct()
         depth += 1
         frontier = save(reached.join(seen, ["root", "uri"], "left_anti"), depth)
-    laid_out.unpersist()
     nodes = spark.read.schema("root string, uri string, depth int")
     return nodes.parquet(f"{path}/nodes")
 
@@ -106,7 +100,7 @@ def fan_out(hints: DataFrame) -> DataFrame:
     ).filter(~is_blank("recipient"))
 
 
-def reindex(requests: DataFrame, edges: DataFrame, base_url: str, **walk) -> DataFrame:
+def reindex(requests: DataFrame, edges, base_url: str, **walk) -> DataFrame:
     """(request_id, uri, recipient, depth) for every node under every admitted request."""
     admitted = (
         admit_requests(requests, base_url)
@@ -114,6 +108,6 @@ def reindex(requests: DataFrame, edges: DataFrame, base_url: str, **walk) -> Dat
         .select("request_id", F.col("uri").alias("root"), "recipients")
     )
     nodes = traverse(edges, admitted.select(F.col("root").alias("uri")), **walk)
-    return fan_out(spread_join(nodes, admitted, "root", "inner")).select(
+    return fan_out(nodes.join(admitted, "root")).select(
         "request_id", "uri", "recipient", "depth"
     )

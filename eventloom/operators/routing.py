@@ -5,7 +5,6 @@ from pyspark.sql import DataFrame, functions as F
 from eventloom import vocab
 from eventloom.functions import blank_to, has_any
 from eventloom.operators.events import exclude_containers, merge_live_and_hints, split_deletes
-from eventloom.operators.skew import spread_join
 
 UPDATE, DELETE, MISSING = "update", "delete", "missing"
 
@@ -25,7 +24,7 @@ def indexable_uris(triples: DataFrame) -> DataFrame:
 
 def indexable_by_rdf(df: DataFrame, triples: DataFrame) -> DataFrame:
     """Keep rows whose description marks the resource as indexable."""
-    return spread_join(df, indexable_uris(triples), "uri", "left_semi")
+    return df.join(indexable_uris(triples), "uri", "left_semi")
 
 
 def first_transformation():
@@ -103,7 +102,7 @@ def triplestore_actions(
     facts = triples.groupBy(F.col("doc").alias("uri")).agg(
         F.max(_type_is(vocab.INDEXABLE)).alias("rdf_indexable")
     )
-    decided = spread_join(others, facts, "uri").select(
+    decided = others.join(facts, "uri", "left").select(
         *_IDENTITY,
         F.when(F.col("rdf_indexable").isNull(), MISSING)
         .when(F.col("rdf_indexable"), UPDATE)
@@ -144,7 +143,7 @@ def search_actions(
         "from_hint",
         has_any("resource_types", [vocab.INDEXABLE]).alias("event_indexable"),
     )
-    joined = spread_join(others, resource_facts(triples), "uri")
+    joined = others.join(resource_facts(triples), "uri", "left")
     wanted = (
         F.when(F.col("from_hint"), F.col("rdf_indexable")).otherwise(F.col("event_indexable"))
         if require_indexable
@@ -159,17 +158,22 @@ def search_actions(
     return deleted.unionByName(decided)
 
 
-def sequence():
-    """Order of actions on one uri: event time, then event id. Undated actions come first."""
-    return F.struct(F.col("ts").alias("ts"), F.col("event_id").alias("event_id"))
+def sequence(arrival=None):
+    """Order of actions on one uri: event time, then event id.
+
+    An undated action counts from ``arrival`` (a time), as it would in a queue; without one it
+    comes first.
+    """
+    ts = F.col("ts") if arrival is None else F.coalesce(F.col("ts"), F.lit(arrival).cast("timestamp"))
+    return F.struct(ts.alias("ts"), F.col("event_id").alias("event_id"))
 
 
-def latest_per_uri(actions: DataFrame) -> DataFrame:
+def latest_per_uri(actions: DataFrame, arrival=None) -> DataFrame:
     """The last action of each uri; combined map-side, so a busy uri costs no more."""
     rest = [c for c in actions.columns if c != "uri"]
     return (
         actions.groupBy("uri")
-        .agg(F.max_by(F.struct(*rest), sequence()).alias("_last"))
+        .agg(F.max_by(F.struct(*rest), sequence(arrival)).alias("_last"))
         .select("uri", *[F.col("_last")[c].alias(c) for c in rest])
     )
 
@@ -178,10 +182,10 @@ def enrich_with_resource(actions: DataFrame, triples: DataFrame) -> DataFrame:
     """Current description of each acted-on uri: the triples of its document.
 
     ``actions`` holds a uri once (see ``latest_per_uri``). The triple side is the large one
-    and may be dominated by one document, hence the spread join.
+    and may be dominated by one document, which adaptive execution splits.
     """
     wanted = actions.withColumnRenamed("uri", "doc")
-    return spread_join(triples, wanted, "doc", "inner").withColumn("uri", F.col("doc"))
+    return triples.join(wanted, "doc", "inner").withColumn("uri", F.col("doc"))
 
 
 def missing_resources(actions: DataFrame, triples: DataFrame, service: str) -> DataFrame:

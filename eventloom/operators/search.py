@@ -2,11 +2,10 @@
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from eventloom import vocab
 from eventloom.functions import escape_xml
-from eventloom.operators.skew import spread_join
 
 DEFAULT_TRANSFORM = "default"
 Transform = Callable[[DataFrame], DataFrame]
@@ -72,25 +71,36 @@ def search_delete_command(df: DataFrame, uri: str = "uri") -> DataFrame:
 def apply_transforms(
     updates: DataFrame,
     triples: DataFrame,
-    registry: Mapping[str, Transform] | None = None,
+    registry: Mapping[str, Transform | Mapping[str, Column]] | None = None,
 ) -> DataFrame:
     """Build each resource's search document with the transform it names.
 
-    ``updates`` is (uri, transformation), a uri once. ``registry`` maps a name to a function
-    from triples to documents with the columns of ``default_search_doc``; the default is
-    always there. One filtered branch per registered name that is in use by configuration.
+    ``updates`` is (uri, transformation), a uri once. ``registry`` maps a name to what changes
+    in the default document, as columns by name, or to a function from triples to documents
+    with the columns of ``default_search_doc``; the default is always there. All transforms of
+    the first kind share one join and one aggregate; a function has a branch of its own.
     """
-    registry = {DEFAULT_TRANSFORM: default_search_doc, **(registry or {})}
-    wanted = updates.select(F.col("uri").alias("doc"), "transformation").filter(
-        F.col("transformation").isin(sorted(registry))
+    registry = {DEFAULT_TRANSFORM: {}, **(registry or {})}
+    wanted = updates.select(F.col("uri").alias("doc"), "transformation")
+    columns = {n: c for n, c in registry.items() if not callable(c)}
+    named = wanted.filter(F.col("transformation").isin(sorted(columns)))
+    result = default_search_doc(triples.join(named.select("doc"), "doc", "left_semi"))
+    result = result.join(named, "doc")
+    for field in ("id", "rdftype", "contains", "lastmodified", "created"):
+        value = F.col(field)
+        for name, changes in columns.items():
+            if field in changes:
+                value = F.when(F.col("transformation") == name, changes[field]).otherwise(value)
+        result = result.withColumn(field, value)
+    result = result.select(
+        "doc", "id", "rdftype", "contains", "lastmodified", "created", "transformation"
     )
-    chosen = spread_join(triples, wanted, "doc", "inner")
-    result = None
     for name, build in registry.items():
-        part = build(chosen.filter(F.col("transformation") == name).drop("transformation"))
-        part = part.select("doc", "id", "rdftype", "contains", "lastmodified", "created")
-        part = part.withColumn("transformation", F.lit(name))
-        result = part if result is None else result.unionByName(part)
+        if callable(build):
+            own = wanted.filter(F.col("transformation") == name).select("doc")
+            part = build(triples.join(own, "doc", "left_semi"))
+            part = part.select("doc", "id", "rdftype", "contains", "lastmodified", "created")
+            result = result.unionByName(part.withColumn("transformation", F.lit(name)))
     return result
 
 

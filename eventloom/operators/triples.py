@@ -4,13 +4,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from eventloom import vocab
 from eventloom.functions import form_encode, triple_line, without_brackets
-from eventloom.operators.skew import is_small, spread_join, with_part
+from eventloom.operators.parts import with_part
 from eventloom.schemas import TRIPLE_KEY
 
-# Triples per statement text; a larger description is sent as several statements.
+# Lines of a part of a text, on average; every text follows the same rule, whatever its size.
 STATEMENT_ROWS = 10_000
-# Predicates that may be broadcast.
-_SMALL = 10_000
 
 
 def rdf_set(triples: DataFrame) -> DataFrame:
@@ -32,11 +30,11 @@ def collect_graph(
 ) -> DataFrame:
     """Text of each group's triples in line order: (key, part, parts, text).
 
-    Groups of up to ``max_rows`` rows are one text; larger ones several parts that together
-    hold every distinct triple exactly once (equal lines share a part).
+    The parts of a group together hold every distinct triple exactly once; ``parts`` is how
+    many the group was dealt over.
     """
     lines = triples.select(F.col(key), line_column().alias("line"))
-    dealt = with_part(lines, key, max_rows)
+    dealt = with_part(lines, key, "line", max_rows)
     return dealt.groupBy(key, "part", "parts").agg(
         F.array_join(F.array_sort(F.collect_set("line")), "\n").alias("text")
     )
@@ -69,21 +67,15 @@ def update_statement(
 ) -> DataFrame:
     """(uri, part, parts, statement): clear the resource, then insert its description.
 
-    One statement per resource, part 0. A description of more than ``max_rows`` triples is
-    cleared by part 0 and inserted by the parts after it.
+    Part 0 clears the resource and inserts its lines, further parts insert theirs. They belong
+    together: send them in order, and none after one that failed (see ``delivery.with_retry``).
     """
     inserts = insert_statement(triples, "doc", graph, max_rows).withColumnRenamed("doc", "uri")
-    clear = delete_pattern("uri", graph)
-    whole = F.col("parts") == 1
-    clears = inserts.filter(~whole).select("uri", "parts").distinct()
-    return inserts.select(
-        "uri",
-        F.when(whole, 0).otherwise(F.col("part") + 1).alias("part"),
-        "parts",
-        F.when(whole, F.concat(clear, F.lit(";\n"), F.col("statement")))
-        .otherwise(F.col("statement"))
-        .alias("statement"),
-    ).unionByName(clears.select("uri", F.lit(0).alias("part"), "parts", clear.alias("statement")))
+    clear = F.concat(delete_pattern("uri", graph), F.lit(";\n"))
+    return inserts.withColumn(
+        "statement",
+        F.concat(F.when(F.col("part") == 0, clear).otherwise(""), F.col("statement")),
+    )
 
 
 def delete_statement(df: DataFrame, uri: str = "uri", graph=None) -> DataFrame:
@@ -131,10 +123,7 @@ def apply_prefer(triples: DataFrame, include=(), omit=(), groups=None) -> DataFr
         return triples
     if isinstance(groups, DataFrame):
         dropped = groups.filter(F.col("prefer_value").isin(sorted(wanted)))
-        dropped = dropped.select("predicate").distinct()
-        if is_small(dropped, _SMALL):
-            return triples.join(F.broadcast(dropped), "predicate", "left_anti")
-        return spread_join(triples, dropped, "predicate", "left_anti")
+        return triples.join(dropped.select("predicate").distinct(), "predicate", "left_anti")
     table = {**vocab.PREFER_GROUPS, **(groups or {})}
     unknown = wanted - set(table)
     if unknown:

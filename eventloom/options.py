@@ -1,49 +1,50 @@
 """Options of the services, with their defaults and their property names."""
 
-import re
 from dataclasses import dataclass, field, fields
 
 from eventloom import vocab
 
 _LOCAL = "http://localhost:8080/rest"
 
-# --- fixed values: property name (as a pattern) -> option ---
+# Property name -> option; names are matched as they are.
 _PROPERTIES = {
-    r"audit\.enabled": "audit_enabled",
-    r"solr\.indexing\.enabled": "search_enabled",
-    r"triplestore\.indexing\.enabled": "triplestore_enabled",
-    r"fixity\.enabled": "fixity_enabled",
-    r"http\.enabled": "forward_enabled",
-    r"reindexing\.enabled": "reindexing_enabled",
-    r"audit\.filter\.containers": "audit_containers",
-    r"solr\.filter\.containers": "search_containers",
-    r"triplestore\.filter\.containers": "triplestore_containers",
-    r"http\.filter\.containers": "forward_containers",
-    r"solr\.indexing\.predicate": "search_require_indexable",
-    r"triplestore\.indexing\.predicate": "triplestore_require_indexable",
-    r"solr\.(\w+\.)?checkHasIndexingTransformation": "check_transformation",
-    r"solr\.(\w+\.)?defaultTransform": "default_transform",
-    r"solr\.commitWithin": "commit_within",
-    r"solr\.include\.containment": "include_containment",
-    r"triplestore\.prefer\.include": "prefer_include",
-    r"triplestore\.prefer\.omit": "prefer_omit",
-    r"triplestore\.namedGraph": "named_graph",
-    r"audit\.event\.baseUri": "event_base_uri",
-    r"fixity\.delay": "fixity_delay",
-    r"http\.baseUrl": "forward_url",
-    r"http\.authUsername": "forward_username",
-    r"http\.authPassword": "forward_password",
-    r"triplestore\.baseUrl": "triplestore_url",
-    r"triplestore\.authUsername": "triplestore_username",
-    r"triplestore\.authPassword": "triplestore_password",
-    r"audit\.triplestore\.baseUrl": "audit_url",
-    r"audit\.triplestore\.authUsername": "audit_username",
-    r"audit\.triplestore\.authPassword": "audit_password",
-    r"solr\.baseUrl": "search_url",
-    r"solr\.username": "search_username",
-    r"solr\.password": "search_password",
-    r"error\.maxRedeliveries": "max_redeliveries",
-    r"\w+\.baseUrl": "base_url",
+    "audit.enabled": "audit_enabled",
+    "solr.indexing.enabled": "search_enabled",
+    "triplestore.indexing.enabled": "triplestore_enabled",
+    "fixity.enabled": "fixity_enabled",
+    "http.enabled": "forward_enabled",
+    "reindexing.enabled": "reindexing_enabled",
+    "audit.filter.containers": "audit_containers",
+    "solr.filter.containers": "search_containers",
+    "triplestore.filter.containers": "triplestore_containers",
+    "http.filter.containers": "forward_containers",
+    "solr.indexing.predicate": "search_require_indexable",
+    "triplestore.indexing.predicate": "triplestore_require_indexable",
+    "search.checkTransformation": "check_transformation",
+    "search.defaultTransform": "default_transform",
+    "solr.commitWithin": "commit_within",
+    "solr.include.containment": "include_containment",
+    "triplestore.prefer.include": "prefer_include",
+    "triplestore.prefer.omit": "prefer_omit",
+    "triplestore.namedGraph": "named_graph",
+    "audit.event.baseUri": "event_base_uri",
+    "fixity.delay": "fixity_delay",
+    "http.baseUrl": "forward_url",
+    "http.authUsername": "forward_username",
+    "http.authPassword": "forward_password",
+    "triplestore.baseUrl": "triplestore_url",
+    "triplestore.authUsername": "triplestore_username",
+    "triplestore.authPassword": "triplestore_password",
+    "audit.triplestore.baseUrl": "audit_url",
+    "audit.triplestore.authUsername": "audit_username",
+    "audit.triplestore.authPassword": "audit_password",
+    "solr.baseUrl": "search_url",
+    "solr.username": "search_username",
+    "solr.password": "search_password",
+    "error.maxRedeliveries": "max_redeliveries",
+    "repository.baseUrl": "base_url",
+    "error.redeliveryDelay": "redelivery_delay",
+    "index.compactEvery": "compact_every",
 }
 
 
@@ -88,6 +89,9 @@ class Options:
     search_username: str = ""
     search_password: str = ""
     max_redeliveries: int = 10
+    # Milliseconds between two attempts, and batches between two new bases of an index (0: none).
+    redelivery_delay: int = 0
+    compact_every: int = 0
     base_url: str = _LOCAL
 
     # Not properties: where the services read and write, and how they reach other systems.
@@ -96,7 +100,8 @@ class Options:
     transports: dict = field(default_factory=dict)
     on_success: object = None
     on_failure: object = None
-    max_files_per_trigger: int | None = None
+    # Predicates of preference groups beside containment: a mapping or a table.
+    prefer_groups: object = None
 
     @classmethod
     def from_properties(cls, properties: dict) -> "Options":
@@ -104,7 +109,7 @@ class Options:
         kinds = {f.name: f.type for f in fields(cls)}
         values = {}
         for name, text in properties.items():
-            option = next((o for p, o in _PROPERTIES.items() if re.fullmatch(p, name)), None)
+            option = _PROPERTIES.get(name)
             if option is None:
                 continue
             if kinds[option] is bool:

@@ -100,11 +100,33 @@ check(
     "repo_events",
 )
 _PARSED_EVENT = f"""select event_id, uri, date_time,
-  cast(epoch(date_trunc('second', ts)) as bigint) as epoch,
+  cast(epoch_us(ts) as bigint) as epoch,
   coalesce(event_types_text, '') as event_types, resource_types_text as resource_types,
   agents_text as agents, '{BASE}' as is_part_of from repo_events"""
 check("parse_events", _PARSED_EVENT, "repo_events")
 check("parse_legacy_events", _PARSED_EVENT, "repo_events")
+_BODIES = """
+numbered as (select event_id, uri, cast(regexp_extract(event_id, '([0-9]+)$', 1) as bigint) % 5 as k
+  from repo_events),
+bodies as (select event_id, uri, k, case k when 0 then '{}'
+    when 1 then concat('{"foo":"', event_id, '"}') else concat('no event ', event_id) end as bad
+  from numbered)
+"""
+check(
+    "malformed_events",
+    """select bad as payload, 'events' as service, 'unreadable event' as error,
+      cast(count(*) as bigint) as n from bodies where k < 3 group by bad""",
+    "repo_events",
+    ctes=_BODIES,
+)
+check(
+    "rejected_events",
+    """select case when k > 2 then event_id end as event_id,
+      case when k > 2 then uri else '' end as uri, case when k < 3 then bad end as reject,
+      cast(count(*) as bigint) as n from bodies group by 1, 2, 3""",
+    "repo_events",
+    ctes=_BODIES,
+)
 check("exclude_containers", f"select event_id, uri from repo_events where {KEPT}", "repo_events")
 check(
     "exclude_containers_table",
@@ -221,6 +243,16 @@ check(
     *_DECIDED_VIEWS,
     ctes=f"{_DECIDE}, {_STORE}, {_LATEST}",
 )
+check(
+    "latest_action_undated",
+    """select uri, event_id, action from (
+      select uri, event_id, action, row_number() over (partition by uri order by
+        case when cast(regexp_extract(event_id, '([0-9]+)$', 1) as bigint) % 11 = 0
+          then timestamp '2100-01-01' else ts end desc, event_id desc) as n
+      from store_actions where event_id is not null) where n = 1""",
+    *_DECIDED_VIEWS,
+    ctes=f"{_DECIDE}, {_STORE}",
+)
 check(
     "indexable_by_rdf",
     "select event_id, uri from repo_events where uri in (select uri from facts where rdf_indexable)",
@@ -269,6 +301,11 @@ check(
 _TYPED = """select doc, subject, predicate, object, object_kind, datatype, lang from repo_triples"""
 for _name in ("parse_ntriples", "read_ntriples_files", "parse_rdfxml"):
     check(_name, _TYPED, "repo_triples")
+check(
+    "unreadable_ntriples",
+    f"select concat('broken ', {_line()}) as line from repo_triples where ord % 3 = 0",
+    "repo_triples",
+)
 check(
     "read_triple_snapshot",
     """select subject, predicate, object, ord from repo_triples
@@ -316,6 +353,19 @@ check(
     *_DECIDED_VIEWS,
     ctes=_UPDATES,
 )
+check(
+    "update_statement_parts",
+    """select uri, part, parts, concat(
+        case when part = 0 then concat('DELETE WHERE { <', uri, '> ?p ?o };', chr(10)) else '' end,
+        'INSERT DATA { ', string_agg(line, chr(10) order by line), chr(10), '}') as statement
+    from (select distinct uri, line, cast(case when md5(line) = least then 0
+        else cast(concat('0x', substr(md5(line), 1, 8)) as bigint) % parts end as int) as part, parts
+      from lines join sizes using (uri)) group by uri, part, parts""",
+    "repo_triples",
+    ctes=f"""lines as (select doc as uri, {_line()} as line from repo_triples),
+sizes as (select uri, cast(ceil(count(*) / 3.0) as int) as parts, min(md5(line)) as least
+  from lines group by uri)""",
+)
 check(
     "update_statement_in_graph",
     f"""select doc as uri, {_ONE_PART},
@@ -448,13 +498,21 @@ state as (
   from repo_triples join updated on doc = updated.uri left join purged on subject = purged.uri
   where predicate <> '{v.CONTAINS}' and (purged_at is null or purged_at <= updated_at))
 """
-for _name in ("triple_index_state", "triple_index_stream", "compacted_triple_index"):
+_INDEXES = "triple_index_state triple_index_stream compacted_triple_index compacted_during_stream"
+for _name in _INDEXES.split():
     check(
         _name,
         "select subject, predicate, object, object_kind, datatype from state",
         *_DECIDED_VIEWS,
         ctes=f"{_INPUT}, {_TRIPLE_STATE}",
     )
+check(
+    "triple_index_lookup",
+    """select subject, predicate, object, object_kind, datatype from state
+    where subject in (select uri from repo_hints)""",
+    *_DECIDED_VIEWS,
+    ctes=f"{_INPUT}, {_TRIPLE_STATE}",
+)
 _DOC_STATE = f"""
 built as (
   select uri, id, {_transformed("transformation")}
@@ -470,7 +528,7 @@ union all
 select id, rdftype, contains, 'long ago', created from docs
 where id not in (select uri from updated) and id not in (select uri from removed)
 """
-for _name in ("search_index_state", "search_index_stream"):
+for _name in ("search_index_state", "search_index_stream", "compacted_search_index"):
     check(
         _name,
         "",
@@ -546,14 +604,15 @@ check(
     "select request_id, path, content_type, recipients_header, body from repo_requests",
     "repo_requests",
 )
-check(
-    "reindex_fanout",
-    """select request_id, walk.uri, unnest(string_split(recipients, ',')) as recipient, depth
-    from answered join walk on root = answered.uri where admitted""",
-    "repo_requests",
-    "repo_edges",
-    ctes=f"{_RECIPIENTS}, roots as (select distinct uri from answered where admitted), {_WALK}",
-)
+for _name in ("reindex_fanout", "reindex_stream"):
+    check(
+        _name,
+        """select request_id, walk.uri, unnest(string_split(recipients, ',')) as recipient, depth
+        from answered join walk on root = answered.uri where admitted""",
+        "repo_requests",
+        "repo_edges",
+        ctes=f"{_RECIPIENTS}, roots as (select distinct uri from answered where admitted), {_WALK}",
+    )
 
 # --- fixity ---------------------------------------------------------------------------------
 
@@ -572,6 +631,18 @@ check(
     f"select uri, n_chars from repo_binaries where resource_type = '{v.BINARY}'",
     "repo_binaries",
 )
+check(
+    "fixity_stream",
+    f"""select uri, 'sha-256' as algorithm,
+      case when recorded then sha256(recorded_text) end as expected_digest,
+      sha256(text) as actual_digest,
+      case when recorded then cast(strlen(text) as bigint) end as expected_size,
+      cast(strlen(text) as bigint) as actual_size,
+      case when recorded and sha256(recorded_text) = sha256(text)
+        then 'SUCCESS' else 'FAILURE' end as outcome
+    from repo_binaries where resource_type = '{v.BINARY}'""",
+    "repo_binaries",
+)
 for _name in ("verify_fixity", "verify_fixity_late"):
     check(_name, "select * from results", "repo_binaries", ctes=_FIXITY)
 check(

@@ -19,13 +19,17 @@ from eventloom.plans import views
 from eventloom.plans.views import AUDIT_CONTAINER, BASE, BRIEF, EVENT_BASE, GRAPH
 from eventloom.session import work_dir
 from eventloom.sources import (
+    malformed_events as malformed_bodies,
     ntriples_to_triples,
     parse_events as parse_events_source,
     rdfxml_to_triples,
+    read_edges,
     read_hints,
     read_ntriples,
     read_reindex_requests,
     read_triples,
+    unreadable_ntriples as unreadable_lines,
+    write_edges,
     write_triples,
 )
 from eventloom.streaming import delivery, state
@@ -101,7 +105,7 @@ def _parsed_columns(df):
         "event_id",
         "uri",
         "date_time",
-        F.unix_timestamp("ts").cast("long").alias("epoch"),
+        F.unix_micros("ts").alias("epoch"),
         _text("event_types").alias("event_types"),
         _text("resource_types").alias("resource_types"),
         _text("agents").alias("agents"),
@@ -158,6 +162,33 @@ def parse_legacy_events(spark, sf) -> DataFrame:
     return _parsed_columns(parse_events_source(rows.select(F.to_json(body).alias("value"))))
 
 
+def _spoilt(spark, sf):
+    """Event ids with bodies of which three of five hold no event."""
+    rows = views.events(spark, sf)
+    number = F.regexp_extract("event_id", "([0-9]+)$", 1).cast("long") % 5
+    good = F.to_json(F.struct(F.col("event_id").alias("id"), F.struct(F.col("uri").alias("id")).alias("object")))
+    body = (
+        F.when(number == 0, F.lit("{}"))
+        .when(number == 1, F.concat(F.lit('{"foo":"'), "event_id", F.lit('"}')))
+        .when(number == 2, F.concat(F.lit("no event "), "event_id"))
+        .otherwise(good)
+    )
+    return rows.select(body.alias("value"))
+
+
+@query
+def malformed_events(spark, sf) -> DataFrame:
+    letters = malformed_bodies(_spoilt(spark, sf))
+    return letters.groupBy("payload", "service", "error").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def rejected_events(spark, sf) -> DataFrame:
+    """Events and unreadable bodies from one parse."""
+    rows = parse_events_source(_spoilt(spark, sf), rejects=True)
+    return rows.groupBy("event_id", "uri", "reject").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def exclude_containers(spark, sf) -> DataFrame:
     return ev.exclude_containers(views.events(spark, sf), CONTAINERS).select("event_id", "uri")
@@ -271,6 +302,17 @@ def latest_action(spark, sf) -> DataFrame:
     return latest.select("uri", "event_id", "action")
 
 
+@query
+def latest_action_undated(spark, sf) -> DataFrame:
+    """Every eleventh action has no date and so counts from when it is seen."""
+    actions = _triplestore_actions(spark, sf, True)
+    number = F.regexp_extract("event_id", "([0-9]+)$", 1).cast("long")
+    actions = actions.filter(F.col("event_id").isNotNull()).withColumn(
+        "ts", F.when(number % 11 != 0, F.col("ts"))
+    )
+    return routing.latest_per_uri(actions, HINT_TIME).select("uri", "event_id", "action")
+
+
 @query
 def indexable_by_rdf(spark, sf) -> DataFrame:
     kept = routing.indexable_by_rdf(views.events(spark, sf), views.triples(spark, sf))
@@ -395,11 +437,19 @@ def read_triple_snapshot(spark, sf) -> DataFrame:
     path = work_dir(spark, "snapshot")
     write_triples(views.triples(spark, sf), path, 16)
     hints = views.hints(spark, sf)
-    rows = read_triples(spark, path, hints, 16)
+    rows = read_triples(spark, path, hints)
     wanted = hints.select(F.col("uri").alias("doc")).distinct()
     return rows.join(wanted, "doc", "left_semi").select("subject", "predicate", "object", "ord")
 
 
+@query
+def unreadable_ntriples(spark, sf) -> DataFrame:
+    """Every third line spoilt: what the reader leaves out."""
+    lines = tr.to_ntriples(views.triples(spark, sf))
+    spoilt = F.when(F.col("ord") % 3 == 0, F.concat(F.lit("broken "), "line")).otherwise(F.col("line"))
+    return unreadable_lines(lines.select(spoilt.alias("value"))).select(F.col("value").alias("line"))
+
+
 @query
 def parse_rdfxml(spark, sf) -> DataFrame:
     """Descriptions as RDF/XML texts, parsed back."""
@@ -435,6 +485,12 @@ def update_statement_in_graph(spark, sf) -> DataFrame:
     return tr.update_statement(views.triples(spark, sf), graph=GRAPH)
 
 
+@query
+def update_statement_parts(spark, sf) -> DataFrame:
+    """Descriptions in parts of about three lines."""
+    return tr.update_statement(views.triples(spark, sf), max_rows=3)
+
+
 @query
 def delete_statement(spark, sf) -> DataFrame:
     actions = _triplestore_actions(spark, sf, True)
@@ -486,16 +542,14 @@ def containment_edges_from_lines(spark, sf) -> DataFrame:
 # --- search documents -----------------------------------------------------------------------
 
 
-def brief_doc(triples: DataFrame) -> DataFrame:
+def brief():
     """A transform that keeps only the identifier and the last change."""
-    full = search.default_search_doc(triples)
     empty = F.lit("")
-    return full.withColumns(
-        {"rdftype": F.array().cast("array<string>"), "contains": empty, "created": empty}
-    )
+    return {"rdftype": F.array().cast("array<string>"), "contains": empty, "created": empty}
 
 
-TRANSFORMS = {BRIEF: brief_doc}
+def _transforms():
+    return {BRIEF: brief()}
 
 
 def _doc_columns(docs):
@@ -531,7 +585,7 @@ def _named_transforms(spark, sf):
 @query
 def apply_transforms(spark, sf) -> DataFrame:
     docs = search.apply_transforms(
-        _named_transforms(spark, sf), views.triples(spark, sf), TRANSFORMS
+        _named_transforms(spark, sf), views.triples(spark, sf), _transforms()
     )
     return docs.select(
         "id", "transformation", _text("rdftype").alias("rdftype"), "contains", "lastmodified", "created"
@@ -540,7 +594,7 @@ def apply_transforms(spark, sf) -> DataFrame:
 
 @query
 def unknown_transforms(spark, sf) -> DataFrame:
-    letters = search.unknown_transforms(_named_transforms(spark, sf), TRANSFORMS)
+    letters = search.unknown_transforms(_named_transforms(spark, sf), _transforms())
     return letters.select("payload", "service", "error")
 
 
@@ -605,7 +659,7 @@ def search_index_state(spark, sf) -> DataFrame:
     snapshot = _snapshot(spark, sf, target)
     _load_stale_docs(snapshot, target)
     inputs = views.events(spark, sf), _late_hints(spark, sf), snapshot
-    search_step(*inputs, _settings(target, transforms=TRANSFORMS))
+    search_step(*inputs, _settings(target, transforms=_transforms()))
     return _doc_columns(state.current_docs(spark, f"{target}/search"))
 
 
@@ -614,7 +668,7 @@ def missing_in_search(spark, sf) -> DataFrame:
     """Dead letters of the same batch: resources nobody describes."""
     target = work_dir(spark, "search-missing")
     inputs = views.events(spark, sf), views.hints(spark, sf), _snapshot(spark, sf, target)
-    search_step(*inputs, _settings(target, transforms=TRANSFORMS))
+    search_step(*inputs, _settings(target, transforms=_transforms()))
     letters = delivery.read_dead_letters(spark, f"{target}/dead/search")
     return letters.select("payload", "service", "error")
 
@@ -627,6 +681,39 @@ def compacted_triple_index(spark, sf) -> DataFrame:
     return state.current_triples(spark, index).select(*_INDEX)
 
 
+@query
+def compacted_during_stream(spark, sf) -> DataFrame:
+    """Three batches, a new base after the second: the state is that of one batch."""
+    target = work_dir(spark, "compacted-stream")
+    snapshot = _snapshot(spark, sf, target)
+    _load_stale_triples(snapshot, target)
+    third = F.regexp_extract("event_id", "([0-9]+)$", 1).cast("long") % 3
+    for batch in range(3):
+        rows = views.events(spark, sf).filter(third == batch)
+        hints = _late_hints(spark, sf) if batch == 1 else None
+        triplestore_step(rows, hints, snapshot, _settings(target, compact_every=1), batch)
+    return state.current_triples(spark, f"{target}/triplestore").select(*_INDEX)
+
+
+@query
+def triple_index_lookup(spark, sf) -> DataFrame:
+    """What the index says about the hinted resources."""
+    index = _updated_triple_index(spark, sf, work_dir(spark, "index-lookup"))
+    return state.current_triples(spark, index, views.hints(spark, sf)).select(*_INDEX)
+
+
+@query
+def compacted_search_index(spark, sf) -> DataFrame:
+    """The search index folded into a new base: the state must not change."""
+    target = work_dir(spark, "compacted-search")
+    snapshot = _snapshot(spark, sf, target)
+    _load_stale_docs(snapshot, target)
+    inputs = views.events(spark, sf), _late_hints(spark, sf), snapshot
+    search_step(*inputs, _settings(target, transforms=_transforms()))
+    state.compact_docs(spark, f"{target}/search")
+    return _doc_columns(state.current_docs(spark, f"{target}/search"))
+
+
 @query
 def clear_graph(spark, sf) -> DataFrame:
     """An index of two graphs with one of them emptied."""
@@ -657,7 +744,7 @@ def _run_service(spark, sf, name, target, hints=True, **options):
     inputs = Inputs(
         events=events,
         hints=hint_stream if hints else None,
-        triples=lambda uris: read_triples(spark, f"{target}/snapshot", uris, 16),
+        triples=lambda uris: read_triples(spark, f"{target}/snapshot", uris),
     )
     settings = _settings(target, **{f"{name}_enabled": True}, **options)
     start = build_services(inputs, settings)[name]
@@ -678,7 +765,7 @@ def search_index_stream(spark, sf) -> DataFrame:
     """The search index kept by the running service, from a loaded start."""
     target = work_dir(spark, "search-stream")
     _load_stale_docs(_snapshot(spark, sf, target), target)
-    _run_service(spark, sf, "search", target, transforms=TRANSFORMS)
+    _run_service(spark, sf, "search", target, transforms=_transforms())
     return _doc_columns(state.current_docs(spark, f"{target}/search"))
 
 
@@ -742,6 +829,24 @@ def reindex_fanout(spark, sf) -> DataFrame:
     return hierarchy.reindex(_requests(spark, sf), edges, BASE)
 
 
+@query
+def reindex_stream(spark, sf) -> DataFrame:
+    """Hints that the running service writes, walking over stored edges."""
+    target = work_dir(spark, "reindex-stream")
+    _requests(spark, sf).write.json(f"{target}/in")
+    write_edges(views.view(spark, sf, "repo_edges"), f"{target}/edges", 16)
+    inputs = Inputs(
+        requests=read_reindex_requests(spark, f"{target}/in", True),
+        edges=lambda parents: read_edges(spark, f"{target}/edges", parents),
+    )
+    start = build_services(inputs, Options(target=target, base_url=BASE))["reindexing"]
+    start(f"{target}/checkpoint", available_now=True).awaitTermination()
+    reader = spark.read.schema(
+        "request_id string, uri string, depth int, writer string, batch long, recipient string"
+    )
+    return reader.json(f"{target}/hints").select("request_id", "uri", "recipient", "depth")
+
+
 # --- fixity ---------------------------------------------------------------------------------
 
 
@@ -775,8 +880,8 @@ def only_binaries(spark, sf) -> DataFrame:
 
 @query
 def verify_fixity_late(spark, sf) -> DataFrame:
-    """The plan for lists of uris that are too long to be broadcast."""
-    return _fixity(spark, sf, small=0)
+    """The plan that digests first and joins digests only."""
+    return _fixity(spark, sf, late=True)
 
 
 @query
@@ -807,6 +912,31 @@ def fixity_failures(spark, sf) -> DataFrame:
     return reader.json(target).select("uri", "actual_digest", "outcome")
 
 
+@query
+def fixity_stream(spark, sf) -> DataFrame:
+    """Results that the running service writes for a stream of uris."""
+    target = work_dir(spark, "fixity-stream")
+    rows = views.view(spark, sf, "repo_binaries")
+    rows.select("uri").write.json(f"{target}/in")
+    manifest = rows.filter("recorded").select(
+        "uri",
+        F.concat(F.lit("urn:sha-256:"), F.sha2("recorded_text", 256)).alias("digest"),
+        F.octet_length("text").alias("size"),
+    )
+    content = rows.select("uri", F.col("text").cast("binary").alias("content"))
+    inputs = Inputs(
+        checks=read_hints(spark, f"{target}/in", True),
+        triples=lambda uris: _binary_kinds(rows),
+        binaries=lambda uris: content.join(uris.select("uri"), "uri", "left_semi"),
+        manifest=lambda: manifest,
+    )
+    settings = Options(target=target, fixity_enabled=True, reindexing_enabled=False)
+    start = build_services(inputs, settings)["fixity"]
+    start(f"{target}/checkpoint", available_now=True).awaitTermination()
+    reader = spark.read.option("recursiveFileLookup", "true").schema(fixity.RESULT)
+    return reader.parquet(f"{target}/fixity/results")
+
+
 # --- forwarding -----------------------------------------------------------------------------
 
 

@@ -46,7 +46,7 @@ def _typed(names):
 
 _EVENTS = f"""
 select concat('urn:uuid:evt-', cast(event_id as string)) as event_id, ts,
-  concat(replace(substr(cast(ts as string), 1, 19), ' ', 'T'), 'Z') as date_time,
+  concat(replace(cast(ts as string), ' ', 'T'), 'Z') as date_time,
   case when user_id % 6 = 0 and event_id % 5 = 0 then '{BASE}/audit'
        when user_id % 6 = 0 then concat('{BASE}/audit/', cast(user_id as string))
        when user_id % 6 = 1 then concat('{BASE}/auditions/', cast(user_id as string))

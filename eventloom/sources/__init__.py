@@ -16,4 +16,4 @@ from eventloom.sources.rdf import (  # noqa: F401
     unreadable_ntriples,
     unreadable_rdfxml,
 )
-from eventloom.sources.snapshot import read_triples, write_triples  # noqa: F401
+from eventloom.sources.snapshot import read_edges, read_triples, write_edges, write_triples  # noqa: F401

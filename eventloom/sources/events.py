@@ -22,14 +22,11 @@ def _parsed(df: DataFrame, body: str) -> DataFrame:
 
 
 def _unusable():
-    """Nothing could be read from the body: no JSON object, or one without any known field."""
+    """No event: nothing could be read, or no resource is named."""
     event = F.col("_event")
-    return event.isNull() | (
-        event[_CORRUPT].isNotNull()
-        & event["id"].isNull()
-        & event["object"].isNull()
-        & event["wasGeneratedBy"].isNull()
-    )
+    legacy = event["wasGeneratedBy"].isNotNull() & event["object"].isNull()
+    uri = F.when(legacy, event["id"]).otherwise(event["object"]["id"])
+    return event.isNull() | is_blank(F.coalesce(uri, F.lit("")))
 
 
 def _types(parsed, body, path):
@@ -38,16 +35,23 @@ def _types(parsed, body, path):
     return F.coalesce(parsed, F.when(single.isNotNull(), F.array(single)))
 
 
-def parse_events(df: DataFrame, body: str = "value", jms_event_type=None) -> DataFrame:
+def parse_events(
+    df: DataFrame, body: str = "value", jms_event_type=None, rejects: bool = False
+) -> DataFrame:
     """Parse JSON bodies, current or legacy form, into canonical events.
 
-    Works on batch and streaming frames; rows that hold no event are left to
-    ``malformed_events``. ``jms_event_type`` is an optional column with the raw type header.
+    Works on batch and streaming frames. A body without an event, or whose event names no
+    resource, is left to ``malformed_events``; with ``rejects`` it stays as a row of its own
+    with the body in ``reject``, which is null for events, so that one parse gives both.
+    ``jms_event_type`` is an optional column with the raw type header.
     """
     raw_type = (
         F.lit(None).cast("string") if jms_event_type is None else as_col(jms_event_type)
     )
-    rows = _parsed(df, body).filter(~_unusable()).withColumn("_raw_type", raw_type)
+    bad = F.coalesce(_unusable(), F.lit(True))
+    rows = _parsed(df, body).withColumn("_raw_type", raw_type)
+    rows = rows.filter(~bad | (F.lit(rejects) & ~F.coalesce(is_blank(body), F.lit(True))))
+    reject = [F.when(bad, as_col(body)).alias("reject")] if rejects else []
     event = F.col("_event")
     legacy = event["wasGeneratedBy"].isNotNull() & event["object"].isNull()
 
@@ -75,6 +79,7 @@ def parse_events(df: DataFrame, body: str = "value", jms_event_type=None) -> Dat
             agents.alias("agents"),
             F.col("_raw_type").alias("jms_event_type"),
             pick(event["isPartOf"], event["object"]["isPartOf"]).alias("is_part_of"),
+            *reject,
         )
     )
 
@@ -83,7 +88,7 @@ def malformed_events(df: DataFrame, body: str = "value", service: str = "events"
     """The bodies ``parse_events`` cannot read, as dead letters."""
     return (
         _parsed(df, body)
-        .filter(_unusable() & ~is_blank(body))
+        .filter(F.coalesce(_unusable(), F.lit(True)) & ~is_blank(body))
         .select(
             as_col(body).alias("payload"),
             F.lit(service).alias("service"),
@@ -104,14 +109,15 @@ def read_events(
     path: str,
     streaming: bool = False,
     one_per_file: bool = False,
+    rejects: bool = False,
     **options,
 ) -> DataFrame:
     """Read events from text files: one JSON object per line, or one (pretty-printed) per file.
 
-    Extra options go to the file source, e.g. ``maxFilesPerTrigger`` as a throttle.
+    With ``rejects`` unreadable bodies come along (see ``parse_events``). Extra options go to the file source, e.g. ``maxFilesPerTrigger`` as a throttle.
     """
     text = _reader(spark, streaming, options).text(path, wholetext=one_per_file)
-    return parse_events(text)
+    return parse_events(text, rejects=rejects)
 
 
 def read_legacy_events(spark: SparkSession, path: str, **kwargs) -> DataFrame:

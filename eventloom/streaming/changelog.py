@@ -1,61 +1,100 @@
 """A table as a log of changes plus a folded base, on plain Parquet.
 
-Every micro-batch writes its changes to a folder named after the batch, so a replayed batch
-replaces itself and the cost of a batch does not grow with the table. Readers fold base and
-changes into the current state; ``rebase`` writes a new base and is the only full rewrite.
+Every micro-batch writes its changes to a folder named after writer and batch, so a replayed
+batch replaces itself and the cost of a batch does not grow with the table. A base names the
+batches it holds; readers take the newest base and every finished batch it does not name. So a
+base may be made while writers go on: a batch that ends meanwhile is simply not in it.
 """
 
-from pyspark.errors import AnalysisException
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-POINTER = "base long, made_at timestamp"
+POINTER = "base string, number long, made_at timestamp"
+COVERED = "writer string, batch long"
 
 
-def write_batch(changes: DataFrame, path: str, batch_id: int, writer: str = "main") -> None:
-    """Store one batch; replaying the same batch of the same writer is harmless.
+def _files(spark: SparkSession, path: str):
+    """(file system, path object) of a place in any store Spark reads."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
-    One folder per base generation: a new base starts an empty log.
-    """
-    spark = changes.sparkSession
-    base = _current_base(spark, path)
-    folder = f"{path}/changes/base={base}/writer={writer}/batch={batch_id}"
+
+def _folders(spark: SparkSession, path: str) -> list:
+    files, place = _files(spark, path)
+    if not files.exists(place):
+        return []
+    return [s.getPath().getName() for s in files.listStatus(place) if s.isDirectory()]
+
+
+def finished_batches(spark: SparkSession, path: str) -> set:
+    """(writer, batch) of every batch that was written to its end; names only, no rows."""
+    found = set()
+    for writer in _folders(spark, f"{path}/changes"):
+        for batch in _folders(spark, f"{path}/changes/{writer}"):
+            files, done = _files(spark, f"{path}/changes/{writer}/{batch}/_SUCCESS")
+            if files.exists(done):
+                found.add((writer.partition("=")[2], int(batch.partition("=")[2])))
+    return found
+
+
+def write_batch(changes: DataFrame, path: str, batch_id: int, writer: str = "main") -> None:
+    """Store one batch; replaying the same batch of the same writer is harmless."""
+    folder = f"{path}/changes/writer={writer}/batch={batch_id}"
     changes.write.mode("overwrite").parquet(folder)
 
 
-def _read(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The table at a path, or an empty one while nothing has been written there."""
-    try:
-        return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def _current_base(spark: SparkSession, path: str):
+    """(name, number) of the newest base; (None, 0) before the first."""
+    files, place = _files(spark, f"{path}/pointer")
+    if not files.exists(place):
+        return None, 0
+    newest = spark.read.schema(POINTER).parquet(f"{path}/pointer")
+    row = newest.orderBy(F.desc("number"), F.desc("made_at"), "base").first()
+    return (row.base, row.number) if row else (None, 0)
 
 
-def _current_base(spark: SparkSession, path: str) -> int:
-    """Number of the newest finished base; 0 before the first. One row reaches the driver."""
-    newest = _read(spark, f"{path}/pointer", POINTER).agg(F.max("base"))
-    return newest.first()[0] or 0
+def _covered(spark: SparkSession, path: str, base) -> set:
+    if base is None:
+        return set()
+    rows = spark.read.schema(COVERED).parquet(f"{path}/bases/{base}/covered").collect()
+    return {(r.writer, r.batch) for r in rows}
 
 
-def read_changes(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The base's rows and all changes since, unordered."""
-    base = _current_base(spark, path)
-    changes = _read(spark, f"{path}/changes/base={base}", schema)
-    if base == 0:
-        return changes
-    return _read(spark, f"{path}/bases/base={base}", schema).unionByName(changes)
+def read_changes(spark: SparkSession, path: str, schema, batches=None) -> DataFrame:
+    """The base's rows and all changes since, unordered.
+
+    ``batches`` may name the finished batches to look at. A base that the pointer names and
+    that is not there is an error, never an empty table.
+    """
+    base, _ = _current_base(spark, path)
+    found = finished_batches(spark, path) if batches is None else batches
+    later = sorted(found - _covered(spark, path, base))
+    reader = spark.read.schema(schema)
+    if base is None and not later:
+        return spark.createDataFrame([], schema)
+    paths = [f"{path}/changes/writer={w}/batch={b}" for w, b in later]
+    if base is not None:
+        paths.insert(0, f"{path}/bases/{base}/rows")
+    return reader.parquet(*paths)
 
 
-def rebase(spark: SparkSession, path: str, state: DataFrame) -> None:
-    """Make ``state`` (rows in change form) the new base.
+def rebase(spark: SparkSession, path: str, state, covered=None) -> None:
+    """Make a new base of ``state``: a frame, or a function of the finished batches' names.
 
-    The pointer moves only after the base is complete, so a failed attempt changes nothing.
-    Run it between batches of the writers, e.g. while the service is stopped.
+    The pointer moves only after base and names are complete, so a failed attempt changes
+    nothing, and each attempt has a name of its own.
     """
-    base = _current_base(spark, path) + 1
-    state.write.mode("overwrite").parquet(f"{path}/bases/base={base}")
+    batches = finished_batches(spark, path) if covered is None else covered
+    rows = state(batches) if callable(state) else state
+    _, number = _current_base(spark, path)
+    base = uuid.uuid4().hex
+    rows.write.parquet(f"{path}/bases/{base}/rows")
+    names = spark.createDataFrame(sorted(batches), COVERED)
+    names.coalesce(1).write.parquet(f"{path}/bases/{base}/covered")
     pointer = spark.range(1).select(
-        F.lit(base).cast("long").alias("base"), F.current_timestamp().alias("made_at")
+        F.lit(base).alias("base"),
+        F.lit(number + 1).cast("long").alias("number"),
+        F.current_timestamp().alias("made_at"),
     )
     pointer.coalesce(1).write.mode("append").parquet(f"{path}/pointer")

@@ -1,8 +1,9 @@
 """Delivery with redelivery, dead letters, and the plain sinks."""
 
 import base64
+import http.client
 import time
-import urllib.request
+import urllib.parse
 from collections.abc import Callable
 
 import pandas as pd
@@ -19,23 +20,47 @@ _OUTCOME = (
 
 
 class HttpPost:
-    """Transport that posts each payload; raises on any failure. Sent to executors whole."""
+    """Transport that posts each payload; raises on any failure. Sent to executors whole.
+
+    A task keeps its connection between payloads and opens a new one after a failure.
+    """
 
     def __init__(self, url, username=None, password=None, content_type="application/json"):
         self.url = url
+        self.connection = None
         self.headers = {"Content-Type": content_type}
         if username and username.strip():
             pair = f"{username}:{password or ''}".encode()
             self.headers["Authorization"] = "Basic " + base64.b64encode(pair).decode()
 
-    def request(self, payload: str) -> urllib.request.Request:
-        return urllib.request.Request(
-            self.url, data=payload.encode(), headers=self.headers, method="POST"
-        )
+    def __getstate__(self):
+        return {**self.__dict__, "connection": None}
+
+    def _connected(self):
+        if self.connection is None:
+            parts = urllib.parse.urlsplit(self.url)
+            kind = http.client.HTTPSConnection if parts.scheme == "https" else http.client.HTTPConnection
+            self.connection = kind(parts.netloc, timeout=60)
+        return self.connection
 
     def __call__(self, payload: str) -> None:
-        with urllib.request.urlopen(self.request(payload), timeout=60) as answer:
+        parts = urllib.parse.urlsplit(self.url)
+        path = urllib.parse.urlunsplit(("", "", parts.path or "/", parts.query, ""))
+        try:
+            connection = self._connected()
+            connection.request("POST", path, payload.encode(), self.headers)
+            answer = connection.getresponse()
             answer.read()
+        except Exception:
+            self.close()
+            raise
+        if not 200 <= answer.status < 300:
+            raise OSError(f"{answer.status} {answer.reason}")
+
+    def close(self) -> None:
+        if self.connection is not None:
+            self.connection.close()
+            self.connection = None
 
 
 def _attempt(transport, payload, max_redeliveries, delay):
@@ -58,9 +83,14 @@ def with_retry(
     payload: str = "message",
     max_redeliveries: int = 10,
     delay: float = 0.0,
+    group: str | None = None,
+    order: str | None = None,
 ) -> DataFrame:
     """Hand every payload to the transport; adds ``attempts`` and ``error`` (null if sent).
 
+    Rows of one ``group`` are sent by one task in ``order``; after one that fails for good the
+    rest of its group is not sent (0 attempts), as it belongs to what came before.
+
     Each executor sends its own partitions. The frame sends when it is evaluated, so write it
     once and read the written outcome (see ``deliver``). A lost task is run again: delivery
     is at least once, receivers must accept repeats.
@@ -68,14 +98,22 @@ def with_retry(
     schema = T.StructType([*df.schema.fields, *_OUTCOME])
 
     def send(batches):
+        failed = None
         for batch in batches:
-            outcome = [
-                _attempt(transport, text, max_redeliveries, delay) for text in batch[payload]
-            ]
+            outcome = []
+            names = batch[group] if group else [None] * len(batch)
+            for text, name in zip(batch[payload], names):
+                if group and failed is not None and name == failed:
+                    outcome.append((0, "an earlier part failed"))
+                    continue
+                outcome.append(_attempt(transport, text, max_redeliveries, delay))
+                failed = name if outcome[-1][1] is not None else None
             batch["attempts"] = pd.Series([o[0] for o in outcome], index=batch.index, dtype="int32")
             batch["error"] = pd.Series([o[1] for o in outcome], index=batch.index, dtype="object")
             yield batch
 
+    if group:
+        df = df.repartition(group).sortWithinPartitions(group, order)
     return df.mapInPandas(send, schema)
 
 
@@ -110,6 +148,8 @@ def forward(
     batch_id: int = 0,
     writer: str = "main",
     service: str = "forward",
+    group: str | None = None,
+    order: str | None = None,
 ) -> None:
     """Deliver the ``message`` column of a batch.
 
@@ -120,8 +160,12 @@ def forward(
     here = f"writer={writer}/batch={batch_id}"
     rows = messages.select("message")
     if transport is not None:
-        outcome = with_retry(rows, transport, "message", max_redeliveries, delay)
-        outcome.write.mode("overwrite").parquet(f"{target}/outcome/{here}")
+        kept = [c for c in (group, order) if c]
+        sent_rows = messages.select("message", *kept)
+        outcome = with_retry(
+            sent_rows, transport, "message", max_redeliveries, delay, group, order
+        )
+        outcome.select("message", "attempts", "error").write.mode("overwrite").parquet(f"{target}/outcome/{here}")
         sent = messages.sparkSession.read.schema("message string, attempts int, error string")
         letters = dead_letters(sent.parquet(f"{target}/outcome/{here}"), service)
     elif endpoint:

@@ -1,9 +1,12 @@
 """The continuous services: each consumes a stream batch by batch and maintains its target."""
 
 import hashlib
+import time
 from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
 from eventloom import vocab
@@ -11,7 +14,6 @@ from eventloom.functions import form_encode
 from eventloom.operators import fixity, forwarding, hierarchy, routing, search
 from eventloom.operators.audit import audit_input, audit_insert_statement, unaudited_events
 from eventloom.operators.events import listed, merge_live_and_hints
-from eventloom.operators.skew import is_small
 from eventloom.operators.triples import apply_prefer
 from eventloom.options import Options, enabled_services
 from eventloom.streaming import delivery, state
@@ -23,8 +25,10 @@ class Inputs:
 
     Streams: ``events``, ``hints``, ``checks`` (uris to verify), ``requests``. Current
     snapshots, as functions so that every batch sees the latest: ``triples(uris)``, which may
-    leave out other documents (see ``sources.read_triples``), ``edges()``, ``binaries()``
-    (uri, content), ``manifest()`` (uri, digest, size).
+    leave out other documents (see ``sources.read_triples``), ``edges(parents)``, ``binaries(uris)``
+    (uri, content) or (uri, path), of which only the asked-for ones are read, ``manifest()``
+    (uri, digest, size). Rows of a stream that hold an unreadable body in ``reject`` (see
+    ``sources.parse_events``) become dead letters of the service.
     """
 
     events: DataFrame | None = None
@@ -32,8 +36,8 @@ class Inputs:
     checks: DataFrame | None = None
     requests: DataFrame | None = None
     triples: Callable[[DataFrame], DataFrame] | None = None
-    edges: Callable[[], DataFrame] | None = None
-    binaries: Callable[[], DataFrame] | None = None
+    edges: Callable[[DataFrame], DataFrame] | None = None
+    binaries: Callable[[DataFrame], DataFrame] | None = None
     manifest: Callable[[], DataFrame] | None = None
 
 
@@ -54,18 +58,43 @@ def _parts(batch: DataFrame):
 
 
 def _for_batch(triples: DataFrame, events: DataFrame, hints: DataFrame | None):
-    """(descriptions, whether they were kept for the batch).
+    """The descriptions a batch asks for, kept while it runs, so that they are read once.
 
-    For a batch of few uris their documents are picked in the scan by a broadcast list and
-    kept, so that the snapshot is read once and not shuffled. A large batch uses it whole.
+    Adaptive execution broadcasts the batch's uris if they are few bytes.
     """
     uris = events.select("uri")
     if hints is not None:
         uris = uris.unionByName(hints.select("uri"))
     uris = uris.distinct().withColumnRenamed("uri", "doc")
-    if not is_small(uris):
-        return triples, False
-    return triples.join(F.broadcast(uris), "doc", "left_semi").persist(), True
+    return triples.join(uris, "doc", "left_semi")
+
+
+@contextmanager
+def kept(*frames):
+    """Persist frames for a while; they go whatever happens."""
+    held = [f.persist() for f in frames]
+    try:
+        yield held if len(held) > 1 else held[0]
+    finally:
+        for f in held:
+            f.unpersist()
+
+
+def _accepted(batch: DataFrame, options: Options, service: str, batch_id, writer) -> DataFrame:
+    """The readable rows of a batch; unreadable ones are written as dead letters."""
+    if "reject" not in batch.columns:
+        return batch
+    bad = batch.filter(F.col("reject").isNotNull())
+    letters = bad.select(
+        F.col("reject").alias("payload"),
+        F.lit(service).alias("service"),
+        F.lit(1).alias("attempts"),
+        F.lit("unreadable event").alias("error"),
+        F.current_timestamp().alias("failed_at"),
+    )
+    folder = f"{options.target}/dead/{service}-input"
+    delivery.write_dead_letters(letters, folder, batch_id, writer)
+    return batch.filter(F.col("reject").isNull()).drop("reject")
 
 
 _FORM = "application/x-www-form-urlencoded; charset=utf-8"
@@ -81,7 +110,7 @@ def _transport(options: Options, name: str, content_type: str, kind="", path="")
     return delivery.HttpPost(url + path, username, password, content_type)
 
 
-def _send(messages, transport, options: Options, name: str, batch_id, writer):
+def _send(messages, transport, options: Options, name: str, batch_id, writer, group=None, order=None):
     """Deliver a batch's messages; outcome and dead letters go under the service's folder."""
     delivery.forward(
         messages,
@@ -89,40 +118,44 @@ def _send(messages, transport, options: Options, name: str, batch_id, writer):
         transport,
         None,
         options.max_redeliveries,
+        options.redelivery_delay / 1000,
         batch_id=batch_id,
         writer=writer,
         service=name,
+        group=group,
+        order=order,
     )
 
 
 def triplestore_step(events, hints, triples, options: Options, batch_id=0, writer="main"):
     """Decide and apply one batch for the triple index; actions are worked out once.
 
-    Another triplestore, if configured, gets the batch as update statements: first those
-    that clear a resource, then the further parts of very large ones.
+    Another triplestore, if configured, gets the batch as update statements, the parts of one
+    resource in order.
     """
-    triples, kept = _for_batch(triples, events, hints)
-    actions = routing.triplestore_actions(
-        events,
-        hints,
-        triples,
-        options.triplestore_require_indexable,
-        options.triplestore_containers,
-    ).persist()
-    graph = options.named_graph
-    prefer = listed(options.prefer_omit), listed(options.prefer_include)
-    target = f"{options.target}/triplestore"
-    state.maintain_triple_index(actions, triples, target, graph, *prefer, batch_id, writer)
-    transport = _transport(options, "triplestore", _FORM)
-    if transport is not None:
-        messages = state.triple_messages(actions, triples, graph, *prefer)
-        for name, rows in (("first", F.col("part") == 0), ("rest", F.col("part") > 0)):
-            sent = messages.filter(rows)
-            _send(sent, transport, options, f"triplestore-{name}", batch_id, writer)
-    _report_missing(actions, triples, options, "triplestore", batch_id, writer)
-    actions.unpersist()
-    if kept:
-        triples.unpersist()
+    with kept(_for_batch(triples, events, hints)) as triples, kept(
+        routing.triplestore_actions(
+            events,
+            hints,
+            triples,
+            options.triplestore_require_indexable,
+            options.triplestore_containers,
+        )
+    ) as actions:
+        graph = options.named_graph
+        prefer = listed(options.prefer_omit), listed(options.prefer_include)
+        groups = options.prefer_groups
+        target = f"{options.target}/triplestore"
+        state.maintain_triple_index(
+            actions, triples, target, graph, *prefer, batch_id, writer, groups
+        )
+        transport = _transport(options, "triplestore", _FORM)
+        if transport is not None:
+            messages = state.triple_messages(actions, triples, graph, *prefer, groups)
+            _send(messages, transport, options, "triplestore", batch_id, writer, "uri", "part")
+        _report_missing(actions, triples, options, "triplestore", batch_id, writer)
+        if options.compact_every and batch_id and batch_id % options.compact_every == 0:
+            state.compact_triples(events.sparkSession, target)
 
 
 def search_step(events, hints, triples, options: Options, batch_id=0, writer="main"):
@@ -132,36 +165,36 @@ def search_step(events, hints, triples, options: Options, batch_id=0, writer="ma
     """
     if not options.include_containment:
         triples = apply_prefer(triples, omit=[vocab.PREFER_CONTAINMENT])
-    triples, kept = _for_batch(triples, events, hints)
-    actions = routing.search_actions(
-        events,
-        hints,
-        triples,
-        options.default_transform,
-        options.search_require_indexable,
-        options.check_transformation,
-        options.search_containers,
-    ).persist()
-    todo = routing.applicable(actions)
-    updates = todo.filter(F.col("action") == routing.UPDATE).select("uri", "transformation")
-    updates = updates.distinct().persist()
-    docs = search.apply_transforms(updates, triples, options.transforms)
-    state.maintain_search_index(todo, docs, f"{options.target}/search", batch_id, writer)
-    path = f"/update?commitWithin={options.commit_within}"
-    kinds = (("search-add", "text/xml"), ("search-delete", "application/json"))
-    for place, (name, content_type) in enumerate(kinds):
-        transport = _transport(options, "search", content_type, name, path)
-        if transport is not None:
-            messages = state.doc_messages(todo, docs)[place]
-            _send(messages, transport, options, name, batch_id, writer)
-    unknown = search.unknown_transforms(updates, options.transforms)
-    folder = f"{options.target}/dead/search-transforms"
-    delivery.write_dead_letters(unknown, folder, batch_id, writer)
-    _report_missing(actions, triples, options, "search", batch_id, writer)
-    updates.unpersist()
-    actions.unpersist()
-    if kept:
-        triples.unpersist()
+    with kept(_for_batch(triples, events, hints)) as triples, kept(
+        routing.search_actions(
+            events,
+            hints,
+            triples,
+            options.default_transform,
+            options.search_require_indexable,
+            options.check_transformation,
+            options.search_containers,
+        )
+    ) as actions:
+        todo = routing.applicable(actions)
+        updates = todo.filter(F.col("action") == routing.UPDATE).select("uri", "transformation")
+        with kept(updates.distinct()) as updates, kept(
+            search.apply_transforms(updates, triples, options.transforms)
+        ) as docs:
+            target = f"{options.target}/search"
+            state.maintain_search_index(todo, docs, target, batch_id, writer)
+            path = f"/update?commitWithin={options.commit_within}"
+            kinds = (("search-add", "text/xml"), ("search-delete", "application/json"))
+            for messages, (name, content_type) in zip(state.doc_messages(todo, docs), kinds):
+                transport = _transport(options, "search", content_type, name, path)
+                if transport is not None:
+                    _send(messages, transport, options, name, batch_id, writer)
+            unknown = search.unknown_transforms(updates, options.transforms)
+            folder = f"{options.target}/dead/search-transforms"
+            delivery.write_dead_letters(unknown, folder, batch_id, writer)
+        _report_missing(actions, triples, options, "search", batch_id, writer)
+        if options.compact_every and batch_id and batch_id % options.compact_every == 0:
+            state.compact_docs(events.sparkSession, target)
 
 
 def _report_missing(actions, triples, options, service, batch_id, writer):
@@ -172,24 +205,27 @@ def _report_missing(actions, triples, options, service, batch_id, writer):
 
 def triplestore_batch(inputs: Inputs, options: Options, writer: str):
     def run(batch: DataFrame, batch_id: int):
-        triples = inputs.triples(batch.select("uri").distinct())
-        triplestore_step(*_parts(batch), triples, options, batch_id, writer)
+        rows = _accepted(batch, options, "triplestore", batch_id, writer)
+        triples = inputs.triples(rows.select("uri").distinct())
+        triplestore_step(*_parts(rows), triples, options, batch_id, writer)
 
     return run
 
 
 def search_batch(inputs: Inputs, options: Options, writer: str):
     def run(batch: DataFrame, batch_id: int):
-        triples = inputs.triples(batch.select("uri").distinct())
-        search_step(*_parts(batch), triples, options, batch_id, writer)
+        rows = _accepted(batch, options, "search", batch_id, writer)
+        triples = inputs.triples(rows.select("uri").distinct())
+        search_step(*_parts(rows), triples, options, batch_id, writer)
 
     return run
 
 
 def audit_batch(inputs: Inputs, options: Options, writer: str):
     def run(batch: DataFrame, batch_id: int):
+        rows = _accepted(batch, options, "audit", batch_id, writer)
         state.append_audit(
-            batch,
+            rows,
             f"{options.target}/audit",
             options.event_base_uri,
             options.audit_containers,
@@ -198,12 +234,14 @@ def audit_batch(inputs: Inputs, options: Options, writer: str):
         )
         transport = _transport(options, "audit", _FORM)
         if transport is not None:
-            kept = audit_input(batch, options.audit_containers)
-            statements = audit_insert_statement(kept, options.event_base_uri)
+            audited = audit_input(rows, options.audit_containers)
+            statements = audit_insert_statement(audited, options.event_base_uri)
             messages = statements.select(form_encode("statement").alias("message"))
             _send(messages, transport, options, "audit", batch_id, writer)
-        letters = unaudited_events(batch)
+        letters = unaudited_events(rows)
         delivery.write_dead_letters(letters, f"{options.target}/dead/audit", batch_id, writer)
+        if options.compact_every and batch_id and batch_id % options.compact_every == 0:
+            state.compact_audit(batch.sparkSession, f"{options.target}/audit")
 
     return run
 
@@ -213,8 +251,9 @@ def forward_batch(inputs: Inputs, options: Options, writer: str):
     endpoint = None if transport else options.forward_url or None
 
     def run(batch: DataFrame, batch_id: int):
+        rows = _accepted(batch, options, "forward", batch_id, writer)
         messages = forwarding.forward_input(
-            batch.drop("from_hint"), None, options.forward_containers
+            rows.drop("from_hint"), None, options.forward_containers
         )
         delivery.forward(
             messages,
@@ -222,6 +261,7 @@ def forward_batch(inputs: Inputs, options: Options, writer: str):
             transport,
             endpoint,
             options.max_redeliveries,
+            options.redelivery_delay / 1000,
             batch_id=batch_id,
             writer=writer,
         )
@@ -233,7 +273,8 @@ def fixity_batch(inputs: Inputs, options: Options, writer: str):
     def run(batch: DataFrame, batch_id: int):
         uris = batch.select("uri").distinct()
         checked = fixity.only_binaries(uris, inputs.triples(uris))
-        results = fixity.verify_fixity(inputs.binaries(), inputs.manifest(), only=checked)
+        binaries = inputs.binaries(checked)
+        results = fixity.verify_fixity(binaries, inputs.manifest(), only=checked)
         folder = f"{options.target}/fixity/results/writer={writer}/batch={batch_id}"
         results.write.mode("overwrite").parquet(folder)
         delivery.fixity_sinks(
@@ -250,7 +291,7 @@ def fixity_batch(inputs: Inputs, options: Options, writer: str):
 
 def reindexing_batch(inputs: Inputs, options: Options, writer: str):
     def run(batch: DataFrame, batch_id: int):
-        hints = hierarchy.reindex(batch, inputs.edges(), options.base_url)
+        hints = hierarchy.reindex(batch, inputs.edges, options.base_url)
         here = f"{options.target}/hints/writer={writer}/batch={batch_id}"
         hints.write.mode("overwrite").partitionBy("recipient").json(here)
         answers = hierarchy.admit_requests(batch, options.base_url)
@@ -282,17 +323,36 @@ def _stream_of(name: str, inputs: Inputs) -> DataFrame | None:
     return None if inputs.events is None else _live_input(inputs)
 
 
-def _redelivered(run, max_redeliveries: int):
-    """Run a batch again if it fails, as every batch may be repeated. One that keeps failing
-    stops the query rather than losing its rows; a restart takes it up again."""
+def _redelivered(run, options: Options):
+    """Run a batch on rows read once. If it fails it is run again after a pause, as every batch
+    may be repeated; sends have attempts of their own and do not fail a batch. Mistakes in the
+    program are not tried again. A batch that keeps failing stops the query rather than losing
+    its rows; a restart takes it up again."""
 
     def attempt(batch: DataFrame, batch_id: int):
-        for left in range(max_redeliveries, -1, -1):
-            try:
-                return run(batch, batch_id)
-            except Exception:
-                if not left:
+        with kept(batch) as rows:
+            for left in range(options.max_redeliveries, -1, -1):
+                try:
+                    return run(rows, batch_id)
+                except (TypeError, AttributeError, NameError, KeyError, AnalysisException):
                     raise
+                except Exception:
+                    if not left:
+                        raise
+                    time.sleep(options.redelivery_delay / 1000)
+
+    return attempt
+
+
+def _spaced(run, delay: int):
+    """Batches at least ``delay`` milliseconds apart."""
+    last = [None]
+
+    def attempt(batch: DataFrame, batch_id: int):
+        if last[0] is not None:
+            time.sleep(max(0.0, last[0] + delay / 1000 - time.monotonic()))
+        last[0] = time.monotonic()
+        return run(batch, batch_id)
 
     return attempt
 
@@ -302,19 +362,22 @@ def build_services(inputs: Inputs, options: Options) -> dict[str, Callable]:
 
     ``starter(checkpoint, available_now=False)`` starts one and returns its query. The commit
     window is the trigger interval of the search service, the fixity delay that of the
-    fixity service; the file sources take ``maxFilesPerTrigger`` as their throttle.
+    fixity service, whose batches also keep that distance when all is taken at once; the file
+    sources take ``maxFilesPerTrigger`` as their throttle.
     """
     intervals = {"search": options.commit_within, "fixity": options.fixity_delay}
 
     def starter(name, stream):
+        def step(writer, available_now):
+            run = _BATCHES[name](inputs, options, writer)
+            return _spaced(run, options.fixity_delay) if name == "fixity" and available_now else run
+
         def start(checkpoint: str, available_now: bool = False):
             writer = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
             query = (
                 stream.writeStream.queryName(f"{name}-{writer}")
                 .option("checkpointLocation", checkpoint)
-                .foreachBatch(
-                    _redelivered(_BATCHES[name](inputs, options, writer), options.max_redeliveries)
-                )
+                .foreachBatch(_redelivered(step(writer, available_now), options))
             )
             if available_now:
                 query = query.trigger(availableNow=True)

@@ -6,7 +6,6 @@ from eventloom import schemas
 from eventloom.functions import form_encode
 from eventloom.operators.audit import audit_input, audit_triples
 from eventloom.operators.routing import DELETE, UPDATE
-from eventloom.operators.skew import hot_keys, salted, salted_copies, spread_join
 from eventloom.operators.search import search_add_command, search_delete_command
 from eventloom.operators.triples import (
     apply_prefer,
@@ -37,8 +36,9 @@ AUDIT_CHANGE = T.StructType([f for f in schemas.TRIPLE.fields if f.name in TRIPL
 
 
 def _seq(batch_id):
+    """Order of actions: event time (an undated one counts from when it is seen), then id."""
     return F.struct(
-        F.col("ts").cast("timestamp").alias("ts"),
+        F.coalesce(F.col("ts").cast("timestamp"), F.current_timestamp()).alias("ts"),
         F.col("event_id").cast("string").alias("event_id"),
         F.lit(batch_id).cast("long").alias("batch"),
     )
@@ -65,9 +65,9 @@ def _effective(actions: DataFrame, triples: DataFrame, batch_id: int) -> DataFra
 
 
 def triple_messages(
-    actions: DataFrame, triples: DataFrame, graph=None, omit=(), include=()
+    actions: DataFrame, triples: DataFrame, graph=None, omit=(), include=(), groups=None
 ) -> DataFrame:
-    """(part, message): form-post bodies that bring another triplestore up to date.
+    """(uri, part, message): form-post bodies that bring another triplestore up to date.
 
     One update or delete statement per uri, from its last action; parts as in
     ``update_statement``.
@@ -75,15 +75,23 @@ def triple_messages(
     effective = _effective(actions, triples, 0)
     last = effective.groupBy("uri").agg(F.max_by("action", "seq").alias("action"))
     updates = last.filter(F.col("action") == UPDATE).select(F.col("uri").alias("doc"))
-    wanted = spread_join(apply_prefer(triples, include, omit), updates, "doc", "inner")
+    wanted = apply_prefer(triples, include, omit, groups).join(updates, "doc")
     deletes = delete_statement(last.filter(F.col("action") == DELETE), graph=graph)
-    statements = update_statement(wanted, graph).select("part", "statement")
-    deletes = deletes.select(F.lit(0).alias("part"), "statement")
-    return statements.unionByName(deletes).select("part", form_encode("statement").alias("message"))
+    statements = update_statement(wanted, graph).select("uri", "part", "statement")
+    deletes = deletes.select("uri", F.lit(0).alias("part"), "statement")
+    return statements.unionByName(deletes).select(
+        "uri", "part", form_encode("statement").alias("message")
+    )
 
 
 def triple_changes(
-    actions: DataFrame, triples: DataFrame, graph=None, omit=(), include=(), batch_id: int = 0
+    actions: DataFrame,
+    triples: DataFrame,
+    graph=None,
+    omit=(),
+    include=(),
+    batch_id: int = 0,
+    groups=None,
 ) -> DataFrame:
     """Actions as log rows: ``purge`` of a subject, ``add`` of a triple.
 
@@ -102,8 +110,8 @@ def triple_changes(
         *none,
     )
     updates = known.filter(F.col("action") == UPDATE).select(F.col("uri").alias("doc"), "seq")
-    wanted = in_named_graph(apply_prefer(triples, include, omit), graph)
-    adds = spread_join(wanted, updates, "doc", "inner").select(
+    wanted = in_named_graph(apply_prefer(triples, include, omit, groups), graph)
+    adds = wanted.join(updates, "doc").select(
         F.lit("add").alias("op"), "seq", *TRIPLE_KEY
     )
     return purges.unionByName(adds)
@@ -112,23 +120,24 @@ def triple_changes(
 def fold_triples(changes: DataFrame) -> DataFrame:
     """Current triples: those added no earlier than the last purge of their subject.
 
-    An update's own triples carry the sequence of its purge and so survive it.
+    An update's own triples carry the sequence of its purge and so survive it. Equal triples
+    meet first, spread by their whole content; the join with the purges comes last, so that
+    adaptive execution may broadcast these or split a subject with very many triples.
     """
     home = F.concat_ws("\u0001", F.coalesce("graph", F.lit("")), "subject")
-    keyed = changes.withColumn("_home", home)
-    adds = keyed.filter(F.col("op") == "add").drop("op")
+    adds = changes.filter(F.col("op") == "add").groupBy(*TRIPLE_KEY).agg(F.max("seq").alias("seq"))
     purges = (
-        keyed.filter(F.col("op") == "purge").groupBy("_home").agg(F.max("seq").alias("_purged"))
+        changes.filter(F.col("op") == "purge")
+        .groupBy(home.alias("_home"))
+        .agg(F.max("seq").alias("_purged"))
     )
-    hot = hot_keys(adds, "_home")
-    # Equal triples share a salt, so the join's layout also serves the grouping.
-    spread = salted(adds, "_home", hot, by=TRIPLE_KEY)
     return (
-        spread.join(salted_copies(purges, "_home", hot), ["_home", "_salt"], "left")
-        .filter(F.col("_purged").isNull() | (F.col("seq") >= F.col("_purged")))
-        .groupBy("_home", "_salt", *TRIPLE_KEY)
-        .agg(F.max("seq").alias("seq"))
-        .drop("_home", "_salt")
+        adds.withColumn("_home", home)
+        .join(purges, "_home", "left")
+        .filter(
+            F.col("_purged").isNull() | F.coalesce(F.col("seq") >= F.col("_purged"), F.lit(False))
+        )
+        .drop("_home", "_purged")
     )
 
 
@@ -141,9 +150,10 @@ def maintain_triple_index(
     include=(),
     batch_id: int = 0,
     writer: str = "main",
+    groups=None,
 ) -> None:
     """Apply one batch of actions to the triple index at ``target``."""
-    changes = triple_changes(actions, triples, graph, omit, include, batch_id)
+    changes = triple_changes(actions, triples, graph, omit, include, batch_id, groups)
     changelog.write_batch(changes, target, batch_id, writer)
 
 
@@ -154,9 +164,15 @@ def load_triples(triples: DataFrame, target: str) -> None:
     changelog.rebase(triples.sparkSession, target, rows)
 
 
-def current_triples(spark: SparkSession, target: str) -> DataFrame:
-    """The triple index as a table."""
+def current_triples(spark: SparkSession, target: str, subjects=None) -> DataFrame:
+    """The triple index as a table; with ``subjects`` (one column) what is said about these.
+
+    The subjects restrict the log before it is folded, so that a look-up does not fold it all.
+    """
     changes = changelog.read_changes(spark, target, TRIPLE_CHANGE)
+    if subjects is not None:
+        wanted = subjects.select(F.col(subjects.columns[0]).alias("subject")).distinct()
+        changes = changes.join(wanted, "subject", "left_semi")
     return fold_triples(changes).select(*TRIPLE_KEY)
 
 
@@ -169,8 +185,16 @@ def clear(spark: SparkSession, target: str, graph=None, keep=None) -> None:
     """Empty the index, or one named graph of it."""
     if keep is None:
         keep = F.lit(False) if graph is None else ~F.col("graph").eqNullSafe(F.lit(graph))
-    state = fold_triples(changelog.read_changes(spark, target, TRIPLE_CHANGE)).filter(keep)
-    rows = state.select(F.lit("add").alias("op"), "seq", *TRIPLE_KEY)
+
+    def rows(batches):
+        changes = changelog.read_changes(spark, target, TRIPLE_CHANGE, batches)
+        state = fold_triples(changes).filter(keep)
+        added = state.select(F.lit("add").alias("op"), "seq", *TRIPLE_KEY)
+        # The last purge of a subject stays, as an older update may still arrive.
+        purges = changes.filter(F.col("op") == "purge").filter(keep)
+        last = purges.groupBy("op", *TRIPLE_KEY).agg(F.max("seq").alias("seq"))
+        return added.unionByName(last)
+
     changelog.rebase(spark, target, rows)
 
 
@@ -241,8 +265,13 @@ def current_docs(spark: SparkSession, target: str) -> DataFrame:
 
 
 def compact_docs(spark: SparkSession, target: str) -> None:
-    state = fold_docs(changelog.read_changes(spark, target, DOC_CHANGE))
-    rows = state.select(F.lit("put").alias("op"), "seq", *schemas.SEARCH_DOC.fieldNames())
+    """Fold the log into a new base."""
+
+    def rows(batches):
+        last = _last_docs(changelog.read_changes(spark, target, DOC_CHANGE, batches))
+        # Removals stay, as an older update may still arrive.
+        return last.select("op", "seq", *schemas.SEARCH_DOC.fieldNames())
+
     changelog.rebase(spark, target, rows)
 
 
@@ -269,4 +298,6 @@ def current_audit(spark: SparkSession, target: str) -> DataFrame:
 
 def compact_audit(spark: SparkSession, target: str) -> None:
     """Drop what was delivered more than once."""
-    changelog.rebase(spark, target, current_audit(spark, target))
+    changelog.rebase(
+        spark, target, lambda b: rdf_set(changelog.read_changes(spark, target, AUDIT_CHANGE, b))
+    )

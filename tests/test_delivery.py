@@ -62,15 +62,64 @@ def test_folder_endpoint(spark, tmp_path):
     assert [r.value for r in lines.collect()] == ['{"id":"a"}']
 
 
-def test_post_request_carries_credentials():
-    request = delivery.HttpPost("http://localhost/x", "user", "secret").request("{}")
+def test_credentials_travel_without_the_connection():
+    post = delivery.HttpPost("http://localhost/x", "user", "secret")
     value = "Basic " + base64.b64encode(b"user:secret").decode()
-    assert request.get_header("Authorization") == value
-    assert request.get_method() == "POST" and request.data == b"{}"
+    assert post.headers["Authorization"] == value
+    post.connection = object()
+    assert cloudpickle.loads(cloudpickle.dumps(post)).connection is None
     for blank in (None, "", "  "):
-        assert delivery.HttpPost("http://localhost/x", blank, "p").request("").headers.keys() == {
-            "Content-type"
-        }
+        assert delivery.HttpPost("http://localhost/x", blank, "p").headers.keys() == {"Content-Type"}
+
+
+class Answers:
+    """A connection that answers as told and counts how often it was made."""
+
+    made = 0
+    codes = []
+
+    def __init__(self, *_args, **_kwargs):
+        Answers.made += 1
+
+    def request(self, *_args):
+        self.status = Answers.codes.pop(0)
+        if self.status is None:
+            raise OSError("reset")
+
+    def getresponse(self):
+        self.reason = "told"
+        return self
+
+    def read(self):
+        return b""
+
+    def close(self):
+        pass
+
+
+def test_a_connection_is_kept_until_it_fails(monkeypatch):
+    monkeypatch.setattr(delivery.http.client, "HTTPConnection", Answers)
+    post, Answers.codes, Answers.made = delivery.HttpPost("http://localhost/x?y=1"), [200, 204, None, 200, 503], 0
+    post("a")
+    post("b")
+    for error in (OSError, None, OSError):
+        try:
+            post("c")
+            assert error is None
+        except OSError as problem:
+            assert error is OSError and ("reset" in str(problem) or "503" in str(problem))
+    assert Answers.made == 2
+
+
+def test_parts_after_a_failed_one_are_not_sent(spark):
+    rows = spark.createDataFrame(
+        [("u", 0, "ok"), ("u", 1, "never"), ("u", 2, "ok"), ("v", 0, "ok"), ("v", 1, "ok")],
+        "uri string, part int, message string",
+    )
+    out = delivery.with_retry(rows, Rejects(), "message", 1, group="uri", order="part").collect()
+    found = {(r.uri, r.part): (r.attempts, r.error) for r in out}
+    assert found[("u", 1)] == (2, "OSError: down") and found[("u", 2)] == (0, "an earlier part failed")
+    assert [found[k] for k in (("u", 0), ("v", 0), ("v", 1))] == [(1, None)] * 3
 
 
 def test_basic_auth_column(spark):

@@ -1,5 +1,7 @@
 import hashlib
 
+from pyspark.sql import functions as F
+
 from eventloom import vocab
 from eventloom.operators import fixity
 
@@ -68,3 +70,16 @@ def test_content_is_not_shuffled(spark, tmp_path):
     text = plan._jdf.queryExecution().executedPlan().toString()
     above = text[: text.index("Exchange")] if "Exchange" in text else text
     assert "content#" not in above.split("Project")[0]
+
+
+def test_files_are_digested_in_chunks_and_only_when_asked_for(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fixity, "CHUNK", 3)
+    (tmp_path / "a").write_bytes(b"0123456789")
+    (tmp_path / "b").write_bytes(b"")
+    names = [("u:a", str(tmp_path / "a")), ("u:b", f"file://{tmp_path / 'b'}"), ("u:gone", str(tmp_path / "c"))]
+    files = spark.createDataFrame([*names, ("u:not-asked", "no:such://place")], "uri string, path string")
+    asked = files.filter("uri <> 'u:not-asked'").select("uri")
+    manifest = asked.select("uri", F.concat(F.lit("urn:sha-256:"), F.sha2(F.lit("0123456789"), 256)).alias("digest"), F.lit(10).alias("size"))
+    got = {r.uri: r for r in fixity.verify_fixity(files, manifest, only=asked).collect()}
+    assert {u: r.outcome for u, r in got.items()} == {"u:a": "SUCCESS", "u:b": "FAILURE", "u:gone": "FAILURE"}
+    assert got["u:b"].actual_size == 0 and got["u:gone"].actual_digest is None

@@ -2,9 +2,9 @@ import pytest
 
 from eventloom import schemas
 from eventloom.operators import hierarchy
+from eventloom.sources import read_edges, write_edges
 
-FOO, BAR, BAZ = "broker:queue:foo", "broker:queue:bar", "broker:queue:baz"
-BODY = f'["{FOO}","{BAR}"]'
+FOO, BAR, BAZ = "queue:one", "queue:two", "topic:three"
 JSON = "application/json"
 
 
@@ -16,16 +16,17 @@ def requests(spark, *rows):
 @pytest.mark.parametrize(
     "content_type, header, body, expected",
     [
-        (None, None, "", set()),
-        (None, f"{FOO}, {BAR},\t\n{FOO}   ", "", {FOO, BAR}),
-        (JSON, None, BODY, {FOO, BAR}),
-        (JSON, BAZ, BODY, {FOO, BAR, BAZ}),
-        (JSON, BAZ, None, {BAZ}),
-        (None, BAZ, BODY, {BAZ}),
-        ("application/foo", BAZ, BODY, {BAZ}),
-        (JSON, BAZ, "    ", {BAZ}),
-        (JSON, None, f'{{"x":"{FOO}","y":"{BAR}"}}', {FOO, BAR}),
-        (JSON, f"{BAZ}, ,", "[]", {BAZ}),
+        (None, None, None, set()),
+        ("text/plain", f" {FOO} ", f'["{BAR}"]', {FOO}),
+        (JSON, f"{FOO},,{FOO}\t,{BAR}\n", None, {FOO, BAR}),
+        (JSON, FOO, " \n ", {FOO}),
+        (JSON, BAZ, f'["{FOO}", "{BAZ}", "{BAR}"]', {FOO, BAR, BAZ}),
+        (JSON, None, f'{{"a": "{FOO}", "b": "{BAR}"}}', {FOO, BAR}),
+        (JSON, BAZ, "{}", {BAZ}),
+        (JSON, None, f'["{FOO}", {{"x": "{BAR}"}}, ["{BAZ}"], null, " "]', {FOO}),
+        (JSON, None, f'{{"a": {{"b": "{BAR}"}}, "c": "{FOO}"}}', {FOO}),
+        (JSON, None, "[7, true, 1.5]", {"7", "true", "1.5"}),
+        (JSON, BAR, '"a scalar"', {BAR}),
     ],
 )
 def test_recipients(spark, content_type, header, body, expected):
@@ -69,12 +70,21 @@ def test_walk_ends_on_cycles_and_at_max_depth(spark):
     assert hierarchy.traverse(ring, roots(spark, "lone")).count() == 1
 
 
-def test_walk_with_a_very_large_container(spark):
-    pairs = [("r", f"n{n}") for n in range(500)] + [(f"n{n}", f"m{n}") for n in range(0, 500, 5)]
+def test_walk_over_stored_edges_reads_only_touched_buckets(spark, tmp_path):
+    pairs = [("r", f"n{n}") for n in range(300)] + [(f"n{n}", f"m{n}") for n in range(0, 300, 5)]
+    pairs += [("r", "n0"), ("far", "away"), ("r", None)]
+    write_edges(edges(spark, *pairs), str(tmp_path), 8)
+    asked = []
+
+    def stored(parents):
+        found = read_edges(spark, str(tmp_path), parents)
+        asked.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    walked = sorted(map(tuple, hierarchy.traverse(stored, roots(spark, "r", "n5")).collect()))
     plain = hierarchy.traverse(edges(spark, *pairs), roots(spark, "r", "n5"))
-    spread = hierarchy.traverse(edges(spark, *pairs), roots(spark, "r", "n5"), hot_rows=100, salts=4)
-    rows = sorted(map(tuple, spread.collect()))
-    assert rows == sorted(map(tuple, plain.collect())) and len(rows) == 603
+    assert walked == sorted(map(tuple, plain.collect())) and len(walked) == 363
+    assert all("PartitionFilters: [" in text and "bucket" in text.split("PartitionFilters: [")[1][:60] for text in asked), asked
 
 
 def test_reindex_sends_every_node_to_every_recipient(spark):

@@ -20,10 +20,11 @@ def test_property_names():
             "fixity.enabled": "yes",
             "error.maxRedeliveries": "3",
             "triplestore.namedGraph": "urn:g",
-            "solr.repo.checkHasIndexingTransformation": "false",
-            "solr.repo.defaultTransform": "own",
+            "search.checkTransformation": "false",
+            "search.defaultTransform": "own",
             "http.baseUrl": "http://localhost/in",
-            "repo.baseUrl": "http://h/rest",
+            "repository.baseUrl": "http://h/rest",
+            "whatever.baseUrl": "http://elsewhere",
             "solr.baseUrl": "http://search",
             "triplestore.baseUrl": "http://store",
             "audit.triplestore.authUsername": "me",

@@ -8,15 +8,16 @@ import uuid
 
 import pytest
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import BASE
 from eventloom import schemas, vocab
 from eventloom.operators import events as ev
 from eventloom.options import Options
-from eventloom.plans.queries import TRANSFORMS
+from eventloom.plans.queries import _transforms
 from eventloom.sources import read_events, read_hints, read_reindex_requests
-from eventloom.streaming import delivery, services, state
+from eventloom.streaming import changelog, delivery, state
 from eventloom.streaming.services import Inputs, build_services, search_step, triplestore_step
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -55,7 +56,7 @@ def random_events(seed, n=30):
 
 
 def with_times(df):
-    return df.withColumn("ts", F.to_timestamp("date_time"))
+    return df.withColumn("ts", F.try_to_timestamp("date_time"))
 
 
 def simulate(rows, start=()):
@@ -93,8 +94,7 @@ def stored(spark, target):
 
 
 @pytest.mark.parametrize("seed", range(2))
-def test_triple_index_equals_the_simulation(spark, events, triples, tmp_path, seed, monkeypatch):
-    monkeypatch.setattr(services, "is_small", lambda df: seed == 0)
+def test_triple_index_equals_the_simulation(spark, events, triples, tmp_path, seed):
     rows, snapshot = random_events(seed), triples(*SNAPSHOT)
     start = [(URIS[0], "urn:p", "old"), ("urn:other", "urn:p", "kept")]
     state.load_triples(triples(*[(*t, "literal") for t in start]), f"{tmp_path}/triplestore")
@@ -235,7 +235,7 @@ def test_services_over_many_batches_equal_one_batch(spark, triples, tmp_path):
     settings = options(
         str(tmp_path / "stream"), audit_enabled=True, triplestore_enabled=True,
         search_enabled=True, forward_enabled=True, forward_url=str(tmp_path / "sent"),
-        transforms=TRANSFORMS,
+        transforms=_transforms(),
     )
     built = build_services(Inputs(events=live(), triples=lambda uris: snapshot), settings)
     assert set(built) == {"audit", "triplestore", "search", "forward"}
@@ -294,7 +294,7 @@ def test_reindexing_and_fixity_services(spark, triples, tmp_path):
     inputs = Inputs(
         checks=read_hints(spark, str(tmp_path / "checks"), True),
         requests=read_reindex_requests(spark, str(tmp_path / "requests"), True),
-        triples=lambda uris: kinds, edges=lambda: edges, binaries=lambda: content, manifest=lambda: manifest,
+        triples=lambda uris: kinds, edges=lambda parents: edges, binaries=lambda uris: content, manifest=lambda: manifest,
     )
     settings = Options(target=str(tmp_path / "t"), base_url=BASE, fixity_enabled=True)
     for name, service in build_services(inputs, settings).items():
@@ -307,3 +307,60 @@ def test_reindexing_and_fixity_services(spark, triples, tmp_path):
     assert {r.uri: r.outcome for r in results} == {URIS[0]: "SUCCESS", URIS[1]: "FAILURE"}
     failed = look.schema(schemas.HINT).json(f"{tmp_path}/t/fixity/failures").collect()
     assert [r.uri for r in failed] == [URIS[1]]
+
+
+def test_a_batch_that_ends_during_compaction_is_read(spark, events, triples, tmp_path):
+    rows, snapshot = random_events(3), triples(*SNAPSHOT)
+    path = f"{tmp_path}/triplestore"
+    triplestore_step(with_times(events(*rows[:10])), None, snapshot, options(str(tmp_path)), 0)
+    before = changelog.finished_batches(spark, path)
+    triplestore_step(with_times(events(*rows[10:])), None, snapshot, options(str(tmp_path)), 1)
+    expected = stored(spark, tmp_path)
+    base = state.fold_triples(changelog.read_changes(spark, path, state.TRIPLE_CHANGE, before))
+    purges = changelog.read_changes(spark, path, state.TRIPLE_CHANGE, before).filter("op = 'purge'")
+    frame = base.select(F.lit("add").alias("op"), "seq", *schemas.TRIPLE_KEY).unionByName(purges)
+    changelog.rebase(spark, path, frame, before)
+    assert stored(spark, tmp_path) == expected == simulate(rows)
+
+
+def test_a_missing_base_is_an_error(spark, triples, tmp_path):
+    path = f"{tmp_path}/triplestore"
+    state.load_triples(triples((URIS[0], "p", "o", "uri")), path)
+    base = next(iter(os.listdir(f"{path}/bases")))
+    os.rename(f"{path}/bases/{base}", f"{tmp_path}/elsewhere")
+    with pytest.raises(AnalysisException):
+        state.current_triples(spark, path).count()
+    assert state.current_triples(spark, f"{tmp_path}/nothing").count() == 0
+
+
+def test_an_undated_delete_counts_when_it_is_seen(spark, events, triples, tmp_path):
+    update = {"event_id": "1", "uri": URIS[0], "event_types": [], "date_time": "2024-01-01T00:00:00Z"}
+    gone = {"event_id": "0", "uri": URIS[0], "event_types": [vocab.DELETE[1]], "date_time": ""}
+    for batch, row in enumerate((update, gone)):
+        triplestore_step(with_times(events(row)), None, triples(*SNAPSHOT), options(str(tmp_path)), batch)
+    assert not {t for t in stored(spark, tmp_path) if t[0] == URIS[0]}
+
+
+def test_unreadable_events_become_dead_letters_of_the_services(spark, triples, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = [body(random_events(1)[0]), "{}", "no json", '{"foo": 1}']
+    (tmp_path / "in" / "a.json").write_text("\n".join(lines))
+    events = read_events(spark, str(tmp_path / "in"), True, rejects=True)
+    settings = options(str(tmp_path / "t"), audit_enabled=True, forward_enabled=True, forward_url=str(tmp_path / "sent"))
+    for name, service in build_services(Inputs(events=events), settings).items():
+        run(service, tmp_path / f"checkpoint-{name}")
+        letters = delivery.read_dead_letters(spark, f"{tmp_path}/t/dead/{name}-input").collect()
+        assert {r.payload for r in letters} == set(lines[1:])
+
+
+def test_a_processing_time_trigger_and_compaction(spark, triples, tmp_path):
+    rows = random_events(7, 20)
+    write_event_files(tmp_path / "in", rows, 5)
+    events = read_events(spark, str(tmp_path / "in"), True, maxFilesPerTrigger=1)
+    settings = options(str(tmp_path / "t"), triplestore_enabled=True, compact_every=2)
+    inputs = Inputs(events=events, triples=lambda uris: triples(*SNAPSHOT))
+    query = build_services(inputs, settings)["triplestore"](str(tmp_path / "checkpoint"))
+    query.processAllAvailable()
+    query.stop()
+    assert len(os.listdir(tmp_path / "t/triplestore/bases")) >= 1
+    assert stored(spark, tmp_path / "t") == simulate(rows)
