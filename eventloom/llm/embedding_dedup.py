@@ -13,8 +13,8 @@ from eventloom.llm.blocks import group_starts, merge, whole_groups
 from eventloom.llm.common import components, stored, table
 
 COSINE = 0.93
-#: Vectors a cell should hold, the most cells (they travel with tasks), vectors that k-means
-#: is fitted on at most (smallest hash first), its rounds, and vectors in a block.
+#: Vectors of one label a cell should hold, the most cells (they travel with tasks), vectors
+#: that k-means is fitted on at most (smallest hash first), its rounds, and vectors in a block.
 CELL, MAX_CELLS, FIT_ROWS, ROUNDS, BLOCK = 2_048, 512, 100_000, 4, 1_024
 
 
@@ -49,7 +49,10 @@ def distinct_vectors(vectors: DataFrame) -> DataFrame:
 
 
 def cell_centres(vectors: DataFrame, rows: int, dim: int) -> np.ndarray:
-    """Unit centres by spherical k-means on a bounded sample; sums are made in tasks."""
+    """Unit centres by spherical k-means on a bounded sample; sums are made in tasks.
+
+    ``rows`` is the size of the largest set that is compared within itself.
+    """
     k = max(1, min(MAX_CELLS, math.ceil(rows / CELL)))
     if k == 1 or not dim:
         return np.zeros((1, dim))
@@ -203,7 +206,10 @@ def embedding_dedup(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """
     vectors = vectors.select("vec_id", "embedding", "label")
     classes = distinct_vectors(vectors)
-    told = classes.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("d")).first()
+    # Vectors meet within their label only, so the largest label tells how many cells it takes.
+    told = classes.groupBy("label").agg(
+        F.count("*").alias("n"), F.max(F.size("embedding")).alias("d")
+    ).agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"), F.max("d").alias("d")).first()
     dim = told.d or 0
     found = compared(classes, dim, cosine, cell_centres(classes, told.n, dim))
     links = found.groupBy("c").agg(F.sum("links").alias("links"))
