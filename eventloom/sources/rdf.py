@@ -73,12 +73,30 @@ def _with_triple(df, line):
     return with_value(step, "t", F.when(good, triple)).select(*keep, "t")
 
 
-def _as_triples(df, parts, doc, order, graph):
-    """Spread the parsed struct into the triple schema."""
+def _as_triples(df, parts, doc, order, graph, scope=None):
+    """Spread the parsed struct into the triple schema.
+
+    Blank node labels hold within a text or file only; ``scope`` (the document by default)
+    keeps equal labels of different ones apart.
+    """
+    mark = F.substring(F.md5((doc if scope is None else scope).cast("binary")), 1, 12)
+
+    def own(label):
+        """The label with the mark; one that bears it already (read again) stays."""
+        named = F.concat(F.lit("_:"), mark, F.lit("-"))
+        bare = label.substr(F.lit(3), F.length(label))
+        return F.when(label.startswith(named), label).otherwise(F.concat(named, bare))
+
+    subject, object_ = parts["subject"], parts["object"]
+    values = {
+        **{c: parts[c] for c in _COLUMNS},
+        "subject": F.when(subject.startswith("_:"), own(subject)).otherwise(subject),
+        "object": F.when(parts["object_kind"] == "bnode", own(object_)).otherwise(object_),
+    }
     return df.select(
         F.lit(graph).cast("string").alias("graph"),
-        *[parts[c].alias(c) for c in _COLUMNS],
-        doc.alias("doc"),
+        *[values[c].alias(c) for c in _COLUMNS],
+        F.when(doc.startswith("_:"), own(doc)).otherwise(doc).alias("doc"),
         order.cast("long").alias("ord"),
     )
 
@@ -104,10 +122,11 @@ def read_ntriples(
     split file have no global order, so ``ord`` is null and ties are broken by value.
     """
     source = spark.readStream if streaming else spark.read
-    lines = source.options(**options).text(path)
+    lines = source.options(**options).text(path).select("value", F.col("_metadata.file_path").alias("file"))
     parsed = _with_triple(lines, "value").filter(F.col("t").isNotNull())
     home = F.substring_index(F.col("t.subject"), "#", 1)
-    return _as_triples(parsed, F.col("t"), home, F.lit(None), graph)
+    # A blank node of a file is described under its own, kept-apart name.
+    return _as_triples(parsed, F.col("t"), home, F.lit(None), graph, F.col("file"))
 
 
 def unreadable_ntriples(df: DataFrame, line: str = "value") -> DataFrame:
@@ -130,10 +149,10 @@ def _description_rows(text):
 
     lang_key = "{http://www.w3.org/XML/1998/namespace}lang"
     rows = []
-    for node in root.findall(rdf("Description")):
+    for number, node in enumerate(root.findall(rdf("Description"))):
         subject = node.get(rdf("about"))
         if subject is None:
-            subject = "_:" + node.get(rdf("nodeID"), "")
+            subject = "_:" + node.get(rdf("nodeID"), f"-{number}")
         for item in node:
             if not isinstance(item.tag, str):
                 continue
@@ -183,9 +202,11 @@ def read_rdfxml(
     """One RDF/XML description per file; the document is named after its first subject."""
     source = spark.readStream if streaming else spark.read
     files = source.options(**options).text(path, wholetext=True)
-    parsed = files.select(_description_column(F.col("value")).alias("rows"))
+    files = files.select("value", F.col("_metadata.file_path").alias("file"))
+    parsed = files.select("file", _description_column(F.col("value")).alias("rows"))
     rows = parsed.select(
         F.try_element_at("rows", F.lit(1))["subject"].alias("doc"),
+        "file",
         F.posexplode_outer("rows").alias("ord", "t"),
     ).filter(F.col("t").isNotNull())
-    return _as_triples(rows, F.col("t"), F.col("doc"), F.col("ord"), graph)
+    return _as_triples(rows, F.col("t"), F.col("doc"), F.col("ord"), graph, F.col("file"))
