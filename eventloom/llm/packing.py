@@ -32,27 +32,60 @@ def worker_cache(vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         module = types.ModuleType(name)
         module.tokenizer, module.words = Tokenizer.from_str(vocabulary), {}
+        ends = np.zeros(module.tokenizer.get_vocab_size(), bool)
+        ends[[i for w, i in module.tokenizer.get_vocab().items() if w.endswith("</w>")]] = True
+        module.ends = ends
         sys.modules[name] = module
     return sys.modules[name]
 
 
+def new_words(words: list[bytes], cache):
+    """(word, ids) by the tokenizer. Words of letters alone go many at a time: each ends in the
+    only token that closes a word. Where the count of these differs, as where lower case makes
+    a mark of its own, they go one by one."""
+    plain, other = [], []
+    for word in words:
+        text = word.decode("utf-8", "replace")
+        (plain if text.isalpha() else other).append((word, text))
+    for k in range(0, len(plain), 256):
+        group = plain[k : k + 256]
+        joined = cache.tokenizer.encode(" ".join([t for _, t in group]), add_special_tokens=False)
+        ids = np.array(joined.ids, "<u2")
+        last = 2 * (np.flatnonzero(cache.ends[ids]) + 1)
+        if len(last) != len(group):
+            other += group
+            continue
+        data, at = ids.tobytes(), 0
+        for (word, _), end in zip(group, last.tolist()):
+            yield word, data[at:end]
+            at = end
+    told = cache.tokenizer.encode_batch([t for _, t in other], add_special_tokens=False)
+    for (word, _), encoding in zip(other, told):
+        yield word, np.array(encoding.ids, "<u2").tobytes()
+
+
 def token_bytes(texts: list[bytes], cache) -> list[bytes]:
     """Each text's ids as unsigned 16-bit numbers.
 
-    The vocabulary never joins characters across white space, so a text's ids are those of its
-    words one after the other, and a word is only tokenised when it is new.
+    The vocabulary is one of lower case and never joins characters across white space, so a
+    text's ids are those of its words one after the other, and a word is tokenised when it is
+    new. It also parts letters from signs: letters and a full stop or comma are two words.
     """
-    split = [t.split() for t in texts]
+    split = [t.lower().split() for t in texts]
     known, new = cache.words, set()
     for words in split:
         new.update(set(words).difference(known))
     extra = {}
     if new:
-        fresh_words = list(new)
-        told = cache.tokenizer.encode_batch(
-            [w.decode("utf-8", "replace") for w in fresh_words], add_special_tokens=False
-        )
-        extra = {w: np.array(e.ids, "<u2").tobytes() for w, e in zip(fresh_words, told)}
+        # Letters with a sign after them take over the ids of the letters alone.
+        bases = {}
+        for word in new:
+            if word[-1:] in (b".", b",") and word[:-1].decode("utf-8", "replace").isalpha():
+                bases[word] = word[:-1]
+        missing = {*(new - bases.keys()), *(x for x in bases.values() if x not in known), b".", b","}
+        extra = dict(new_words(sorted(missing), cache))
+        for word, base in bases.items():
+            extra[word] = (extra[base] if base in extra else known[base]) + extra[word[-1:]]
         if len(known) + len(extra) <= REMEMBERED:
             known.update(extra)
             extra = {}
