@@ -62,4 +62,4 @@ def test_stored_rows_and_names(spark):
     df = spark.range(10).withColumnRenamed("id", "Row")
     assert fresh(df, "row") != "row" and fresh(df, "other") == "other"
     kept = stored(df, "test")
-    assert kept.schema == df.schema and kept.count() == 10
+    assert kept.dtypes == df.dtypes and kept.count() == 10
