@@ -127,6 +127,17 @@ def _send(messages, transport, options: Options, name: str, batch_id, writer, gr
     )
 
 
+def _preferences(options: Options):
+    """(omit, include) as far as their predicates are known; a preference is a wish, and one
+    that nobody can read is passed over."""
+    groups = options.prefer_groups
+    named = listed(options.prefer_omit), listed(options.prefer_include)
+    if isinstance(groups, DataFrame):
+        return named
+    known = {*vocab.PREFER_GROUPS, *(groups or {})}
+    return tuple([name for name in names if name in known] for names in named)
+
+
 def triplestore_step(events, hints, triples, options: Options, batch_id=0, writer="main"):
     """Decide and apply one batch for the triple index; actions are worked out once.
 
@@ -143,7 +154,7 @@ def triplestore_step(events, hints, triples, options: Options, batch_id=0, write
         )
     ) as actions:
         graph = options.named_graph
-        prefer = listed(options.prefer_omit), listed(options.prefer_include)
+        prefer = _preferences(options)
         groups = options.prefer_groups
         target = f"{options.target}/triplestore"
         state.maintain_triple_index(

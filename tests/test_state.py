@@ -364,3 +364,14 @@ def test_a_processing_time_trigger_and_compaction(spark, triples, tmp_path):
     query.stop()
     assert len(os.listdir(tmp_path / "t/triplestore/bases")) >= 1
     assert stored(spark, tmp_path / "t") == simulate(rows)
+
+
+def test_preferences_come_from_options(spark, events, triples, tmp_path):
+    rows = with_times(events({"event_id": "1", "uri": URIS[2], "event_types": [], "date_time": "2024-01-01T00:00:00Z"}))
+    for folder, more in (
+        ("unknown", {"prefer_omit": "urn:managed"}),
+        ("given", {"prefer_omit": "urn:managed", "prefer_groups": {"urn:managed": ["urn:p"]}}),
+    ):
+        triplestore_step(rows, None, triples(*SNAPSHOT), options(str(tmp_path / folder), **more))
+        said = {p for _, p, _ in stored(spark, tmp_path / folder)}
+        assert (("urn:p" in said), vocab.RDF_TYPE in said) == (folder == "unknown", True)
