@@ -9,7 +9,6 @@ from eventloom.plans.views import (
     DEFAULT,
     EVENT_BASE,
     GRAPH,
-    RESOURCE,
     UNKNOWN,
     with_views,
 )

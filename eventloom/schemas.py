@@ -85,8 +85,3 @@ LEGACY_BODY = _struct(
     ),
     ("wasAttributedTo", T.ArrayType(_struct(("name", T.StringType())))),
 )
-
-
-def empty(spark, schema):
-    """An empty frame of the given schema."""
-    return spark.createDataFrame([], schema)

@@ -23,11 +23,16 @@ def local_session(cpus="8", memory="12g", app="eventloom") -> SparkSession:
     return spark
 
 
+# Folders of this process's applications that are there and marked for removal.
+_HOMES: set = set()
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared checkpoint folder the session names.
 
     Only where the session names none (a single machine, as in tests) a temporary folder
-    is made and recorded in the session, so that every later job uses the same one.
+    is made and recorded in the session, so that every later job uses the same one. What an
+    application writes here lies in one folder of its own, which goes when its session ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -36,4 +41,12 @@ def work_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="eventloom-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/eventloom/{name}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    home = f"{root.rstrip('/')}/eventloom/{context.applicationId}"
+    if home not in _HOMES:
+        place = context._jvm.org.apache.hadoop.fs.Path(home)
+        files = place.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(place)
+        files.deleteOnExit(place)
+        _HOMES.add(home)
+    return f"{home}/{name}-{uuid.uuid4().hex}"
