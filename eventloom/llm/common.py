@@ -28,10 +28,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = work_dir(spark, f"llm-{name}")
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
 
 
