@@ -195,7 +195,9 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     kept = stored(docs.withColumn(row, F.monotonically_increasing_id()), "line-documents")
     gone = repeated_places(lined(kept, "text", row), min_words)
     names = ["n_lines", "n_removed", "removed_words"]
-    joined = kept.drop(*names).join(gone.withColumnRenamed("row", row), row, "left").drop(row)
+    # The lists of lines grow with the corpus: one plan for every size, by shuffle.
+    joined = kept.drop(*names).join(gone.withColumnRenamed("row", row).hint("merge"), row, "left")
+    joined = joined.drop(row)
     carried = [c for c in joined.columns if c not in ("gone", "gone_words")]
 
     def run(batches):
