@@ -18,7 +18,7 @@ from eventloom.llm.common import stored, table, whole_text
 
 WINDOW, END = 2_048, 1
 #: Words a Python worker remembers the tokens of.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 #: Combinations listed for each length with a third one, and rounds of least squares.
 THIRDS, ROUNDS = 24, 300
 
