@@ -224,7 +224,8 @@ def mix_documents(docs: DataFrame) -> DataFrame:
         F.array_repeat(F.lit(None).cast("int"), whole),
         F.when(part > 0, F.array(part.cast("int"))).otherwise(F.array().cast("array<int>")),
     )
-    out = kept.join(taken, row).withColumn(text, F.explode(copies))
+    # What is taken grows with the corpus: one plan for every size, by shuffle.
+    out = kept.join(taken.hint("merge"), row).withColumn(text, F.explode(copies))
     words = F.regexp_extract_all("text", F.lit("[\\x20\\x09-\\x0D]*" + WORD), F.lit(0))
     first = F.when(F.col(text).isNull(), F.col("text")).otherwise(
         F.array_join(F.slice(words, 1, F.col(text)), "")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.blocks import group_starts, merge, units, whole_groups
-from eventloom.llm.common import components, fresh, stored, table, whole_text
+from eventloom.llm.common import components, fresh, stored, table
 
 SHINGLE, SEED, DISTANCE = 3, 42, 2
 #: Ring of segments; a chain's first ``CLEAN`` segments have no budget and form the key.
@@ -48,22 +48,21 @@ def fingerprint(text: bytes) -> int:
 
 def fingerprinted(docs: DataFrame, text: str, fp: str, row: str) -> DataFrame:
     """The rows with ``fp`` (64 bits in a long) and ``row`` (a number of its own), stored."""
-    raw = fresh(docs, "raw")
     carried = docs.columns
     schema = docs.select("*", F.lit(0).cast("long").alias(fp), F.lit(0).cast("long").alias(row)).schema
 
     def run(batches):
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
-            prints = [fingerprint(t) for t in batch.column(raw).to_pylist()]
+            texts = batch.column(text).cast(pa.binary())
+            prints = [fingerprint(t.as_py() or b"") for t in texts]
             columns = [batch.column(c) for c in carried]
             columns.append(pa.array(np.array(prints, np.uint64).view(np.int64)))
             columns.append(pa.array(np.arange(number, number + batch.num_rows)))
             number += batch.num_rows
             yield pa.RecordBatch.from_arrays(columns, names=[*carried, fp, row])
 
-    rows = docs.select("*", whole_text(text).cast("binary").alias(raw))
-    return stored(rows.mapInArrow(run, schema), "fingerprints")
+    return stored(docs.mapInArrow(run, schema), "fingerprints")
 
 
 def links(prints: DataFrame) -> DataFrame:
@@ -195,7 +194,8 @@ def simhash_dedup(docs: DataFrame) -> DataFrame:
         .groupBy("root").agg(F.min("first").alias("first"))
     )
     kept = kept.select(F.col("first.row").alias(row))
-    return marked.join(kept, row, "left_semi").drop(fp, row)
+    # What stays grows with the corpus: one plan for every size, by shuffle.
+    return marked.join(kept.hint("merge"), row, "left_semi").drop(fp, row)
 
 
 def op8_simhash(spark, sf_dir):
