@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Paths of what ``stored`` has written, while ``recorded`` asks for them.
+_RECORDS: list = []
+
+
+@contextmanager
+def recorded():
+    """The paths that ``stored`` writes to meanwhile, as a list that fills."""
+    paths: list = []
+    _RECORDS.append(paths)
+    try:
+        yield paths
+    finally:
+        _RECORDS.remove(paths)
+
+
+def removed(spark: SparkSession, paths: list) -> None:
+    """Remove stored rows that nobody reads any more, and empty the list."""
+    while paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written once to the cluster's shared folder and read back.
 
@@ -28,6 +51,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = work_dir(spark, f"llm-{name}")
     df.write.parquet(path)
+    for paths in _RECORDS:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
