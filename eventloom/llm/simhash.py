@@ -1,4 +1,4 @@
-"""SimHash near-duplicates found by pigeonring filtering."""
+"""SimHash near-duplicates found by pigeonring filtering, and near-duplicates by similarity."""
 
 from __future__ import annotations
 
@@ -19,26 +19,39 @@ BITS = 64 // SEGMENTS
 CLEAN = (SEGMENTS - 1) // DISTANCE
 #: Fingerprints in a block: a unit of work compares at most two blocks.
 BLOCK = 4_096
+#: The general rule for near-copies: word shingles, and the Jaccard similarity of their sets.
+NEAR_SHINGLE, SIMILARITY = 5, 0.8
+#: Bands of minima that propose pairs: at similarity 0.8 a pair misses all with 3e-6.
+BANDS, ROWS = 24, 4
+_RANDOM = np.random.default_rng(SEED)
+MIXERS = list(zip(*_RANDOM.integers(0, 2**64, (2, BANDS * ROWS), np.uint64) | np.array([[1], [0]], np.uint64)))
+#: Sets in a block, as ``BLOCK``.
+NEAR_BLOCK = 1_024
 
 
-def fingerprint(text: bytes) -> int:
-    """A bit is 1 if it is set in over half the hashes of the text's shingles."""
+def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """Hashes of all runs of so many words; fewer words make one, a text without words none."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(words)
     lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
     ends = np.cumsum(lengths) - 1
     starts = ends - lengths + 1
-    last = SHINGLE - 1
+    last = shingle - 1
     if len(words) > last:
-        starts, ends = starts[:-last], ends[last:]
+        starts, ends = starts[: len(words) - last], ends[last:]
     else:
         starts, ends = starts[:1], ends[-1:]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array(
-        [digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist())], "<u8"
-    )
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist())], "<u8")
+
+
+def fingerprint(text: bytes) -> int:
+    """A bit is 1 if it is set in over half the hashes of the text's shingles."""
+    hashes = shingle_hashes(text, SHINGLE)
+    if not len(hashes):
+        return 0
     counts = np.zeros(64, np.int64)
     for k in range(0, len(hashes), 32_768):
         part = hashes[k : k + 32_768].view(np.uint8).reshape(-1, 8)
@@ -198,5 +211,152 @@ def simhash_dedup(docs: DataFrame) -> DataFrame:
     return marked.join(kept.hint("merge"), row, "left_semi").drop(fp, row)
 
 
+def sketch(hashes: np.ndarray) -> list:
+    """A key for each band: texts of similarity s share a band's key with probability
+    s ** ``ROWS``, and miss all of them with (1 - s ** ROWS) ** BANDS."""
+    least = np.array([(hashes * a + b).min() for a, b in MIXERS], "<u8").reshape(BANDS, ROWS)
+    return [xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(least)]
+
+
+def shingled(docs: DataFrame, shingle: int, digest: str, keys: str, row: str) -> DataFrame:
+    """The rows with ``digest`` (of the set of shingles), ``keys`` (a key for each band, none
+    without words) and ``row`` (a number of its own), stored."""
+    carried = docs.columns
+    schema = docs.select(
+        "*", F.lit(b"").alias(digest), F.array(F.lit(0).cast("long")).alias(keys), F.lit(0).cast("long").alias(row)
+    ).schema
+
+    def run(batches):
+        number = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            digests, sketches = [], []
+            for t in batch.column("text").cast(pa.binary()):
+                found = np.unique(shingle_hashes(t.as_py() or b"", shingle))
+                digests.append(xxhash.xxh3_128_digest(found.tobytes()))
+                sketches.append(np.array(sketch(found) if len(found) else [], np.uint64).view(np.int64))
+            columns = [batch.column(c) for c in carried]
+            columns.append(pa.array(digests, pa.binary()))
+            columns.append(pa.array(sketches, pa.list_(pa.int64())))
+            columns.append(pa.array(np.arange(number, number + batch.num_rows)))
+            number += batch.num_rows
+            yield pa.RecordBatch.from_arrays(columns, names=[*carried, digest, keys, row])
+
+    return stored(docs.mapInArrow(run, schema), "sketches")
+
+
+def similar(values: np.ndarray, starts: np.ndarray, left, right, similarity: float):
+    """(i, j): pairs that connect what is similar enough between the sets ``left`` and ``right``.
+
+    ``values`` holds the sets one after the other, each ascending. A set meets, by exact Jaccard,
+    those that are not connected with it yet.
+    """
+    sizes = np.diff(starts)
+    codes = np.unique(values, return_inverse=True)[1]
+    marked = np.zeros(len(values), bool)
+    labels, out = np.arange(len(sizes)), []
+    for i in left:
+        # A set is in no pair with one that is too small or too large.
+        fits = (labels[right] != labels[i]) & (sizes[right] >= similarity * sizes[i] - 1) & (
+            sizes[i] >= similarity * sizes[right] - 1
+        )
+        others = right[fits]
+        if not len(others):
+            continue
+        mine = codes[starts[i] : starts[i + 1]]
+        marked[mine] = True
+        offsets = np.cumsum(sizes[others]) - sizes[others]
+        places = np.repeat(starts[others] - offsets, sizes[others]) + np.arange(sizes[others].sum())
+        both = np.add.reduceat(marked[codes[places]].astype(np.int64), offsets)
+        marked[mine] = False
+        near = others[both / (sizes[i] + sizes[others] - both) >= similarity]
+        for j in near.tolist():
+            if labels[i] != labels[j]:
+                low, high = sorted((labels[i], labels[j]))
+                labels[labels == high] = low
+                out.append((i, j))
+    return out
+
+
+def similar_links(sets: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Edges (u, v) that connect all sets that share a band's key and are similar enough.
+
+    ``sets(node, keys)``: ``node`` is a row of ``docs(row, text)``. Bands that bring the same
+    sets together count once. A unit gives a spanning forest of what it finds, never all pairs.
+    """
+    keyed = sets.select("node", F.explode("keys").alias("bucket"))
+    met = keyed.groupBy("bucket").agg(
+        F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("node")).alias("one"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("two"),
+    )
+    once = met.where("n > 1").groupBy("n", "one", "two").agg(F.min("bucket").alias("bucket"))
+    held = stored(keyed.join(stored(once.select("bucket"), "near-buckets"), "bucket"), "near-held")
+
+    def read(batches):
+        for batch in batches:
+            found = [np.unique(shingle_hashes(t.as_py() or b"", shingle)).view(np.int64) for t in batch.column("text").cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), pa.array(found, pa.list_(pa.int64()))], names=["node", "hashes"]
+            )
+
+    wanted = held.select(F.col("node").alias("row")).distinct()
+    texts = docs.join(wanted.hint("merge"), "row", "left_semi").mapInArrow(read, "node long, hashes array<long>")
+    hashes = stored(texts, "near-hashes")
+    by = ["bucket", "unit_a", "unit_b"]
+    dealt = units(held.join(hashes.hint("merge"), "node"), "bucket", "node", NEAR_BLOCK, "near")
+
+    def run(batches):
+        for rows in whole_groups(batches, by):
+            nodes = rows.column("node").to_numpy()
+            own = rows.column("unit_own").to_numpy()
+            same_block = rows.column("unit_a").to_numpy() == rows.column("unit_b").to_numpy()
+            first = rows.column("unit_a").to_numpy()
+            starts = np.append(group_starts(rows, by), rows.num_rows)
+            edges = []
+            for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
+                part = rows.column("hashes").slice(s, e - s).combine_chunks()
+                part = part.combine_chunks() if isinstance(part, pa.ChunkedArray) else part
+                sizes = part.value_lengths().to_numpy()
+                ends = np.concatenate([[0], np.cumsum(sizes)])
+                values = part.flatten().to_numpy().view(np.uint64)
+                every = np.arange(e - s)
+                left = every if same_block[s] else every[own[s:e] == first[s]]
+                right = every if same_block[s] else every[own[s:e] != first[s]]
+                edges += [(nodes[s + i], nodes[s + j]) for i, j in similar(values, ends, left, right, similarity)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(x[k]) for x in edges], pa.int64()) for k in (0, 1)], names=["u", "v"]
+            )
+
+    return dealt.mapInArrow(run, "u long, v long")
+
+
+def near_dedup(docs: DataFrame, shingle: int = NEAR_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """The documents without near-copies: of each component the smallest doc_id stays.
+
+    Documents are linked if the sets of their shingles have a Jaccard similarity of at least
+    ``similarity``, which is computed for every pair that shares a band's key and is not
+    connected yet. Fewer words than ``shingle`` make one shingle; texts without words (or null)
+    are alike. Of rows that repeat an id the first read stays; a component without ids keeps
+    one row. All columns come through as they are.
+    """
+    digest, keys, row = fresh(docs, "digest"), fresh(docs, "keys"), fresh(docs, "row")
+    marked = shingled(docs, shingle, digest, keys, row)
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", F.col(row).alias("row"))
+    # Equal sets are one node from the start, so copies cost one row each.
+    groups = marked.groupBy(F.col(digest).alias("digest")).agg(F.min(first).alias("first"))
+    groups = stored(groups.select(F.col("first.row").alias("node"), "first"), "near-groups")
+    sets = marked.select(F.col(row).alias("node"), F.col(keys).alias("keys")).join(
+        groups.select("node").hint("merge"), "node", "left_semi"
+    )
+    texts = marked.select(F.col(row).alias("row"), "text")
+    roots = components(similar_links(stored(sets, "near-sets"), texts, shingle, similarity), "near")
+    kept = (
+        groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        .groupBy("root").agg(F.min("first").alias("first"))
+    )
+    kept = kept.select(F.col("first.row").alias(row))
+    return marked.join(kept.hint("merge"), row, "left_semi").drop(digest, keys, row)
+
+
 def op8_simhash(spark, sf_dir):
     return simhash(table(spark, sf_dir, "documents"))

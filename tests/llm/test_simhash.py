@@ -86,3 +86,58 @@ def test_blocks_of_a_large_bucket(spark, monkeypatch):
     for k, f in enumerate(prints):
         assert same.setdefault(named[k], got[f]) == got[f]
     assert len(set(got.values())) == len(set(named))
+
+
+def plain_near(rows):
+    """Smallest doc_id of each component of texts with 5-word Jaccard of 0.8, by all pairs."""
+    sets = []
+    for _, text in rows:
+        w = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
+        sets.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or len(a & b) / len(a | b) >= 0.8:
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    least = {}
+    for k, (d, _) in enumerate(rows):
+        least[find(k)] = min(least.get(find(k), d), d)
+    return sorted(least.values())
+
+
+def test_edited_copies_go_in_the_pipeline(spark, monkeypatch):
+    import corpus_pipeline
+
+    monkeypatch.setattr(sh, "NEAR_BLOCK", 4)
+    rows = []
+    for n in range(20):
+        words = [f"w{n}x{k}" for k in range(100)]
+        rows.append((100 * n, " ".join(words)))
+        for c in range(1, 3 + n // 2):  # one word or two: similarity about 0.9 and 0.81
+            rows.append((100 * n + c, " ".join(
+                f"new{c}" if k in (10 * c % 97, 50 + c * (n % 2)) else w for k, w in enumerate(words)
+            )))
+    # 96 shingles each, 85 of them shared: 85 / 107 < 0.8
+    words = [f"edge{k}" for k in range(100)]
+    rows += [(5000, " ".join(words)), (5001, " ".join(f"e{k}" if k in (2, 20, 40) else w for k, w in enumerate(words)))]
+    rows += [(6000, "one two"), (6001, "ONE  two"), (6002, "one"), (6003, ""), (6004, None), (6004, " ")]
+    docs = spark.createDataFrame([(*r, 1, "d") for r in rows], "doc_id long, text string, row int, digest string")
+    got = corpus_pipeline.near_stage(spark, docs, None)
+    assert got.columns == docs.columns
+    kept = sorted(r.doc_id for r in got.collect())
+    assert kept == plain_near(rows)
+    assert {100 * n for n in range(20)} | {5000, 5001, 6000, 6002, 6003} == set(kept)
+    assert sh.near_dedup(docs.limit(0)).count() == 0
+
+
+def test_edited_copies_of_the_sample(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    assert sorted(r.doc_id for r in sh.near_dedup(docs).collect()) == plain_near(rows)
