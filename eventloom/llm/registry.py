@@ -1,6 +1,7 @@
 """Queries of this subpackage and the SQL that checks them."""
 
 from eventloom.llm import (
+    byte_bpe,
     embedding_dedup,
     exact_dedup,
     html_text,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_html_wrappers": html_text.op9_html_wrappers,
     "op10_quality": quality.op10_quality,
+    "op11_byte_bpe": byte_bpe.op11_byte_bpe,
 }
 CHECKS = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
