@@ -10,6 +10,7 @@ from eventloom.llm import (
     line_dedup,
     mixing,
     packing,
+    periodic_runs,
     quality,
     simhash,
 )
@@ -26,7 +27,9 @@ QUERIES = {
     "op9_html_wrappers": html_text.op9_html_wrappers,
     "op10_quality": quality.op10_quality,
     "op11_byte_bpe": byte_bpe.op11_byte_bpe,
+    "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 CHECKS = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
+    "op13_periodic_runs": periodic_runs.OP13_SQL,
 }
