@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import re
 import sys
 import types
 import zlib
@@ -51,11 +50,11 @@ CONTRACT = f"""
 with recursive step(spot, id, turn) as (
   (select spot, id, 0 from ({START.format(bits=16)}))
   union all
-  (with pairs as (
+  (with pairs as materialized (
      select a.spot, a.id, a.turn, m.merged
      from step a left join step b on b.spot = a.spot + 1
      left join merges m on m.pair = (a.id << 20) + b.id
-   ), best as (
+   ), best as materialized (
      select spot >> 16 as word, min((merged << 16) + (spot & 65535)) as score
      from pairs where merged is not null group by 1
    )
@@ -105,8 +104,6 @@ select s.run, case when count(t.id) = count(*) then string_agg(t.h, '' order by
 from runs s left join tokens t on t.id = s.id group by s.run
 """
 
-ODD = re.compile(r" \s|\s ")
-
 
 def vocabulary(name: str = "byte_bpe_50k.tiktoken") -> tuple[bytes, str]:
     """A rank file's content and the pattern that splits a text before merging."""
@@ -120,25 +117,16 @@ class Remembered:
     """Two generations of a dictionary: what was used since the last change survives the next."""
 
     def __init__(self, limit):
-        self.limit, self.new, self.old = limit, {}, {}
-
-    def known(self, keys: set) -> dict:
-        """Values of those keys that are known; these become new again."""
-        found = {}
-        for k in keys:
-            value = self.new.get(k)
-            if value is None:
-                value = self.old.get(k)
-                if value is None:
-                    continue
-                self.new[k] = value
-            found[k] = value
-        return found
-
-    def add(self, more: dict):
-        self.new.update(more)
-        if len(self.new) > self.limit:
-            self.old, self.new = self.new, {}
+        self.limit, self.values, self.old = limit, {}, {}
+
+    def missing(self, keys: set) -> set:
+        """Keys to be added; the others are in ``values`` now."""
+        if len(self.values) > self.limit:
+            self.old, self.values = self.values, {}
+        rest = keys.difference(self.values)
+        back = rest.intersection(self.old)
+        self.values.update({k: self.old[k] for k in back})
+        return rest - back
 
 
 class Codec:
@@ -213,64 +201,38 @@ class Codec:
                 out[word] = done[word]
         return out
 
-    def split(self, text: str) -> list:
-        """Stretches that are coded apart: the first stands alone, the others follow a space.
-
-        Only a space between two characters that are not white space parts stretches: there the
-        pattern always starts a new word with the space.
-        """
-        stretches = text.split(" ")
-        if ODD.search(text):
-            merged = [stretches[0]]
-            for s in stretches[1:]:
-                last = merged[-1]
-                if last and s and not last[-1].isspace() and not s[0].isspace():
-                    merged.append(s)
-                else:
-                    merged[-1] = f"{last} {s}"
-            stretches = merged
-        stretches[0] = (stretches[0],)
-        return stretches
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit numbers."""
-        split = [self.split(t.decode("utf-8", "replace")) for t in texts]
+    def pieces(self, texts: list[bytes]) -> list:
+        """For each text the packed ids of its words, little-endian unsigned 32-bit numbers."""
+        split = [self.findall(t.decode("utf-8", "replace")) for t in texts]
         wanted = set()
-        for s in split:
-            wanted.update(s)
-        known = self.coded.known(wanted)
-        new = {}
-        for s in wanted.difference(known):
-            new[s] = [w.encode() for w in self.findall(s[0] if isinstance(s, tuple) else f" {s}")]
-        words = set()
-        for found in new.values():
-            words.update(found)
-        ids = self.words_coded(words)
-        fresh = {s: b"".join([ids[w] for w in found]) for s, found in new.items()}
-        known.update(fresh)
-        self.coded.add(fresh)
-        return [b"".join(map(known.__getitem__, s)) for s in split]
-
-    def decode(self, packed: list[bytes]) -> list:
-        """Each document's bytes; None where an id is not of the vocabulary or one is cut off.
-
-        Ids are looked up run by run, a run beginning at each token that begins with a space, so
-        that runs that repeat are decoded once.
+        for words in split:
+            wanted.update(words)
+        new = {w: w.encode() for w in self.coded.missing(wanted)}
+        ids = self.words_coded(set(new.values()))
+        known = self.coded.values
+        known.update({w: ids[b] for w, b in new.items()})
+        return [list(map(known.__getitem__, words)) for words in split]
+
+    def runs(self, packed: bytes):
+        """A document's ids cut before each token that begins with a space; None if cut amiss."""
+        if len(packed) % 4:
+            return None
+        ids = np.minimum(np.frombuffer(packed, "<u4"), len(self.opens) - 1)
+        cuts = (4 * np.flatnonzero(self.opens[ids])).tolist()
+        starts = cuts if cuts[:1] == [0] else [0, *cuts]
+        return [packed[i:j] for i, j in zip(starts, [*starts[1:], len(packed)])] if packed else []
+
+    def decode(self, split: list) -> list:
+        """The bytes that each list of packed ids stands for; None where an id is unknown.
+
+        What repeats is decoded once: ids become rows, meet the vocabulary and are put together
+        in the order of their places.
         """
-        split = []
-        for p in packed:
-            if len(p) % 4:
-                split.append(None)
-                continue
-            ids = np.minimum(np.frombuffer(p, "<u4"), len(self.opens) - 1)
-            cuts = (4 * np.flatnonzero(self.opens[ids])).tolist()
-            starts = cuts if cuts[:1] == [0] else [0, *cuts]
-            split.append([p[i:j] for i, j in zip(starts, [*starts[1:], len(p)])] if p else [])
         wanted = set()
-        for s in split:
-            wanted.update(s or ())
-        known = self.decoded.known(wanted)
-        new = list(wanted.difference(known))
+        for pieces in split:
+            wanted.update(pieces or ())
+        new = list(self.decoded.missing(wanted))
+        known = self.decoded.values
         if new:
             ids = np.frombuffer(b"".join(new), "<u4").astype(np.int64)
             self.put("runs", {
@@ -278,13 +240,14 @@ class Codec:
                 "place": np.arange(len(ids)), "id": ids,
             })
             rows = self.db.execute(DECODE).fetchall()
-            fresh = {new[k]: bytes.fromhex(h) for k, h in rows if h is not None}
-            known.update(fresh)
-            self.decoded.add(fresh)
-        return [
-            None if s is None or any(r not in known for r in s) else b"".join([known[r] for r in s])
-            for s in split
-        ]
+            known.update({new[k]: bytes.fromhex(h) for k, h in rows if h is not None})
+            if any(h is None for _, h in rows):
+                return [None if p is None or any(r not in known for r in p) else self.joined(p, known) for p in split]
+        return [None if p is None else self.joined(p, known) for p in split]
+
+    @staticmethod
+    def joined(pieces, known):
+        return b"".join(map(known.__getitem__, pieces))
 
 
 def worker_codec(content: bytes, pattern: str) -> Codec:
@@ -307,8 +270,9 @@ def slices(values: pa.Array, limit: int = SLICE):
         at = end
 
 
-def encode(docs: DataFrame, rank_file: tuple[bytes, str]) -> DataFrame:
-    """(doc_id, n_tokens, ids): every text's tokens, as tiktoken's ``encode_ordinary`` gives them.
+def encode(docs: DataFrame, rank_file: tuple[bytes, str], decoded: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids): every text's tokens, as tiktoken's ``encode_ordinary`` gives them;
+    with ``decoded`` also the bytes that these ids stand for, as ``decode`` gives them.
 
     ``ids`` packs little-endian unsigned 32-bit numbers, as token files hold them. A null text is
     empty and has no tokens; a null id stays null; repeated rows are coded each; an empty table
@@ -322,28 +286,31 @@ def encode(docs: DataFrame, rank_file: tuple[bytes, str]) -> DataFrame:
     """
     sent = docs.sparkSession.sparkContext.broadcast(rank_file)
     id_type = docs.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "n_tokens", "ids", *["decoded"] * decoded]
 
     def run(batches):
         codec = worker_codec(*sent.value)
         for batch in batches:
             for at, texts in slices(batch.column(1)):
-                packed = codec.encode(texts)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(at, len(texts)),
-                    pa.array([len(p) // 4 for p in packed], pa.int64()),
-                    pa.array(packed, pa.binary()),
-                ], ["doc_id", "n_tokens", "ids"])
+                pieces = codec.pieces(texts)
+                packed = [b"".join(p) for p in pieces]
+                counts = pa.array([len(p) // 4 for p in packed], pa.int64())
+                columns = [batch.column(0).slice(at, len(texts)), counts, pa.array(packed, pa.binary())]
+                if decoded:
+                    columns.append(pa.array(codec.decode(pieces), pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = docs.select("doc_id", whole_text().cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {id_type}, n_tokens long, ids binary")
+    kinds = f"doc_id {id_type}, n_tokens long, ids binary"
+    return rows.mapInArrow(run, f"{kinds}, decoded binary" if decoded else kinds)
 
 
 def decode(coded: DataFrame, rank_file: tuple[bytes, str]) -> DataFrame:
-    """(doc_id, n_tokens, ids, decoded): the bytes that a document's ids stand for.
+    """(doc_id, ids, decoded): the bytes that a stored document's packed ids stand for.
 
     Null ids are none; ids that the vocabulary lacks, or a length that is no multiple of four
     bytes, give null. Nothing is shuffled; each partition joins its ids with the vocabulary and
-    puts the pieces together in order.
+    puts the tokens together in order, ids that repeat between two spaces once.
     """
     sent = coded.sparkSession.sparkContext.broadcast(rank_file)
     id_type = coded.schema["doc_id"].dataType.simpleString()
@@ -351,20 +318,18 @@ def decode(coded: DataFrame, rank_file: tuple[bytes, str]) -> DataFrame:
     def run(batches):
         codec = worker_codec(*sent.value)
         for batch in batches:
-            for at, packed in slices(batch.column(2)):
-                cut = batch.slice(at, len(packed))
-                decoded = pa.array(codec.decode(packed), pa.binary())
-                yield pa.RecordBatch.from_arrays([*cut.columns, decoded], ["doc_id", "n_tokens", "ids", "decoded"])
+            for at, packed in slices(batch.column(1)):
+                columns = batch.slice(at, len(packed)).columns
+                told = pa.array(codec.decode([codec.runs(p) for p in packed]), pa.binary())
+                yield pa.RecordBatch.from_arrays([*columns, told], ["doc_id", "ids", "decoded"])
 
-    ids = F.coalesce("ids", F.lit(b""))
-    rows = coded.select("doc_id", F.expr("coalesce(n_tokens, 0)").cast("long").alias("n_tokens"), ids.alias("ids"))
-    return rows.mapInArrow(run, f"doc_id {id_type}, n_tokens long, ids binary, decoded binary")
+    rows = coded.select("doc_id", F.coalesce("ids", F.lit(b"")).alias("ids"))
+    return rows.mapInArrow(run, f"doc_id {id_type}, ids binary, decoded binary")
 
 
 def op11_byte_bpe(spark, sf_dir):
     """Token counts and the hashes of ids and of the bytes that they decode to."""
-    ranks = vocabulary()
-    return decode(encode(table(spark, sf_dir, "documents"), ranks), ranks).select(
+    return encode(table(spark, sf_dir, "documents"), vocabulary(), decoded=True).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),

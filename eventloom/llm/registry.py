@@ -11,6 +11,7 @@ from eventloom.llm import (
     mixing,
     packing,
     periodic_runs,
+    prefix_trie,
     quality,
     simhash,
 )
@@ -27,9 +28,11 @@ QUERIES = {
     "op9_html_wrappers": html_text.op9_html_wrappers,
     "op10_quality": quality.op10_quality,
     "op11_byte_bpe": byte_bpe.op11_byte_bpe,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
     "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 CHECKS = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
+    "op12_prefix_trie": prefix_trie.OP12_SQL,
     "op13_periodic_runs": periodic_runs.OP13_SQL,
 }
