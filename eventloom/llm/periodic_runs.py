@@ -241,13 +241,18 @@ def repeated(text: Column, doc_id: Column) -> Column:
     """Of documents whose id's checksum divides by ten: the text with its end made periodic."""
     h = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
     g = F.floor(h / 10)
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    n = F.size(words)
-    a = (g % n).cast("int")
-    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
-    tail = F.transform(F.sequence(a, n - 1), lambda i: F.get(words, a + (i - a) % p))
-    whole = F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")
-    return F.when((h % 10 == 0) & (n > 0), whole).otherwise(text)
+
+    def made(words):
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        tail = F.transform(F.sequence(a, n - 1), lambda i: F.get(words, a + (i - a) % p))
+        whole = F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")
+        return F.when(n > 0, whole).otherwise(text)
+
+    # The words are a variable of an outer function, so that they are found once and not per word.
+    words = F.array(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
+    return F.when(h % 10 == 0, F.get(F.transform(words, made), F.lit(0))).otherwise(text)
 
 
 def op13_periodic_runs(spark, sf_dir):
