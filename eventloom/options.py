@@ -45,6 +45,8 @@ _PROPERTIES = {
     "repository.baseUrl": "base_url",
     "error.redeliveryDelay": "redelivery_delay",
     "index.compactEvery": "compact_every",
+    "index.buckets": "index_buckets",
+    "index.keepGenerations": "keep_generations",
 }
 
 
@@ -92,6 +94,9 @@ class Options:
     # Milliseconds between two attempts, and batches between two new bases of an index (0: none).
     redelivery_delay: int = 0
     compact_every: int = 0
+    # Buckets of a new base (a divisor of 1,024), and generations of it that stay readable.
+    index_buckets: int = 1_024
+    keep_generations: int = 2
     base_url: str = _LOCAL
 
     # Not properties: where the services read and write, and how they reach other systems.

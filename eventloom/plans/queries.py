@@ -614,9 +614,11 @@ def _snapshot(spark, sf, target):
 def _load_stale_triples(snapshot, target):
     """What an index may hold before: old titles, all else as described."""
     old = F.when(F.col("predicate") == vocab.TITLE, "old title").otherwise(F.col("object"))
-    state.load_triples(snapshot.withColumn("object", old), f"{target}/triplestore")
+    state.load_triples(snapshot.withColumn("object", old), f"{target}/triplestore", BUCKETS)
 
 
+#: Buckets of the indexes over the sample tables.
+BUCKETS = 16
 _INDEX = ("subject", "predicate", "object", "object_kind", "datatype")
 
 
@@ -627,6 +629,7 @@ def _settings(target, **options):
         search_containers=AUDIT_CONTAINER,
         audit_containers=AUDIT_CONTAINER,
         forward_containers=AUDIT_CONTAINER,
+        index_buckets=BUCKETS,
         **options,
     )
 
@@ -649,7 +652,7 @@ def triple_index_state(spark, sf) -> DataFrame:
 def _load_stale_docs(snapshot, target):
     rows = tr.apply_prefer(snapshot, omit=[vocab.PREFER_CONTAINMENT])
     stale = search.default_search_doc(rows).withColumn("lastmodified", F.lit("long ago"))
-    state.load_docs(stale, f"{target}/search")
+    state.load_docs(stale, f"{target}/search", BUCKETS)
 
 
 @query
@@ -677,7 +680,7 @@ def missing_in_search(spark, sf) -> DataFrame:
 def compacted_triple_index(spark, sf) -> DataFrame:
     """The same index folded into a new base: the state must not change."""
     index = _updated_triple_index(spark, sf, work_dir(spark, "compacted-index"))
-    state.compact_triples(spark, index)
+    state.compact_triples(spark, index, BUCKETS)
     return state.current_triples(spark, index).select(*_INDEX)
 
 
@@ -710,7 +713,7 @@ def compacted_search_index(spark, sf) -> DataFrame:
     _load_stale_docs(snapshot, target)
     inputs = views.events(spark, sf), _late_hints(spark, sf), snapshot
     search_step(*inputs, _settings(target, transforms=_transforms()))
-    state.compact_docs(spark, f"{target}/search")
+    state.compact_docs(spark, f"{target}/search", BUCKETS)
     return _doc_columns(state.current_docs(spark, f"{target}/search"))
 
 
@@ -720,7 +723,7 @@ def clear_graph(spark, sf) -> DataFrame:
     target = work_dir(spark, "cleared-index")
     rows = views.triples(spark, sf)
     both = tr.in_named_graph(rows, GRAPH).unionByName(tr.in_named_graph(rows, None))
-    state.load_triples(both, target)
+    state.load_triples(both, target, BUCKETS)
     state.clear(spark, target, GRAPH)
     return state.current_triples(spark, target).select("graph", *_INDEX)
 

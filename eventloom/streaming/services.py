@@ -16,7 +16,7 @@ from eventloom.operators.audit import audit_input, audit_insert_statement, unaud
 from eventloom.operators.events import listed, merge_live_and_hints
 from eventloom.operators.triples import apply_prefer
 from eventloom.options import Options, enabled_services
-from eventloom.streaming import delivery, state
+from eventloom.streaming import changelog, delivery, state
 
 
 @dataclass
@@ -138,6 +138,15 @@ def _preferences(options: Options):
     return tuple([name for name in names if name in known] for names in named)
 
 
+def _compact(compact, spark, target, options: Options, batch_id) -> None:
+    """Fold an index's log if it is time; somebody else's new base is as good."""
+    if options.compact_every and batch_id and batch_id % options.compact_every == 0:
+        try:
+            compact(spark, target, options.index_buckets, options.keep_generations)
+        except changelog.BaseMoved:
+            pass
+
+
 def triplestore_step(events, hints, triples, options: Options, batch_id=0, writer="main"):
     """Decide and apply one batch for the triple index; actions are worked out once.
 
@@ -145,13 +154,13 @@ def triplestore_step(events, hints, triples, options: Options, batch_id=0, write
     resource in order.
     """
     with kept(_for_batch(triples, events, hints)) as triples, kept(
-        routing.triplestore_actions(
+        state.stamped(routing.triplestore_actions(
             events,
             hints,
             triples,
             options.triplestore_require_indexable,
             options.triplestore_containers,
-        )
+        ))
     ) as actions:
         graph = options.named_graph
         prefer = _preferences(options)
@@ -165,8 +174,7 @@ def triplestore_step(events, hints, triples, options: Options, batch_id=0, write
             messages = state.triple_messages(actions, triples, graph, *prefer, groups)
             _send(messages, transport, options, "triplestore", batch_id, writer, "uri", "part")
         _report_missing(actions, triples, options, "triplestore", batch_id, writer)
-        if options.compact_every and batch_id and batch_id % options.compact_every == 0:
-            state.compact_triples(events.sparkSession, target)
+        _compact(state.compact_triples, events.sparkSession, target, options, batch_id)
 
 
 def search_step(events, hints, triples, options: Options, batch_id=0, writer="main"):
@@ -177,7 +185,7 @@ def search_step(events, hints, triples, options: Options, batch_id=0, writer="ma
     if not options.include_containment:
         triples = apply_prefer(triples, omit=[vocab.PREFER_CONTAINMENT])
     with kept(_for_batch(triples, events, hints)) as triples, kept(
-        routing.search_actions(
+        state.stamped(routing.search_actions(
             events,
             hints,
             triples,
@@ -185,7 +193,7 @@ def search_step(events, hints, triples, options: Options, batch_id=0, writer="ma
             options.search_require_indexable,
             options.check_transformation,
             options.search_containers,
-        )
+        ))
     ) as actions:
         todo = routing.applicable(actions)
         updates = todo.filter(F.col("action") == routing.UPDATE).select("uri", "transformation")
@@ -204,8 +212,7 @@ def search_step(events, hints, triples, options: Options, batch_id=0, writer="ma
             folder = f"{options.target}/dead/search-transforms"
             delivery.write_dead_letters(unknown, folder, batch_id, writer)
         _report_missing(actions, triples, options, "search", batch_id, writer)
-        if options.compact_every and batch_id and batch_id % options.compact_every == 0:
-            state.compact_docs(events.sparkSession, target)
+        _compact(state.compact_docs, events.sparkSession, target, options, batch_id)
 
 
 def _report_missing(actions, triples, options, service, batch_id, writer):
@@ -251,8 +258,7 @@ def audit_batch(inputs: Inputs, options: Options, writer: str):
             _send(messages, transport, options, "audit", batch_id, writer)
         letters = unaudited_events(rows)
         delivery.write_dead_letters(letters, f"{options.target}/dead/audit", batch_id, writer)
-        if options.compact_every and batch_id and batch_id % options.compact_every == 0:
-            state.compact_audit(batch.sparkSession, f"{options.target}/audit")
+        _compact(state.compact_audit, batch.sparkSession, f"{options.target}/audit", options, batch_id)
 
     return run
 

@@ -1,6 +1,8 @@
 """Current-state indexes kept up to date by actions: triples, search documents, audit."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from eventloom import schemas
 from eventloom.functions import form_encode
@@ -17,6 +19,9 @@ from eventloom.operators.triples import (
 from eventloom.schemas import TRIPLE_KEY
 from eventloom.streaming import changelog
 
+#: Buckets of a base by default, and the slots that log rows carry (buckets divide them).
+BUCKETS = SLOTS = 1_024
+
 _SEQ = T.StructType(
     [
         T.StructField("ts", T.TimestampType()),
@@ -24,6 +29,7 @@ _SEQ = T.StructType(
         T.StructField("batch", T.LongType()),
     ]
 )
+_SLOT = T.StructField("slot", T.IntegerType())
 TRIPLE_CHANGE = T.StructType(
     [T.StructField("op", T.StringType()), T.StructField("seq", _SEQ)]
     + [f for f in schemas.TRIPLE.fields if f.name in TRIPLE_KEY]
@@ -35,6 +41,16 @@ DOC_CHANGE = T.StructType(
 AUDIT_CHANGE = T.StructType([f for f in schemas.TRIPLE.fields if f.name in TRIPLE_KEY])
 
 
+def _slot(key) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(SLOTS)).cast("int")
+
+
+def stamped(actions: DataFrame) -> DataFrame:
+    """Actions with a time: an undated one counts from when it is seen. Kept once per batch, all
+    that is worked out from the batch orders its actions alike."""
+    return actions.withColumn("ts", F.coalesce(F.col("ts").cast("timestamp"), F.current_timestamp()))
+
+
 def _seq(batch_id):
     """Order of actions: event time (an undated one counts from when it is seen), then id."""
     return F.struct(
@@ -44,6 +60,87 @@ def _seq(batch_id):
     )
 
 
+def _write_slotted(changes: DataFrame, key: str, target: str, batch_id: int, writer: str) -> None:
+    """A batch of the log with each row's slot, in order of slots within files, so that a look-up
+    skips what cannot hold its keys."""
+    rows = changes.withColumn("slot", _slot(key)).sortWithinPartitions("slot", key)
+    changelog.write_batch(rows, target, batch_id, writer)
+
+
+def _slots_of(keys: DataFrame) -> list:
+    """The slots that keys (one column) can be in: at most ``SLOTS`` numbers."""
+    return [r.s for r in keys.select(_slot(F.col(keys.columns[0])).alias("s")).distinct().collect()]
+
+
+def _log(spark, target, schema, manifest, batches=None, slots=None):
+    """The log's rows since the base, with ``slots`` only those in these; None without any."""
+    rows = changelog.read_log(spark, target, T.StructType([*schema.fields, _SLOT]), manifest, batches)
+    if rows is None:
+        return None
+    return (rows if slots is None else rows.filter(F.col("slot").isin(slots))).drop("slot")
+
+
+def _write_base(rows: DataFrame, key: str, manifest, target: str, buckets: int, layout, order) -> str:
+    """A new base: folders by ``layout``, files cut by range, so that a bucket or key of any size
+    takes as many files as it needs."""
+    base = changelog.new_base(manifest)
+    by = ["bucket", *order]
+    files = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.withColumn("bucket", _slot(key) % buckets).repartitionByRange(files, *by)
+    dealt.sortWithinPartitions(*by).write.partitionBy(*layout).parquet(changelog.base_path(target, base))
+    return base
+
+
+def _load(rows: DataFrame, key: str, target: str, buckets: int, layout, order) -> None:
+    """Start an index from rows; what has been written before is gone."""
+    if SLOTS % buckets:
+        raise ValueError(f"buckets must divide {SLOTS}")
+    spark = rows.sparkSession
+    before = changelog.manifest(spark, target)
+    batches = changelog.finished_batches(spark, target, before)
+    base = _write_base(rows, key, before, target, buckets, layout, order)
+    changelog.publish(
+        spark, target, before, parts={base: list(range(buckets))}, buckets=buckets, voids=(),
+        covered=changelog.ranges(batches, before.covered),
+    )
+
+
+def _compact(spark, target, schema, key, merge, buckets, layout, order, keep, beside=None) -> None:
+    """Fold the log into the base, bucket by bucket: only buckets that the log touches are written
+    anew, the others stay where they lie.
+
+    ``merge(base, log)`` gives a bucket's new rows. If a graph was emptied, or the base has no
+    buckets, all are written. ``beside(name, before, batches)`` writes what goes with a base.
+    """
+    before = changelog.manifest(spark, target)
+    batches = changelog.finished_batches(spark, target, before)
+    log = _log(spark, target, schema, before, batches)
+    flat = any(held is None for held in before.parts.values())
+    count = before.buckets or buckets
+    if log is None and not flat and not before.voids:
+        return changelog.expire(spark, target, keep)
+    touched = None
+    if not flat and not before.voids and before.parts:
+        touched = sorted({s % count for s in _slots_of(log.select(key))})
+    base = changelog.read_base(spark, target, schema, before, touched)
+    if base is None and log is None:
+        changelog.publish(spark, target, before, parts={}, voids=())
+        return changelog.expire(spark, target, keep)
+    rows = merge(None if base is None else base.drop("bucket"), log)
+    name = _write_base(rows, key, before, target, count, layout, order)
+    fresh = list(range(count)) if touched is None else touched
+    parts = {} if touched is None else {
+        b: left for b, held in before.parts.items() if (left := sorted(set(held) - set(touched)))
+    }
+    if beside is not None:
+        beside(name, before, batches)
+    changelog.publish(
+        spark, target, before, parts={**parts, name: fresh}, buckets=count, voids=(),
+        covered=changelog.ranges(batches, before.covered),
+    )
+    changelog.expire(spark, target, keep)
+
+
 def _last_of_each(actions: DataFrame, batch_id: int) -> DataFrame:
     """(uri, action, seq): the last update and the last delete of each uri, map-side first."""
     return (
@@ -117,6 +214,22 @@ def triple_changes(
     return purges.unionByName(adds)
 
 
+def _home() -> Column:
+    return F.concat_ws("\u0001", F.coalesce("graph", F.lit("")), "subject")
+
+
+def _unpurged(adds: DataFrame, purges: DataFrame) -> DataFrame:
+    """Added triples (with ``_home``) that no later purge of their subject removes."""
+    last = purges.groupBy(_home().alias("_home")).agg(F.max("seq").alias("_purged"))
+    return (
+        adds.join(last, "_home", "left")
+        .filter(
+            F.col("_purged").isNull() | F.coalesce(F.col("seq") >= F.col("_purged"), F.lit(False))
+        )
+        .drop("_purged")
+    )
+
+
 def fold_triples(changes: DataFrame) -> DataFrame:
     """Current triples: those added no earlier than the last purge of their subject.
 
@@ -124,21 +237,53 @@ def fold_triples(changes: DataFrame) -> DataFrame:
     meet first, spread by their whole content; the join with the purges comes last, so that
     adaptive execution may broadcast these or split a subject with very many triples.
     """
-    home = F.concat_ws("\u0001", F.coalesce("graph", F.lit("")), "subject")
     adds = changes.filter(F.col("op") == "add").groupBy(*TRIPLE_KEY).agg(F.max("seq").alias("seq"))
-    purges = (
-        changes.filter(F.col("op") == "purge")
-        .groupBy(home.alias("_home"))
-        .agg(F.max("seq").alias("_purged"))
-    )
-    return (
-        adds.withColumn("_home", home)
-        .join(purges, "_home", "left")
-        .filter(
-            F.col("_purged").isNull() | F.coalesce(F.col("seq") >= F.col("_purged"), F.lit(False))
+    purges = changes.filter(F.col("op") == "purge")
+    return _unpurged(adds.withColumn("_home", _home()), purges).drop("_home")
+
+
+def _same(left: DataFrame, right: DataFrame) -> Column:
+    return reduce(lambda x, y: x & y, [left[c].eqNullSafe(right[c]) for c in TRIPLE_KEY])
+
+
+def _with_log(base: DataFrame, log: DataFrame) -> tuple:
+    """(what is left of the base's triples, what the log adds to them), both with ``seq``.
+
+    The base is folded already: it meets only the log's last purges and added triples, and its
+    own purges only the subjects that the log adds to. All these come from the log, so adaptive
+    execution broadcasts them while the log is small, and the base is not shuffled. Of a triple
+    that both hold, the later addition counts.
+    """
+    names = [*TRIPLE_KEY, "seq"]
+    held = _unpurged(base.filter("op = 'add'").withColumn("_home", _home()), log.filter("op = 'purge'"))
+    fresh = fold_triples(log).withColumn("_home", _home())
+    homes = fresh.select("_home").distinct()
+    purges = base.filter("op = 'purge'").withColumn("_home", _home()).join(homes, "_home", "left_semi")
+    return held.select(names), _unpurged(fresh, purges).select(names)
+
+
+def _merged_triples(base: DataFrame | None, log: DataFrame | None) -> DataFrame:
+    """New base rows: triples that count, each once with its latest addition, and the last purge
+    of each subject, as an older update may still arrive."""
+    changes = [c for c in (base, log) if c is not None]
+    both = reduce(DataFrame.unionByName, changes)
+    purges = both.filter("op = 'purge'").groupBy("op", *TRIPLE_KEY).agg(F.max("seq").alias("seq"))
+    if base is None or log is None:
+        adds = fold_triples(both)
+    else:
+        held, fresh = _with_log(base, log)
+        known = held.join(fresh, _same(held, fresh), "left_semi")
+        known = known.groupBy(*TRIPLE_KEY).agg(F.max("seq").alias("_before"))
+        both_added = fresh.join(known, _same(fresh, known), "left").select(
+            *[fresh[c] for c in TRIPLE_KEY], F.greatest("seq", "_before").alias("seq")
         )
-        .drop("_home", "_purged")
-    )
+        adds = held.join(fresh, _same(held, fresh), "left_anti").unionByName(both_added)
+    return adds.select(F.lit("add").alias("op"), "seq", *TRIPLE_KEY).unionByName(purges)
+
+
+#: A base's folders: kind of row, then graph, then bucket of the subject.
+_TRIPLE_LAYOUT = ["op", "graph", "bucket"]
+_TRIPLE_ORDER = ["op", "graph", "subject", "predicate", "object"]
 
 
 def maintain_triple_index(
@@ -154,48 +299,68 @@ def maintain_triple_index(
 ) -> None:
     """Apply one batch of actions to the triple index at ``target``."""
     changes = triple_changes(actions, triples, graph, omit, include, batch_id, groups)
-    changelog.write_batch(changes, target, batch_id, writer)
+    _write_slotted(changes, "subject", target, batch_id, writer)
 
 
-def load_triples(triples: DataFrame, target: str) -> None:
+def load_triples(triples: DataFrame, target: str, buckets: int = BUCKETS) -> None:
     """Start an index from existing triples; any action is later than they are."""
     undated = F.lit(None).cast(_SEQ)
     rows = rdf_set(triples).select(F.lit("add").alias("op"), undated.alias("seq"), *TRIPLE_KEY)
-    changelog.rebase(triples.sparkSession, target, rows)
+    _load(rows, "subject", target, buckets, _TRIPLE_LAYOUT, _TRIPLE_ORDER)
 
 
-def current_triples(spark: SparkSession, target: str, subjects=None) -> DataFrame:
+def current_triples(spark: SparkSession, target: str, subjects=None, at=None) -> DataFrame:
     """The triple index as a table; with ``subjects`` (one column) what is said about these.
 
-    The subjects restrict the log before it is folded, so that a look-up does not fold it all.
+    The base lies by graph and bucket of the subject: a look-up reads only the buckets its
+    subjects can be in, and of the log the row groups with their slots. Without a log the base is
+    the answer as it lies. ``at`` may be a pinned generation (``changelog.pinned``).
     """
-    changes = changelog.read_changes(spark, target, TRIPLE_CHANGE)
+    known = at or changelog.manifest(spark, target)
+    slots = None if subjects is None else _slots_of(subjects)
+    count = known.buckets or 1
+    buckets = None if slots is None or not known.buckets else {s % count for s in slots}
+    base = changelog.read_base(spark, target, TRIPLE_CHANGE, known, buckets)
+    log = _log(spark, target, TRIPLE_CHANGE, known, slots=slots)
     if subjects is not None:
         wanted = subjects.select(F.col(subjects.columns[0]).alias("subject")).distinct()
-        changes = changes.join(wanted, "subject", "left_semi")
-    return fold_triples(changes).select(*TRIPLE_KEY)
-
+        base, log = (
+            None if rows is None else rows.join(wanted, "subject", "left_semi") for rows in (base, log)
+        )
+    if base is None:
+        found = fold_triples(spark.createDataFrame([], TRIPLE_CHANGE) if log is None else log)
+    elif log is None:
+        found = base.filter("op = 'add'")
+    else:
+        held, fresh = _with_log(base, log)
+        found = held.join(fresh, _same(held, fresh), "left_anti").unionByName(fresh)
+    return found.select(*TRIPLE_KEY)
+
+
+def compact_triples(spark: SparkSession, target: str, buckets: int = BUCKETS, keep: int = 2) -> None:
+    """Fold the log into the base and remove what the newest ``keep`` generations do not need."""
+    _compact(
+        spark, target, TRIPLE_CHANGE, "subject", _merged_triples, buckets, _TRIPLE_LAYOUT, _TRIPLE_ORDER, keep
+    )
 
-def compact_triples(spark: SparkSession, target: str) -> None:
-    """Fold the log into a new base."""
-    clear(spark, target, keep=F.lit(True))
 
+_ALL = object()
 
-def clear(spark: SparkSession, target: str, graph=None, keep=None) -> None:
-    """Empty the index, or one named graph of it."""
-    if keep is None:
-        keep = F.lit(False) if graph is None else ~F.col("graph").eqNullSafe(F.lit(graph))
 
-    def rows(batches):
-        changes = changelog.read_changes(spark, target, TRIPLE_CHANGE, batches)
-        state = fold_triples(changes).filter(keep)
-        added = state.select(F.lit("add").alias("op"), "seq", *TRIPLE_KEY)
-        # The last purge of a subject stays, as an older update may still arrive.
-        purges = changes.filter(F.col("op") == "purge").filter(keep)
-        last = purges.groupBy("op", *TRIPLE_KEY).agg(F.max("seq").alias("seq"))
-        return added.unionByName(last)
+def clear(spark: SparkSession, target: str, graph=_ALL) -> None:
+    """Empty the index, or one named graph of it (null: the unnamed one).
 
-    changelog.rebase(spark, target, rows)
+    Nothing is read or written but a manifest that says so: the graph's folders of the base and
+    its rows in the batches written so far are passed over from now on, and go when the log is
+    folded next. Batches that come later count.
+    """
+    before = changelog.manifest(spark, target)
+    batches = changelog.finished_batches(spark, target, before)
+    now = changelog.ranges(batches, before.covered)
+    if graph is _ALL:
+        changelog.publish(spark, target, before, parts={}, covered=now, voids=())
+    else:
+        changelog.publish(spark, target, before, voids=(*before.voids, (graph or None, now)))
 
 
 # --- search documents -----------------------------------------------------------------------
@@ -247,35 +412,90 @@ def maintain_search_index(
     actions: DataFrame, docs: DataFrame, target: str, batch_id: int = 0, writer: str = "main"
 ) -> None:
     """Apply one batch of actions to the search index at ``target``."""
-    changelog.write_batch(doc_changes(actions, docs, batch_id), target, batch_id, writer)
+    _write_slotted(doc_changes(actions, docs, batch_id), "id", target, batch_id, writer)
+
 
+_DOC_LAYOUT, _DOC_ORDER = ["bucket"], ["id"]
 
-def load_docs(docs: DataFrame, target: str) -> None:
+
+def load_docs(docs: DataFrame, target: str, buckets: int = BUCKETS) -> None:
     undated = F.lit(None).cast(_SEQ)
     rows = docs.select(
         F.lit("put").alias("op"), undated.alias("seq"), *schemas.SEARCH_DOC.fieldNames()
     )
-    changelog.rebase(docs.sparkSession, target, rows)
+    _load(rows, "id", target, buckets, _DOC_LAYOUT, _DOC_ORDER)
 
 
-def current_docs(spark: SparkSession, target: str) -> DataFrame:
-    """The search index as a table."""
-    changes = changelog.read_changes(spark, target, DOC_CHANGE)
-    return fold_docs(changes).select(*schemas.SEARCH_DOC.fieldNames())
+def _merged_docs(base: DataFrame | None, log: DataFrame | None) -> DataFrame:
+    """The last change of each id (removals stay, as an older update may still arrive).
 
+    The base holds one row an id: it meets the last changes of the log, which are few.
+    """
+    names = ["op", "seq", *schemas.SEARCH_DOC.fieldNames()]
+    if log is None:
+        return base.select(names)
+    last = _last_docs(log).select(names)
+    if base is None:
+        return last
+    rank = lambda: F.struct(F.col("seq").isNotNull(), F.col("seq"), F.col("op"))
+    newest = last.select("id", rank().alias("_new"))
+    stays = F.col("_new").isNull() | (rank() > F.col("_new"))
+    held = base.select(names).join(newest, "id", "left").filter(stays).drop("_new")
+    older = base.select("id", "seq", "op").join(newest, "id").filter(rank() > F.col("_new")).select("id")
+    return held.unionByName(last.join(older, "id", "left_anti").select(names))
+
+
+def current_docs(spark: SparkSession, target: str, ids=None, at=None) -> DataFrame:
+    """The search index as a table; with ``ids`` (one column) these documents."""
+    known = at or changelog.manifest(spark, target)
+    slots = None if ids is None else _slots_of(ids)
+    count = known.buckets or 1
+    buckets = None if slots is None or not known.buckets else {s % count for s in slots}
+    base = changelog.read_base(spark, target, DOC_CHANGE, known, buckets)
+    log = _log(spark, target, DOC_CHANGE, known, slots=slots)
+    if base is None and log is None:
+        base = spark.createDataFrame([], DOC_CHANGE)
+    docs = _merged_docs(base, log).filter("op = 'put'").select(*schemas.SEARCH_DOC.fieldNames())
+    if ids is None:
+        return docs
+    return docs.join(ids.select(F.col(ids.columns[0]).alias("id")).distinct(), "id", "left_semi")
+
+
+def compact_docs(spark: SparkSession, target: str, buckets: int = BUCKETS, keep: int = 2) -> None:
+    """Fold the log into the base and remove what the newest ``keep`` generations do not need."""
+    _compact(spark, target, DOC_CHANGE, "id", _merged_docs, buckets, _DOC_LAYOUT, _DOC_ORDER, keep)
 
-def compact_docs(spark: SparkSession, target: str) -> None:
-    """Fold the log into a new base."""
 
-    def rows(batches):
-        last = _last_docs(changelog.read_changes(spark, target, DOC_CHANGE, batches))
-        # Removals stay, as an older update may still arrive.
-        return last.select("op", "seq", *schemas.SEARCH_DOC.fieldNames())
+# --- audit ----------------------------------------------------------------------------------
 
-    changelog.rebase(spark, target, rows)
+#: Bits of an audit index's Bloom filter, and how many of them stand for an event.
+AUDIT_BITS, AUDIT_HASHES = 1 << 27, 4
+_FILTER = "bucket long, bitmap binary"
 
 
-# --- audit ----------------------------------------------------------------------------------
+def _bits(subjects: DataFrame) -> DataFrame:
+    """(subject, k, bucket, bit): the places of the filter that stand for a subject. The filter
+    is cut into buckets of 32,768 bits; only those with a bit set are stored."""
+    places = [F.pmod(F.xxhash64(F.lit(k), F.col("subject")), F.lit(AUDIT_BITS)) + 1 for k in range(AUDIT_HASHES)]
+    rows = subjects.select("subject", F.posexplode(F.array(*places)).alias("k", "place"))
+    return rows.select(
+        "subject", "k", F.bitmap_bucket_number("place").alias("bucket"),
+        F.bitmap_bit_position("place").cast("int").alias("bit"),
+    )
+
+
+def _filter_paths(target: str, manifest, batches) -> list:
+    bases = [f"{target}/filters/base={b}" for b in manifest.parts]
+    return bases + [f"{target}/filters/writer={w}/batch={b}" for w, b in sorted(batches) if not manifest.covers(w, b)]
+
+
+def _perhaps_known(subjects: DataFrame, paths: list) -> DataFrame:
+    """Subjects all of whose bits are set in some filter: few that are new are among them."""
+    filters = subjects.sparkSession.read.schema(_FILTER).parquet(*paths)
+    byte = F.expr("cast(conv(hex(substring(bitmap, bit div 8 + 1, 1)), 16, 10) as int)")
+    met = _bits(subjects).join(filters, "bucket").filter(F.expr("shiftleft(1, bit % 8)").bitwiseAND(byte) > 0)
+    found = met.groupBy("subject").agg(F.count_distinct("k").alias("n"))
+    return found.filter(F.col("n") == AUDIT_HASHES).select("subject")
 
 
 def append_audit(
@@ -286,18 +506,65 @@ def append_audit(
     batch_id: int = 0,
     writer: str = "main",
 ) -> None:
-    """Append the audit records of a batch; deletions obey the exclusion list as well."""
-    records = audit_triples(audit_input(events, containers), base_uri).select(*TRIPLE_KEY)
-    changelog.write_batch(records, target, batch_id, writer)
-
+    """Append the audit records of a batch; deletions obey the exclusion list as well.
 
-def current_audit(spark: SparkSession, target: str) -> DataFrame:
-    """All audit triples as a set: an event delivered twice adds nothing."""
-    return rdf_set(changelog.read_changes(spark, target, AUDIT_CHANGE))
-
-
-def compact_audit(spark: SparkSession, target: str) -> None:
-    """Drop what was delivered more than once."""
-    changelog.rebase(
-        spark, target, lambda b: rdf_set(changelog.read_changes(spark, target, AUDIT_CHANGE, b))
+    What the index holds already is not written again: the batch's event uris are looked up in
+    Bloom filters, one for each batch since the base and one for the base. Only for those that
+    hit are stored rows read, from the buckets they can be in, and equal triples left out.
+    Batches of one index are appended one after the other, as a query does; what writers append
+    at the same time is told apart when the log is folded.
+    """
+    spark = events.sparkSession
+    records = rdf_set(audit_triples(audit_input(events, containers), base_uri)).select(*TRIPLE_KEY).persist()
+    try:
+        known = changelog.manifest(spark, target)
+        batches = changelog.finished_batches(spark, target, known) - {(writer, batch_id)}
+        paths = _filter_paths(target, known, batches)
+        subjects, fresh = records.select("subject").distinct(), records
+        hits = _perhaps_known(subjects, paths).persist() if paths else None
+        try:
+            slots = [] if hits is None else _slots_of(hits)
+            if slots:
+                fresh = _not_stored(spark, records, hits, target, known, batches, slots)
+            _write_slotted(fresh, "subject", target, batch_id, writer)
+        finally:
+            if hits is not None:
+                hits.unpersist()
+        bitmaps = _bits(subjects).groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+        bitmaps.write.mode("overwrite").parquet(f"{target}/filters/writer={writer}/batch={batch_id}")
+    finally:
+        records.unpersist()
+
+
+def _not_stored(spark, records, hits, target, known, batches, slots) -> DataFrame:
+    """Records without the triples that are stored, looked up for ``hits`` only."""
+    buckets = {s % known.buckets for s in slots} if known.buckets else None
+    base = changelog.read_base(spark, target, AUDIT_CHANGE, known, buckets)
+    log = _log(spark, target, AUDIT_CHANGE, known, batches, slots)
+    stored = [p.select(*TRIPLE_KEY) for p in (base, log) if p is not None]
+    if not stored:
+        return records
+    stored = reduce(DataFrame.unionByName, stored).join(hits, "subject", "left_semi")
+    return records.join(stored, _same(records, stored), "left_anti")
+
+
+def current_audit(spark: SparkSession, target: str, at=None) -> DataFrame:
+    """All audit triples, as they lie: repeats were dropped when they were written."""
+    return changelog.read_changes(spark, target, AUDIT_CHANGE, at=at)
+
+
+def compact_audit(spark: SparkSession, target: str, buckets: int = BUCKETS, keep: int = 2) -> None:
+    """Fold the log into the base, with the filter of both."""
+
+    def merge(base, log):
+        return rdf_set(reduce(DataFrame.unionByName, [p for p in (base, log) if p is not None]))
+
+    def filters(name, before, batches):
+        paths = _filter_paths(target, before, batches)
+        rows = spark.read.schema(_FILTER).parquet(*paths).groupBy("bucket")
+        rows.agg(F.bitmap_or_agg("bitmap").alias("bitmap")).write.parquet(f"{target}/filters/base={name}")
+
+    _compact(
+        spark, target, AUDIT_CHANGE, "subject", merge, buckets, ["bucket"], ["subject", "predicate", "object"],
+        keep, filters,
     )
