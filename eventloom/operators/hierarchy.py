@@ -57,39 +57,100 @@ def admit_requests(requests: DataFrame, base_url: str) -> DataFrame:
     )
 
 
+def _folders(spark, path: str) -> list:
+    """Values of the partition folders under a path: names only, no rows."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    return [s.getPath().getName().partition("=")[2] for s in files.listStatus(place) if s.isDirectory()]
+
+
+_LEVEL = "uri string, roots array<long>, bucket int"
+
+
+class _Walk:
+    """The tables of a walk in the shared work folder: per depth the nodes that it reaches first
+    from some roots, as rows (uri, roots), by bucket of the uri."""
+
+    def __init__(self, spark, buckets: int):
+        self.spark, self.buckets, self.path = spark, buckets, work_dir(spark, "walk")
+
+    def bucket(self, uri):
+        return F.pmod(F.xxhash64(uri), F.lit(self.buckets)).cast("int")
+
+    def write(self, rows: DataFrame, table: str, depth: int) -> list:
+        """Store a level; the buckets that it has rows in."""
+        rows.write.partitionBy("bucket").parquet(f"{self.path}/{table}/depth={depth}")
+        return sorted(map(int, _folders(self.spark, f"{self.path}/{table}/depth={depth}")))
+
+    def read(self, table: str, depth: int) -> DataFrame:
+        return self.spark.read.schema(_LEVEL).parquet(f"{self.path}/{table}/depth={depth}")
+
+    def visited(self, buckets: list) -> DataFrame:
+        """Nodes of all depths so far that lie in these buckets; other folders are not read."""
+        rows = self.spark.read.schema(f"{_LEVEL}, depth int").parquet(f"{self.path}/nodes")
+        return rows.filter(F.col("bucket").isin(buckets)).select("uri", "roots")
+
+    def reached(self, links: DataFrame, frontier: DataFrame) -> DataFrame:
+        """(uri, roots): the children of a level. A child moves once for each link to it, with the
+        roots of that parent as a list; roots that meet at a child become one set."""
+        met = links.join(frontier.select(F.col("uri").alias("parent"), "roots"), "parent")
+        met = met.select(self.bucket(F.col("child")).alias("bucket"), F.col("child").alias("uri"), "roots")
+        dealt = met.repartition("bucket").select("bucket", "uri", F.explode("roots").alias("root"))
+        return dealt.groupBy("bucket", "uri").agg(F.collect_set("root").alias("roots"))
+
+    def new(self, arrived: DataFrame, buckets: list) -> DataFrame:
+        """What arrived, without the roots from which a node was reached before."""
+        before = self.visited(buckets).join(arrived.select("uri"), "uri")
+        before = before.groupBy("uri").agg(F.flatten(F.collect_list("roots")).alias("before"))
+        fresh = F.array_except("roots", F.coalesce("before", F.array().cast("array<long>")))
+        rows = arrived.join(before, "uri", "left").select("bucket", "uri", fresh.alias("roots"))
+        return rows.filter(F.size("roots") > 0).repartition("bucket")
+
+
 def traverse(edges, roots: DataFrame, max_depth: int | None = None) -> DataFrame:
     """(root, uri, depth): the roots and all that is contained in them, each node once.
 
     Level by level. ``roots`` is (uri); ``edges`` is (parent, child), or a function that gives
     the edges of asked-for parents (see ``sources.read_edges``): then a level reads only the
-    buckets its nodes can be in. Edges are used as they lie, neither copied nor laid out anew;
-    a level's distinct nodes meet them once, however many roots they were reached from, and a
-    small level is broadcast to them by adaptive execution. Each level is written to the shared
-    work folder, which cuts the lineage and outlives executors; the driver sees only whether a
-    level has rows. Cycles end at nodes already seen.
+    buckets its nodes can be in. A frame is worked out once and kept while the walk runs.
+
+    A level's row is a node with the set of roots from which it is reached first at this depth,
+    as numbers: what a level shuffles is bounded by its links and distinct nodes, however many
+    roots lead to them, and pairs are made only in the result, which has one row for each root
+    and node by definition. Levels lie in the shared work folder by bucket of the node, so the
+    test against nodes visited before reads only the buckets that have arrivals. Levels cut the
+    lineage and outlive executors; the driver sees names of folders. Cycles end at nodes already
+    seen. A set holds at most one number for each root.
     """
     spark = roots.sparkSession
-    path = work_dir(spark, "walk")
-    reader = spark.read.schema("root string, uri string")
-
-    def save(df, depth):
-        df.select("root", "uri").write.parquet(f"{path}/nodes/depth={depth}")
-        return reader.parquet(f"{path}/nodes/depth={depth}")
-
-    start = roots.select(F.col("uri").alias("root"), F.col("uri").alias("uri")).distinct()
-    frontier, depth = save(start, 0), 0
-    while (max_depth is None or depth < max_depth) and not frontier.isEmpty():
-        seen = reader.parquet(f"{path}/nodes").select("root", "uri")
-        nodes = frontier.select(F.col("uri").alias("parent")).distinct()
-        links = edges(nodes) if callable(edges) else edges
-        links = links.select("parent", "child").filter(F.col("child").isNotNull())
-        met = links.join(nodes, "parent").distinct()
-        found = met.join(frontier.withColumnRenamed("uri", "parent"), "parent")
-        reached = found.select("root", F.col("child").alias("uri")).distinct()
-        depth += 1
-        frontier = save(reached.join(seen, ["root", "uri"], "left_anti"), depth)
-    nodes = spark.read.schema("root string, uri string, depth int")
-    return nodes.parquet(f"{path}/nodes")
+    walk = _Walk(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    numbered = roots.select(F.col("uri").alias("root")).distinct()
+    numbered.select("root", F.monotonically_increasing_id().alias("number")).write.parquet(f"{walk.path}/roots")
+    names = spark.read.schema("root string, number long").parquet(f"{walk.path}/roots")
+    start = names.select(
+        F.col("root").alias("uri"), F.array("number").alias("roots"), walk.bucket(F.col("root")).alias("bucket")
+    )
+    live, depth = walk.write(start, "nodes", 0), 0
+    asked = callable(edges)
+    pairs = None if asked else edges.select("parent", "child").filter(F.col("child").isNotNull()).persist()
+    try:
+        while live and (max_depth is None or depth < max_depth):
+            frontier = walk.read("nodes", depth)
+            links = edges(frontier.select(F.col("uri").alias("parent"))) if asked else pairs
+            links = links.select("parent", "child").filter(F.col("child").isNotNull())
+            depth += 1
+            arrivals = walk.write(walk.reached(links, frontier), "arrived", depth)
+            if not arrivals:
+                break
+            live = walk.write(walk.new(walk.read("arrived", depth), arrivals), "nodes", depth)
+    finally:
+        if pairs is not None:
+            pairs.unpersist()
+    nodes = spark.read.schema(f"{_LEVEL}, depth int").parquet(f"{walk.path}/nodes")
+    found = nodes.select(F.explode("roots").alias("number"), "uri", "depth").join(names, "number")
+    return found.select("root", "uri", "depth")
 
 
 def fan_out(hints: DataFrame) -> DataFrame:

@@ -47,6 +47,8 @@ _PROPERTIES = {
     "index.compactEvery": "compact_every",
     "index.buckets": "index_buckets",
     "index.keepGenerations": "keep_generations",
+    "index.edges.enabled": "edges_enabled",
+    "index.edges.filter.containers": "edges_containers",
 }
 
 
@@ -60,11 +62,13 @@ class Options:
     fixity_enabled: bool = False
     forward_enabled: bool = False
     reindexing_enabled: bool = True
+    edges_enabled: bool = False
 
     audit_containers: str = _LOCAL + "/audit"
     search_containers: str = _LOCAL + "/audit"
     triplestore_containers: str = _LOCAL + "/audit"
     forward_containers: str = _LOCAL + "/audit"
+    edges_containers: str = ""
 
     search_require_indexable: bool = False
     triplestore_require_indexable: bool = False
@@ -133,6 +137,7 @@ FLAGS = {
     "fixity": "fixity_enabled",
     "forward": "forward_enabled",
     "reindexing": "reindexing_enabled",
+    "edges": "edges_enabled",
 }
 
 

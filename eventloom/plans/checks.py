@@ -505,13 +505,14 @@ for _name in _INDEXES.split():
         *_DECIDED_VIEWS,
         ctes=f"{_INPUT}, {_TRIPLE_STATE}",
     )
-check(
-    "triple_index_lookup",
-    """select subject, predicate, object, object_kind, datatype from state
-    where subject in (select uri from repo_hints)""",
-    *_DECIDED_VIEWS,
-    ctes=f"{_INPUT}, {_TRIPLE_STATE}",
-)
+for _name in ("triple_index_lookup", "triple_index_lookup_pruned"):
+    check(
+        _name,
+        """select subject, predicate, object, object_kind, datatype from state
+        where subject in (select uri from repo_hints)""",
+        *_DECIDED_VIEWS,
+        ctes=f"{_INPUT}, {_TRIPLE_STATE}",
+    )
 _DOC_STATE = f"""
 built as (
   select uri, id, {_transformed("transformation")}
@@ -548,7 +549,8 @@ check(
     from repo_triples""",
     "repo_triples",
 )
-check("audit_stream", "select * from record", "repo_events", ctes=_RECORD)
+for _name in ("audit_stream", "audit_replay"):
+    check(_name, "select * from record", "repo_events", ctes=_RECORD)
 
 # --- hierarchy ------------------------------------------------------------------------------
 
@@ -565,6 +567,34 @@ check(
     ctes=f"""roots as (select '{BASE}' as uri union all
       select child from repo_edges where parent = '{BASE}'), {_WALK}""",
 )
+# Edges that were known before, but for changed parents, and what those contain now.
+_CURRENT_EDGES = f"""
+known as (
+  select subject as parent, object as child, doc from repo_triples
+  where predicate = '{v.CONTAINS}' and object_kind = 'uri'),
+loaded as (
+  select parent, child from known where length(child) % 2 = 0
+  union select parent, concat(parent, '/gone') from known),
+current_edges as (
+  select parent, child from loaded where parent not in (select uri from purged)
+  union
+  select parent, child from known join updated on doc = updated.uri
+  left join purged on parent = purged.uri where purged_at is null or purged_at <= updated_at)
+"""
+check(
+    "edges_after_changes",
+    "select parent, child from current_edges",
+    *_DECIDED_VIEWS,
+    ctes=f"{_INPUT}, {_TRIPLE_STATE}, {_CURRENT_EDGES}",
+)
+check(
+    "traverse_after_changes",
+    "select root, uri, depth from walk",
+    *_DECIDED_VIEWS,
+    ctes=f"""{_INPUT}, {_TRIPLE_STATE}, {_CURRENT_EDGES},
+      roots as (select distinct parent as uri from current_edges),
+      {_WALK.replace("repo_edges", "current_edges")}""",
+)
 _BODY = "(content_type = 'application/json' and regexp_matches(body, '\\S'))"
 _RECIPIENTS = rf"""
 asked as (

@@ -32,7 +32,7 @@ from eventloom.sources import (
     write_edges,
     write_triples,
 )
-from eventloom.streaming import delivery, state
+from eventloom.streaming import delivery, edges, state
 from eventloom.streaming.services import (
     Inputs,
     build_services,
@@ -705,6 +705,23 @@ def triple_index_lookup(spark, sf) -> DataFrame:
     return state.current_triples(spark, index, views.hints(spark, sf)).select(*_INDEX)
 
 
+@query
+def triple_index_lookup_pruned(spark, sf) -> DataFrame:
+    """The same look-up in an index whose log has been folded and that has moved on since: half
+    of the events are in the base, half in the log, old generations are gone."""
+    target = work_dir(spark, "pruned-lookup")
+    snapshot = _snapshot(spark, sf, target)
+    _load_stale_triples(snapshot, target)
+    half = F.regexp_extract("event_id", "([0-9]+)$", 1).cast("long") % 2
+    settings = _settings(target, compact_every=1, keep_generations=1)
+    for batch in (0, 1):
+        triplestore_step(views.events(spark, sf).filter(half == batch), None, snapshot, settings, batch)
+    triplestore_step(
+        views.events(spark, sf).limit(0), _late_hints(spark, sf), snapshot, _settings(target), 2
+    )
+    return state.current_triples(spark, f"{target}/triplestore", views.hints(spark, sf)).select(*_INDEX)
+
+
 @query
 def compacted_search_index(spark, sf) -> DataFrame:
     """The search index folded into a new base: the state must not change."""
@@ -779,6 +796,19 @@ def audit_stream(spark, sf) -> DataFrame:
     return state.current_audit(spark, f"{target}/audit").select(*_INDEX)
 
 
+@query
+def audit_replay(spark, sf) -> DataFrame:
+    """All events delivered three times, the second time after the log was folded: the index is
+    read as it lies, without telling repeats apart."""
+    target = work_dir(spark, "audit-replay")
+    events = views.events(spark, sf)
+    for batch in range(3):
+        state.append_audit(events, target, EVENT_BASE, AUDIT_CONTAINER, batch)
+        if batch == 0:
+            state.compact_audit(spark, target, BUCKETS)
+    return state.current_audit(spark, target).select(*_INDEX)
+
+
 @query
 def forward_stream(spark, sf) -> DataFrame:
     """Messages of events and hints delivered by the running service, as (message, n)."""
@@ -801,6 +831,33 @@ def traverse(spark, sf) -> DataFrame:
     return hierarchy.traverse(edges, roots)
 
 
+def _changed_edges(spark, sf):
+    """An edge table that knew half of the children and some that are gone, after the service
+    for it has seen all events and hints."""
+    target = work_dir(spark, "edges")
+    snapshot = _snapshot(spark, sf, target)
+    known = tr.containment_edges(snapshot)
+    old = known.filter(F.length("child") % 2 == 0).unionByName(
+        known.select("parent", F.concat("parent", F.lit("/gone")).alias("child"))
+    )
+    edges.load_edges(old, f"{target}/edges", BUCKETS)
+    _run_service(spark, sf, "edges", target, edges_containers=AUDIT_CONTAINER)
+    return f"{target}/edges"
+
+
+@query
+def edges_after_changes(spark, sf) -> DataFrame:
+    return edges.current_edges(spark, _changed_edges(spark, sf))
+
+
+@query
+def traverse_after_changes(spark, sf) -> DataFrame:
+    """From every resource that contains something, over the table that changes keep."""
+    table = _changed_edges(spark, sf)
+    roots = edges.current_edges(spark, table).select(F.col("parent").alias("uri"))
+    return hierarchy.traverse(edges.edges_of(spark, table), roots)
+
+
 def _requests(spark, sf):
     return views.view(spark, sf, "repo_requests")
 

@@ -16,7 +16,7 @@ from eventloom.operators.audit import audit_input, audit_insert_statement, unaud
 from eventloom.operators.events import listed, merge_live_and_hints
 from eventloom.operators.triples import apply_prefer
 from eventloom.options import Options, enabled_services
-from eventloom.streaming import changelog, delivery, state
+from eventloom.streaming import changelog, delivery, edges, state
 
 
 @dataclass
@@ -25,7 +25,8 @@ class Inputs:
 
     Streams: ``events``, ``hints``, ``checks`` (uris to verify), ``requests``. Current
     snapshots, as functions so that every batch sees the latest: ``triples(uris)``, which may
-    leave out other documents (see ``sources.read_triples``), ``edges(parents)``, ``binaries(uris)``
+    leave out other documents (see ``sources.read_triples``), ``edges(parents)`` (without it the
+    walk takes the edge table that the service ``edges`` keeps), ``binaries(uris)``
     (uri, content) or (uri, path), of which only the asked-for ones are read, ``manifest()``
     (uri, digest, size). Rows of a stream that hold an unreadable body in ``reject`` (see
     ``sources.parse_events``) become dead letters of the service.
@@ -215,6 +216,18 @@ def search_step(events, hints, triples, options: Options, batch_id=0, writer="ma
         _compact(state.compact_docs, events.sparkSession, target, options, batch_id)
 
 
+def edges_step(events, hints, triples, options: Options, batch_id=0, writer="main"):
+    """Apply one batch to the edge table under ``target``/edges, whatever the indexers leave out."""
+    with kept(_for_batch(triples, events, hints)) as triples, kept(
+        state.stamped(
+            routing.triplestore_actions(events, hints, triples, False, options.edges_containers)
+        )
+    ) as actions:
+        target = f"{options.target}/edges"
+        edges.maintain_edges(actions, triples, target, batch_id, writer)
+        _compact(edges.compact_edges, events.sparkSession, target, options, batch_id)
+
+
 def _report_missing(actions, triples, options, service, batch_id, writer):
     lookups = actions.filter(F.col("action") != routing.DELETE).select("uri").distinct()
     letters = routing.missing_resources(lookups, triples, service)
@@ -230,6 +243,15 @@ def triplestore_batch(inputs: Inputs, options: Options, writer: str):
     return run
 
 
+def edges_batch(inputs: Inputs, options: Options, writer: str):
+    def run(batch: DataFrame, batch_id: int):
+        rows = _accepted(batch, options, "edges", batch_id, writer)
+        triples = inputs.triples(rows.select("uri").distinct())
+        edges_step(*_parts(rows), triples, options, batch_id, writer)
+
+    return run
+
+
 def search_batch(inputs: Inputs, options: Options, writer: str):
     def run(batch: DataFrame, batch_id: int):
         rows = _accepted(batch, options, "search", batch_id, writer)
@@ -308,7 +330,8 @@ def fixity_batch(inputs: Inputs, options: Options, writer: str):
 
 def reindexing_batch(inputs: Inputs, options: Options, writer: str):
     def run(batch: DataFrame, batch_id: int):
-        hints = hierarchy.reindex(batch, inputs.edges, options.base_url)
+        links = inputs.edges or edges.edges_of(batch.sparkSession, f"{options.target}/edges")
+        hints = hierarchy.reindex(batch, links, options.base_url)
         here = f"{options.target}/hints/writer={writer}/batch={batch_id}"
         hints.write.mode("overwrite").partitionBy("recipient").json(here)
         answers = hierarchy.admit_requests(batch, options.base_url)
@@ -326,6 +349,7 @@ _BATCHES = {
     "fixity": fixity_batch,
     "forward": forward_batch,
     "reindexing": reindexing_batch,
+    "edges": edges_batch,
 }
 
 

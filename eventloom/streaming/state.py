@@ -60,7 +60,7 @@ def _seq(batch_id):
     )
 
 
-def _write_slotted(changes: DataFrame, key: str, target: str, batch_id: int, writer: str) -> None:
+def write_slotted(changes: DataFrame, key: str, target: str, batch_id: int, writer: str) -> None:
     """A batch of the log with each row's slot, in order of slots within files, so that a look-up
     skips what cannot hold its keys."""
     rows = changes.withColumn("slot", _slot(key)).sortWithinPartitions("slot", key)
@@ -299,7 +299,7 @@ def maintain_triple_index(
 ) -> None:
     """Apply one batch of actions to the triple index at ``target``."""
     changes = triple_changes(actions, triples, graph, omit, include, batch_id, groups)
-    _write_slotted(changes, "subject", target, batch_id, writer)
+    write_slotted(changes, "subject", target, batch_id, writer)
 
 
 def load_triples(triples: DataFrame, target: str, buckets: int = BUCKETS) -> None:
@@ -412,7 +412,7 @@ def maintain_search_index(
     actions: DataFrame, docs: DataFrame, target: str, batch_id: int = 0, writer: str = "main"
 ) -> None:
     """Apply one batch of actions to the search index at ``target``."""
-    _write_slotted(doc_changes(actions, docs, batch_id), "id", target, batch_id, writer)
+    write_slotted(doc_changes(actions, docs, batch_id), "id", target, batch_id, writer)
 
 
 _DOC_LAYOUT, _DOC_ORDER = ["bucket"], ["id"]
@@ -526,7 +526,7 @@ def append_audit(
             slots = [] if hits is None else _slots_of(hits)
             if slots:
                 fresh = _not_stored(spark, records, hits, target, known, batches, slots)
-            _write_slotted(fresh, "subject", target, batch_id, writer)
+            write_slotted(fresh, "subject", target, batch_id, writer)
         finally:
             if hits is not None:
                 hits.unpersist()
