@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from eventloom.llm.common import table, whole_text
 
 #: Bytes of text (or of ids) taken at a time, and entries of each of a worker's two generations.
-SLICE, REMEMBERED = 4_000_000, 200_000
+SLICE, REMEMBERED = 4_000_000, 350_000
 #: Words of more bytes than this use the statement that keeps one row for each position.
 SHORT = 255
 
@@ -201,8 +201,9 @@ class Codec:
                 out[word] = done[word]
         return out
 
-    def pieces(self, texts: list[bytes]) -> list:
-        """For each text the packed ids of its words, little-endian unsigned 32-bit numbers."""
+    def pieces(self, texts: list[bytes]) -> tuple[list, set]:
+        """For each text the packed ids of its words, little-endian unsigned 32-bit numbers, and
+        the distinct ones of all texts."""
         split = [self.findall(t.decode("utf-8", "replace")) for t in texts]
         wanted = set()
         for words in split:
@@ -211,7 +212,7 @@ class Codec:
         ids = self.words_coded(set(new.values()))
         known = self.coded.values
         known.update({w: ids[b] for w, b in new.items()})
-        return [list(map(known.__getitem__, words)) for words in split]
+        return [list(map(known.__getitem__, words)) for words in split], set(map(known.__getitem__, wanted))
 
     def runs(self, packed: bytes):
         """A document's ids cut before each token that begins with a space; None if cut amiss."""
@@ -222,15 +223,12 @@ class Codec:
         starts = cuts if cuts[:1] == [0] else [0, *cuts]
         return [packed[i:j] for i, j in zip(starts, [*starts[1:], len(packed)])] if packed else []
 
-    def decode(self, split: list) -> list:
+    def decode(self, split: list, wanted: set) -> list:
         """The bytes that each list of packed ids stands for; None where an id is unknown.
 
-        What repeats is decoded once: ids become rows, meet the vocabulary and are put together
-        in the order of their places.
+        ``wanted`` are the distinct pieces, which are decoded once: ids become rows, meet the
+        vocabulary and are put together in the order of their places.
         """
-        wanted = set()
-        for pieces in split:
-            wanted.update(pieces or ())
         new = list(self.decoded.missing(wanted))
         known = self.decoded.values
         if new:
@@ -292,12 +290,12 @@ def encode(docs: DataFrame, rank_file: tuple[bytes, str], decoded: bool = False)
         codec = worker_codec(*sent.value)
         for batch in batches:
             for at, texts in slices(batch.column(1)):
-                pieces = codec.pieces(texts)
+                pieces, distinct = codec.pieces(texts)
                 packed = [b"".join(p) for p in pieces]
                 counts = pa.array([len(p) // 4 for p in packed], pa.int64())
                 columns = [batch.column(0).slice(at, len(texts)), counts, pa.array(packed, pa.binary())]
                 if decoded:
-                    columns.append(pa.array(codec.decode(pieces), pa.binary()))
+                    columns.append(pa.array(codec.decode(pieces, distinct), pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = docs.select("doc_id", whole_text().cast("binary").alias("text"))
@@ -320,7 +318,8 @@ def decode(coded: DataFrame, rank_file: tuple[bytes, str]) -> DataFrame:
         for batch in batches:
             for at, packed in slices(batch.column(1)):
                 columns = batch.slice(at, len(packed)).columns
-                told = pa.array(codec.decode([codec.runs(p) for p in packed]), pa.binary())
+                runs = [codec.runs(p) for p in packed]
+                told = pa.array(codec.decode(runs, {r for p in runs if p for r in p}), pa.binary())
                 yield pa.RecordBatch.from_arrays([*columns, told], ["doc_id", "ids", "decoded"])
 
     rows = coded.select("doc_id", F.coalesce("ids", F.lit(b"")).alias("ids"))
