@@ -44,6 +44,8 @@ _PROPERTIES = {
     "error.maxRedeliveries": "max_redeliveries",
     "repository.baseUrl": "base_url",
     "error.redeliveryDelay": "redelivery_delay",
+    "error.redeliveryQueue": "redelivery_queue",
+    "error.redeliveryPause": "redelivery_pause",
     "index.compactEvery": "compact_every",
     "index.buckets": "index_buckets",
     "index.keepGenerations": "keep_generations",
@@ -97,6 +99,10 @@ class Options:
     max_redeliveries: int = 10
     # Milliseconds between two attempts, and batches between two new bases of an index (0: none).
     redelivery_delay: int = 0
+    # Failed messages wait in a queue for later batches instead of being tried again at once;
+    # the first pause in milliseconds, each next one twice as long.
+    redelivery_queue: bool = False
+    redelivery_pause: int = 60_000
     compact_every: int = 0
     # Buckets of a new base (a divisor of 1,024), and generations of it that stay readable.
     index_buckets: int = 1_024

@@ -242,6 +242,12 @@ check(
     *_DECIDED_VIEWS,
     ctes=f"{_DECIDE}, {_STORE}, {_LATEST}",
 )
+check(
+    "latest_action_stream",
+    "select uri, event_id, action from latest",
+    *_DECIDED_VIEWS,
+    ctes=f"""{_INPUT}, {_PLAIN}, {_LATEST.replace("from store_actions", "from store_actions where event_id is not null")}""",
+)
 check(
     "latest_action_undated",
     """select uri, event_id, action from (
@@ -435,6 +441,12 @@ docs as (
 
 _DOC = "id, rdftype, contains, lastmodified, created"
 check("search_doc", f"select {_DOC} from docs", "repo_triples", ctes=_docs())
+check(
+    "ntriples_files_in_order",
+    f"select {_DOC} from docs",
+    "repo_triples",
+    ctes=_docs().replace(", ord)", ", -ord)").replace("order by ord", "order by -ord"),
+)
 check(
     "search_add_command",
     """select id, concat('<add><doc><field name="id">', id, '</field><field name="rdftype">',
@@ -721,6 +733,13 @@ check(
     *_BOTH,
     ctes=_MESSAGES,
 )
+check(
+    "redelivered_later",
+    """select message, cast(3 as bigint) as attempts, cast(count(*) as bigint) as n
+    from rendered group by message""",
+    *_BOTH,
+    ctes=_MESSAGES,
+)
 check(
     "retry_dead_letters",
     """select message, cast(least(cast(right(uri, 1) as int), 3) + 1 as bigint) as attempts,

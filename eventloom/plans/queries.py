@@ -32,7 +32,7 @@ from eventloom.sources import (
     write_edges,
     write_triples,
 )
-from eventloom.streaming import delivery, edges, state
+from eventloom.streaming import delivery, edges, latest, state
 from eventloom.streaming.services import (
     Inputs,
     build_services,
@@ -313,6 +313,20 @@ def latest_action_undated(spark, sf) -> DataFrame:
     return routing.latest_per_uri(actions, HINT_TIME).select("uri", "event_id", "action")
 
 
+@query
+def latest_action_stream(spark, sf) -> DataFrame:
+    """The same for events that arrive in files dealt by hash, so that late ones come again and
+    again: kept in the state store over five batches."""
+    target = work_dir(spark, "latest-stream")
+    events = views.events(spark, sf)
+    parts = F.pmod(F.xxhash64("event_id"), F.lit(5)).cast("int")
+    events.withColumn("part", parts).repartition(5, "part").write.parquet(f"{target}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{target}/in")
+    actions = routing.triplestore_actions(stream, None, None, False, CONTAINERS)
+    latest.keep_latest(actions, f"{target}/latest", f"{target}/checkpoint", available_now=True).awaitTermination()
+    return latest.current_latest(spark, f"{target}/latest").select("uri", "event_id", "action")
+
+
 @query
 def indexable_by_rdf(spark, sf) -> DataFrame:
     kept = routing.indexable_by_rdf(views.events(spark, sf), views.triples(spark, sf))
@@ -386,6 +400,16 @@ def read_ntriples_files(spark, sf) -> DataFrame:
     return read_ntriples(spark, path).select(*_PARSED)
 
 
+@query
+def ntriples_files_in_order(spark, sf) -> DataFrame:
+    """Search documents of descriptions whose lines stand in reverse: their first values are
+    those that stand first in the files."""
+    path = work_dir(spark, "ntriples-order")
+    rows = views.triples(spark, sf).repartitionByRange(4, "doc").sortWithinPartitions("doc", F.desc("ord"))
+    tr.to_ntriples(rows).select("line").write.text(path)
+    return _doc_columns(search.default_search_doc(read_ntriples(spark, path, ordered=True)))
+
+
 def _xml_documents(spark, sf):
     """Every description as one RDF/XML text."""
     split = r"^(.*[#/])([^#/]+)$"
@@ -1033,6 +1057,24 @@ def forward_without_endpoint(spark, sf) -> DataFrame:
     return letters.groupBy("payload", "error").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def redelivered_later(spark, sf) -> DataFrame:
+    """Messages to a folder that is not there yet: two attempts fail, one before its time is not
+    made, and the third, after the folder has appeared, arrives: (message, attempts, n)."""
+    target = work_dir(spark, "redelivery")
+    inbox, how = f"{target}/inbox", delivery.Redelivery(pause=60, limit=5)
+    drop = delivery.FileDrop(inbox)
+    delivery.forward(_messages(spark, sf), target, drop, redelivery=how)
+    for now in ("2100-01-01 00:00:00", "2100-01-01 00:01:00"):
+        delivery.redeliver(spark, target, drop, how, now)
+    spark.range(0).select(F.lit("").alias("value")).write.text(inbox)
+    delivery.redeliver(spark, target, drop, how, "2100-01-01 00:02:00")
+    arrived = spark.read.text(inbox, wholetext=True).groupBy(F.col("value").alias("message")).count()
+    made = delivery.redelivered(spark, target).filter(F.col("error").isNull())
+    made = made.groupBy("message").agg(F.max("attempts").cast("long").alias("attempts"))
+    return arrived.join(made, "message").select("message", "attempts", F.col("count").alias("n"))
+
+
 class FlakyReceiver:
     """Fails as often as the last digit of the uri says; from 4 on it never accepts."""
 

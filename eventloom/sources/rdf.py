@@ -3,7 +3,7 @@
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from eventloom import vocab
 from eventloom.functions import as_col, unescape_literal, with_value, without_brackets
@@ -113,20 +113,52 @@ def ntriples_to_triples(df: DataFrame, doc="uri", text="text", graph=None) -> Da
     )
 
 
+def numbered_lines(spark: SparkSession, path: str, **options) -> DataFrame:
+    """(value, file, number): lines of text files with their place in their file, from 0.
+
+    Files are read in splits, each by one task from its first line to its last. A first pass
+    counts the lines of each split without looking into them; running sums of these counts give
+    the place of a split's first line. What is joined is a row for each split, of some hundred
+    bytes, which adaptive execution broadcasts while it is small. No line is moved to be counted.
+    """
+    place = [
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("id"),
+    ]
+    reader = spark.read.options(**options)
+    splits = reader.text(path).select(*place).groupBy("file", "start").agg(
+        F.count("*").alias("lines"), F.min("id").alias("first")
+    )
+    before = F.sum("lines").over(Window.partitionBy("file").orderBy("start")) - F.col("lines")
+    splits = splits.select("file", "start", (before - F.col("first")).alias("shift"))
+    lines = reader.text(path).select("value", *place).join(splits, ["file", "start"])
+    return lines.select("value", "file", (F.col("id") + F.col("shift")).alias("number"))
+
+
 def read_ntriples(
-    spark: SparkSession, path: str, streaming: bool = False, graph=None, **options
+    spark: SparkSession, path: str, streaming: bool = False, graph=None, ordered: bool = False, **options
 ) -> DataFrame:
     """N-Triples files of any size, split by line.
 
-    A triple belongs to the description of its subject without the ``#fragment``. Lines of a
-    split file have no global order, so ``ord`` is null and ties are broken by value.
+    A triple belongs to the description of its subject without the ``#fragment``. ``ordered``
+    gives ``ord``, the number of the line in its file (see ``numbered_lines``; not for streams),
+    so that first values are those that stand first. Without it ``ord`` is null and ties are
+    broken by value.
     """
-    source = spark.readStream if streaming else spark.read
-    lines = source.options(**options).text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    if ordered and streaming:
+        raise ValueError("lines of a stream are not numbered")
+    if ordered:
+        lines = numbered_lines(spark, path, **options)
+    else:
+        source = spark.readStream if streaming else spark.read
+        lines = source.options(**options).text(path).select(
+            "value", F.col("_metadata.file_path").alias("file"), F.lit(None).alias("number")
+        )
     parsed = _with_triple(lines, "value").filter(F.col("t").isNotNull())
     home = F.substring_index(F.col("t.subject"), "#", 1)
     # A blank node of a file is described under its own, kept-apart name.
-    return _as_triples(parsed, F.col("t"), home, F.lit(None), graph, F.col("file"))
+    return _as_triples(parsed, F.col("t"), home, F.col("number"), graph, F.col("file"))
 
 
 def unreadable_ntriples(df: DataFrame, line: str = "value") -> DataFrame:

@@ -1,15 +1,19 @@
 """Delivery with redelivery, dead letters, and the plain sinks."""
 
 import base64
+import hashlib
 import http.client
 import time
 import urllib.parse
+import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from eventloom import schemas, vocab
+from eventloom.streaming import changelog
 
 Transport = Callable[[str], None]
 
@@ -63,6 +67,25 @@ class HttpPost:
             self.connection = None
 
 
+class FileDrop:
+    """Transport that puts each payload into a file of its own in a folder that must be there,
+    in any store that pyarrow opens (a plain path is a mounted one)."""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def __call__(self, payload: str) -> None:
+        from pyarrow import fs
+
+        store, path = fs.FileSystem.from_uri(self.folder)
+        if store.get_file_info(path).type != fs.FileType.Directory:
+            raise FileNotFoundError("no such folder")
+        data = payload.encode()
+        name = f"{hashlib.sha256(data).hexdigest()[:16]}-{uuid.uuid4().hex}"
+        with store.open_output_stream(f"{path}/{name}") as out:
+            out.write(data)
+
+
 def _attempt(transport, payload, max_redeliveries, delay):
     """(attempts made, last error or None)."""
     error = None
@@ -138,6 +161,111 @@ def read_dead_letters(spark: SparkSession, target: str) -> DataFrame:
     return reader.json(target)
 
 
+@dataclass(frozen=True)
+class Redelivery:
+    """Later attempts: the first after ``pause`` seconds, each pause ``factor`` times the one
+    before, ``limit`` of them before a message becomes a dead letter."""
+
+    pause: float = 60.0
+    factor: float = 2.0
+    limit: int = 10
+
+
+#: The queue's log: messages that failed, and groups of them that a newer message has overtaken.
+QUEUE = T.StructType([
+    T.StructField("op", T.StringType()), T.StructField("message", T.StringType()),
+    T.StructField("grouped", T.StringType()), T.StructField("place", T.IntegerType()),
+    T.StructField("attempts", T.IntegerType()), T.StructField("error", T.StringType()),
+    T.StructField("due_at", T.TimestampType()), T.StructField("seq", T.LongType()),
+])
+
+
+def queued(spark: SparkSession, target: str, at=None, batches=None) -> DataFrame:
+    """Messages that wait for another attempt. Of a group only the newest batch's count, and none
+    if a newer one has been sent."""
+    rows = changelog.read_changes(spark, f"{target}/queue", QUEUE, batches, at)
+    newest = rows.filter(F.col("grouped").isNotNull()).groupBy("grouped").agg(F.max("seq").alias("_newest"))
+    kept = rows.join(newest, "grouped", "left").filter(
+        (F.col("op") == "failed") & (F.col("_newest").isNull() | (F.col("seq") == F.col("_newest")))
+    )
+    return kept.select(QUEUE.fieldNames())
+
+
+def _after(now, seconds):
+    return F.timestamp_micros((F.unix_micros(now) + F.round(seconds * 1_000_000)).cast("long"))
+
+
+def _enqueue(outcome, target, redelivery, batch_id, writer) -> None:
+    """A batch's failures join the queue; what it sent overtakes older messages of its group."""
+    spark = outcome.sparkSession
+    failed = outcome.filter(F.col("error").isNotNull()).select(
+        F.lit("failed").alias("op"), "message", "grouped", "place", "attempts", "error",
+        _after(F.current_timestamp(), F.lit(redelivery.pause)).alias("due_at"),
+        F.lit(batch_id).cast("long").alias("seq"),
+    )
+    waiting = queued(spark, target).select("grouped").filter(F.col("grouped").isNotNull()).distinct()
+    sent = outcome.filter(F.col("error").isNull()).select("grouped").join(waiting, "grouped", "left_semi").distinct()
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in QUEUE.fields if f.name not in ("op", "grouped", "seq")]
+    sent = sent.select(
+        F.lit("sent").alias("op"), "grouped", F.lit(batch_id).cast("long").alias("seq"), *none
+    ).select(QUEUE.fieldNames())
+    changelog.write_batch(failed.unionByName(sent), f"{target}/queue", batch_id, writer)
+
+
+def redeliver(
+    spark: SparkSession,
+    target: str,
+    transport: Transport,
+    redelivery: Redelivery = Redelivery(),
+    now=None,
+    service: str = "forward",
+    keep: int = 2,
+) -> None:
+    """Send what is due in the queue at ``target`` once more (``now``: a timestamp, by default the
+    time of the call).
+
+    What fails again waits longer, or becomes a dead letter at the limit; what is not due stays.
+    The outcome is written before the queue moves on, and moving on is refused if somebody else
+    did meanwhile: delivery is at least once. Parts of a group are sent in order by one task, and
+    not after one that failed.
+    """
+    path = f"{target}/queue"
+    before = changelog.manifest(spark, path)
+    batches = changelog.finished_batches(spark, path, before)
+    if not batches and not before.parts:
+        return
+    moment = spark.range(1).select(F.current_timestamp().alias("t")).first()["t"] if now is None else now
+    at = F.lit(moment).cast("timestamp")
+    waiting = queued(spark, target, before, batches).drop("op")
+    due = waiting.filter(F.col("due_at") <= at).withColumnsRenamed({"attempts": "made", "error": "was"})
+    single, grouped = due.filter(F.col("grouped").isNull()), due.filter(F.col("grouped").isNotNull())
+    tried = with_retry(single, transport, "message", 0).unionByName(
+        with_retry(grouped, transport, "message", 0, 0.0, "grouped", "place")
+    )
+    folder = f"{target}/redelivered/{changelog.new_base(before)}"
+    tried.write.parquet(folder)
+    tried = spark.read.schema(tried.schema).parquet(folder).withColumn("attempts", F.col("made") + F.col("attempts"))
+    failed = tried.filter(F.col("error").isNotNull())
+    over = F.col("attempts") > redelivery.limit
+    number = before.generation + 1
+    write_dead_letters(dead_letters(failed.filter(over), service), f"{target}/dead", number, "redelivery")
+    pause = F.lit(redelivery.pause) * F.pow(F.lit(redelivery.factor), F.greatest(F.col("attempts") - 1, F.lit(0)))
+    again = failed.filter(~over).withColumn("due_at", _after(at, pause))
+    names = QUEUE.fieldNames()[1:]
+    left = waiting.filter(F.col("due_at") > at).select(names).unionByName(again.select(names))
+    rows = left.select(F.lit("failed").alias("op"), *names)
+    changelog.rebase(spark, path, rows, batches, before)
+    changelog.expire(spark, path, keep)
+
+
+def redelivered(spark: SparkSession, target: str) -> DataFrame:
+    """(message, attempts, error) of all later attempts so far."""
+    rows = spark.read.schema("message string, made int, attempts int, error string").option("recursiveFileLookup", "true")
+    return rows.parquet(f"{target}/redelivered").select(
+        "message", (F.col("made") + F.col("attempts")).alias("attempts"), "error"
+    )
+
+
 def forward(
     messages: DataFrame,
     target: str,
@@ -150,24 +278,33 @@ def forward(
     service: str = "forward",
     group: str | None = None,
     order: str | None = None,
+    redelivery: Redelivery | None = None,
 ) -> None:
     """Deliver the ``message`` column of a batch.
 
-    With a transport each message is sent and its outcome kept under ``target/outcome``.
+    With a transport each message is sent and its outcome kept under ``target/outcome``; with
+    ``redelivery`` it is tried once and what fails waits in the queue for ``redeliver``.
     Without one, messages are appended as JSON lines to the folder ``endpoint``. With neither
     nothing is sent and every message becomes a dead letter under ``target/dead``.
     """
     here = f"writer={writer}/batch={batch_id}"
     rows = messages.select("message")
     if transport is not None:
-        kept = [c for c in (group, order) if c]
-        sent_rows = messages.select("message", *kept)
+        sent_rows = messages.select(
+            "message",
+            (F.col(group) if group else F.lit(None)).cast("string").alias("grouped"),
+            (F.col(order) if order else F.lit(None)).cast("int").alias("place"),
+        )
         outcome = with_retry(
-            sent_rows, transport, "message", max_redeliveries, delay, group, order
+            sent_rows, transport, "message", 0 if redelivery else max_redeliveries, delay,
+            "grouped" if group else None, "place" if group else None,
         )
-        outcome.select("message", "attempts", "error").write.mode("overwrite").parquet(f"{target}/outcome/{here}")
-        sent = messages.sparkSession.read.schema("message string, attempts int, error string")
-        letters = dead_letters(sent.parquet(f"{target}/outcome/{here}"), service)
+        outcome.write.mode("overwrite").parquet(f"{target}/outcome/{here}")
+        sent = messages.sparkSession.read.schema(outcome.schema).parquet(f"{target}/outcome/{here}")
+        if redelivery is not None:
+            _enqueue(sent, target, redelivery, batch_id, writer)
+            return
+        letters = dead_letters(sent, service)
     elif endpoint:
         rows.write.mode("overwrite").text(f"{endpoint}/{here}")
         return

@@ -111,11 +111,25 @@ def _transport(options: Options, name: str, content_type: str, kind="", path="")
     return delivery.HttpPost(url + path, username, password, content_type)
 
 
+def _redelivery(options: Options, target: str, transport, spark, service: str):
+    """How failures wait, if they do; what is due from earlier batches is sent first."""
+    if not options.redelivery_queue:
+        return None
+    how = delivery.Redelivery(options.redelivery_pause / 1000, 2.0, options.max_redeliveries)
+    if transport is not None:
+        try:
+            delivery.redeliver(spark, target, transport, how, None, service, options.keep_generations)
+        except changelog.BaseMoved:
+            pass
+    return how
+
+
 def _send(messages, transport, options: Options, name: str, batch_id, writer, group=None, order=None):
     """Deliver a batch's messages; outcome and dead letters go under the service's folder."""
+    target = f"{options.target}/sent/{name}"
     delivery.forward(
         messages,
-        f"{options.target}/sent/{name}",
+        target,
         transport,
         None,
         options.max_redeliveries,
@@ -125,6 +139,7 @@ def _send(messages, transport, options: Options, name: str, batch_id, writer, gr
         service=name,
         group=group,
         order=order,
+        redelivery=_redelivery(options, target, transport, messages.sparkSession, name),
     )
 
 
@@ -294,15 +309,17 @@ def forward_batch(inputs: Inputs, options: Options, writer: str):
         messages = forwarding.forward_input(
             rows.drop("from_hint"), None, options.forward_containers
         )
+        target = f"{options.target}/forward"
         delivery.forward(
             messages,
-            f"{options.target}/forward",
+            target,
             transport,
             endpoint,
             options.max_redeliveries,
             options.redelivery_delay / 1000,
             batch_id=batch_id,
             writer=writer,
+            redelivery=_redelivery(options, target, transport, batch.sparkSession, "forward"),
         )
 
     return run
