@@ -22,9 +22,11 @@ def binary_uris(triples: DataFrame) -> DataFrame:
     return triples.filter(is_binary).select(F.col("doc").alias("uri")).distinct()
 
 
-def only_binaries(df: DataFrame, triples: DataFrame) -> DataFrame:
-    """Keep rows whose description has a binary in it."""
-    return df.join(binary_uris(triples), "uri", "left_semi")
+def only_binaries(df: DataFrame, triples: DataFrame | None, facts: DataFrame | None = None) -> DataFrame:
+    """Keep rows whose description has a binary in it; with ``facts`` (see
+    ``state.current_facts``) no triples are read."""
+    known = binary_uris(triples) if facts is None else facts.filter("is_binary").select("uri")
+    return df.join(known, "uri", "left_semi")
 
 
 def read_binaries(spark: SparkSession, path: str, **options) -> DataFrame:

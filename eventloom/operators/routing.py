@@ -45,6 +45,15 @@ def resource_facts(triples: DataFrame) -> DataFrame:
     )
 
 
+def known_facts(triples: DataFrame) -> DataFrame:
+    """The same and whether it is a binary, as an index of facts keeps it (see ``schemas.FACTS``)."""
+    return triples.groupBy(F.col("doc").alias("uri")).agg(
+        F.max(_type_is(vocab.INDEXABLE)).alias("rdf_indexable"),
+        first_transformation().alias("own_transformation"),
+        F.max((F.col("predicate") == vocab.RDF_TYPE) & (F.col("object") == vocab.BINARY)).alias("is_binary"),
+    )
+
+
 def with_transformation(resources: DataFrame, default: str) -> DataFrame:
     """Transformation to use for each resource: its own, or the default."""
     return resources.withColumn("transformation", blank_to("own_transformation", default))
@@ -87,21 +96,24 @@ def triplestore_actions(
     triples: DataFrame,
     require_indexable: bool = False,
     containers=(),
+    facts: DataFrame | None = None,
 ) -> DataFrame:
     """(event_id, uri, ts, action) for the triple index.
 
     Deletions pass before the exclusion list. With ``require_indexable`` off nothing is
     looked up. With it on, a resource that is not described at all cannot be judged: its
-    action is ``missing`` and belongs to the dead letters.
+    action is ``missing`` and belongs to the dead letters. With ``facts`` (see
+    ``state.current_facts``) these are looked up and no triples are read.
     """
     deletes, others = _inputs(events, hints, containers)
     deleted = deletes.withColumn("action", F.lit(DELETE))
     others = others.select(*_IDENTITY)
     if not require_indexable:
         return deleted.unionByName(others.withColumn("action", F.lit(UPDATE)))
-    facts = triples.groupBy(F.col("doc").alias("uri")).agg(
-        F.max(_type_is(vocab.INDEXABLE)).alias("rdf_indexable")
-    )
+    if facts is None:
+        facts = triples.groupBy(F.col("doc").alias("uri")).agg(
+            F.max(_type_is(vocab.INDEXABLE)).alias("rdf_indexable")
+        )
     decided = others.join(facts, "uri", "left").select(
         *_IDENTITY,
         F.when(F.col("rdf_indexable").isNull(), MISSING)
@@ -120,11 +132,13 @@ def search_actions(
     require_indexable: bool = False,
     check_transformation: bool = True,
     containers=(),
+    facts: DataFrame | None = None,
 ) -> DataFrame:
     """(event_id, uri, ts, action, transformation) for the search index.
 
     Events are judged by their own resource types; hints carry none and are judged by the
-    description. Only if neither option asks for it is the look-up skipped.
+    description. Only if neither option asks for it is the look-up skipped. With ``facts`` these
+    are looked up and no triples are read.
     """
     deletes, others = _inputs(events, hints, containers)
     deleted = deletes.select(
@@ -143,7 +157,7 @@ def search_actions(
         "from_hint",
         has_any("resource_types", [vocab.INDEXABLE]).alias("event_indexable"),
     )
-    joined = others.join(resource_facts(triples), "uri", "left")
+    joined = others.join(resource_facts(triples) if facts is None else facts, "uri", "left")
     wanted = (
         F.when(F.col("from_hint"), F.col("rdf_indexable")).otherwise(F.col("event_indexable"))
         if require_indexable

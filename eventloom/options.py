@@ -50,6 +50,7 @@ _PROPERTIES = {
     "index.buckets": "index_buckets",
     "index.keepGenerations": "keep_generations",
     "index.edges.enabled": "edges_enabled",
+    "index.facts.enabled": "facts_enabled",
     "index.edges.filter.containers": "edges_containers",
 }
 
@@ -65,6 +66,7 @@ class Options:
     forward_enabled: bool = False
     reindexing_enabled: bool = True
     edges_enabled: bool = False
+    facts_enabled: bool = False
 
     audit_containers: str = _LOCAL + "/audit"
     search_containers: str = _LOCAL + "/audit"
@@ -144,6 +146,7 @@ FLAGS = {
     "forward": "forward_enabled",
     "reindexing": "reindexing_enabled",
     "edges": "edges_enabled",
+    "facts": "facts_enabled",
 }
 
 

@@ -188,6 +188,18 @@ check(
     *_DECIDED_VIEWS,
     ctes=f"{_DECIDE}, {_STORE}",
 )
+check(
+    "triplestore_actions_from_facts",
+    "select event_id, uri, action from store_actions",
+    *_DECIDED_VIEWS,
+    ctes=f"""{_FACTS}, {_INPUT},
+      deleted as (select uri, max(ts) as at from deletes group by uri),
+      updated as (select uri, max(ts) as at from repo_events where not {IS_DELETE} group by uri),
+      known as (select facts.* from facts left join deleted d using (uri) left join updated u using (uri)
+        where case when u.at is null then d.at is null and length(uri) % 2 = 0
+          else d.at is null or d.at < u.at end),
+      {_STORE.replace("join facts", "join known")}""",
+)
 _PLAIN = """
 store_actions as (
   select event_id, uri, ts, 'delete' as action from deletes

@@ -746,6 +746,20 @@ def triple_index_lookup_pruned(spark, sf) -> DataFrame:
     return state.current_triples(spark, f"{target}/triplestore", views.hints(spark, sf)).select(*_INDEX)
 
 
+@query
+def triplestore_actions_from_facts(spark, sf) -> DataFrame:
+    """Decisions on events and hints by facts that the service for them keeps: loaded from half of
+    the descriptions, brought up to date by the events, read without any triples."""
+    target = work_dir(spark, "facts")
+    snapshot = _snapshot(spark, sf, target)
+    state.load_facts(snapshot.filter(F.length("doc") % 2 == 0), f"{target}/facts", BUCKETS)
+    _run_service(spark, sf, "facts", target, hints=False)
+    facts = state.current_facts(spark, f"{target}/facts")
+    hints = _late_hints(spark, sf)
+    actions = routing.triplestore_actions(views.events(spark, sf), hints, None, True, AUDIT_CONTAINER, facts)
+    return actions.select("event_id", "uri", "action")
+
+
 @query
 def compacted_search_index(spark, sf) -> DataFrame:
     """The search index folded into a new base: the state must not change."""

@@ -44,6 +44,14 @@ SEARCH_DOC = _struct(
     ("created", T.StringType()),
 )
 
+# What the decisions need to know of a described resource.
+FACTS = _struct(
+    ("uri", T.StringType()),
+    ("rdf_indexable", T.BooleanType()),
+    ("own_transformation", T.StringType()),
+    ("is_binary", T.BooleanType()),
+)
+
 REINDEX_REQUEST = _struct(
     ("request_id", T.StringType()),
     ("path", T.StringType()),

@@ -243,6 +243,16 @@ def edges_step(events, hints, triples, options: Options, batch_id=0, writer="mai
         _compact(edges.compact_edges, events.sparkSession, target, options, batch_id)
 
 
+def facts_step(events, hints, triples, options: Options, batch_id=0, writer="main"):
+    """Apply one batch to the facts under ``target``/facts."""
+    with kept(_for_batch(triples, events, hints)) as triples, kept(
+        state.stamped(routing.triplestore_actions(events, hints, triples, False))
+    ) as actions:
+        target = f"{options.target}/facts"
+        state.maintain_facts(actions, triples, target, batch_id, writer)
+        _compact(state.compact_facts, events.sparkSession, target, options, batch_id)
+
+
 def _report_missing(actions, triples, options, service, batch_id, writer):
     lookups = actions.filter(F.col("action") != routing.DELETE).select("uri").distinct()
     letters = routing.missing_resources(lookups, triples, service)
@@ -267,6 +277,15 @@ def edges_batch(inputs: Inputs, options: Options, writer: str):
     return run
 
 
+def facts_batch(inputs: Inputs, options: Options, writer: str):
+    def run(batch: DataFrame, batch_id: int):
+        rows = _accepted(batch, options, "facts", batch_id, writer)
+        triples = inputs.triples(rows.select("uri").distinct())
+        facts_step(*_parts(rows), triples, options, batch_id, writer)
+
+    return run
+
+
 def search_batch(inputs: Inputs, options: Options, writer: str):
     def run(batch: DataFrame, batch_id: int):
         rows = _accepted(batch, options, "search", batch_id, writer)
@@ -367,6 +386,7 @@ _BATCHES = {
     "forward": forward_batch,
     "reindexing": reindexing_batch,
     "edges": edges_batch,
+    "facts": facts_batch,
 }
 
 

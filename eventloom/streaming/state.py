@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from eventloom import schemas
 from eventloom.functions import form_encode
 from eventloom.operators.audit import audit_input, audit_triples
-from eventloom.operators.routing import DELETE, UPDATE
+from eventloom.operators.routing import DELETE, UPDATE, known_facts
 from eventloom.operators.search import search_add_command, search_delete_command
 from eventloom.operators.triples import (
     apply_prefer,
@@ -38,6 +38,9 @@ DOC_CHANGE = T.StructType(
     [T.StructField("op", T.StringType()), T.StructField("seq", _SEQ)]
     + list(schemas.SEARCH_DOC.fields)
 )
+FACT_CHANGE = T.StructType(
+    [T.StructField("op", T.StringType()), T.StructField("seq", _SEQ)] + list(schemas.FACTS.fields)
+)
 AUDIT_CHANGE = T.StructType([f for f in schemas.TRIPLE.fields if f.name in TRIPLE_KEY])
 
 
@@ -395,12 +398,17 @@ def doc_messages(actions: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFr
     return tuple(c.select(F.col("command").alias("message")) for c in (adds, deletes))
 
 
+def _last_rows(changes: DataFrame, fields: list) -> DataFrame:
+    """Last change of each key, which is the first field: (key, op, seq, other fields)."""
+    key, rest = fields[0], ["op", "seq", *fields[1:]]
+    order = F.struct(F.col("seq").isNotNull(), F.col("seq"), F.col("op"))
+    last = changes.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("_last"))
+    return last.select(key, *[F.col("_last")[c].alias(c) for c in rest])
+
+
 def _last_docs(changes: DataFrame) -> DataFrame:
     """Last change of each id: (id, op, seq, fields)."""
-    rest = ["op", "seq", *schemas.SEARCH_DOC.fieldNames()[1:]]
-    order = F.struct(F.col("seq").isNotNull(), F.col("seq"), F.col("op"))
-    last = changes.groupBy("id").agg(F.max_by(F.struct(*rest), order).alias("_last"))
-    return last.select("id", *[F.col("_last")[c].alias(c) for c in rest])
+    return _last_rows(changes, schemas.SEARCH_DOC.fieldNames())
 
 
 def fold_docs(changes: DataFrame) -> DataFrame:
@@ -426,44 +434,97 @@ def load_docs(docs: DataFrame, target: str, buckets: int = BUCKETS) -> None:
     _load(rows, "id", target, buckets, _DOC_LAYOUT, _DOC_ORDER)
 
 
-def _merged_docs(base: DataFrame | None, log: DataFrame | None) -> DataFrame:
-    """The last change of each id (removals stay, as an older update may still arrive).
+def _merged_rows(fields: list):
+    """Merge of base and log of an index with one row a key, the first field: the last change of
+    each (removals stay, as an older update may still arrive).
 
-    The base holds one row an id: it meets the last changes of the log, which are few.
+    The base holds one row a key: it meets the last changes of the log, which are few.
     """
-    names = ["op", "seq", *schemas.SEARCH_DOC.fieldNames()]
-    if log is None:
-        return base.select(names)
-    last = _last_docs(log).select(names)
-    if base is None:
-        return last
-    rank = lambda: F.struct(F.col("seq").isNotNull(), F.col("seq"), F.col("op"))
-    newest = last.select("id", rank().alias("_new"))
-    stays = F.col("_new").isNull() | (rank() > F.col("_new"))
-    held = base.select(names).join(newest, "id", "left").filter(stays).drop("_new")
-    older = base.select("id", "seq", "op").join(newest, "id").filter(rank() > F.col("_new")).select("id")
-    return held.unionByName(last.join(older, "id", "left_anti").select(names))
-
-
-def current_docs(spark: SparkSession, target: str, ids=None, at=None) -> DataFrame:
-    """The search index as a table; with ``ids`` (one column) these documents."""
+    key, names = fields[0], ["op", "seq", *fields]
+
+    def merge(base: DataFrame | None, log: DataFrame | None) -> DataFrame:
+        if log is None:
+            return base.select(names)
+        last = _last_rows(log, fields).select(names)
+        if base is None:
+            return last
+        rank = lambda: F.struct(F.col("seq").isNotNull(), F.col("seq"), F.col("op"))
+        newest = last.select(key, rank().alias("_new"))
+        stays = F.col("_new").isNull() | (rank() > F.col("_new"))
+        held = base.select(names).join(newest, key, "left").filter(stays).drop("_new")
+        older = base.select(key, "seq", "op").join(newest, key).filter(rank() > F.col("_new")).select(key)
+        return held.unionByName(last.join(older, key, "left_anti").select(names))
+
+    return merge
+
+
+def _current_rows(spark, target, schema, fields, keys, at) -> DataFrame:
+    """Rows of such an index; with ``keys`` (one column) only these, from the buckets they can be in."""
     known = at or changelog.manifest(spark, target)
-    slots = None if ids is None else _slots_of(ids)
+    slots = None if keys is None else _slots_of(keys)
     count = known.buckets or 1
     buckets = None if slots is None or not known.buckets else {s % count for s in slots}
-    base = changelog.read_base(spark, target, DOC_CHANGE, known, buckets)
-    log = _log(spark, target, DOC_CHANGE, known, slots=slots)
+    base = changelog.read_base(spark, target, schema, known, buckets)
+    log = _log(spark, target, schema, known, slots=slots)
     if base is None and log is None:
-        base = spark.createDataFrame([], DOC_CHANGE)
-    docs = _merged_docs(base, log).filter("op = 'put'").select(*schemas.SEARCH_DOC.fieldNames())
-    if ids is None:
-        return docs
-    return docs.join(ids.select(F.col(ids.columns[0]).alias("id")).distinct(), "id", "left_semi")
+        base = spark.createDataFrame([], schema)
+    rows = _merged_rows(fields)(base, log).filter("op = 'put'").select(fields)
+    if keys is None:
+        return rows
+    return rows.join(keys.select(F.col(keys.columns[0]).alias(fields[0])).distinct(), fields[0], "left_semi")
+
+
+def current_docs(spark: SparkSession, target: str, ids=None, at=None) -> DataFrame:
+    """The search index as a table; with ``ids`` (one column) these documents."""
+    return _current_rows(spark, target, DOC_CHANGE, schemas.SEARCH_DOC.fieldNames(), ids, at)
 
 
 def compact_docs(spark: SparkSession, target: str, buckets: int = BUCKETS, keep: int = 2) -> None:
     """Fold the log into the base and remove what the newest ``keep`` generations do not need."""
-    _compact(spark, target, DOC_CHANGE, "id", _merged_docs, buckets, _DOC_LAYOUT, _DOC_ORDER, keep)
+    merge = _merged_rows(schemas.SEARCH_DOC.fieldNames())
+    _compact(spark, target, DOC_CHANGE, "id", merge, buckets, _DOC_LAYOUT, _DOC_ORDER, keep)
+
+
+# --- facts ----------------------------------------------------------------------------------
+
+
+def fact_changes(actions: DataFrame, triples: DataFrame, batch_id: int = 0) -> DataFrame:
+    """Actions as log rows: ``put`` of what the decisions need to know of a resource, worked out
+    from its description once, when it changed; ``remove`` of a deleted one. An update without a
+    description changes nothing."""
+    last = _last_of_each(actions, batch_id)
+    names = schemas.FACTS.fieldNames()
+    removed = last.filter(F.col("action") == DELETE).select(
+        F.lit("remove").alias("op"), "seq", "uri",
+        *[F.lit(None).cast(schemas.FACTS[c].dataType).alias(c) for c in names[1:]],
+    )
+    updated = last.filter(F.col("action") == UPDATE).select("uri", "seq")
+    put = known_facts(triples).join(updated, "uri").select(F.lit("put").alias("op"), "seq", *names)
+    return removed.unionByName(put)
+
+
+def maintain_facts(
+    actions: DataFrame, triples: DataFrame, target: str, batch_id: int = 0, writer: str = "main"
+) -> None:
+    """Apply one batch of actions to the facts at ``target``."""
+    write_slotted(fact_changes(actions, triples, batch_id), "uri", target, batch_id, writer)
+
+
+def load_facts(triples: DataFrame, target: str, buckets: int = BUCKETS) -> None:
+    """Start facts from descriptions; any action is later than they are."""
+    rows = known_facts(triples).select(F.lit("put").alias("op"), F.lit(None).cast(_SEQ).alias("seq"), "*")
+    _load(rows, "uri", target, buckets, ["bucket"], ["uri"])
+
+
+def current_facts(spark: SparkSession, target: str, uris=None, at=None) -> DataFrame:
+    """(uri, rdf_indexable, own_transformation, is_binary) of each described resource, as the last
+    change left it; with ``uris`` (one column) of these, from the buckets they can be in."""
+    return _current_rows(spark, target, FACT_CHANGE, schemas.FACTS.fieldNames(), uris, at)
+
+
+def compact_facts(spark: SparkSession, target: str, buckets: int = BUCKETS, keep: int = 2) -> None:
+    merge = _merged_rows(schemas.FACTS.fieldNames())
+    _compact(spark, target, FACT_CHANGE, "uri", merge, buckets, ["bucket"], ["uri"], keep)
 
 
 # --- audit ----------------------------------------------------------------------------------

@@ -242,3 +242,32 @@ def test_a_node_moves_once_however_many_roots_reach_it(spark, monkeypatch):
     assert got == sorted(wanted)
     assert max(size for _, depth, size in sizes if depth) <= 91 + 7
     assert plans and all("bucket" in p.split("PartitionFilters: [")[1].split(", PushedFilters")[0] for p in plans)
+
+
+def test_facts_follow_changes_and_decide_without_triples(spark, events, tmp_path):
+    path = str(tmp_path)
+    indexable = [(None, f"{BASE}/{n}", vocab.RDF_TYPE, vocab.INDEXABLE, "uri", None, None, f"{BASE}/{n}", 0) for n in (1, 2)]
+    binary = [(None, f"{BASE}/2", vocab.RDF_TYPE, vocab.BINARY, "uri", None, None, f"{BASE}/2", 1)]
+    link = [(None, f"{BASE}/2", vocab.HAS_TRANSFORMATION, f"urn:{t}", "uri", None, None, f"{BASE}/2", n) for n, t in ((3, "z"), (4, "a"))]
+    state.load_facts(table(spark, [*indexable, said(3)]), path, 4)
+    state.maintain_facts(
+        actions(spark, (2, "update", 2), (1, "delete", 2), (3, "delete", 1), (9, "update", 1)),
+        table(spark, [*indexable, *binary, *link]), path,
+    )
+    expected = {(f"{BASE}/2", True, "urn:z", True)}
+    facts = lambda: {tuple(r) for r in state.current_facts(spark, path).collect()}
+    assert facts() == expected
+    state.compact_facts(spark, path)
+    state.maintain_facts(actions(spark, (3, "update", 0)), table(spark, [said(3)]), path, batch_id=1)
+    assert facts() == expected  # an update older than the deletion
+    some = spark.createDataFrame([(f"{BASE}/2",), (f"{BASE}/1",)], "uri string")
+    found = state.current_facts(spark, path, some)
+    assert {tuple(r) for r in found.collect()} == expected
+    from eventloom.operators import fixity, routing
+
+    assert [r.uri for r in fixity.only_binaries(some, None, state.current_facts(spark, path)).collect()] == [f"{BASE}/2"]
+    rows = events(*[{"event_id": str(n), "uri": f"{BASE}/{n}", "event_types": []} for n in (1, 2, 3)])
+    decided = routing.triplestore_actions(rows, None, None, True, (), state.current_facts(spark, path))
+    assert {r.uri[-1]: r.action for r in decided.collect()} == {"1": "missing", "2": "update", "3": "missing"}
+    both = routing.search_actions(rows, None, None, "default", False, True, (), state.current_facts(spark, path))
+    assert {r.uri[-1]: r.transformation for r in both.collect()} == {"1": None, "2": "urn:z", "3": None}
