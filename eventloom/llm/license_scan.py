@@ -187,3 +187,55 @@ def license_scan(docs: DataFrame) -> DataFrame:
 
 def op6_license_scan(spark, sf_dir):
     return license_scan(table(spark, sf_dir, "documents"))
+
+
+def _sql_templates() -> str:
+    """The templates as rows (label, base, parts, before, inside) of SQL."""
+    heads, places = index()
+
+    def listed(words):
+        return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+    rows = []
+    for t, label, base, _, _ in heads:
+        own = [(q, word, key) for h, q, word, key in places if h == t]
+        inside = [word for _, word, key in own if key]
+        before = min(q for q, _, key in own if key)
+        rows.append(f"('{label}', {str(base).lower()}, {listed([w for _, w, _ in own])}, {before}, {listed(inside)})")
+    return ",\n        ".join(rows)
+
+
+#: Every place of every key phrase, found by its first word and compared whole.
+OP6_SQL = rf"""
+with templates(label, base, parts, before, inside) as (
+    values {_sql_templates()}
+), docs as (
+    select row_number() over () as row, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from documents
+), words as (
+    select row, unnest(range(len(w))) as i, unnest(w) as word from docs
+), found as (
+    select x.row, x.i - t.before as s, t.label, t.base, t.parts, d.w
+    from words x join templates t on x.word = t.inside[1] join docs d on d.row = x.row
+    where x.i >= t.before and d.w[x.i + 1 : x.i + len(t.inside)] = t.inside
+), judged as (
+    select row, s, label, base, len(parts) as n,
+           len(list_filter(range(len(parts)), lambda j: w[s + 1 + j] = parts[j + 1])) as same
+    from found
+), hits as (
+    select row, s, label, base, case when base then 1.0::double else same / n::double end as score
+    from judged where base or same >= {COVERAGE}::double * n
+), told as (
+    select row, count(*) filter (where base) as n_base,
+           min(s) filter (where base) as first_word, max(s) filter (where base) as last_word,
+           string_agg(distinct label, ',' order by label) filter (where base) as base_labels,
+           string_agg(distinct label, ',' order by label) as labels, max(score) as score
+    from hits group by row
+)
+select doc_id, len(w) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+       coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
+       coalesce(score, 0.0::double) as score
+from docs left join told using (row)
+"""

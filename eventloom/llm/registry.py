@@ -33,6 +33,7 @@ QUERIES = {
 }
 CHECKS = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
+    "op6_license_scan": license_scan.OP6_SQL,
     "op12_prefix_trie": prefix_trie.OP12_SQL,
     "op13_periodic_runs": periodic_runs.OP13_SQL,
 }

@@ -62,3 +62,14 @@ def test_notices_and_edge_cases(spark):
     check(spark, rows)
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert ls.license_scan(empty).count() == 0
+
+
+def test_query_equals_its_sql(spark):
+    import duckdb
+
+    from compare import compare
+
+    sf = "/root/testdata/sf0.001"
+    db = duckdb.connect()
+    db.execute(f"create view documents as select * from '{sf}/documents.parquet'")
+    assert compare(ls.op6_license_scan(spark, sf), db, ls.OP6_SQL) is None
