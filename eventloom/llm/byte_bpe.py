@@ -15,13 +15,12 @@ from pyspark.sql import functions as F
 from eventloom.llm.common import table, whole_text
 
 #: Bytes of text (or of ids) taken at a time, and entries of each of a worker's two generations.
-SLICE, REMEMBERED = 4_000_000, 350_000
+SLICE, REMEMBERED = 4_000_000, 300_000
 #: Words of more bytes than this use the statement that keeps one row for each position.
 SHORT = 255
 
 TABLES = """
 create table tokens as select id, token, hex(token) as h from given;
-create table single as select ('0x' || h)::int as byte, id from tokens where octet_length(token) = 1;
 create table merges as
   with cuts as (
     select id, h[1 : 2 * k] as a, h[2 * k + 1 :] as b
@@ -38,17 +37,12 @@ create table early as
   ) y on y.part = x.merged and y.merged < x.merged;
 """
 
-#: One row for each byte of a word; ``spot`` is the word's number and the byte's position.
-START = """
-select (w.word << {bits}) + k as spot, s.id from words w, unnest(range(octet_length(w.token))) as u(k)
-join single s on s.byte = ('0x' || hex(w.token)[2 * k + 1 : 2 * k + 2])::int
-"""
-
+#: ``start`` has a row for each byte of a word; ``spot`` is the word's number and the position.
 #: Positions have no gaps, so the next token stands at the next number. A turn contracts the
 #: leftmost pair of lowest rank in each word; a word without a pair is left as it was.
-CONTRACT = f"""
+CONTRACT = """
 with recursive step(spot, id, turn) as (
-  (select spot, id, 0 from ({START.format(bits=16)}))
+  (select spot, id, 0 from start)
   union all
   (with pairs as materialized (
      select a.spot, a.id, a.turn, m.merged
@@ -71,9 +65,9 @@ order by s.spot
 #: The same for long words: the table keeps a position's latest token (none once it is merged).
 #: All separate places of a word's best pair are contracted in one turn, from the left, unless
 #: the new token is part of a pair of lower rank, which would then come first.
-CONTRACT_LONG = f"""
+CONTRACT_LONG = """
 with recursive step(spot, id) using key (spot) as (
-  ({START.format(bits=32)})
+  (select spot, id from start)
   union
   (with live as (
      select r.spot, r.id, lead(r.spot) over w as next, lead(r.id) over w as after,
@@ -144,6 +138,7 @@ class Codec:
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         self.put("given", {"id": pa.array(ids, pa.int64()), "token": pa.array(tokens, pa.binary())})
         self.db.execute(TABLES)
+        self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         self.inside = np.zeros(65_536, bool)
         for t in tokens:
             b = np.frombuffer(t, np.uint8).astype(np.int32)
@@ -151,6 +146,7 @@ class Codec:
         #: Ids whose bytes begin with a space: a decoder may cut a document's ids before them.
         self.opens = np.zeros(max(ids) + 2, bool)
         self.opens[[i for t, i in self.ranks.items() if t[:1] == b" "]] = True
+        #: Of a word its packed ids and the bytes that they decode to; of a run of ids its bytes.
         self.coded, self.decoded = Remembered(REMEMBERED), Remembered(REMEMBERED)
 
     def put(self, name, columns):
@@ -162,8 +158,12 @@ class Codec:
         """Packed ids of each word after merging."""
         if not words:
             return {}
-        self.put("words", {
-            "word": pa.array(range(len(words)), pa.int64()), "token": pa.array(words, pa.binary()),
+        sizes = np.array([len(w) for w in words])
+        word = np.repeat(np.arange(len(words)), sizes)
+        place = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        bits = 16 if sql is CONTRACT else 32
+        self.put("start", {
+            "spot": (word << bits) + place, "id": self.single[np.frombuffer(b"".join(words), np.uint8)],
         })
         rows = self.db.execute(sql).fetchnumpy()
         ends = np.searchsorted(rows["word"], np.arange(len(words)), "right").tolist()
@@ -201,18 +201,28 @@ class Codec:
                 out[word] = done[word]
         return out
 
-    def pieces(self, texts: list[bytes]) -> tuple[list, set]:
-        """For each text the packed ids of its words, little-endian unsigned 32-bit numbers, and
-        the distinct ones of all texts."""
+    def encode(self, texts: list[bytes]) -> tuple[list, list]:
+        """Each text's ids as little-endian unsigned 32-bit numbers, and the bytes that its ids
+        decode to: a word is coded, and its ids are decoded, when it is new."""
         split = [self.findall(t.decode("utf-8", "replace")) for t in texts]
         wanted = set()
         for words in split:
             wanted.update(words)
         new = {w: w.encode() for w in self.coded.missing(wanted)}
         ids = self.words_coded(set(new.values()))
+        told = self.looked_up(list(set(ids.values())))
         known = self.coded.values
-        known.update({w: ids[b] for w, b in new.items()})
-        return [list(map(known.__getitem__, words)) for words in split], set(map(known.__getitem__, wanted))
+        known.update({w: (ids[b], told[ids[b]]) for w, b in new.items()})
+        coded, decoded = [], []
+        for words in split:
+            if words:
+                packed, plain = zip(*map(known.__getitem__, words))
+                coded.append(b"".join(packed))
+                decoded.append(b"".join(plain))
+            else:
+                coded.append(b"")
+                decoded.append(b"")
+        return coded, decoded
 
     def runs(self, packed: bytes):
         """A document's ids cut before each token that begins with a space; None if cut amiss."""
@@ -223,29 +233,32 @@ class Codec:
         starts = cuts if cuts[:1] == [0] else [0, *cuts]
         return [packed[i:j] for i, j in zip(starts, [*starts[1:], len(packed)])] if packed else []
 
-    def decode(self, split: list, wanted: set) -> list:
-        """The bytes that each list of packed ids stands for; None where an id is unknown.
-
-        ``wanted`` are the distinct pieces, which are decoded once: ids become rows, meet the
-        vocabulary and are put together in the order of their places.
-        """
-        new = list(self.decoded.missing(wanted))
+    def looked_up(self, packed: list[bytes]) -> dict:
+        """The bytes of each list of packed ids, None where an id is unknown: ids become rows, meet
+        the vocabulary and are put together in the order of their places."""
+        if not packed:
+            return {}
+        ids = np.frombuffer(b"".join(packed), "<u4").astype(np.int64)
+        self.put("runs", {
+            "run": np.repeat(np.arange(len(packed)), [len(p) // 4 for p in packed]),
+            "place": np.arange(len(ids)), "id": ids,
+        })
+        rows = self.db.execute(DECODE).fetchall()
+        return {packed[k]: None if h is None else bytes.fromhex(h) for k, h in rows}
+
+    def decode(self, packed: list[bytes]) -> list:
+        """Each document's bytes; None where an id is unknown or one is cut off. Runs of ids that
+        repeat are decoded once."""
+        split = [self.runs(p) for p in packed]
+        wanted = {r for runs in split if runs for r in runs}
+        new = self.decoded.missing(wanted)
         known = self.decoded.values
-        if new:
-            ids = np.frombuffer(b"".join(new), "<u4").astype(np.int64)
-            self.put("runs", {
-                "run": np.repeat(np.arange(len(new)), [len(r) // 4 for r in new]),
-                "place": np.arange(len(ids)), "id": ids,
-            })
-            rows = self.db.execute(DECODE).fetchall()
-            known.update({new[k]: bytes.fromhex(h) for k, h in rows if h is not None})
-            if any(h is None for _, h in rows):
-                return [None if p is None or any(r not in known for r in p) else self.joined(p, known) for p in split]
-        return [None if p is None else self.joined(p, known) for p in split]
-
-    @staticmethod
-    def joined(pieces, known):
-        return b"".join(map(known.__getitem__, pieces))
+        known.update(self.looked_up(list(new)))
+        out = []
+        for runs in split:
+            told = None if runs is None else [known[r] for r in runs]
+            out.append(None if told is None or None in told else b"".join(told))
+        return out
 
 
 def worker_codec(content: bytes, pattern: str) -> Codec:
@@ -290,12 +303,11 @@ def encode(docs: DataFrame, rank_file: tuple[bytes, str], decoded: bool = False)
         codec = worker_codec(*sent.value)
         for batch in batches:
             for at, texts in slices(batch.column(1)):
-                pieces, distinct = codec.pieces(texts)
-                packed = [b"".join(p) for p in pieces]
+                packed, plain = codec.encode(texts)
                 counts = pa.array([len(p) // 4 for p in packed], pa.int64())
                 columns = [batch.column(0).slice(at, len(texts)), counts, pa.array(packed, pa.binary())]
                 if decoded:
-                    columns.append(pa.array(codec.decode(pieces, distinct), pa.binary()))
+                    columns.append(pa.array(plain, pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = docs.select("doc_id", whole_text().cast("binary").alias("text"))
@@ -318,8 +330,7 @@ def decode(coded: DataFrame, rank_file: tuple[bytes, str]) -> DataFrame:
         for batch in batches:
             for at, packed in slices(batch.column(1)):
                 columns = batch.slice(at, len(packed)).columns
-                runs = [codec.runs(p) for p in packed]
-                told = pa.array(codec.decode(runs, {r for p in runs if p for r in p}), pa.binary())
+                told = pa.array(codec.decode(packed), pa.binary())
                 yield pa.RecordBatch.from_arrays([*columns, told], ["doc_id", "ids", "decoded"])
 
     rows = coded.select("doc_id", F.coalesce("ids", F.lit(b"")).alias("ids"))

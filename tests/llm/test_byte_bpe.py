@@ -41,18 +41,14 @@ def long_words():
 def test_codec_equals_the_library(ranks, library):
     codec = bb.Codec(*ranks)
     texts = awkward() + long_words()
-    got, distinct = codec.pieces([t.encode() for t in texts])
-    assert distinct == {p for pieces in got for p in pieces}
-    packed = [b"".join(pieces) for pieces in got]
+    packed, plain = codec.encode([t.encode() for t in texts])
     for text, ids in zip(texts, packed):
         wanted = library.encode_ordinary(text)
         assert ids == b"".join(i.to_bytes(4, "little") for i in wanted), text[:60]
-    assert codec.decode(got, distinct) == [t.encode() for t in texts]
-    runs = [codec.runs(p) for p in packed]
-    assert codec.decode(runs, {r for p in runs for r in p}) == [t.encode() for t in texts]
+    assert plain == codec.decode(packed) == [t.encode() for t in texts]
     # What is remembered or cut into other slices changes nothing.
     codec.coded = bb.Remembered(3)
-    assert [codec.pieces([t.encode()])[0][0] for t in texts[::8]] == got[::8]
+    assert [codec.encode([t.encode()])[0][0] for t in texts[::8]] == packed[::8]
 
 
 def test_both_statements_give_the_same(ranks):
