@@ -48,6 +48,13 @@ ASIDE_WORDS = set(
     "signup subscribe subscription newsletter search comment comments disqus respond reply replies "
     "share sharing social related recommended recommendations widget toolbar copyright disclaimer".split()
 )
+#: Words that set a part aside whatever is in it; the other words may also name a layout or a
+#: topic, so an article in such a part, or all that an article holds, is not lost.
+NEVER = set(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promotion "
+    "cookie cookies consent gdpr comment comments disqus respond reply replies related recommended "
+    "recommendations".split()
+)
 PROSE = set("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td th".split())
 HEAD_WORDS = {"header", "masthead", "banner", "topbar"}
 
@@ -63,7 +70,8 @@ WITH = re.compile(r"\b(?:with|has|no|without)[-_]?[a-z]+")
 
 
 def role(name: str, rest: str) -> tuple[str, int]:
-    """(signature, kind) of an element: kind 1 is set aside, 2 is a head, 3 is a main part."""
+    """(signature, kind) of an element: kind 1 is set aside, 2 is a head, 3 is a main part, 4 is
+    set aside by a class or id that may mean something else."""
     names, roles, prop = "", "", ""
     if "=" in rest:
         for key, a, b, c in ATTRIBUTE.findall(rest):
@@ -77,12 +85,12 @@ def role(name: str, rest: str) -> tuple[str, int]:
     plain = WITH.sub(" ", CAMEL.sub("-", names).lower())
     words = set(re.split(r"[^a-z]+", plain)) - {""} if names else set()
     signature = name + ("." + ".".join(sorted(words)) if words else "")
-    if name in ASIDE or roles in ASIDE_ROLES or (
-        words & ASIDE_WORDS and name not in ("html", "body", "main")
-    ):
+    if name in ASIDE or roles in ASIDE_ROLES or (words & NEVER and name not in ("html", "body", "main")):
         return signature, 1
     if name in MAIN or roles == "main" or prop == "articlebody":
         return signature, 3
+    if words & ASIDE_WORDS and name not in ("html", "body"):
+        return signature, 4
     if name == "header" or roles == "banner" or (words & HEAD_WORDS and name not in ("html", "body")):
         return signature, 2
     return signature, 0
@@ -257,7 +265,7 @@ def align(a: Node, b: Node) -> Node:
 
 def changing(node: Node) -> int:
     """Characters of slots in a part, without what its role sets aside."""
-    if node.kind == 1:
+    if node.kind in (1, 4):
         return 0
     own = node.chars if node.text == 0 else 0
     return own + sum(changing(k) for k in node.kids.values())
@@ -297,26 +305,39 @@ def main_text(page: str, told: dict) -> str:
     """The article of a page, its blocks joined by spaces.
 
     Menus, footers, sidebars, notices, adverts, forms and comments are left out by role, and
-    page heads outside the article. The article is what the page marks as such; else the part
-    that the host's wrapper found to hold the changing text; else all that is left.
+    page heads outside the article. The article is what the page marks as such. If that leaves
+    nothing: what it holds under names that set parts aside, then the longer of a marked article
+    inside a part with such a name and of the part that the host's wrapper found to hold the
+    changing text; else all that is left.
     """
     fixed = {tuple(x) for x in told.get("fixed", ())}
     main = tuple(told.get("main", ()))
-    marked, placed, whole = [], [], []
+    marked, placed, whole, softly, reopened = [], [], [], [], []
     path: list = []
-    off, article, inside = 0, 0, 0
+    # Depth inside parts set aside, and inside parts set aside by a name only; open main parts
+    # with the second depth around them, and how many of them lie in such a part.
+    off, soft, article, inside, hidden = 0, 0, 0, 0, 0
+    opened: list = []
     for step, what, kind, name in walk(page):
         if step == 0:
-            if not off:
-                piece = entities.unescape(what) if "&" in what else what
+            if off:
+                continue
+            piece = entities.unescape(what) if "&" in what else what
+            if soft:
+                if article:
+                    softly.append(piece)
+            elif hidden:
+                reopened.append(piece)
+            else:
                 whole.append(piece)
                 if article:
                     marked.append(piece)
+                    softly.append(piece)
                 if inside:
                     placed.append(piece)
             continue
         if name not in INLINE:
-            for out in (whole, marked, placed):
+            for out in (whole, marked, placed, softly, reopened):
                 out.append(" ")
         elif kind == 0:
             continue
@@ -325,20 +346,25 @@ def main_text(page: str, told: dict) -> str:
                 path.append(what)
         here = tuple(path) if fixed or main else ()
         aside = kind == 1 or (kind == 2 and not article) or (here in fixed and name not in INLINE)
-        # An article inside a part that is set aside by name only is still the article.
         if kind == 3 and not off:
-            article += step
+            # An article inside a part that is set aside by name only is still an article.
+            if step == 1:
+                opened.append(soft)
+                hidden, soft, article = (hidden + 1, 0, article) if soft else (hidden, 0, article + 1)
+            else:
+                around = opened.pop()
+                hidden, soft, article = (hidden - 1, around, article) if around else (hidden, 0, article - 1)
         elif aside or off:
             off += step
+        elif kind == 4 or soft:
+            soft += step
         if main and here == main and name not in INLINE:
             inside += step
         if name not in INLINE and name != "br" and step == -1:
             path.pop()
-    for out in (marked, placed, whole):
-        text = " ".join("".join(out).split())
-        if text:
-            return text
-    return ""
+    texts = [" ".join("".join(out).split()) for out in (marked, softly, reopened, placed, whole)]
+    texts[2:4] = sorted(texts[2:4], key=len, reverse=True)
+    return next((t for t in texts if t), "")
 
 
 def folded(frames, key, finish):

@@ -42,6 +42,14 @@ TEXT = "First & foremost é! bold Second line <tag>"
     f"<div role=main>{BODY}</div><div role=navigation>go</div>",
     f"<p>{BODY}",
     f"<div class='banner'>Top</div>{BODY}<div class='share-buttons'>Tweet</div>",
+    f"<nav>go</nav><article class='post category-social'>{BODY}</article><div class=sidebar>x</div>",
+    f"<p>Site</p><div class='layout-sidebar-right'><article>{BODY}<div class=share>t</div></article></div>",
+    f"<p>Site</p><div class='newsletter-archive'><main>{BODY}</main></div>",
+    f"<article><div class='search-results-study'>{BODY}</div></article><p>more</p>",
+    f"<article>{BODY}</article><div class=sidebar><article>Teaser</article></div>",
+    f"<article>{BODY}<div class='social'><article>Teaser</article></div></article>",
+    f"<article>{BODY}</article><article class='comment'>Nice</article><article class='ad'>Buy</article>",
+    f"<div class='comments'><article>Nice</article></div>{BODY}",
 ])
 def test_parts_that_are_not_the_article(page):
     assert ht.main_text(page, {}) == TEXT
