@@ -411,11 +411,6 @@ def _last_docs(changes: DataFrame) -> DataFrame:
     return _last_rows(changes, schemas.SEARCH_DOC.fieldNames())
 
 
-def fold_docs(changes: DataFrame) -> DataFrame:
-    """Current documents: the last change of each id, unless it was a removal."""
-    return _last_docs(changes).filter(F.col("op") == "put").drop("op")
-
-
 def maintain_search_index(
     actions: DataFrame, docs: DataFrame, target: str, batch_id: int = 0, writer: str = "main"
 ) -> None:
