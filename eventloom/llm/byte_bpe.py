@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from eventloom.llm.common import table, whole_text
 
 #: Bytes of text (or of ids) taken at a time, and entries of each of a worker's two generations.
-SLICE, REMEMBERED = 4_000_000, 300_000
+SLICE, REMEMBERED = 1_500_000, 300_000
 #: Words of more bytes than this use the statement that keeps one row for each position.
 SHORT = 255
 
