@@ -29,7 +29,8 @@ def line_stage(spark, docs, sf_dir):
 
 
 def near_stage(spark, docs, sf_dir):
-    """Of each group of near-copies (Jaccard 0.8 of five-word shingles) one document stays."""
+    """Of each group of near-copies one document stays: SimHash fingerprints within two bits,
+    found by pigeonring, or a Jaccard similarity of 0.8 of five-word shingles, beyond their reach."""
     return simhash.near_dedup(docs)
 
 

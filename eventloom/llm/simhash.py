@@ -218,19 +218,21 @@ def sketch(hashes: np.ndarray) -> list:
     return [xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(least)]
 
 
-def shingled(docs: DataFrame, shingle: int, digest: str, keys: str, row: str) -> DataFrame:
+def shingled(docs: DataFrame, shingle: int, digest: str, keys: str, row: str, fp: str) -> DataFrame:
     """The rows with ``digest`` (of the set of shingles), ``keys`` (a key for each band, none
-    without words) and ``row`` (a number of its own), stored."""
+    without words), ``row`` (a number of its own) and ``fp`` (the fingerprint), stored."""
     carried = docs.columns
     schema = docs.select(
-        "*", F.lit(b"").alias(digest), F.array(F.lit(0).cast("long")).alias(keys), F.lit(0).cast("long").alias(row)
+        "*", F.lit(b"").alias(digest), F.array(F.lit(0).cast("long")).alias(keys),
+        *[F.lit(0).cast("long").alias(c) for c in (row, fp)],
     ).schema
 
     def run(batches):
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
-            digests, sketches = [], []
+            digests, sketches, prints = [], [], []
             for t in batch.column("text").cast(pa.binary()):
+                prints.append(fingerprint(t.as_py() or b""))
                 found = np.unique(shingle_hashes(t.as_py() or b"", shingle))
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()))
                 sketches.append(np.array(sketch(found) if len(found) else [], np.uint64).view(np.int64))
@@ -238,8 +240,9 @@ def shingled(docs: DataFrame, shingle: int, digest: str, keys: str, row: str) ->
             columns.append(pa.array(digests, pa.binary()))
             columns.append(pa.array(sketches, pa.list_(pa.int64())))
             columns.append(pa.array(np.arange(number, number + batch.num_rows)))
+            columns.append(pa.array(np.array(prints, np.uint64).view(np.int64)))
             number += batch.num_rows
-            yield pa.RecordBatch.from_arrays(columns, names=[*carried, digest, keys, row])
+            yield pa.RecordBatch.from_arrays(columns, names=[*carried, digest, keys, row, fp])
 
     return stored(docs.mapInArrow(run, schema), "sketches")
 
@@ -330,32 +333,55 @@ def similar_links(sets: DataFrame, docs: DataFrame, shingle: int, similarity: fl
     return dealt.mapInArrow(run, "u long, v long")
 
 
+def fingerprint_links(rows: DataFrame) -> DataFrame:
+    """Edges (u, v) that connect rows whose fingerprints are within ``DISTANCE`` bits.
+
+    ``rows`` is (node, row, fp). A fingerprint is named by its smallest row: every node hangs on
+    the names of its fingerprints, and pigeonring (``links``) connects these names.
+    """
+    names = stored(rows.groupBy("fp").agg(F.min("row").alias("name")), "near-prints")
+    held = rows.select("node", "fp").distinct().join(names.hint("merge"), "fp")
+    held = held.where("node != name").select(F.col("name").alias("u"), F.col("node").alias("v"))
+    found = stored(links(names), "near-rings")
+    for end in ("u", "v"):
+        named = names.select(F.col("fp").alias(end), F.col("name").alias(f"{end}_name"))
+        found = found.join(named, end)
+    return held.unionByName(found.select(F.col("u_name").alias("u"), F.col("v_name").alias("v")))
+
+
 def near_dedup(docs: DataFrame, shingle: int = NEAR_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """The documents without near-copies: of each component the smallest doc_id stays.
 
-    Documents are linked if the sets of their shingles have a Jaccard similarity of at least
-    ``similarity``, which is computed for every pair that shares a band's key and is not
-    connected yet. Fewer words than ``shingle`` make one shingle; texts without words (or null)
-    are alike. Of rows that repeat an id the first read stays; a component without ids keeps
-    one row. All columns come through as they are.
+    Documents are linked if their SimHash fingerprints differ in at most ``DISTANCE`` bits, found
+    by pigeonring as in ``simhash``; and, as two bits of 64 do not reach edits of some words, also
+    if the sets of their shingles have a Jaccard similarity of at least ``similarity``, which is
+    computed for every pair that shares a band's key and is not connected yet. Fewer words than
+    ``shingle`` make one shingle; texts without words (or null) are alike. Of rows that repeat an
+    id the first read stays; a component without ids keeps one row. All columns come through as
+    they are.
     """
-    digest, keys, row = fresh(docs, "digest"), fresh(docs, "keys"), fresh(docs, "row")
-    marked = shingled(docs, shingle, digest, keys, row)
+    digest, keys, row, fp = (fresh(docs, c) for c in ("digest", "keys", "row", "fp"))
+    marked = shingled(docs, shingle, digest, keys, row, fp)
     first = F.struct(F.col("doc_id").isNull(), "doc_id", F.col(row).alias("row"))
     # Equal sets are one node from the start, so copies cost one row each.
     groups = marked.groupBy(F.col(digest).alias("digest")).agg(F.min(first).alias("first"))
-    groups = stored(groups.select(F.col("first.row").alias("node"), "first"), "near-groups")
+    groups = stored(groups.select("digest", F.col("first.row").alias("node"), "first"), "near-groups")
     sets = marked.select(F.col(row).alias("node"), F.col(keys).alias("keys")).join(
         groups.select("node").hint("merge"), "node", "left_semi"
     )
+    prints = marked.select(F.col(digest).alias("digest"), F.col(row).alias("row"), F.col(fp).alias("fp"))
+    prints = stored(
+        prints.join(groups.select("digest", "node").hint("merge"), "digest").drop("digest"), "near-nodes"
+    )
     texts = marked.select(F.col(row).alias("row"), "text")
-    roots = components(similar_links(stored(sets, "near-sets"), texts, shingle, similarity), "near")
+    alike = similar_links(stored(sets, "near-sets"), texts, shingle, similarity)
+    roots = components(fingerprint_links(prints).unionByName(alike), "near")
     kept = (
         groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         .groupBy("root").agg(F.min("first").alias("first"))
     )
     kept = kept.select(F.col("first.row").alias(row))
-    return marked.join(kept.hint("merge"), row, "left_semi").drop(digest, keys, row)
+    return marked.join(kept.hint("merge"), row, "left_semi").drop(digest, keys, row, fp)
 
 
 def op8_simhash(spark, sf_dir):

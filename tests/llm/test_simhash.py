@@ -141,3 +141,20 @@ def test_edited_copies_of_the_sample(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     rows = [tuple(r) for r in docs.collect()]
     assert sorted(r.doc_id for r in sh.near_dedup(docs).collect()) == plain_near(rows)
+
+
+def test_the_pipeline_links_by_fingerprints(spark):
+    import corpus_pipeline
+
+    # Shingles that come again and again decide the fingerprint, not the set: Jaccard is low.
+    chorus = "red green blue " * 400
+    ends = [" ".join(f"{n}end{k}" for k in range(20)) for n in range(4)]
+    rows = [(10 * n + 7, chorus + end) for n, end in enumerate(ends)]
+    rows += [(90, " ".join(f"own{k}" for k in range(50))), (None, chorus + "last"), (91, None)]
+    prints = [plain_fingerprint(t) for _, t in rows]
+    assert all((prints[0] ^ prints[k]).bit_count() <= 2 for k in (1, 2, 3, 5))
+    assert plain_near([r for r in rows if r[0] is not None]) == [7, 17, 27, 37, 90, 91]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, fp int")
+    got = corpus_pipeline.near_stage(spark, docs, None)
+    assert got.columns == docs.columns
+    assert sorted(r.doc_id for r in got.collect()) == [7, 90, 91]
