@@ -319,11 +319,15 @@ def latest_action_stream(spark, sf) -> DataFrame:
     again: kept in the state store over five batches."""
     target = work_dir(spark, "latest-stream")
     events = views.events(spark, sf)
-    parts = F.pmod(F.xxhash64("event_id"), F.lit(5)).cast("int")
-    events.withColumn("part", parts).repartition(5, "part").write.parquet(f"{target}/in")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{target}/in")
-    actions = routing.triplestore_actions(stream, None, None, False, CONTAINERS)
-    latest.keep_latest(actions, f"{target}/latest", f"{target}/checkpoint", available_now=True).awaitTermination()
+    part = F.pmod(F.xxhash64("event_id"), F.lit(5)).cast("int")
+    for number in range(5):
+        # The files of a part arrive, as many as the events have splits; the query takes them up.
+        events.filter(part == number).write.mode("append").parquet(f"{target}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{target}/in")
+        actions = routing.triplestore_actions(stream, None, None, False, CONTAINERS)
+        latest.keep_latest(
+            actions, f"{target}/latest", f"{target}/checkpoint", available_now=True
+        ).awaitTermination()
     return latest.current_latest(spark, f"{target}/latest").select("uri", "event_id", "action")
 
 
@@ -405,7 +409,7 @@ def ntriples_files_in_order(spark, sf) -> DataFrame:
     """Search documents of descriptions whose lines stand in reverse: their first values are
     those that stand first in the files."""
     path = work_dir(spark, "ntriples-order")
-    rows = views.triples(spark, sf).repartitionByRange(4, "doc").sortWithinPartitions("doc", F.desc("ord"))
+    rows = views.triples(spark, sf).repartitionByRange("doc").sortWithinPartitions("doc", F.desc("ord"))
     tr.to_ntriples(rows).select("line").write.text(path)
     return _doc_columns(search.default_search_doc(read_ntriples(spark, path, ordered=True)))
 
