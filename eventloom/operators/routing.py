@@ -28,10 +28,22 @@ def indexable_by_rdf(df: DataFrame, triples: DataFrame) -> DataFrame:
 
 
 def first_transformation():
-    """First transformation link in document order (an aggregate)."""
+    """First transformation link in document order (an aggregate over ``_fact_rows``)."""
+    order = F.struct(F.coalesce("ord", F.lit(0)), F.col("_link"))
+    return F.min_by("_link", F.when(F.col("_link").isNotNull(), order))
+
+
+def _fact_rows(triples: DataFrame) -> DataFrame:
+    """(uri, ord, _indexable, _binary, _link): what the facts are folded from. Most rows hold no
+    fact and are then little more than their uri; they are sorted to be folded, map-side too."""
     link = (F.col("predicate") == vocab.HAS_TRANSFORMATION) & (F.col("object_kind") == "uri")
-    order = F.struct(F.coalesce("ord", F.lit(0)), F.col("object"))
-    return F.min_by(F.when(link, F.col("object")), F.when(link, order))
+    return triples.select(
+        F.col("doc").alias("uri"),
+        _type_is(vocab.INDEXABLE).alias("_indexable"),
+        ((F.col("predicate") == vocab.RDF_TYPE) & (F.col("object") == vocab.BINARY)).alias("_binary"),
+        F.when(link, F.col("object")).alias("_link"),
+        F.when(link, F.col("ord")).alias("ord"),
+    )
 
 
 def resource_facts(triples: DataFrame) -> DataFrame:
@@ -39,18 +51,18 @@ def resource_facts(triples: DataFrame) -> DataFrame:
 
     A single aggregate with map-side combine; only five columns of the table are read.
     """
-    return triples.groupBy(F.col("doc").alias("uri")).agg(
-        F.max(_type_is(vocab.INDEXABLE)).alias("rdf_indexable"),
+    return _fact_rows(triples).groupBy("uri").agg(
+        F.max("_indexable").alias("rdf_indexable"),
         first_transformation().alias("own_transformation"),
     )
 
 
 def known_facts(triples: DataFrame) -> DataFrame:
     """The same and whether it is a binary, as an index of facts keeps it (see ``schemas.FACTS``)."""
-    return triples.groupBy(F.col("doc").alias("uri")).agg(
-        F.max(_type_is(vocab.INDEXABLE)).alias("rdf_indexable"),
+    return _fact_rows(triples).groupBy("uri").agg(
+        F.max("_indexable").alias("rdf_indexable"),
         first_transformation().alias("own_transformation"),
-        F.max((F.col("predicate") == vocab.RDF_TYPE) & (F.col("object") == vocab.BINARY)).alias("is_binary"),
+        F.max("_binary").alias("is_binary"),
     )
 
 

@@ -20,25 +20,32 @@ def default_search_doc(triples: DataFrame) -> DataFrame:
     """
     position = F.coalesce("ord", F.lit(0))
 
-    def first(column, condition):
-        order = F.struct(position, F.col(column))
-        return F.min_by(F.when(condition, F.col(column)), F.when(condition, order))
-
     def is_a(predicate):
         return F.col("predicate") == predicate
 
+    def first(column):
+        return F.min_by(column, F.when(F.col(column).isNotNull(), F.struct("_position", column)))
+
     linked = F.col("object_kind") == "uri"
-    types = F.when(
-        is_a(vocab.RDF_TYPE) & linked,
-        F.struct(position.alias("ord"), F.col("object").alias("object")),
+    types = F.struct(position.alias("ord"), F.col("object").alias("object"))
+    value = F.col("object")
+    # Narrow rows first: the aggregate sorts them, map-side too.
+    rows = triples.select(
+        "doc",
+        "subject",
+        position.alias("_position"),
+        F.when(is_a(vocab.RDF_TYPE) & linked, types).alias("_type"),
+        F.when(is_a(vocab.CONTAINS) & linked, value).alias("_contains"),
+        F.when(is_a(vocab.LAST_MODIFIED) & ~linked, value).alias("_modified"),
+        F.when(is_a(vocab.CREATED) & ~linked, value).alias("_created"),
     )
     empty = F.lit("")
-    docs = triples.groupBy("doc").agg(
-        first("subject", F.lit(True)).alias("id"),
-        F.array_sort(F.collect_list(types)).alias("types"),
-        first("object", is_a(vocab.CONTAINS) & linked).alias("contains"),
-        first("object", is_a(vocab.LAST_MODIFIED) & ~linked).alias("lastmodified"),
-        first("object", is_a(vocab.CREATED) & ~linked).alias("created"),
+    docs = rows.groupBy("doc").agg(
+        F.min_by("subject", F.struct("_position", "subject")).alias("id"),
+        F.array_sort(F.collect_list("_type")).alias("types"),
+        first("_contains").alias("contains"),
+        first("_modified").alias("lastmodified"),
+        first("_created").alias("created"),
     )
     return docs.select(
         "doc",
