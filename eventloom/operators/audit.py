@@ -1,6 +1,6 @@
 """Audit records: every change event becomes a small graph of its own."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from eventloom import vocab
 from eventloom.functions import triple_line
@@ -9,6 +9,7 @@ from eventloom.operators.events import (
     with_audit_event_type,
     with_audit_event_uri,
 )
+from eventloom.schemas import TRIPLE_KEY
 
 
 def _with_record(events: DataFrame, base_uri: str) -> DataFrame:
@@ -41,7 +42,10 @@ def _with_record(events: DataFrame, base_uri: str) -> DataFrame:
 
 def audit_triples(events: DataFrame, base_uri: str) -> DataFrame:
     """One row per triple of each event's audit record. Events without an id give none."""
-    record = _with_record(events.filter(F.col("event_id").isNotNull()), base_uri)
+    return _record_triples(_with_record(events.filter(F.col("event_id").isNotNull()), base_uri))
+
+
+def _record_triples(record: DataFrame) -> DataFrame:
     missing = F.lit(None).cast("string")
     # The outer form, as no record is empty: the plain one would first test each record's
     # size and so build it twice.
@@ -60,6 +64,33 @@ def audit_triples(events: DataFrame, base_uri: str) -> DataFrame:
     )
 
 
+#: What a record is made of.
+_SOURCE = ("event_id", "uri", "date_time", "event_types", "resource_types", "agents")
+
+
+def audited_once(events: DataFrame, base_uri: str) -> DataFrame:
+    """What the records of events are made of, once each, dealt by the record's subject: an event
+    is some hundred bytes, its record many triples. ``versions`` counts a subject's rows."""
+    rows = with_audit_event_uri(events.filter(F.col("event_id").isNotNull()), base_uri).select("event_uri", *_SOURCE)
+    # Both aggregates find their rows dealt: there is one shuffle.
+    once = rows.repartition("event_uri").distinct()
+    return once.withColumn("versions", F.count(F.lit(1)).over(Window.partitionBy("event_uri")))
+
+
+def audit_set(once: DataFrame, base_uri: str) -> DataFrame:
+    """The triples of ``audited_once`` as a set. Only subjects of several versions can repeat a
+    triple; of the others none is moved or compared."""
+
+    def triples(rows):
+        return _record_triples(_with_record(rows, base_uri)).select(*TRIPLE_KEY)
+
+    # Kept rows are asked first: an empty branch would have the other one worked out twice.
+    if once.filter(F.col("versions") > 1).isEmpty():
+        return triples(once)
+    own = triples(once.filter(F.col("versions") == 1))
+    return own.unionByName(triples(once.filter(F.col("versions") > 1)).distinct())
+
+
 def audit_insert_statement(events: DataFrame, base_uri: str) -> DataFrame:
     """One insert statement per event, lines in text order; built within the row."""
     record = _with_record(events.filter(F.col("event_id").isNotNull()), base_uri)

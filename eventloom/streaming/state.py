@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from eventloom import schemas
 from eventloom.functions import form_encode
-from eventloom.operators.audit import audit_input, audit_triples
+from eventloom.operators.audit import audit_input, audit_set, audit_triples, audited_once  # noqa: F401
 from eventloom.operators.routing import DELETE, UPDATE, known_facts
 from eventloom.operators.search import search_add_command, search_delete_command
 from eventloom.operators.triples import (
@@ -550,8 +550,8 @@ def _perhaps_known(subjects: DataFrame, paths: list) -> DataFrame:
     filters = subjects.sparkSession.read.schema(_FILTER).parquet(*paths)
     byte = F.expr("cast(conv(hex(substring(bitmap, bit div 8 + 1, 1)), 16, 10) as int)")
     met = _bits(subjects).join(filters, "bucket").filter(F.expr("shiftleft(1, bit % 8)").bitwiseAND(byte) > 0)
-    found = met.groupBy("subject").agg(F.count_distinct("k").alias("n"))
-    return found.filter(F.col("n") == AUDIT_HASHES).select("subject")
+    found = met.groupBy("subject").agg(F.bit_or(F.expr("shiftleft(1, k)")).alias("ks"))
+    return found.filter(F.col("ks") == (1 << AUDIT_HASHES) - 1).select("subject")
 
 
 def append_audit(
@@ -571,17 +571,19 @@ def append_audit(
     at the same time is told apart when the log is folded.
     """
     spark = events.sparkSession
-    records = rdf_set(audit_triples(audit_input(events, containers), base_uri)).select(*TRIPLE_KEY).persist()
+    # Events are kept, not their triples, which are many times as large.
+    once = audited_once(audit_input(events, containers), base_uri).persist()
     try:
         known = changelog.manifest(spark, target)
         batches = changelog.finished_batches(spark, target, known) - {(writer, batch_id)}
         paths = _filter_paths(target, known, batches)
-        subjects, fresh = records.select("subject").distinct(), records
+        subjects = once.select(F.col("event_uri").alias("subject")).distinct()
         hits = _perhaps_known(subjects, paths).persist() if paths else None
         try:
             slots = [] if hits is None else _slots_of(hits)
+            fresh = audit_set(once, base_uri)
             if slots:
-                fresh = _not_stored(spark, records, hits, target, known, batches, slots)
+                fresh = _not_stored(spark, fresh, hits, target, known, batches, slots)
             write_slotted(fresh, "subject", target, batch_id, writer)
         finally:
             if hits is not None:
@@ -589,7 +591,7 @@ def append_audit(
         bitmaps = _bits(subjects).groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
         bitmaps.write.mode("overwrite").parquet(f"{target}/filters/writer={writer}/batch={batch_id}")
     finally:
-        records.unpersist()
+        once.unpersist()
 
 
 def _not_stored(spark, records, hits, target, known, batches, slots) -> DataFrame:
@@ -601,7 +603,10 @@ def _not_stored(spark, records, hits, target, known, batches, slots) -> DataFram
     if not stored:
         return records
     stored = reduce(DataFrame.unionByName, stored).join(hits, "subject", "left_semi")
-    return records.join(stored, _same(records, stored), "left_anti")
+    # Rows are sorted by a number first; texts are compared where numbers are equal.
+    records, stored = (rows.withColumn("_number", F.xxhash64(*TRIPLE_KEY)) for rows in (records, stored))
+    same = (records["_number"] == stored["_number"]) & _same(records, stored)
+    return records.join(stored, same, "left_anti").drop("_number")
 
 
 def current_audit(spark: SparkSession, target: str, at=None) -> DataFrame:
