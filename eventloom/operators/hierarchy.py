@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from eventloom import vocab
-from eventloom.functions import is_blank, strip
+from eventloom.functions import NUMBER, is_blank, join_numbered, number, strip
 from eventloom.operators.events import resource_uri
 from eventloom.session import work_dir
 
@@ -95,17 +95,22 @@ class _Walk:
     def reached(self, links: DataFrame, frontier: DataFrame) -> DataFrame:
         """(uri, roots): the children of a level. A child moves once for each link to it, with the
         roots of that parent as a list; roots that meet at a child become one set."""
-        met = links.join(frontier.select(F.col("uri").alias("parent"), "roots"), "parent")
+        met = join_numbered(links, frontier.select(F.col("uri").alias("parent"), "roots"), "parent")
         met = met.select(self.bucket(F.col("child")).alias("bucket"), F.col("child").alias("uri"), "roots")
-        dealt = met.repartition("bucket").select("bucket", "uri", F.explode("roots").alias("root"))
-        return dealt.groupBy("bucket", "uri").agg(F.collect_set("root").alias("roots"))
+        dealt = met.repartition("bucket").select(
+            number("uri"), "bucket", "uri", F.explode("roots").alias("root")
+        )
+        # Sets are collected from sorted rows: by number, as texts of uris begin alike.
+        met = dealt.groupBy(NUMBER, "bucket", "uri").agg(F.collect_set("root").alias("roots"))
+        return met.drop(NUMBER)
 
     def new(self, arrived: DataFrame, buckets: list) -> DataFrame:
         """What arrived, without the roots from which a node was reached before."""
-        before = self.visited(buckets).join(arrived.select("uri"), "uri")
-        before = before.groupBy("uri").agg(F.flatten(F.collect_list("roots")).alias("before"))
+        before = join_numbered(self.visited(buckets), arrived.select("uri"), "uri")
+        before = before.groupBy(number("uri"), "uri").agg(F.flatten(F.collect_list("roots")).alias("before"))
         fresh = F.array_except("roots", F.coalesce("before", F.array().cast("array<long>")))
-        rows = arrived.join(before, "uri", "left").select("bucket", "uri", fresh.alias("roots"))
+        known = join_numbered(arrived, before.drop(NUMBER), "uri", "left")
+        rows = known.select("bucket", "uri", fresh.alias("roots"))
         return rows.filter(F.size("roots") > 0).repartition("bucket")
 
 
@@ -169,6 +174,6 @@ def reindex(requests: DataFrame, edges, base_url: str, **walk) -> DataFrame:
         .select("request_id", F.col("uri").alias("root"), "recipients")
     )
     nodes = traverse(edges, admitted.select(F.col("root").alias("uri")), **walk)
-    return fan_out(nodes.join(admitted, "root")).select(
+    return fan_out(join_numbered(nodes, admitted, "root")).select(
         "request_id", "uri", "recipient", "depth"
     )
