@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from eventloom import vocab
-from eventloom.functions import blank_to, has_any
+from eventloom.functions import NUMBER, blank_to, has_any, join_numbered, number
 from eventloom.operators.events import exclude_containers, merge_live_and_hints, split_deletes
 
 UPDATE, DELETE, MISSING = "update", "delete", "missing"
@@ -51,19 +51,19 @@ def resource_facts(triples: DataFrame) -> DataFrame:
 
     A single aggregate with map-side combine; only five columns of the table are read.
     """
-    return _fact_rows(triples).groupBy("uri").agg(
+    return _fact_rows(triples).groupBy(number("uri"), "uri").agg(
         F.max("_indexable").alias("rdf_indexable"),
         first_transformation().alias("own_transformation"),
-    )
+    ).drop(NUMBER)
 
 
 def known_facts(triples: DataFrame) -> DataFrame:
     """The same and whether it is a binary, as an index of facts keeps it (see ``schemas.FACTS``)."""
-    return _fact_rows(triples).groupBy("uri").agg(
+    return _fact_rows(triples).groupBy(number("uri"), "uri").agg(
         F.max("_indexable").alias("rdf_indexable"),
         first_transformation().alias("own_transformation"),
         F.max("_binary").alias("is_binary"),
-    )
+    ).drop(NUMBER)
 
 
 def with_transformation(resources: DataFrame, default: str) -> DataFrame:
@@ -126,7 +126,7 @@ def triplestore_actions(
         facts = triples.groupBy(F.col("doc").alias("uri")).agg(
             F.max(_type_is(vocab.INDEXABLE)).alias("rdf_indexable")
         )
-    decided = others.join(facts, "uri", "left").select(
+    decided = join_numbered(others, facts, "uri", "left").select(
         *_IDENTITY,
         F.when(F.col("rdf_indexable").isNull(), MISSING)
         .when(F.col("rdf_indexable"), UPDATE)
@@ -169,7 +169,7 @@ def search_actions(
         "from_hint",
         has_any("resource_types", [vocab.INDEXABLE]).alias("event_indexable"),
     )
-    joined = others.join(resource_facts(triples) if facts is None else facts, "uri", "left")
+    joined = join_numbered(others, resource_facts(triples) if facts is None else facts, "uri", "left")
     wanted = (
         F.when(F.col("from_hint"), F.col("rdf_indexable")).otherwise(F.col("event_indexable"))
         if require_indexable
@@ -217,7 +217,7 @@ def enrich_with_resource(actions: DataFrame, triples: DataFrame) -> DataFrame:
 def missing_resources(actions: DataFrame, triples: DataFrame, service: str) -> DataFrame:
     """Actions whose resource has no description, as dead letters; a uri is given once."""
     described = triples.select(F.col("doc").alias("uri")).distinct()
-    return actions.join(described, "uri", "left_anti").select(
+    return join_numbered(actions, described, "uri", "left_anti").select(
         F.to_json(F.struct("uri")).alias("payload"),
         F.lit(service).alias("service"),
         F.lit(1).alias("attempts"),

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
 from eventloom import vocab
-from eventloom.functions import form_encode
+from eventloom.functions import form_encode, join_numbered
 from eventloom.operators import fixity, forwarding, hierarchy, routing, search
 from eventloom.operators.audit import audit_input, audit_insert_statement, unaudited_events
 from eventloom.operators.events import listed, merge_live_and_hints
@@ -67,7 +67,7 @@ def _for_batch(triples: DataFrame, events: DataFrame, hints: DataFrame | None):
     if hints is not None:
         uris = uris.unionByName(hints.select("uri"))
     uris = uris.distinct().withColumnRenamed("uri", "doc")
-    return triples.join(uris, "doc", "left_semi")
+    return join_numbered(triples, uris, "doc", "left_semi")
 
 
 @contextmanager

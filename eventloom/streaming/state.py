@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from eventloom import schemas
-from eventloom.functions import form_encode
+from eventloom.functions import NUMBER, form_encode, join_numbered, number
 from eventloom.operators.audit import audit_input, audit_set, audit_triples, audited_once  # noqa: F401
 from eventloom.operators.routing import DELETE, UPDATE, known_facts
 from eventloom.operators.search import search_add_command, search_delete_command
@@ -85,11 +85,12 @@ def _log(spark, target, schema, manifest, batches=None, slots=None):
 
 def _write_base(rows: DataFrame, key: str, manifest, target: str, buckets: int, layout, order) -> str:
     """A new base: folders by ``layout``, files cut by range, so that a bucket or key of any size
-    takes as many files as it needs."""
+    takes as many files as it needs. Folders come first in the order, as the writer wants them: so
+    rows are sorted once."""
     base = changelog.new_base(manifest)
-    by = ["bucket", *order]
     files = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.withColumn("bucket", _slot(key) % buckets).repartitionByRange(files, *by)
+    dealt = rows.withColumn("bucket", _slot(key) % buckets).repartitionByRange(files, "bucket", *order)
+    by = [*layout, *[c for c in order if c not in layout]]
     dealt.sortWithinPartitions(*by).write.partitionBy(*layout).parquet(changelog.base_path(target, base))
     return base
 
@@ -148,8 +149,9 @@ def _last_of_each(actions: DataFrame, batch_id: int) -> DataFrame:
     """(uri, action, seq): the last update and the last delete of each uri, map-side first."""
     return (
         actions.filter(F.col("action").isin(UPDATE, DELETE))
-        .groupBy("uri", "action")
+        .groupBy(number("uri"), "uri", "action")
         .agg(F.max(_seq(batch_id)).alias("seq"))
+        .drop(NUMBER)
     )
 
 
@@ -159,9 +161,8 @@ def _last_of_each(actions: DataFrame, batch_id: int) -> DataFrame:
 def _effective(actions: DataFrame, triples: DataFrame, batch_id: int) -> DataFrame:
     """Last update and last delete of each uri, without updates that find no description."""
     described = triples.select(F.col("doc").alias("uri"), F.lit(True).alias("described"))
-    return _last_of_each(actions, batch_id).join(described.distinct(), "uri", "left").filter(
-        (F.col("action") == DELETE) | F.col("described")
-    )
+    known = join_numbered(_last_of_each(actions, batch_id), described.distinct(), "uri", "left")
+    return known.filter((F.col("action") == DELETE) | F.col("described"))
 
 
 def triple_messages(
@@ -211,7 +212,7 @@ def triple_changes(
     )
     updates = known.filter(F.col("action") == UPDATE).select(F.col("uri").alias("doc"), "seq")
     wanted = in_named_graph(apply_prefer(triples, include, omit, groups), graph)
-    adds = wanted.join(updates, "doc").select(
+    adds = join_numbered(wanted, updates, "doc").select(
         F.lit("add").alias("op"), "seq", *TRIPLE_KEY
     )
     return purges.unionByName(adds)
@@ -221,11 +222,16 @@ def _home() -> Column:
     return F.concat_ws("\u0001", F.coalesce("graph", F.lit("")), "subject")
 
 
+def _homed(rows: DataFrame) -> DataFrame:
+    """Rows with ``_home`` and a number of it, by which they are sorted before the text."""
+    return rows.withColumn("_home", _home()).withColumn("_at", F.xxhash64("_home"))
+
+
 def _unpurged(adds: DataFrame, purges: DataFrame) -> DataFrame:
     """Added triples (with ``_home``) that no later purge of their subject removes."""
-    last = purges.groupBy(_home().alias("_home")).agg(F.max("seq").alias("_purged"))
+    last = _homed(purges).groupBy("_at", "_home").agg(F.max("seq").alias("_purged"))
     return (
-        adds.join(last, "_home", "left")
+        adds.join(last, ["_at", "_home"], "left")
         .filter(
             F.col("_purged").isNull() | F.coalesce(F.col("seq") >= F.col("_purged"), F.lit(False))
         )
@@ -240,47 +246,48 @@ def fold_triples(changes: DataFrame) -> DataFrame:
     meet first, spread by their whole content; the join with the purges comes last, so that
     adaptive execution may broadcast these or split a subject with very many triples.
     """
-    adds = changes.filter(F.col("op") == "add").groupBy(*TRIPLE_KEY).agg(F.max("seq").alias("seq"))
+    adds = _latest(changes.filter(F.col("op") == "add"))
     purges = changes.filter(F.col("op") == "purge")
-    return _unpurged(adds.withColumn("_home", _home()), purges).drop("_home")
+    return _unpurged(_homed(adds), purges).drop("_home", "_at")
+
+
+def _latest(rows: DataFrame) -> DataFrame:
+    """Each triple once with its last ``seq``; sorted by a number first."""
+    return rows.groupBy(number(*TRIPLE_KEY), *TRIPLE_KEY).agg(F.max("seq").alias("seq")).drop(NUMBER)
 
 
 def _same(left: DataFrame, right: DataFrame) -> Column:
-    return reduce(lambda x, y: x & y, [left[c].eqNullSafe(right[c]) for c in TRIPLE_KEY])
+    """Equal triples, of rows with their numbers: texts are compared where numbers are equal."""
+    texts = [left[c].eqNullSafe(right[c]) for c in TRIPLE_KEY]
+    return reduce(lambda x, y: x & y, texts, left[NUMBER] == right[NUMBER])
 
 
 def _with_log(base: DataFrame, log: DataFrame) -> tuple:
-    """(what is left of the base's triples, what the log adds to them), both with ``seq``.
+    """(what is left of the base's triples, what the log adds to them), both with ``seq`` and number.
 
     The base is folded already: it meets only the log's last purges and added triples, and its
     own purges only the subjects that the log adds to. All these come from the log, so adaptive
     execution broadcasts them while the log is small, and the base is not shuffled. Of a triple
     that both hold, the later addition counts.
     """
-    names = [*TRIPLE_KEY, "seq"]
-    held = _unpurged(base.filter("op = 'add'").withColumn("_home", _home()), log.filter("op = 'purge'"))
-    fresh = fold_triples(log).withColumn("_home", _home())
-    homes = fresh.select("_home").distinct()
-    purges = base.filter("op = 'purge'").withColumn("_home", _home()).join(homes, "_home", "left_semi")
+    names = [number(*TRIPLE_KEY), *TRIPLE_KEY, "seq"]
+    held = _unpurged(_homed(base.filter("op = 'add'")), log.filter("op = 'purge'"))
+    fresh = _homed(fold_triples(log))
+    homes = fresh.select("_at", "_home").distinct()
+    purges = _homed(base.filter("op = 'purge'")).join(homes, ["_at", "_home"], "left_semi")
+    purges = purges.drop("_at", "_home")
     return held.select(names), _unpurged(fresh, purges).select(names)
 
 
 def _merged_triples(base: DataFrame | None, log: DataFrame | None) -> DataFrame:
     """New base rows: triples that count, each once with its latest addition, and the last purge
-    of each subject, as an older update may still arrive."""
-    changes = [c for c in (base, log) if c is not None]
-    both = reduce(DataFrame.unionByName, changes)
-    purges = both.filter("op = 'purge'").groupBy("op", *TRIPLE_KEY).agg(F.max("seq").alias("seq"))
-    if base is None or log is None:
-        adds = fold_triples(both)
-    else:
-        held, fresh = _with_log(base, log)
-        known = held.join(fresh, _same(held, fresh), "left_semi")
-        known = known.groupBy(*TRIPLE_KEY).agg(F.max("seq").alias("_before"))
-        both_added = fresh.join(known, _same(fresh, known), "left").select(
-            *[fresh[c] for c in TRIPLE_KEY], F.greatest("seq", "_before").alias("seq")
-        )
-        adds = held.join(fresh, _same(held, fresh), "left_anti").unionByName(both_added)
+    of each subject, as an older update may still arrive.
+
+    All rows are written anew anyway, so base and log are folded as one: each row is shuffled to
+    its equals and to the purges of its subject, however large the log is."""
+    both = reduce(DataFrame.unionByName, [c for c in (base, log) if c is not None])
+    purges = _latest(both.filter("op = 'purge'")).select(F.lit("purge").alias("op"), "seq", *TRIPLE_KEY)
+    adds = fold_triples(both)
     return adds.select(F.lit("add").alias("op"), "seq", *TRIPLE_KEY).unionByName(purges)
 
 
@@ -328,7 +335,7 @@ def current_triples(spark: SparkSession, target: str, subjects=None, at=None) ->
     if subjects is not None:
         wanted = subjects.select(F.col(subjects.columns[0]).alias("subject")).distinct()
         base, log = (
-            None if rows is None else rows.join(wanted, "subject", "left_semi") for rows in (base, log)
+            None if rows is None else join_numbered(rows, wanted, "subject", "left_semi") for rows in (base, log)
         )
     if base is None:
         found = fold_triples(spark.createDataFrame([], TRIPLE_CHANGE) if log is None else log)
@@ -384,7 +391,7 @@ def doc_changes(actions: DataFrame, docs: DataFrame, batch_id: int = 0) -> DataF
         *[F.lit(None).cast("string").alias(c) for c in ("contains", "lastmodified", "created")],
     )
     updated = last.filter(F.col("action") == UPDATE).select(F.col("uri").alias("doc"), "seq")
-    put = docs.join(updated, "doc").select(
+    put = join_numbered(docs, updated, "doc").select(
         F.lit("put").alias("op"), "seq", *schemas.SEARCH_DOC.fieldNames()
     )
     return removed.unionByName(put)
@@ -402,7 +409,7 @@ def _last_rows(changes: DataFrame, fields: list) -> DataFrame:
     """Last change of each key, which is the first field: (key, op, seq, other fields)."""
     key, rest = fields[0], ["op", "seq", *fields[1:]]
     order = F.struct(F.col("seq").isNotNull(), F.col("seq"), F.col("op"))
-    last = changes.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("_last"))
+    last = changes.groupBy(number(key), key).agg(F.max_by(F.struct(*rest), order).alias("_last"))
     return last.select(key, *[F.col("_last")[c].alias(c) for c in rest])
 
 
@@ -446,9 +453,10 @@ def _merged_rows(fields: list):
         rank = lambda: F.struct(F.col("seq").isNotNull(), F.col("seq"), F.col("op"))
         newest = last.select(key, rank().alias("_new"))
         stays = F.col("_new").isNull() | (rank() > F.col("_new"))
-        held = base.select(names).join(newest, key, "left").filter(stays).drop("_new")
-        older = base.select(key, "seq", "op").join(newest, key).filter(rank() > F.col("_new")).select(key)
-        return held.unionByName(last.join(older, key, "left_anti").select(names))
+        held = join_numbered(base.select(names), newest, key, "left").filter(stays).drop("_new")
+        met = join_numbered(base.select(key, "seq", "op"), newest, key)
+        older = met.filter(rank() > F.col("_new")).select(key)
+        return held.unionByName(join_numbered(last, older, key, "left_anti").select(names))
 
     return merge
 
@@ -466,7 +474,8 @@ def _current_rows(spark, target, schema, fields, keys, at) -> DataFrame:
     rows = _merged_rows(fields)(base, log).filter("op = 'put'").select(fields)
     if keys is None:
         return rows
-    return rows.join(keys.select(F.col(keys.columns[0]).alias(fields[0])).distinct(), fields[0], "left_semi")
+    wanted = keys.select(F.col(keys.columns[0]).alias(fields[0])).distinct()
+    return join_numbered(rows, wanted, fields[0], "left_semi")
 
 
 def current_docs(spark: SparkSession, target: str, ids=None, at=None) -> DataFrame:
@@ -494,7 +503,7 @@ def fact_changes(actions: DataFrame, triples: DataFrame, batch_id: int = 0) -> D
         *[F.lit(None).cast(schemas.FACTS[c].dataType).alias(c) for c in names[1:]],
     )
     updated = last.filter(F.col("action") == UPDATE).select("uri", "seq")
-    put = known_facts(triples).join(updated, "uri").select(F.lit("put").alias("op"), "seq", *names)
+    put = join_numbered(known_facts(triples), updated, "uri").select(F.lit("put").alias("op"), "seq", *names)
     return removed.unionByName(put)
 
 
@@ -603,10 +612,8 @@ def _not_stored(spark, records, hits, target, known, batches, slots) -> DataFram
     if not stored:
         return records
     stored = reduce(DataFrame.unionByName, stored).join(hits, "subject", "left_semi")
-    # Rows are sorted by a number first; texts are compared where numbers are equal.
-    records, stored = (rows.withColumn("_number", F.xxhash64(*TRIPLE_KEY)) for rows in (records, stored))
-    same = (records["_number"] == stored["_number"]) & _same(records, stored)
-    return records.join(stored, same, "left_anti").drop("_number")
+    records, stored = (rows.withColumn(NUMBER, number(*TRIPLE_KEY)) for rows in (records, stored))
+    return records.join(stored, _same(records, stored), "left_anti").drop(NUMBER)
 
 
 def current_audit(spark: SparkSession, target: str, at=None) -> DataFrame:
