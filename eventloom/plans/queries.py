@@ -1081,13 +1081,13 @@ def redelivered_later(spark, sf) -> DataFrame:
     made, and the third, after the folder has appeared, arrives: (message, attempts, n)."""
     target = work_dir(spark, "redelivery")
     inbox, how = f"{target}/inbox", delivery.Redelivery(pause=60, limit=5)
-    drop = delivery.FileDrop(inbox)
+    drop = delivery.FileDrop(inbox, delivery.SHELVES)
     delivery.forward(_messages(spark, sf), target, drop, redelivery=how)
     for now in ("2100-01-01 00:00:00", "2100-01-01 00:01:00"):
         delivery.redeliver(spark, target, drop, how, now)
     spark.range(0).select(F.lit("").alias("value")).write.text(inbox)
     delivery.redeliver(spark, target, drop, how, "2100-01-01 00:02:00")
-    arrived = spark.read.text(inbox, wholetext=True).groupBy(F.col("value").alias("message")).count()
+    arrived = delivery.dropped(spark, drop).groupBy("message").count()
     made = delivery.redelivered(spark, target).filter(F.col("error").isNull())
     made = made.groupBy("message").agg(F.max("attempts").cast("long").alias("attempts"))
     return arrived.join(made, "message").select("message", "attempts", F.col("count").alias("n"))

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import http.client
+import re
 import time
 import urllib.parse
 import uuid
@@ -10,6 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from eventloom import schemas, vocab
@@ -22,6 +24,9 @@ _OUTCOME = (
     T.StructField("error", T.StringType()),
 )
 
+# Name of a file that a FileDrop has made.
+_DROPPED = re.compile("[0-9a-f]{16}-[0-9a-f]{32}")
+
 
 class HttpPost:
     """Transport that posts each payload; raises on any failure. Sent to executors whole.
@@ -67,25 +72,79 @@ class HttpPost:
             self.connection = None
 
 
+#: Shelves of a drop of very many payloads.
+SHELVES = 4_096
+
+
 class FileDrop:
     """Transport that puts each payload into a file of its own in a folder that must be there,
-    in any store that pyarrow opens (a plain path is a mounted one)."""
+    in any store that pyarrow opens (a plain path is a mounted one).
+
+    With ``shelves`` the files are dealt at random over so many subfolders, repeats of a payload too:
+    a folder of very many files can be read by many tasks, and removed bit by bit (see ``dropped``).
+    """
 
-    def __init__(self, folder):
+    def __init__(self, folder, shelves: int | None = None):
         self.folder = folder
+        self.shelves = shelves
 
-    def __call__(self, payload: str) -> None:
+    def opened(self):
+        """(store, path) of the folder."""
         from pyarrow import fs
 
         store, path = fs.FileSystem.from_uri(self.folder)
         if store.get_file_info(path).type != fs.FileType.Directory:
             raise FileNotFoundError("no such folder")
-        data = payload.encode()
-        name = f"{hashlib.sha256(data).hexdigest()[:16]}-{uuid.uuid4().hex}"
-        with store.open_output_stream(f"{path}/{name}") as out:
+        return store, path
+
+    def shelf(self, number: int) -> str:
+        return f"/{number:06x}" if self.shelves else ""
+
+    def __call__(self, payload: str) -> None:
+        store, path = self.opened()
+        data, own = payload.encode(), uuid.uuid4()
+        shelf = path + self.shelf(own.int % (self.shelves or 1))
+        place = f"{shelf}/{hashlib.sha256(data).hexdigest()[:16]}-{own.hex}"
+        try:
+            out = store.open_output_stream(place)
+        except FileNotFoundError:
+            if not self.shelves:
+                raise
+            store.create_dir(shelf, recursive=False)
+            out = store.open_output_stream(place)
+        with out:
             out.write(data)
 
 
+def dropped(spark: SparkSession, drop: FileDrop) -> DataFrame:
+    """(message): what lies in the folder of a ``FileDrop``, a row for each file.
+
+    Each task lists and reads shelves of its own; no list of files passes through the driver.
+    """
+    shelves = drop.shelves or 1
+
+    def read(batches):
+        from pyarrow import fs
+
+        store, path = drop.opened()
+        texts, size = [], 0
+        for batch in batches:
+            for number in batch.column(0).to_pylist():
+                for file in store.get_file_info(fs.FileSelector(path + drop.shelf(number), allow_not_found=True)):
+                    if not _DROPPED.fullmatch(file.base_name):
+                        continue
+                    with store.open_input_stream(file.path) as lines:
+                        texts.append(lines.read().decode(errors="replace"))
+                    size += len(texts[-1])
+                    if len(texts) == 10_000 or size > 4_000_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["message"])
+                        texts, size = [], 0
+        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["message"])
+
+    tasks = min(shelves, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return spark.range(0, shelves, 1, tasks).mapInArrow(read, "message string")
+
+
 def _attempt(transport, payload, max_redeliveries, delay):
     """(attempts made, last error or None)."""
     error = None
@@ -184,11 +243,14 @@ def queued(spark: SparkSession, target: str, at=None, batches=None) -> DataFrame
     """Messages that wait for another attempt. Of a group only the newest batch's count, and none
     if a newer one has been sent."""
     rows = changelog.read_changes(spark, f"{target}/queue", QUEUE, batches, at)
-    newest = rows.filter(F.col("grouped").isNotNull()).groupBy("grouped").agg(F.max("seq").alias("_newest"))
-    kept = rows.join(newest, "grouped", "left").filter(
-        (F.col("op") == "failed") & (F.col("_newest").isNull() | (F.col("seq") == F.col("_newest")))
+    failed, named = F.col("op") == "failed", F.col("grouped").isNotNull()
+    newest = rows.filter(named).groupBy("grouped").agg(F.max("seq").alias("_newest"))
+    kept = rows.filter(failed & named).join(newest, "grouped").filter(
+        F.col("_newest").isNull() | (F.col("seq") == F.col("_newest"))
     )
-    return kept.select(QUEUE.fieldNames())
+    # Messages of no group meet no others: a join would bring them all to one task.
+    alone = rows.filter(failed & ~named)
+    return alone.unionByName(kept.select(QUEUE.fieldNames()))
 
 
 def _after(now, seconds):
